@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
 
@@ -36,6 +37,11 @@ def deep_link(base: str, company: Column, page: str) -> Column:
     return F.concat(F.lit(base), company, F.lit(page))
 
 
+def quoted(names: Iterable[str]) -> list[str]:
+    """Column names as references, whatever characters they hold."""
+    return ["`" + name.replace("`", "``") + "`" for name in names]
+
+
 _ESCAPED = re.compile(r"_x([0-9A-Fa-f]{4})_")
 
 

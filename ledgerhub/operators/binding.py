@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ledgerhub.functions.text import plain_name
+from ledgerhub.functions.text import plain_name, quoted
 from ledgerhub.functions.times import strict_date
 
 ENTITY = "Entity"
@@ -38,7 +38,7 @@ def bind(df: DataFrame, schema: T.StructType) -> DataFrame:
         if source is None:
             value = F.lit(None).cast(field.dataType)
         else:
-            value = _typed(F.col(f"`{source.name}`"), source.dataType, field.dataType)
+            value = _typed(F.col(quoted([source.name])[0]), source.dataType, field.dataType)
         columns.append(value.alias(field.name))
     return df.select(*columns)
 
@@ -63,7 +63,7 @@ def positional(df: DataFrame, names: Sequence[str]) -> DataFrame:
 def without(df: DataFrame, skipped: Sequence[str]) -> DataFrame:
     """All columns but the skipped ones, names compared in plain form."""
     gone = {plain_name(c).lower() for c in skipped}
-    return df.select(*[f"`{c}`" for c in df.columns if plain_name(c).lower() not in gone])
+    return df.select(*quoted(c for c in df.columns if plain_name(c).lower() not in gone))
 
 
 def tagged(df: DataFrame, company: str | Column, entity: str = ENTITY) -> DataFrame:

@@ -10,6 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ledgerhub.functions.text import quoted
+
 
 def _total_order(df: DataFrame, keys: Sequence[str], arrival: Sequence[str]) -> list[str]:
     """Arrival columns, then all others by name, so that ties never depend on the run."""
@@ -18,7 +20,7 @@ def _total_order(df: DataFrame, keys: Sequence[str], arrival: Sequence[str]) ->
 
 
 def _one_per_key(df: DataFrame, keys: Sequence[str], order: list[Column]) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy(*order)
+    window = Window.partitionBy(*quoted(keys)).orderBy(*order)
     return (
         df.withColumn("_place", F.row_number().over(window)).where("_place = 1").drop("_place")
     )
@@ -26,9 +28,9 @@ def _one_per_key(df: DataFrame, keys: Sequence[str], order: list[Column]) -> Dat
 
 def last_per_key(df: DataFrame, keys: Sequence[str], arrival: Sequence[str]) -> DataFrame:
     """Last arrival of each key."""
-    return _one_per_key(df, keys, [F.col(c).desc() for c in _total_order(df, keys, arrival)])
+    return _one_per_key(df, keys, [F.col(c).desc() for c in quoted(_total_order(df, keys, arrival))])
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], arrival: Sequence[str]) -> DataFrame:
     """First arrival of each key."""
-    return _one_per_key(df, keys, [F.col(c).asc() for c in _total_order(df, keys, arrival)])
+    return _one_per_key(df, keys, [F.col(c).asc() for c in quoted(_total_order(df, keys, arrival))])

@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerhub.functions.text import quoted
 from ledgerhub.operators.latest import first_per_key, last_per_key
 from ledgerhub.operators.presence import absent
 from ledgerhub.operators.watermark import above_watermark
@@ -27,7 +28,7 @@ def append_above(
 ) -> DataFrame:
     """Target plus the batch rows above each company's watermark."""
     new = above_watermark(batch, target, entry_no, entity, default)
-    return target.unionByName(new.select(*target.columns))
+    return target.unionByName(new.select(*quoted(target.columns)))
 
 
 def unique_batch(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -37,17 +38,17 @@ def unique_batch(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     one key fails fast instead of filling one task.
     """
     rest = [c for c in batch.columns if c not in keys]
-    row = F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(True)
-    counted = batch.groupBy(*keys).agg(
+    row = F.struct(*quoted(rest)) if rest else F.struct(F.lit(True))
+    counted = batch.groupBy(*quoted(keys)).agg(
         F.count(F.lit(1)).alias("_copies"), F.first(row).alias("_row")
     )
     message = F.concat(
-        F.lit("upsert batch repeats key "), F.to_json(F.struct(*[F.col(k) for k in keys]))
+        F.lit("upsert batch repeats key "), F.to_json(F.struct(*quoted(keys)))
     )
     once = F.when(F.col("_copies") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
     checked = counted.where(once)
-    values = [F.col(f"_row.`{c}`").alias(c) for c in rest]
-    return checked.select(*keys, *values).select(*batch.columns)
+    values = [F.col(f"_row.{name}") for name in quoted(rest)]
+    return checked.select(*quoted(keys), *values).select(*quoted(batch.columns))
 
 
 def upsert(
@@ -62,9 +63,9 @@ def upsert(
     kept = absent(target, batch, keys, measured)
     extra = [c for c in target.columns if c not in batch.columns]
     if extra:
-        old = target.select(*keys, *extra)
+        old = target.select(*quoted([*keys, *extra]))
         unique = unique.join(old, list(keys), "left")
-    return kept.unionByName(unique.select(*target.columns))
+    return kept.unionByName(unique.select(*quoted(target.columns)))
 
 
 def replace_all(
@@ -83,7 +84,7 @@ def replace_last(
 ) -> DataFrame:
     """Delete matching target rows, then insert the last arrival of each key."""
     latest = last_per_key(batch, keys, arrival)
-    return absent(target, batch, keys, measured).unionByName(latest.select(*target.columns))
+    return absent(target, batch, keys, measured).unionByName(latest.select(*quoted(target.columns)))
 
 
 def new_rows(
@@ -110,4 +111,4 @@ def insert_absent(
 ) -> DataFrame:
     """Target, never updated, plus :func:`new_rows`."""
     new = new_rows(target, batch, keys, arrival, required)
-    return target.unionByName(new.select(*target.columns))
+    return target.unionByName(new.select(*quoted(target.columns)))

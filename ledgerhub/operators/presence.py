@@ -6,11 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from ledgerhub.functions.text import quoted
 from ledgerhub.sizing import broadcast_within
 
 
 def _keys_of(other: DataFrame, keys: Sequence[str], measured: bool) -> DataFrame:
-    wanted = other.select(*keys).dropna().distinct()
+    wanted = other.select(*quoted(keys)).dropna().distinct()
     return broadcast_within(wanted) if measured else wanted
 
 
@@ -22,11 +23,13 @@ def absent(
     ``measured`` sizes ``other`` first and broadcasts its keys when they are few, which
     spares a much larger ``df`` its shuffle. Without it Spark decides by statistics.
     """
-    return df.join(_keys_of(other, keys, measured), list(keys), "left_anti")
+    found = _keys_of(other, keys, measured)
+    return df.join(found, list(keys), "left_anti").select(*quoted(df.columns))
 
 
 def present(
     df: DataFrame, other: DataFrame, keys: Sequence[str], measured: bool = False
 ) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``other``."""
-    return df.join(_keys_of(other, keys, measured), list(keys), "left_semi")
+    found = _keys_of(other, keys, measured)
+    return df.join(found, list(keys), "left_semi").select(*quoted(df.columns))

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerhub.functions.text import quoted
 from ledgerhub.sizing import MAX_COMPANY_ROWS, local_copy
 
 MAX_FILTER_COMPANIES = 50
@@ -37,7 +38,7 @@ def above_watermark(
     side = marks if local is None else F.broadcast(local)
     joined = batch.join(side, entity, "left")
     above = F.col(entry_no) > F.coalesce(F.col("max_entry_no"), F.lit(default))
-    return joined.where(above).select(*batch.columns)
+    return joined.where(above).select(*quoted(batch.columns))
 
 
 def _filter(marks, entry_no: str, entity: str, default: int):

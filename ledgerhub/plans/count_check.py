@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerhub.functions.text import quoted
 from ledgerhub.operators.counts import compared_counts, rows_per_company
 from ledgerhub.operators.watermark import above_watermark
 from ledgerhub.sizing import company_side
@@ -54,5 +55,5 @@ def repair_rows(
     """
     checked = count_check(names, source_counts, table, entity)
     broken = company_side(checked.where("status = 'mismatch'").select(entity))
-    wanted = source.join(broken, entity, "left_semi").select(*source.columns)
+    wanted = source.join(broken, entity, "left_semi").select(*quoted(source.columns))
     return above_watermark(wanted, table, entry_no, entity)

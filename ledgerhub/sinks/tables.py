@@ -13,12 +13,13 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ledgerhub.functions.text import quoted
 from ledgerhub.sizing import MAX_COMPANY_ROWS
 
 ENTITY = "Entity"
 
 
-def _quoted(text: str) -> str:
+def _literal(text: str) -> str:
     escaped = text.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"
 
@@ -30,7 +31,7 @@ def create(
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
-        f"PARTITIONED BY (`{entity}`) LOCATION {_quoted(folder)}"
+        f"PARTITIONED BY (`{entity}`) LOCATION {_literal(folder)}"
     )
 
 
@@ -50,7 +51,7 @@ def _table_folder(spark: SparkSession, table: str) -> str:
 
 
 def _in_table_order(df: DataFrame, table: str) -> DataFrame:
-    return df.select(*df.sparkSession.table(table).columns)
+    return df.select(*quoted(df.sparkSession.table(table).columns))
 
 
 def replace_companies(
@@ -69,8 +70,8 @@ def replace_companies(
     place = F.regexp_replace(F.col("_metadata.file_path"), r"/[^/]*$", "")
     places = written.select(F.col(entity).alias("name"), place.alias("place")).distinct().collect()
     for row in places:
-        part = f"PARTITION (`{entity}` = {_quoted(row['name'])})"
-        location = _quoted(unquote(row["place"]))
+        part = f"PARTITION (`{entity}` = {_literal(row['name'])})"
+        location = _literal(unquote(row["place"]))
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {part} LOCATION {location}")
         spark.sql(f"ALTER TABLE {table} {part} SET LOCATION {location}")
     if drop_others:
@@ -79,7 +80,7 @@ def replace_companies(
             if name not in current:
                 spark.sql(
                     f"ALTER TABLE {table} DROP IF EXISTS "
-                    f"PARTITION (`{entity}` = {_quoted(name)})"
+                    f"PARTITION (`{entity}` = {_literal(name)})"
                 )
     spark.catalog.refreshTable(table)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ledgerhub.functions.text import quoted
 from ledgerhub.sizing import company_side
 
 NEXT_LINK = "@odata.nextLink"
@@ -67,7 +68,7 @@ def chain_status(pages: DataFrame) -> DataFrame:
 def complete_pages(pages: DataFrame, status: DataFrame) -> DataFrame:
     """Pages of companies whose chain is whole; the others must not be applied."""
     good = company_side(status.where("complete").select("Entity"))
-    return pages.join(good, "Entity", "left_semi")
+    return pages.join(good, "Entity", "left_semi").select(*quoted(pages.columns))
 
 
 def incomplete_companies(status: DataFrame) -> DataFrame:

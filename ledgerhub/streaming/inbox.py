@@ -36,8 +36,7 @@ def inbox_stream(
         bad.write.mode("overwrite").parquet(f"{bad_folder}/batch_id={batch_id}")
 
     return (
-        spark.readStream.option("wholetext", one_per_file)
-        .text(landing)
+        spark.readStream.text(landing, wholetext=one_per_file)
         .select("value")
         .writeStream.foreachBatch(consume)
         .option("checkpointLocation", checkpoint)
