@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -12,6 +13,8 @@ from ledgerhub.functions.text import last_token
 from ledgerhub.functions.xml import element
 from ledgerhub.sizing import broadcast_within
 
+LEAD_LENGTH = 2
+MAX_LEADS = 1000
 MATCH_KEYS = ["company", "kind", "invoice_no"]
 
 PAYMENT_FIELDS = [
@@ -41,22 +44,39 @@ def unroutable(invoices: DataFrame) -> DataFrame:
     return invoices.where(F.col("company").isNull())
 
 
-def _pieces(text: Column, lengths: Sequence[int]) -> Column:
-    """All pieces of a text that have one of the lengths."""
-    def of_length(size: int) -> Column:
-        last = F.length(text) - size + 1
-        starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(
-            F.array().cast("array<int>")
-        )
-        return F.transform(starts, lambda at: F.substr(text, at, F.lit(size)))
+def _known_starts(invoices: DataFrame) -> list[str] | None:
+    """Kind and first characters of the wanted numbers; None if there are many."""
+    start = F.concat_ws(" ", "kind", F.substring("invoice_no", 1, LEAD_LENGTH))
+    starts = invoices.select(start.alias("s")).distinct().limit(MAX_LEADS + 1).collect()
+    return None if len(starts) > MAX_LEADS else [row["s"] for row in starts]
 
-    return F.concat(*[of_length(size) for size in lengths])
 
+def _carried(headers: DataFrame) -> list[str]:
+    return [c for c in headers.columns if c not in ("company", "kind")]
 
-def _numeric_pieces(text: Column, lengths: Sequence[int]) -> Column:
-    """Pieces that lie within one run of digits."""
-    runs = F.regexp_extract_all(text, F.lit(r"(\d+)"), F.lit(1))
-    return F.flatten(F.transform(runs, lambda run: _pieces(run, lengths)))
+
+def _pieces(
+    headers: DataFrame, runs: Column, sizes: Sequence[int], starts: list[str] | None
+) -> DataFrame:
+    """Headers once per piece of their runs that has one of the sizes."""
+    run, at, size = F.col("run"), F.col("at"), F.col("size")
+    kept = ["company", "kind", "header"]
+    each_run = headers.select(
+        "company", "kind", F.struct(*_carried(headers)).alias("header"), F.explode(runs).alias("run")
+    ).where(F.length(run) >= min(sizes))
+    places = F.sequence(F.lit(1), F.length(run) - min(sizes) + 1)
+    each_place = each_run.select(*kept, "run", F.explode(places).alias("at"))
+    if starts is not None:
+        led = [
+            F.concat_ws(" ", "kind", F.substr(run, at, F.lit(n))).isin(starts)
+            for n in range(1, LEAD_LENGTH + 1)
+        ]
+        each_place = each_place.where(reduce(lambda a, b: a | b, led))
+    literal_sizes = F.array(*[F.lit(n) for n in sizes])
+    each_size = each_place.select(*kept, "run", "at", F.explode(literal_sizes).alias("size"))
+    return each_size.where(at + size - 1 <= F.length(run)).select(
+        *kept, F.substr(run, at, size).alias("invoice_no")
+    )
 
 
 def _candidates(headers: DataFrame, invoices: DataFrame) -> DataFrame | None:
@@ -64,8 +84,8 @@ def _candidates(headers: DataFrame, invoices: DataFrame) -> DataFrame | None:
 
     Contains-matching without comparing every pair: an invoice number occurs in a
     description exactly if it is one of the description's pieces of that length. Digits-only
-    numbers need pieces of digit runs only. The work grows with the headers, not with
-    headers times invoices.
+    numbers need pieces of digit runs only, and places where no wanted number starts are
+    dropped at once. The work grows with the headers, not with headers times invoices.
     """
     digits_only = F.col("invoice_no").rlike(r"^\d+$")
     shapes = (
@@ -76,19 +96,15 @@ def _candidates(headers: DataFrame, invoices: DataFrame) -> DataFrame | None:
     )
     numeric = sorted(s["size"] for s in shapes if s["numeric"])
     other = sorted(s["size"] for s in shapes if not s["numeric"])
+    starts = _known_starts(invoices)
     text = F.col("postingDescription")
-    pieces = []
+    found = []
     if numeric:
-        pieces.append(_numeric_pieces(text, numeric))
+        digit_runs = F.regexp_extract_all(text, F.lit(r"(\d+)"), F.lit(1))
+        found.append(_pieces(headers, digit_runs, numeric, starts))
     if other:
-        pieces.append(_pieces(text, other))
-    if not pieces:
-        return None
-    found = F.array_distinct(F.concat(*pieces))
-    return headers.select(
-        "company", "kind", F.struct(*headers.columns).alias("header"),
-        F.explode(found).alias("invoice_no"),
-    )
+        found.append(_pieces(headers, F.array(text), other, starts))
+    return reduce(DataFrame.unionByName, found) if found else None
 
 
 def first_headers(
@@ -103,7 +119,9 @@ def first_headers(
     if candidates is None:
         return invoices.sparkSession.createDataFrame(
             [], invoices.select(*MATCH_KEYS).schema
-        ).withColumn("header", F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in headers.schema]))
+        ).withColumn("header", F.struct(
+            *[F.lit(None).cast(headers.schema[c].dataType).alias(c) for c in _carried(headers)]
+        ))
     wanted = broadcast_within(invoices.select(*MATCH_KEYS).dropna().distinct())
     order = F.struct(*[F.col(f"header.{c}") for c in arrival], F.xxhash64("header"))
     return (

@@ -54,6 +54,25 @@ def _in_table_order(df: DataFrame, table: str) -> DataFrame:
     return df.select(*quoted(df.sparkSession.table(table).columns))
 
 
+def _company_folders(spark: SparkSession, table: str) -> dict[str, str]:
+    """Stored companies and their folder names, from the catalog alone."""
+    shown = [row["partition"] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    return {unquote(name.split("=", 1)[1]): name for name in shown}
+
+
+def _written_folders(
+    spark: SparkSession, table: str, schema: T.StructType, folder: str, entity: str
+) -> dict[str, str]:
+    """Companies in a written folder, found by listing it and not by reading rows."""
+    incoming = f"{table}_incoming_{uuid.uuid4().hex}"
+    create(spark, incoming, schema, folder, entity)
+    try:
+        spark.catalog.recoverPartitions(incoming)
+        return _company_folders(spark, incoming)
+    finally:
+        spark.sql(f"DROP TABLE {incoming}")
+
+
 def replace_companies(
     df: DataFrame, table: str, entity: str = ENTITY, drop_others: bool = False
 ) -> None:
@@ -66,30 +85,25 @@ def replace_companies(
     folder = f"{_table_folder(spark, table)}/_versions/{uuid.uuid4().hex}"
     ordered = _in_table_order(df, table)
     ordered.hint("rebalance", entity).write.partitionBy(entity).parquet(folder)
-    written = spark.read.schema(ordered.schema).parquet(folder)
-    place = F.regexp_replace(F.col("_metadata.file_path"), r"/[^/]*$", "")
-    places = written.select(F.col(entity).alias("name"), place.alias("place")).distinct().collect()
-    for row in places:
-        part = f"PARTITION (`{entity}` = {_literal(row['name'])})"
-        location = _literal(unquote(row["place"]))
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {part} LOCATION {location}")
-        spark.sql(f"ALTER TABLE {table} {part} SET LOCATION {location}")
-    if drop_others:
-        current = {row["name"] for row in places}
-        for name in _stored_companies(spark, table):
-            if name not in current:
-                spark.sql(
-                    f"ALTER TABLE {table} DROP IF EXISTS "
-                    f"PARTITION (`{entity}` = {_literal(name)})"
-                )
+    written = _written_folders(spark, table, ordered.schema, folder, entity)
+    stored = _company_folders(spark, table)
+
+    def place(name: str) -> tuple[str, str]:
+        part = f"PARTITION (`{entity}` = {_literal(name)})"
+        return part, f"LOCATION {_literal(folder + '/' + written[name])}"
+
+    for name in written.keys() & stored.keys():
+        part, location = place(name)
+        spark.sql(f"ALTER TABLE {table} {part} SET {location}")
+    new = [" ".join(place(name)) for name in sorted(written.keys() - stored.keys())]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD {' '.join(new)}")
+    gone = stored.keys() - written.keys() if drop_others else ()
+    for name in gone:
+        spark.sql(f"ALTER TABLE {table} DROP PARTITION (`{entity}` = {_literal(name)})")
     spark.catalog.refreshTable(table)
 
 
-def _stored_companies(spark: SparkSession, table: str) -> list[str]:
-    shown = spark.sql(f"SHOW PARTITIONS {table}").collect()
-    return [unquote(row["partition"].split("=", 1)[1]) for row in shown]
-
-
 def refresh(df: DataFrame, table: str, entity: str = ENTITY) -> None:
     """Full refresh: afterwards the table holds ``df`` and nothing else."""
     replace_companies(df, table, entity, drop_others=True)

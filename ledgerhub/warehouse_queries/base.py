@@ -11,6 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ledgerhub.sizing import broadcast_within
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -57,11 +59,13 @@ def registry(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def customer_companies(spark: SparkSession, folder: str) -> DataFrame:
-    """c_custkey, Entity, region."""
+    """c_custkey, Entity, region; broadcast while measured small, else an ordinary side."""
     customer = read(spark, folder, "customer").select("c_custkey", "c_nationkey")
     named = companies(spark, folder)
-    return customer.join(named, customer.c_nationkey == named.n_nationkey).select(
-        "c_custkey", "Entity", "region"
+    return broadcast_within(
+        customer.join(named, customer.c_nationkey == named.n_nationkey).select(
+            "c_custkey", "Entity", "region"
+        )
     )
 
 
@@ -93,11 +97,13 @@ o AS (
 
 
 def supplier_companies(spark: SparkSession, folder: str) -> DataFrame:
-    """s_suppkey, s_nationkey, Entity, region."""
+    """s_suppkey, s_nationkey, Entity, region; broadcast while measured small."""
     supplier = read(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
     named = companies(spark, folder)
-    return supplier.join(named, supplier.s_nationkey == named.n_nationkey).select(
-        "s_suppkey", "s_nationkey", "Entity", "region"
+    return broadcast_within(
+        supplier.join(named, supplier.s_nationkey == named.n_nationkey).select(
+            "s_suppkey", "s_nationkey", "Entity", "region"
+        )
     )
 
 
