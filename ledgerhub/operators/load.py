@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerhub.functions.text import quoted
 from ledgerhub.operators.latest import first_per_key, last_per_key
-from ledgerhub.operators.presence import absent
+from ledgerhub.operators.presence import absent, present
 from ledgerhub.operators.watermark import above_watermark
 
 
@@ -63,7 +63,7 @@ def upsert(
     kept = absent(target, batch, keys, measured)
     extra = [c for c in target.columns if c not in batch.columns]
     if extra:
-        old = target.select(*quoted([*keys, *extra]))
+        old = present(target.select(*quoted([*keys, *extra])), batch, keys, measured)
         unique = unique.join(old, list(keys), "left")
     return kept.unionByName(unique.select(*quoted(target.columns)))
 
@@ -96,10 +96,12 @@ def new_rows(
 ) -> DataFrame:
     """First arrival of each key that the target does not hold yet.
 
-    Rows without the ``required`` column are left out.
+    Rows without the ``required`` column are left out. The target is cut down to the
+    batch's keys first, so it is scanned but not shuffled while those are measured small.
     """
     usable = batch.where(F.col(required).isNotNull()) if required else batch
-    return absent(first_per_key(usable, keys, arrival), target, keys)
+    known = present(target.select(*quoted(keys)), usable, keys, measured=True)
+    return absent(first_per_key(usable, keys, arrival), known, keys)
 
 
 def insert_absent(

@@ -27,6 +27,15 @@ def absent(
     return df.join(found, list(keys), "left_anti").select(*quoted(df.columns))
 
 
+def absent_from_large(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``absent`` for a small ``df`` and a very large ``other``.
+
+    ``other`` is first cut down to the keys of ``df``, which are broadcast when measured
+    small, so that ``other`` is scanned but not shuffled.
+    """
+    return absent(df, present(other.select(*quoted(keys)), df, keys, measured=True), keys)
+
+
 def present(
     df: DataFrame, other: DataFrame, keys: Sequence[str], measured: bool = False
 ) -> DataFrame:

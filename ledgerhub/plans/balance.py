@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerhub.functions.money import AMOUNT, gap
 from ledgerhub.functions.text import key_prefix
 from ledgerhub.operators.alignment import aligned_amounts
+from ledgerhub.sizing import company_side
 
 POSTING = "Posting"
 
@@ -30,7 +31,7 @@ def datamart_rows(fact: DataFrame, companies: DataFrame) -> DataFrame:
     dim = companies.select(
         F.col("Company").alias("DK_DimCompany"), F.col("Naam database").alias("Entity")
     )
-    return fact.join(dim, "DK_DimCompany", "left").select(
+    return fact.join(company_side(dim), "DK_DimCompany", "left").select(
         key_prefix(F.col("DK_DimGrootboek")).alias("account"), "Entity",
         F.col("bedrag").alias("amount"),
     )

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerhub.operators import load
-from ledgerhub.operators.binding import without
+from ledgerhub.operators.binding import ENTITY, without
 from ledgerhub.operators.changes import modified_since, of_kinds
 from ledgerhub.operators.watermark import above_watermark
-from ledgerhub.plans import catalog
+from ledgerhub.plans import catalog, run_log
 from ledgerhub.plans.catalog import Dataset
-from ledgerhub.sinks import tables
+from ledgerhub.sinks import files, tables
+from ledgerhub.sources import pages, reports
 
 ARRIVAL = ("page_no", "pos")
 
@@ -57,22 +59,67 @@ def loaded(
     raise ValueError(f"no load pattern {entry.load}")
 
 
+def pulled(entry: Dataset, landed: DataFrame, table: str, run_date: str) -> DataFrame:
+    """The landed rows a run will apply to the stored table."""
+    rows = selected(entry, landed, run_date)
+    if entry.load in (catalog.APPEND, catalog.APPEND_MERGE):
+        return above_watermark(rows, landed.sparkSession.table(table), entry.entry_no)
+    return rows
+
+
 def run(entry: Dataset, landed: DataFrame, table: str, run_date: str) -> None:
     """Load into a stored table, touching as little of it as the pattern allows."""
-    spark = landed.sparkSession
-    batch = selected(entry, landed, run_date)
-    stored = _stored(entry, batch)
+    _apply(entry, pulled(entry, landed, table, run_date), table)
+
+
+def _apply(entry: Dataset, batch: DataFrame, table: str) -> None:
     if entry.load in (catalog.REFRESH, catalog.STAGED_REFRESH, catalog.REPORT):
-        tables.refresh(stored, table)
+        stored = _stored(entry, batch)
+        if ENTITY in stored.columns:
+            tables.refresh(stored, table)
+        else:
+            tables.swap(stored, table)
     elif entry.load == catalog.APPEND:
-        tables.append(above_watermark(stored, spark.table(table), entry.entry_no), table)
-    elif entry.load == catalog.APPEND_MERGE:
-        new = above_watermark(stored, spark.table(table), entry.entry_no)
-        tables.change_companies(new, table, _change(entry))
+        tables.append(_stored(entry, batch), table)
     else:
         tables.change_companies(batch, table, _change(entry))
 
 
+def logged_run(
+    entry: Dataset, landed: DataFrame, table: str, run_date: str, log_folder: str,
+    category: str = "DWH_extract",
+) -> None:
+    """:func:`run` with its row in the run log; a failure is logged and raised."""
+    spark, start = landed.sparkSession, datetime.now()
+
+    def log(status: str, records: int | None, details: str) -> None:
+        row = run_log.log_row(
+            spark, status, category, entry.target, start, datetime.now(), records, details
+        )
+        files.append_rows(row, log_folder)
+
+    try:
+        batch = pulled(entry, landed, table, run_date)
+        records = batch.count()
+        _apply(entry, batch, table)
+    except Exception as error:
+        log("Error", None, str(error).splitlines()[0])
+        raise
+    log("Success", records, f"Total rows inserted: {records}.")
+
+
+def landed_records(landing: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Records of companies whose page chain is whole, and the companies to reject."""
+    status = pages.chain_status(landing)
+    whole = pages.complete_pages(landing, status)
+    return pages.records(whole), pages.incomplete_companies(status)
+
+
+def landed_report(spark: SparkSession, entry: Dataset, path: str) -> DataFrame:
+    """A positional report of the catalog's width."""
+    return reports.positional_report(spark, path, entry.width)
+
+
 def _change(entry: Dataset):
     def change(target: DataFrame, batch: DataFrame) -> DataFrame:
         stored = _stored(entry, batch)

@@ -11,7 +11,8 @@ from ledgerhub.functions import rules
 from ledgerhub.functions.text import or_blank
 from ledgerhub.functions.times import at_time, day_text, real_time
 from ledgerhub.functions.xml import element, prefixed, soap_message
-from ledgerhub.operators.presence import absent
+from ledgerhub.operators.presence import absent_from_large
+from ledgerhub.sizing import broadcast_within
 
 
 def recent_portcalls(
@@ -26,16 +27,20 @@ def recent_portcalls(
 ) -> DataFrame:
     """Port calls created within the look-back, with vessel, times and ports.
 
-    History is filtered first and everything joins to what is left of it. The route type
-    belongs to the outer join, so a port call without such a route stays.
+    History is filtered first; port calls and routes are cut down to what is left of it
+    before they join, unshuffled while that is measured small. The route type belongs to
+    the outer join, so a port call without such a route stays.
     """
     since = F.date_sub(F.lit(run_date).cast("date"), days)
     created = history.where(
         (F.col("INFO") == fv.PORTCALL_EVENT) & (F.col("CHANGE_DATE") > since)
     ).select("PORTCALL_ID", "CHANGE_DATE", "CHANGE_TIME")
+    wanted = broadcast_within(created.select("PORTCALL_ID").dropna().distinct())
     calls = created.join(
-        portcall.withColumnRenamed("ID", "PORTCALL_ID"), "PORTCALL_ID"
+        portcall.withColumnRenamed("ID", "PORTCALL_ID").join(wanted, "PORTCALL_ID", "left_semi"),
+        "PORTCALL_ID",
     )
+    route = route.join(wanted, "PORTCALL_ID", "left_semi")
     calls = calls.join(setup.select(F.col("ID").alias("SETUP_ID"), "AGENT"), "SETUP_ID")
     calls = calls.join(
         vessel.select(F.col("ID").alias("VESSEL_ID"), F.col("NAME").alias("vessel")), "VESSEL_ID"
@@ -54,6 +59,11 @@ def recent_portcalls(
     )
 
 
+def newest_first(calls: DataFrame) -> DataFrame:
+    """Listing order: highest port-call number first."""
+    return calls.orderBy(F.col("PortCallNumber").desc())
+
+
 def _with_port(
     calls: DataFrame, route: DataFrame, harbour: DataFrame, kind: int, name: str
 ) -> DataFrame:
@@ -79,7 +89,7 @@ def unsent(
         "company", rules.agency_company(F.col("Agency"))
     )
     made = documents.select("company", F.col("attribute06").alias("PortCallNumber"))
-    return absent(targeted, made, ["company", "PortCallNumber"])
+    return absent_from_large(targeted, made, ["company", "PortCallNumber"])
 
 
 def documents_of(calls: DataFrame, run_date: str) -> DataFrame:

@@ -8,6 +8,7 @@ from ledgerhub.fixed_values import UNKNOWN_GROUP
 from ledgerhub.functions.rules import country_group
 from ledgerhub.operators.binding import split_required
 from ledgerhub.operators.load import fan_out
+from ledgerhub.sizing import broadcast_within
 
 CUSTOMER_GROUPS = ["customerPostingGroup", "genBusPostingGroup", "vatBusPostingGroup"]
 VENDOR_GROUPS = ["vendorPostingGroup", "genBusPostingGroup", "vatBusPostingGroup"]
@@ -52,8 +53,10 @@ def posting_group_mismatches(
     A blank or unregistered country expects ``Unknown``, so all three groups are wrong.
     """
     usable, _ = usable_countries(countries)
-    expected = usable.select("company", "code").distinct().withColumn(
-        "correct", country_group(F.col("code"))
+    expected = broadcast_within(
+        usable.select("company", "code").distinct().withColumn(
+            "correct", country_group(F.col("code"))
+        )
     )
     return _mismatches(customers, CUSTOMER_GROUPS, "Customer", expected).unionByName(
         _mismatches(vendors, VENDOR_GROUPS, "Vendor", expected)

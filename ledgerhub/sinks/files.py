@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 
 def write_report(df: DataFrame, folder: str, entity: str = "Entity") -> None:
     """Report as CSV with header, one folder per company."""
-    df.write.mode("overwrite").partitionBy(entity).option("header", True).option(
+    even = df.hint("rebalance", entity)
+    even.write.mode("overwrite").partitionBy(entity).option("header", True).option(
         "escape", '"'
     ).csv(folder)
 

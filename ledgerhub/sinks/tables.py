@@ -35,6 +35,24 @@ def create(
     )
 
 
+def create_plain(spark: SparkSession, table: str, schema: T.StructType, folder: str) -> None:
+    """An empty table without companies, unless it is there already."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet LOCATION {_literal(folder)}"
+    )
+
+
+def swap(df: DataFrame, table: str) -> None:
+    """Full refresh of a table without companies: new folder first, then point at it."""
+    spark = df.sparkSession
+    base = _table_folder(spark, table).split("/_versions/")[0]
+    folder = f"{base}/_versions/{uuid.uuid4().hex}"
+    _in_table_order(df, table).write.parquet(folder)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION {_literal(folder)}")
+    spark.catalog.refreshTable(table)
+
+
 def companies_of(df: DataFrame, entity: str = ENTITY) -> list[str]:
     """The companies that occur in a batch."""
     rows = df.select(entity).distinct().limit(MAX_COMPANY_ROWS + 1).collect()
@@ -124,6 +142,6 @@ def change_companies(
     return names
 
 
-def append(df: DataFrame, table: str) -> None:
+def append(df: DataFrame, table: str, entity: str = ENTITY) -> None:
     """Add rows without touching stored ones."""
-    _in_table_order(df, table).write.mode("append").insertInto(table)
+    _in_table_order(df, table).hint("rebalance", entity).write.mode("append").insertInto(table)

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerhub.functions.text import no_trailing_blanks, quoted
+from ledgerhub.sizing import company_side
 
 
 def company_names(
@@ -31,5 +32,5 @@ def read_companies(spark: SparkSession, table: str = "companies", **options) ->
 
 def for_companies(df: DataFrame, names: DataFrame, entity: str = "Entity") -> DataFrame:
     """Rows of registered companies: one scan instead of one pull per company."""
-    wanted = names.select(F.col("name").alias(entity)).distinct()
+    wanted = company_side(names.select(F.col("name").alias(entity)).distinct())
     return df.join(wanted, entity, "left_semi").select(*quoted(df.columns))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -25,9 +26,13 @@ def upsert_stream(
     harmless. Only companies that occur in the batch are rewritten.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
-        tables.change_companies(
-            batch, table, lambda target, rows: upsert(target, rows, keys, measured=True)
-        )
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            tables.change_companies(
+                kept, table, lambda target, rows: upsert(target, rows, keys, measured=True)
+            )
+        finally:
+            kept.unpersist()
 
     reader = spark.readStream.schema(schema)
     if files_per_batch:

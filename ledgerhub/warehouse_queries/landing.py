@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F, types as T
 
 from ledgerhub.functions import money as m
 from ledgerhub.functions import rules, text, times
 from ledgerhub.operators import binding
+from ledgerhub.plans import catalog, extract
 from ledgerhub.scratch import run_folder
-from ledgerhub.sinks import files
+from ledgerhub.sinks import files, tables
 from ledgerhub.sources import counts, pages, reports
 from ledgerhub.warehouse_queries.base import (
     DOCUMENTS_SQL, documents, moment, money, plain, query, read,
@@ -57,16 +60,14 @@ FROM conversations JOIN c USING (conv_id) WHERE last_role <> 'user'
 """)
 def json_pages(spark, folder):
     """Records of companies whose page chain is whole; a field that never landed is NULL."""
-    landed = _landed_pages(spark, folder)
-    status = pages.chain_status(landed)
-    return pages.records(pages.complete_pages(landed, status))
+    return extract.landed_records(_landed_pages(spark, folder))[0]
 
 
 @query("json_page_rejects", _CHAINS_SQL + f"""
 SELECT 'C' || conv_id AS "Entity", last_turn // {PAGE_SIZE} + 1 AS pages FROM c WHERE last_role = 'user'
 """)
 def json_page_rejects(spark, folder):
-    return pages.incomplete_companies(pages.chain_status(_landed_pages(spark, folder)))
+    return extract.landed_records(_landed_pages(spark, folder))[1]
 
 
 @query("count_answers", """
@@ -132,6 +133,27 @@ def csv_by_name(spark, folder):
     return binding.bind(landed, schema).withColumn("value", plain("value"))
 
 
+@query("report_refresh", """
+SELECT CAST(o_orderkey AS VARCHAR) AS "_c1", CAST(o_custkey AS VARCHAR) AS "_c2", o_orderstatus AS "_c3",
+       CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS "_c4", strftime(o_orderdate, '%Y-%m-%d') AS "_c5",
+       o_orderpriority AS "_c6"
+FROM orders
+""")
+def report_refresh(spark, folder):
+    """A voyage report of six positional columns replaces the stored table."""
+    store = run_folder(spark, "report")
+    read(spark, folder, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", money("o_totalprice"),
+        F.date_format("o_orderdate", "yyyy-MM-dd"), "o_orderpriority",
+    ).write.option("header", True).csv(store)
+    entry = catalog.dataset("VS_voyagev3")
+    landed = extract.landed_report(spark, entry, store)
+    name = f"voyages_{uuid.uuid4().hex}"
+    tables.create_plain(spark, name, landed.schema, run_folder(spark, "table"))
+    extract.run(entry, landed, name, "2001-01-01")
+    return spark.table(name)
+
+
 @query("settled_voyages", """
 SELECT o_orderkey AS voyage FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'
 """)

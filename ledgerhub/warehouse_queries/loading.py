@@ -326,6 +326,42 @@ def stored_company_table(spark, folder):
     return spark.table(name).select("entryNo", "Entity", "status", "total")
 
 
+@query("logged_extracts", f"""
+WITH {DOCUMENTS_SQL},
+c AS (SELECT o.*, top FROM o LEFT JOIN
+       (SELECT "Entity", max("entryNo") AS top FROM o WHERE order_date < '1999-01-01' GROUP BY "Entity") w
+       ON w."Entity" = o."Entity")
+SELECT 'BC_bankledger' AS "Name", 'Success' AS "Status", count(*) AS records FROM o WHERE order_date < '1999-01-01' AND "entryNo" > 0
+UNION ALL
+SELECT 'BC_bankledger', 'Success', count(*) FROM c WHERE "entryNo" > coalesce(top, 0)
+UNION ALL
+SELECT 'BC_wmsRecordLink', 'Error', -1
+""")
+def logged_extracts(spark, folder):
+    """Two ledger runs and a merge that fails on repeated keys, as seen in the run log."""
+    name, log = f"ledger_{uuid.uuid4().hex}", run_folder(spark, "runlog")
+    landed = documents(spark, folder).select(
+        F.col("entryNo").alias("Entry_No"), "total", "order_date", "Entity"
+    )
+    tables.create(spark, name, landed.schema, run_folder(spark, "table"))
+    ledger = catalog.dataset("BC_bankledger")
+    old = landed.where("order_date < '1999-01-01'")
+    extract.logged_run(ledger, old, name, "2001-01-01", log)
+    extract.logged_run(ledger, landed, name, "2001-01-01", log)
+    links = f"links_{uuid.uuid4().hex}"
+    repeated = landed.select(
+        F.lit(1).alias("id"), F.lit(122).alias("tableNo"),
+        F.lit("2001-01-01").cast("date").alias("created"), "total", "Entity",
+    )
+    tables.create(spark, links, repeated.schema, run_folder(spark, "table"))
+    try:
+        extract.logged_run(catalog.dataset("BC_wmsRecordLink"), repeated, links, "2001-01-01", log)
+    except Exception as refused:  # the log row is what this query shows
+        assert "repeats key" in str(refused)
+    records = F.coalesce("RecordsInserted", F.lit(-1)).alias("records")
+    return spark.read.parquet(log).select("Name", "Status", records)
+
+
 @query("reload_lines", f"""
 WITH {ENTRIES_SQL}
 SELECT concat(l_orderkey, '-', l_linenumber) AS id, "Entity", l_returnflag AS type,
