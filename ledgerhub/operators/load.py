@@ -10,12 +10,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerhub.functions.text import quoted
 from ledgerhub.operators.latest import first_per_key, last_per_key
 from ledgerhub.operators.presence import absent, present
 from ledgerhub.operators.watermark import above_watermark
+from ledgerhub.sizing import fits_broadcast
 
 
 def fan_out(pulls: Iterable[DataFrame]) -> DataFrame:
@@ -57,15 +58,29 @@ def upsert(
     """Merge: a matched row takes the batch's columns, an unmatched batch row is inserted.
 
     Columns the batch does not have keep the target's value on a match and are NULL on
-    an insert.
+    an insert. ``measured`` sizes the batch first and broadcasts it when it is small: then
+    the target is updated where it lies, without a shuffle.
     """
     unique = unique_batch(batch, keys)
-    kept = absent(target, batch, keys, measured)
-    extra = [c for c in target.columns if c not in batch.columns]
-    if extra:
-        old = present(target.select(*quoted([*keys, *extra])), batch, keys, measured)
-        unique = unique.join(old, list(keys), "left")
-    return kept.unionByName(unique.select(*quoted(target.columns)))
+    changed = [c for c in batch.columns if c not in keys]
+    source = unique.select(
+        *quoted(keys), F.struct(F.lit(True).alias("_hit"), *quoted(changed)).alias("_new")
+    )
+    known = target.select(*quoted(keys))
+    if measured and fits_broadcast(batch):
+        source = F.broadcast(source)
+        known = known.join(F.broadcast(batch.select(*quoted(keys))), list(keys), "left_semi")
+    matched = F.col("_new._hit").isNotNull()
+
+    def value(column: str) -> Column:
+        name = quoted([column])[0]
+        if column not in changed:
+            return F.col(name)
+        return F.when(matched, F.col(f"_new.{name}")).otherwise(F.col(name)).alias(column)
+
+    updated = target.join(source, list(keys), "left").select(*[value(c) for c in target.columns])
+    inserted = absent(unique, known, keys)
+    return updated.unionByName(inserted, allowMissingColumns=True).select(*quoted(target.columns))
 
 
 def replace_all(

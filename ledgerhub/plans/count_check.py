@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerhub.functions.text import quoted
-from ledgerhub.operators.counts import compared_counts, rows_per_company
+from ledgerhub.operators.counts import compared_counts
 from ledgerhub.operators.watermark import above_watermark
 from ledgerhub.sizing import company_side
 
@@ -14,9 +14,7 @@ def count_check(
     names: DataFrame, source_counts: DataFrame, table: DataFrame, entity: str = "Entity"
 ) -> DataFrame:
     """Every company with both counts and a status; see ``compared_counts``."""
-    return compared_counts(
-        names, source_counts, rows_per_company(table, entity, name="table_rows"), entity
-    )
+    return compared_counts(names, source_counts, table, entity)
 
 
 def mismatches(checked: DataFrame, entity: str = "Entity") -> DataFrame:

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ledgerhub.functions.text import quoted
+
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 MAX_COMPANY_ROWS = 10_000
@@ -19,25 +21,35 @@ _FIXED_WIDTH = 16
 
 
 def measured_size(df: DataFrame) -> tuple[int, int]:
-    """Rows and payload bytes of a flat frame, in one distributed pass."""
+    """Rows and payload bytes, in one distributed pass."""
     width = F.lit(_FIXED_WIDTH * len(df.columns)).cast("long")
     for field in df.schema.fields:
+        name = quoted([field.name])[0]
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            width = width + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
+            width = width + F.coalesce(F.octet_length(F.col(name)), F.lit(0))
         elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            raise TypeError(f"column {field.name} is nested: measure a flat projection")
+            width = width + F.octet_length(F.to_json(F.struct(F.col(name))))
     row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
     return row["n"], row["b"] or 0
 
 
+def fits_broadcast(
+    df: DataFrame,
+    max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+) -> bool:
+    """Whether the measured size is within the bounds."""
+    rows, size = measured_size(df)
+    return rows <= max_rows and size <= max_bytes
+
+
 def broadcast_within(
     df: DataFrame,
     max_rows: int = MAX_BROADCAST_ROWS,
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """``df`` marked for broadcast if its measured size is within the bounds, else ``df``."""
-    rows, size = measured_size(df)
-    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
 def local_copy(df: DataFrame, max_rows: int = MAX_COMPANY_ROWS) -> DataFrame | None:

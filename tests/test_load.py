@@ -42,6 +42,22 @@ def test_upsert_updates_inserts_and_keeps(frame, rows):
     assert rows(out) == [(1, "b", "A"), (2, "x", "A"), (3, "z", "A")]
 
 
+@pytest.mark.parametrize("measured", [False, True])
+def test_upsert_is_a_merge(frame, rows, measured):
+    """Every matching target row is updated, repeated ones too; NULL keys match nothing."""
+    random.seed(21)
+    target = [(random.randint(0, 40), f"old{i}", random.choice("AB")) for i in range(200)]
+    target += [(None, "null", "A")]
+    keys = random.sample([(n, e) for n in range(60) for e in "AB"], 50)
+    batch = [(n, f"new{n}", e) for n, e in keys]
+    fresh = {(n, e): v for n, v, e in batch}
+    known = {(n, e) for n, _, e in target}
+    expected = [(n, fresh.get((n, e), v), e) for n, v, e in target]
+    expected += [(n, v, e) for n, v, e in batch if (n, e) not in known]
+    out = load.upsert(frame(target), frame(batch), KEYS, measured)
+    assert rows(out) == sorted(expected, key=repr)
+
+
 def test_upsert_refuses_repeated_keys(frame):
     batch = frame([(1, "b", "A"), (1, "c", "A")])
     with pytest.raises(PySparkException, match="repeats key"):

@@ -48,8 +48,7 @@ def test_measured_sides(spark):
         assert "ResolvedHint" not in kept._jdf.queryExecution().analyzed().toString()
     assert local_copy(small, 1) is None
     assert sorted(map(str, local_copy(small, 2).collect())) == ["Row(k='ab')", "Row(k=None)"]
-    with pytest.raises(TypeError):
-        measured_size(small.select(F.array("k").alias("a")))
+    assert measured_size(small.select(F.array("k").alias("a")))[1] > 32
 
 
 @pytest.mark.parametrize("name", sorted(contract.queries()))
