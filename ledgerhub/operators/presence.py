@@ -7,12 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from ledgerhub.functions.text import quoted
-from ledgerhub.sizing import broadcast_within
+from ledgerhub.sizing import distinct_within
 
 
 def _keys_of(other: DataFrame, keys: Sequence[str], measured: bool) -> DataFrame:
-    wanted = other.select(*quoted(keys)).dropna().distinct()
-    return broadcast_within(wanted) if measured else wanted
+    wanted = other.select(*quoted(keys)).dropna()
+    return distinct_within(wanted) if measured else wanted.distinct()
 
 
 def absent(

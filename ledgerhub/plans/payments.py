@@ -11,10 +11,10 @@ from ledgerhub.fixed_values import PAY_MODE
 from ledgerhub.functions import money, rules
 from ledgerhub.functions.text import last_token
 from ledgerhub.functions.xml import element
-from ledgerhub.sizing import broadcast_within
+from ledgerhub.sizing import distinct_within
 
 LEAD_LENGTH = 2
-MAX_LEADS = 1000
+MAX_SHAPES = 5000
 MATCH_KEYS = ["company", "kind", "invoice_no"]
 
 PAYMENT_FIELDS = [
@@ -44,11 +44,24 @@ def unroutable(invoices: DataFrame) -> DataFrame:
     return invoices.where(F.col("company").isNull())
 
 
-def _known_starts(invoices: DataFrame) -> list[str] | None:
-    """Kind and first characters of the wanted numbers; None if there are many."""
-    start = F.concat_ws(" ", "kind", F.substring("invoice_no", 1, LEAD_LENGTH))
-    starts = invoices.select(start.alias("s")).distinct().limit(MAX_LEADS + 1).collect()
-    return None if len(starts) > MAX_LEADS else [row["s"] for row in starts]
+def _shapes(invoices: DataFrame) -> tuple[list[int], list[int], list[str] | None]:
+    """Lengths of digits-only and of other numbers, and how numbers start.
+
+    The starts are None if there are too many different ones to test for.
+    """
+    number = F.col("invoice_no")
+    shapes = invoices.where(F.length(number) > 0).select(
+        number.rlike(r"^\d+$").alias("numeric"),
+        F.length(number).alias("size"),
+        F.concat_ws(" ", "kind", F.substring(number, 1, LEAD_LENGTH)).alias("start"),
+    )
+    found = shapes.distinct().limit(MAX_SHAPES + 1).collect()
+    starts = sorted({row["start"] for row in found})
+    if len(found) > MAX_SHAPES:
+        found, starts = shapes.select("numeric", "size").distinct().collect(), None
+    numeric = sorted({row["size"] for row in found if row["numeric"]})
+    other = sorted({row["size"] for row in found if not row["numeric"]})
+    return numeric, other, starts
 
 
 def _carried(headers: DataFrame) -> list[str]:
@@ -87,16 +100,7 @@ def _candidates(headers: DataFrame, invoices: DataFrame) -> DataFrame | None:
     numbers need pieces of digit runs only, and places where no wanted number starts are
     dropped at once. The work grows with the headers, not with headers times invoices.
     """
-    digits_only = F.col("invoice_no").rlike(r"^\d+$")
-    shapes = (
-        invoices.where(F.length("invoice_no") > 0)
-        .select(digits_only.alias("numeric"), F.length("invoice_no").alias("size"))
-        .distinct()
-        .collect()
-    )
-    numeric = sorted(s["size"] for s in shapes if s["numeric"])
-    other = sorted(s["size"] for s in shapes if not s["numeric"])
-    starts = _known_starts(invoices)
+    numeric, other, starts = _shapes(invoices)
     text = F.col("postingDescription")
     found = []
     if numeric:
@@ -122,12 +126,13 @@ def first_headers(
         ).withColumn("header", F.struct(
             *[F.lit(None).cast(headers.schema[c].dataType).alias(c) for c in _carried(headers)]
         ))
-    wanted = broadcast_within(invoices.select(*MATCH_KEYS).dropna().distinct())
-    order = F.struct(*[F.col(f"header.{c}") for c in arrival], F.xxhash64("header"))
+    wanted = distinct_within(invoices.select(*MATCH_KEYS).dropna())
+    ordered = F.struct(*[F.col(f"header.{c}") for c in arrival], "header")
     return (
         candidates.join(wanted, MATCH_KEYS, "left_semi")
         .groupBy(*MATCH_KEYS)
-        .agg(F.min_by("header", order).alias("header"))
+        .agg(F.min(ordered).alias("first"))
+        .select(*MATCH_KEYS, "first.header")
     )
 
 

@@ -12,7 +12,8 @@ from ledgerhub.functions.text import or_blank
 from ledgerhub.functions.times import at_time, day_text, real_time
 from ledgerhub.functions.xml import element, prefixed, soap_message
 from ledgerhub.operators.presence import absent_from_large
-from ledgerhub.sizing import broadcast_within
+from ledgerhub.scratch import written_once
+from ledgerhub.sizing import distinct_within
 
 
 def recent_portcalls(
@@ -35,7 +36,7 @@ def recent_portcalls(
     created = history.where(
         (F.col("INFO") == fv.PORTCALL_EVENT) & (F.col("CHANGE_DATE") > since)
     ).select("PORTCALL_ID", "CHANGE_DATE", "CHANGE_TIME")
-    wanted = broadcast_within(created.select("PORTCALL_ID").dropna().distinct())
+    wanted = distinct_within(created.select("PORTCALL_ID").dropna())
     calls = created.join(
         portcall.withColumnRenamed("ID", "PORTCALL_ID").join(wanted, "PORTCALL_ID", "left_semi"),
         "PORTCALL_ID",
@@ -83,11 +84,14 @@ def unsent(
 ) -> DataFrame:
     """Port calls of the target agencies whose company holds no document for them yet.
 
-    ``documents`` has company and attribute06, the port call a document was made from.
+    ``documents`` has company and attribute06, the port call a document was made from. The
+    port calls are few and stored once, so that cutting down the documents to them does not
+    repeat their joins.
     """
     targeted = calls.where(F.col("Agency").isin(list(agencies))).withColumn(
         "company", rules.agency_company(F.col("Agency"))
     )
+    targeted = written_once(targeted, "portcalls")
     made = documents.select("company", F.col("attribute06").alias("PortCallNumber"))
     return absent_from_large(targeted, made, ["company", "PortCallNumber"])
 

@@ -52,6 +52,17 @@ def broadcast_within(
     return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
+def distinct_within(df: DataFrame) -> DataFrame:
+    """Distinct rows of ``df``, marked for broadcast if measured small.
+
+    The rows as they are bound the distinct ones from above and need no shuffle to
+    measure; only if they are too many are the distinct rows measured themselves.
+    """
+    distinct = df.distinct()
+    small = fits_broadcast(df) or fits_broadcast(distinct)
+    return F.broadcast(distinct) if small else distinct
+
+
 def local_copy(df: DataFrame, max_rows: int = MAX_COMPANY_ROWS) -> DataFrame | None:
     """``df`` as a literal relation if it has at most ``max_rows`` rows, else None.
 
