@@ -63,14 +63,16 @@ def distinct_within(df: DataFrame) -> DataFrame:
     return F.broadcast(distinct) if small else distinct
 
 
-def local_copy(df: DataFrame, max_rows: int = MAX_COMPANY_ROWS) -> DataFrame | None:
-    """``df`` as a literal relation if it has at most ``max_rows`` rows, else None.
+def local_copy(
+    df: DataFrame, max_rows: int = MAX_COMPANY_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+) -> DataFrame | None:
+    """``df`` as a literal relation if it is within both bounds, else None.
 
     Meant for aggregates with one row per company. The result carries its exact size,
     so Spark broadcasts it unhinted and the aggregate runs once.
     """
     table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows > max_rows:
+    if table.num_rows > max_rows or table.nbytes > max_bytes:
         return None
     return df.sparkSession.createDataFrame(table, schema=df.schema)
 

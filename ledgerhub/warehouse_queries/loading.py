@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from ledgerhub.functions.text import no_trailing_blanks
-from ledgerhub.operators import binding, load
+from ledgerhub.operators import binding, changes, load
+from ledgerhub.operators.counts import rows_per_company
+from ledgerhub.operators.presence import absent, present
 from ledgerhub.operators.watermark import high_watermarks
 from ledgerhub.plans import catalog, count_check, extract
 from ledgerhub.scratch import run_folder
@@ -248,6 +250,116 @@ def extract_changed_lines(spark, folder):
     return after.select("id", "Entity", "type", "amount", "quantity", "modified")
 
 
+@query("extract_invoice_headers", f"""
+WITH {ENTRIES_SQL},
+d AS (SELECT l_orderkey AS no, "Entity", l_extendedprice AS amount, l_returnflag AS "userID",
+        strftime(l_shipdate, '%Y-%m-%d') AS day FROM e),
+t AS (SELECT * REPLACE ('old' AS "userID") FROM d WHERE day < '2000-06-01'),
+b AS (SELECT * FROM d WHERE day > '2000-05-01')
+SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.no = t.no AND b."Entity" = t."Entity")
+UNION ALL SELECT * FROM b
+""")
+def extract_invoice_headers(spark, folder):
+    """Headers changed since the day before replace stored ones; repeats are all kept."""
+    landed = entries(spark, folder).select(
+        F.col("l_orderkey").alias("no"), "Entity", F.col("l_extendedprice").alias("amount"),
+        F.col("l_returnflag").alias("userID"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("day"),
+        F.col("l_shipdate").alias("systemModifiedAt"),
+    )
+    target = landed.where(F.col("systemModifiedAt") < moment("2000-06-01")).withColumn(
+        "userID", F.lit("old")
+    )
+    entry = catalog.dataset("BC_PurchaseInvoiceHeader")
+    return extract.loaded(entry, target, landed, "2000-05-02").drop("systemModifiedAt")
+
+
+@query("extract_attachments", f"""
+WITH {DOCUMENTS_SQL}
+SELECT "entryNo", "Entity", 122 AS "Table_ID" FROM o WHERE priority = '1-URGENT'
+""")
+def extract_attachments(spark, folder):
+    """Full refresh of the attachments of one table."""
+    landed = documents(spark, folder).select(
+        "entryNo", "Entity", F.when(F.col("priority") == "1-URGENT", 122).otherwise(36).alias("Table_ID")
+    )
+    return extract.loaded(catalog.dataset("BC_wmsRecordLink2"), None, landed, "2001-01-01")
+
+
+@query("extract_budget", r"""
+SELECT event_id AS "Entry_No",
+  strftime(TRY_CAST('2024-02-' || lpad(regexp_extract(props, '(\d+)', 1), 2, '0') AS DATE), '%Y-%m-%d') AS "Date",
+  CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS "Amount", CAST(NULL AS VARCHAR) AS "Description",
+  CAST(user_id AS VARCHAR) AS "Entity"
+FROM events
+""")
+def extract_budget(spark, folder):
+    """Staged refresh bound by name: a date that does not parse is NULL, so is a missing field."""
+    landed = read(spark, folder, "events").select(
+        F.col("event_id").cast("string").alias("Entry_No"),
+        F.concat(F.lit("2024-02-"), F.regexp_extract("props", r"(\d+)", 1)).alias("[Date]"),
+        F.col("value").cast("string").alias("Amount"), F.col("user_id").alias("Entity"),
+    )
+    schema = (
+        T.StructType().add("Entry_No", "long").add("Date", "date").add("Amount", T.DecimalType(18, 2))
+        .add("Description", "string").add("Entity", "string")
+    )
+    stored = extract.loaded(
+        catalog.dataset("BC_GLbudget"), None, binding.bind(landed, schema), "2024-01-01"
+    )
+    return stored.withColumns(
+        {"Date": F.date_format("Date", "yyyy-MM-dd"), "Amount": F.col("Amount").cast("double")}
+    )
+
+
+@query("changed_documents", f"""
+WITH {DOCUMENTS_SQL}
+SELECT 'since the day before' AS rule, "entryNo", order_date FROM o WHERE order_date > '2001-05-01'
+UNION ALL
+SELECT 'after a fixed day', "entryNo", order_date FROM o WHERE order_date > '2000-12-31' AND "Entity" = 'NATION_4'
+UNION ALL
+SELECT 'created on the day', "entryNo", order_date FROM o WHERE order_date = '2001-05-02'
+""")
+def changed_documents(spark, folder):
+    """Row filters of the incremental loads and of the one-company snapshots."""
+    rows = documents(spark, folder).withColumn("at", F.col("order_date").cast("date"))
+    since = changes.modified_since(rows, "at", "2001-05-02")
+    after = changes.modified_after(rows.where("Entity = 'NATION_4'"), "at", "2000-12-31")
+    on_day = rows.where(changes.created_on(F.col("at"), "2001-05-02"))
+    parts = [("since the day before", since), ("after a fixed day", after), ("created on the day", on_day)]
+    return load.fan_out(
+        [part.select(F.lit(rule).alias("rule"), "entryNo", "order_date") for rule, part in parts]
+    )
+
+
+@query("existing_keys", """
+SELECT o_orderkey AS no, EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R') AS stored
+FROM orders
+""")
+def existing_keys(spark, folder):
+    """Every document is probed once: stored already, or not."""
+    orders = read(spark, folder, "orders").select(F.col("o_orderkey").alias("no"))
+    stored = read(spark, folder, "lineitem").where("l_returnflag = 'R'").select(
+        F.col("l_orderkey").alias("no")
+    )
+    return present(orders, stored, ["no"]).withColumn("stored", F.lit(True)).unionByName(
+        absent(orders, stored, ["no"]).withColumn("stored", F.lit(False))
+    )
+
+
+@query("company_counts", f"""
+WITH {DOCUMENTS_SQL}
+SELECT a."Entity", a.rows, b.urgent FROM
+  (SELECT "Entity", count(*) AS rows FROM o GROUP BY "Entity") a
+  JOIN (SELECT "Entity", count(*) FILTER (WHERE priority = '1-URGENT') AS urgent FROM o GROUP BY "Entity") b
+  ON a."Entity" = b."Entity"
+""")
+def company_counts(spark, folder):
+    rows = documents(spark, folder)
+    every = rows_per_company(rows)
+    urgent = rows_per_company(rows, condition=F.col("priority") == "1-URGENT", name="urgent")
+    return every.join(urgent, "Entity")
+
+
 @query("extract_record_links", f"""
 WITH {DOCUMENTS_SQL},
 d AS (SELECT "entryNo" AS id, "Entity", CASE priority WHEN '1-URGENT' THEN 122 WHEN '2-HIGH' THEN 0
