@@ -10,9 +10,7 @@ from ledgerhub.fixed_values import FIRST_REAL_DATE
 def at_time(day: Column, time_of_day: Column) -> Column:
     """Date plus time of day; a missing time is midnight."""
     clock = F.coalesce(time_of_day, F.lit("00:00:00"))
-    return F.try_to_timestamp(
-        F.concat_ws(" ", F.date_format(day, "yyyy-MM-dd"), clock), F.lit("yyyy-MM-dd HH:mm:ss")
-    )
+    return F.try_to_timestamp(F.concat_ws(" ", F.date_format(day, "yyyy-MM-dd"), clock))
 
 
 def real_time(day: Column, time_of_day: Column) -> Column:

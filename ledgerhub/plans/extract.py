@@ -82,7 +82,7 @@ def _apply(entry: Dataset, batch: DataFrame, table: str) -> None:
     elif entry.load == catalog.APPEND:
         tables.append(_stored(entry, batch), table)
     else:
-        tables.change_companies(batch, table, _change(entry))
+        tables.change_companies(batch, table, entry.keys, _change(entry))
 
 
 def logged_run(

@@ -7,7 +7,6 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerhub.functions.times import whole_minutes
-from ledgerhub.operators.counts import rows_per_company
 
 RUN_LOG_DDL = (
     "Status STRING, Categorie STRING, Name STRING, StartDateTime TIMESTAMP, "
@@ -55,10 +54,11 @@ def log_rows(runs: DataFrame, category: str, name: str) -> DataFrame:
 
 def load_check(batch: DataFrame, read_back: DataFrame, entity: str = "Entity") -> DataFrame:
     """Per company: rows pulled against rows found in the table after the load."""
-    pulled = rows_per_company(batch, entity, name="pulled").withColumn("inserted", F.lit(0))
-    found = rows_per_company(read_back, entity, name="inserted").withColumn("pulled", F.lit(0))
-    both = pulled.unionByName(found).groupBy(entity).agg(
-        F.sum("pulled").alias("pulled"), F.sum("inserted").alias("inserted")
+    rows = batch.select(entity, F.lit(True).alias("is_pulled")).unionByName(
+        read_back.select(entity, F.lit(False).alias("is_pulled"))
+    )
+    both = rows.groupBy(entity).agg(
+        F.count_if("is_pulled").alias("pulled"), F.count_if(~F.col("is_pulled")).alias("inserted")
     )
     status = F.when(F.col("pulled") == F.col("inserted"), "Success").otherwise("Error")
     return both.select(entity, "pulled", "inserted", status.alias("status"))

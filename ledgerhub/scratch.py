@@ -4,8 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="ledgerhub-")
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -14,9 +20,7 @@ def shared_folder(spark: SparkSession) -> str:
     if folder:
         return folder.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="ledgerhub-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
+        return _local_folder()
     raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
@@ -25,7 +29,7 @@ def run_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/ledgerhub-{purpose}-{uuid.uuid4().hex}"
 
 
-def written_once(df, purpose: str):
+def written_once(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` stored in the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     folder = run_folder(spark, purpose)

@@ -14,9 +14,11 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerhub.functions.text import quoted
+from ledgerhub.operators.presence import present
 from ledgerhub.sizing import MAX_COMPANY_ROWS
 
 ENTITY = "Entity"
+NO_COMPANY = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _literal(text: str) -> str:
@@ -64,8 +66,8 @@ def companies_of(df: DataFrame, entity: str = ENTITY) -> list[str]:
 
 
 def _table_folder(spark: SparkSession, table: str) -> str:
-    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
-    return details.first()["data_type"].rstrip("/")
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[-1]["data_type"].rstrip("/")  # columns of that name come first
 
 
 def _in_table_order(df: DataFrame, table: str) -> DataFrame:
@@ -104,6 +106,8 @@ def replace_companies(
     ordered = _in_table_order(df, table)
     ordered.hint("rebalance", entity).write.partitionBy(entity).parquet(folder)
     written = _written_folders(spark, table, ordered.schema, folder, entity)
+    if NO_COMPANY in written:
+        raise ValueError(f"rows without {entity} cannot be stored")
     stored = _company_folders(spark, table)
 
     def place(name: str) -> tuple[str, str]:
@@ -130,16 +134,31 @@ def refresh(df: DataFrame, table: str, entity: str = ENTITY) -> None:
 def change_companies(
     batch: DataFrame,
     table: str,
+    keys: Sequence[str],
     change: Callable[[DataFrame, DataFrame], DataFrame],
     entity: str = ENTITY,
-) -> Sequence[str]:
-    """Apply ``change(target, batch)`` to the companies of the batch only."""
+) -> tuple[list[str], list[str]]:
+    """Apply ``change(target, batch)``; gives the companies rewritten and appended to.
+
+    Only companies in which a key of the batch is stored already are rewritten. For the
+    others, often all in an incremental load, the change of nothing is appended and what
+    they hold is not read beyond its keys. ``keys`` include the company. Repeating the call
+    after a failure is harmless: rows that were appended are then found and replaced.
+    """
     spark = batch.sparkSession
     names = companies_of(batch, entity)
-    if names:
-        touched = spark.table(table).where(F.col(entity).isin(names))
-        replace_companies(change(touched, batch), table, entity)
-    return names
+    company = F.col(entity)
+    stored = spark.table(table).where(company.isin(names))
+    found = present(stored.select(*quoted(keys)), batch, keys, measured=True)
+    hit = companies_of(found, entity) if names else []
+    fresh = [name for name in names if name not in hit]
+    if fresh:
+        nothing = spark.table(table).where(F.lit(False))
+        append(change(nothing, batch.where(company.isin(fresh))), table, entity)
+    if hit:
+        new = change(stored.where(company.isin(hit)), batch.where(company.isin(hit)))
+        replace_companies(new, table, entity)
+    return hit, fresh
 
 
 def append(df: DataFrame, table: str, entity: str = ENTITY) -> None:

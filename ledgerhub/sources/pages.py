@@ -45,9 +45,10 @@ def chain_status(pages: DataFrame) -> DataFrame:
     """Per company: is the page chain whole?
 
     Only the last page may lack a next link or be empty; pages count up from 0 or 1 without
-    gaps.
+    gaps. A page without a record list, such as a damaged one, never ends a chain.
     """
-    ends = F.col(f"`{NEXT_LINK}`").isNull() | (F.coalesce(F.size("value"), F.lit(0)) <= 0)
+    empty = F.size("value") == 0
+    ends = F.col("value").isNotNull() & (F.col(f"`{NEXT_LINK}`").isNull() | empty)
     per_page = pages.select("Entity", "page_no", ends.alias("ends"))
     facts = per_page.groupBy("Entity").agg(
         F.count(F.lit(1)).alias("pages"),

@@ -23,13 +23,14 @@ def upsert_stream(
     """Merge every new landed file into ``table``, then stop.
 
     Merging the same batch twice changes nothing, so a batch repeated after a failure is
-    harmless. Only companies that occur in the batch are rewritten.
+    harmless. Only companies in which the batch changes stored rows are rewritten.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             tables.change_companies(
-                kept, table, lambda target, rows: upsert(target, rows, keys, measured=True)
+                kept, table, keys,
+                lambda target, rows: upsert(target, rows, keys, measured=True),
             )
         finally:
             kept.unpersist()

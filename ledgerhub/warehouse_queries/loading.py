@@ -430,7 +430,7 @@ def stored_company_table(spark, folder):
     tables.refresh(rows.where("order_date < '2000-01-01' and region <> 'ASIA'").select(*shape), name)
     batch = rows.where("order_date >= '1999-07-01' and region = 'EUROPE'").select(*shape)
     tables.change_companies(
-        batch.withColumn("status", F.lit("X")), name,
+        batch.withColumn("status", F.lit("X")), name, ["entryNo", "Entity"],
         lambda target, new: load.upsert(target, new, ["entryNo", "Entity"], measured=True),
     )
     entry = catalog.Dataset("documents", "orders", catalog.APPEND, entry_no="entryNo")

@@ -1,12 +1,13 @@
 """Readers and binding."""
 
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import types as T
 
 from ledgerhub.operators import binding, changes
-from ledgerhub.scratch import run_folder
+from ledgerhub.scratch import run_folder, shared_folder
 from ledgerhub.sources import counts, pages, registry, reports
 
 RECORD = T.StructType().add("no", "string").add("name", "string")
@@ -34,10 +35,13 @@ def test_page_chains(spark, rows, tmp_path, one_per_line):
     put("D", 1, [{"no": "5"}], "next")
     put("D", 2, [], "never followed")
     put("E", 2, [{"no": "6"}], None)
+    put("F", 1, [{"no": "4"}], "next")
+    put("F", 2, [{"no": "4"}], None)
+    (tmp_path / "Entity=F" / "page-0002.json").write_text('{"value": [{"no": "4"')
     landed = pages.read_pages(spark, str(tmp_path), RECORD, one_per_line)
     status = pages.chain_status(landed)
     assert rows(status.where("complete"), "Entity") == [("A",), ("D",)]
-    assert rows(pages.incomplete_companies(status)) == [("B", 1), ("C", 2), ("E", 1)]
+    assert rows(pages.incomplete_companies(status)) == [("B", 1), ("C", 2), ("E", 1), ("F", 2)]
     kept = pages.records(pages.complete_pages(landed, status))
     assert rows(kept) == [
         ("A", 1, 0, "1", "x"), ("A", 1, 1, "2", None), ("A", 2, 0, "3", None), ("D", 1, 0, "5", None),
@@ -121,6 +125,16 @@ def test_change_filters(spark, rows):
     assert rows(frame.where(changes.created_on(frame["at"], "2024-05-01")), "id") == [(1,), (2,)]
 
 
+def test_shared_folder_without_setting():
+    class Session:
+        def __init__(self, master):
+            self.conf, self.sparkContext = {}, SimpleNamespace(master=master)
+
+    assert shared_folder(Session("local[2]")) == shared_folder(Session("local[2]"))
+    with pytest.raises(RuntimeError):
+        shared_folder(Session("yarn"))
+
+
 def test_run_folder_is_below_the_shared_folder(spark):
     first, second = run_folder(spark, "x"), run_folder(spark, "x")
     assert first != second

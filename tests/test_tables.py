@@ -12,6 +12,7 @@ from ledgerhub.streaming.inbox import inbox_stream
 from ledgerhub.streaming.upserts import upsert_stream
 
 DDL = "id INT, v STRING, Entity STRING"
+KEYS = ["id", "Entity"]
 
 
 @pytest.fixture
@@ -30,10 +31,12 @@ def test_company_table(spark, rows, table):
     name = table(first)
     tables.refresh(first, name)
     assert rows(spark.table(name)) == rows(first)
-    batch = spark.createDataFrame([(2, "new", odd), (9, "add", "D")], DDL)
-    touched = tables.change_companies(batch, name, lambda t, b: upsert(t, b, ["id", "Entity"]))
-    assert touched == sorted([odd, "D"])
-    assert rows(spark.table(name)) == [(1, "a", "A b"), (2, "new", odd), (3, "c", "C"), (9, "add", "D")]
+    batch = spark.createDataFrame([(2, "new", odd), (9, "add", "D"), (4, "more", "C")], DDL)
+    touched = tables.change_companies(batch, name, KEYS, lambda t, b: upsert(t, b, KEYS))
+    assert touched == ([odd], ["C", "D"])
+    assert rows(spark.table(name)) == [
+        (1, "a", "A b"), (2, "new", odd), (3, "c", "C"), (4, "more", "C"), (9, "add", "D"),
+    ]
     tables.append(spark.createDataFrame([(7, "x", odd)], DDL), name)
     assert rows(spark.table(name).where("id in (2, 7)")) == [(2, "new", odd), (7, "x", odd)]
     tables.refresh(first.where("id = 1"), name)
@@ -46,7 +49,7 @@ def test_failed_change_leaves_the_table_alone(spark, rows, table):
     tables.refresh(first, name)
     twice = spark.createDataFrame([(1, "b", "A"), (1, "c", "A")], DDL)
     with pytest.raises(Exception, match="repeats key"):
-        tables.change_companies(twice, name, lambda t, b: upsert(t, b, ["id", "Entity"]))
+        tables.change_companies(twice, name, KEYS, lambda t, b: upsert(t, b, KEYS))
     spark.catalog.refreshTable(name)
     assert rows(spark.table(name)) == [(1, "a", "A")]
 
@@ -54,7 +57,34 @@ def test_failed_change_leaves_the_table_alone(spark, rows, table):
 def test_rows_without_company_are_refused(spark, table):
     frame = spark.createDataFrame([(1, "a", None)], DDL)
     with pytest.raises(ValueError):
-        tables.change_companies(frame, table(frame), lambda t, b: b)
+        tables.change_companies(frame, table(frame), KEYS, lambda t, b: b)
+    with pytest.raises(ValueError):
+        tables.refresh(frame, table(frame))
+
+
+def test_plain_table_swap(spark, rows):
+    frame = spark.createDataFrame([(1, "x")], "id INT, Location STRING")
+    name = f"t_{uuid.uuid4().hex}"
+    tables.create_plain(spark, name, frame.schema, run_folder(spark, "test"))
+    assert spark.table(name).count() == 0
+    for version in (frame, frame.selectExpr("id + 1 AS id", "Location")):
+        tables.swap(version, name)
+        assert rows(spark.table(name)) == rows(version)
+
+
+def test_logged_run(spark, rows, table):
+    frame = spark.createDataFrame([landed_row(1, "a", 0), landed_row(2, "b", 1)], LANDED)
+    name, log = table(frame.drop("page_no", "pos")), run_folder(spark, "log")
+    entry = catalog.dataset("BC_CustomerLedgerEntries")
+    extract.logged_run(entry, frame, name, "2024-05-02", log)
+    extract.logged_run(entry, frame, name, "2024-05-02", log)
+    with pytest.raises(Exception, match="nosuch"):
+        extract.logged_run(entry, frame, "nosuch", "2024-05-02", log)
+    logged = rows(spark.read.parquet(log), "Name", "Status", "RecordsInserted")
+    assert logged == sorted([
+        ("BC_CustomerLedgerEntries", "Success", 2), ("BC_CustomerLedgerEntries", "Success", 0),
+        ("BC_CustomerLedgerEntries", "Error", None),
+    ], key=repr)
 
 
 def test_catalog_is_whole():
