@@ -57,9 +57,9 @@ DATASETS = [
     Dataset("BC_bank_customer", "bank_klant"),
     Dataset("BC_bank_vendor", "bank_leverancier"),
     Dataset("BC_Customers", "customers"),
-    Dataset("BC_Customers_boltrics", "customers", STAGED_REFRESH, skipped=("@odata.etag",)),
+    Dataset("BC_Customers_wide", "customers", STAGED_REFRESH, skipped=("@odata.etag",)),
     Dataset("BC_Vendors", "vendors"),
-    Dataset("BC_Vendors_boltrics", "vendors", STAGED_REFRESH, skipped=("@odata.etag",)),
+    Dataset("BC_Vendors_wide", "vendors", STAGED_REFRESH, skipped=("@odata.etag",)),
     _append("BC_CustomerLedgerEntries", "customerLedgerEntries", "entryNo"),
     _append("BC_DetCustomerLedger", "GedetKlantPosten", "Entry_No"),
     _append("BC_DetVendorLedger", "GedetLeveranciersPosten", "Entry_No"),

@@ -15,7 +15,8 @@ from ledgerhub.sizing import distinct_within
 
 LEAD_LENGTH = 2
 MAX_SHAPES = 5000
-MATCH_KEYS = ["company", "kind", "invoice_no"]
+# The number first: grouping sorts by the first bytes of the first key.
+MATCH_KEYS = ["invoice_no", "company", "kind"]
 
 PAYMENT_FIELDS = [
     "invoiceTransNo", "entryDate", "actDate", "externalRefId", "payMode", "currencyAmount",

@@ -210,7 +210,7 @@ def staged_refresh(spark, folder):
         F.md5("c_name").alias("[@odata.etag]"), F.col("c_custkey").alias("no"),
         F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"), "Entity",
     )
-    entry = catalog.dataset("BC_Customers_boltrics")
+    entry = catalog.dataset("BC_Customers_wide")
     return extract.loaded(entry, None, landed, "2001-01-01")
 
 

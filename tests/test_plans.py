@@ -250,6 +250,7 @@ def test_portcalls(spark, frame, rows):
         ("P1", "A&B", "", None, datetime(2024, 5, 20), "Last", "NLRTM", None),
         ("P4", "A&B", "", None, datetime(2024, 5, 20), None, None, None),
     ]
+    assert [r["PortCallNumber"] for r in portcalls.newest_first(calls).collect()] == ["P4", "P1"]
     documents = frame([("Maripro Belgium", "P1"), ("Maripro Belgium", "P4")], "company STRING, attribute06 STRING")
     new = portcalls.unsent(calls, documents)
     assert rows(new, "PortCallNumber", "company") == [("P1", "Maripro")]

@@ -43,6 +43,23 @@ def test_company_table(spark, rows, table):
     assert rows(spark.table(name)) == [(1, "a", "A b")]
 
 
+def test_a_company_with_most_rows_becomes_many_files(spark, table):
+    rows_in = spark.range(0, 200_000, 1, 8).selectExpr(
+        "CAST(id AS INT) AS id", "md5(CAST(id AS STRING)) AS v", "IF(id % 10 < 7, 'hot', concat('c', id % 10)) AS Entity"
+    )
+    name = table(rows_in)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+    try:
+        tables.refresh(rows_in, name)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    stored = spark.table(name)
+    files_of = stored.selectExpr("Entity", "_metadata.file_path AS f").distinct().groupBy("Entity").count()
+    files = {r["Entity"]: r["count"] for r in files_of.collect()}
+    assert stored.count() == 200_000
+    assert files["hot"] > 2 and max(n for c, n in files.items() if c != "hot") <= 2
+
+
 def test_failed_change_leaves_the_table_alone(spark, rows, table):
     first = spark.createDataFrame([(1, "a", "A")], DDL)
     name = table(first)
