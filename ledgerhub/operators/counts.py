@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
 def rows_per_company(
-    df: DataFrame, entity: str = "Entity", condition: Column | None = None, name: str = "rows"
+    df: DataFrame,
+    entity: str = "Entity",
+    name: str = "rows",
+    conditions: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Rows per company, optionally only those meeting the condition."""
-    counted = F.count(F.lit(1)) if condition is None else F.count_if(condition)
-    return df.groupBy(entity).agg(counted.alias(name))
+    """Rows per company, and how many of them meet each named condition, in one pass."""
+    met = [F.count_if(condition).alias(n) for n, condition in (conditions or {}).items()]
+    return df.groupBy(entity).agg(F.count(F.lit(1)).alias(name), *met)
 
 
 def compared_counts(

@@ -55,14 +55,14 @@ def swap(df: DataFrame, table: str) -> None:
     spark.catalog.refreshTable(table)
 
 
-def companies_of(df: DataFrame, entity: str = ENTITY) -> list[str]:
-    """The companies that occur in a batch."""
-    rows = df.select(entity).distinct().limit(MAX_COMPANY_ROWS + 1).collect()
-    if len(rows) > MAX_COMPANY_ROWS:
-        raise ValueError(f"more than {MAX_COMPANY_ROWS} companies in one batch")
+def companies_of(
+    df: DataFrame, entity: str = ENTITY, most: int = MAX_COMPANY_ROWS
+) -> list[str] | None:
+    """The companies that occur in a batch; None if they are too many to list."""
+    rows = df.select(entity).distinct().limit(most + 1).collect()
     if any(row[0] is None for row in rows):
         raise ValueError(f"rows without {entity} cannot be stored")
-    return sorted(row[0] for row in rows)
+    return sorted(row[0] for row in rows) if len(rows) <= most else None
 
 
 def _table_folder(spark: SparkSession, table: str) -> str:
@@ -137,20 +137,25 @@ def change_companies(
     keys: Sequence[str],
     change: Callable[[DataFrame, DataFrame], DataFrame],
     entity: str = ENTITY,
-) -> tuple[list[str], list[str]]:
+    most: int = MAX_COMPANY_ROWS,
+) -> tuple[list[str], list[str]] | None:
     """Apply ``change(target, batch)``; gives the companies rewritten and appended to.
 
     Only companies in which a key of the batch is stored already are rewritten. For the
     others, often all in an incremental load, the change of nothing is appended and what
     they hold is not read beyond its keys. ``keys`` include the company. Repeating the call
-    after a failure is harmless: rows that were appended are then found and replaced.
+    after a failure is harmless: rows that were appended are then found and replaced. A
+    batch with more companies than can be listed rewrites the whole table instead.
     """
     spark = batch.sparkSession
-    names = companies_of(batch, entity)
+    names = companies_of(batch, entity, most)
+    if names is None:
+        replace_companies(change(spark.table(table), batch), table, entity)
+        return None
     company = F.col(entity)
     stored = spark.table(table).where(company.isin(names))
     found = present(stored.select(*quoted(keys)), batch, keys, measured=True)
-    hit = companies_of(found, entity) if names else []
+    hit = companies_of(found, entity, most) if names else []
     fresh = [name for name in names if name not in hit]
     if fresh:
         nothing = spark.table(table).where(F.lit(False))

@@ -354,10 +354,8 @@ SELECT a."Entity", a.rows, b.urgent FROM
   ON a."Entity" = b."Entity"
 """)
 def company_counts(spark, folder):
-    rows = documents(spark, folder)
-    every = rows_per_company(rows)
-    urgent = rows_per_company(rows, condition=F.col("priority") == "1-URGENT", name="urgent")
-    return every.join(urgent, "Entity")
+    urgent = F.col("priority") == "1-URGENT"
+    return rows_per_company(documents(spark, folder), conditions={"urgent": urgent})
 
 
 @query("extract_record_links", f"""

@@ -5,12 +5,12 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from check_queries import session  # noqa: E402
+from bench import session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
-    return session(4)
+    return session("4")
 
 
 @pytest.fixture

@@ -43,16 +43,30 @@ def test_company_table(spark, rows, table):
     assert rows(spark.table(name)) == [(1, "a", "A b")]
 
 
+def test_too_many_companies_to_list(spark, rows, table):
+    first = spark.createDataFrame([(i, "a", f"c{i % 5}") for i in range(10)], DDL)
+    batch = spark.createDataFrame([(i, "b", f"c{i % 5}") for i in range(7, 13)], DDL)
+    name = table(first)
+    tables.refresh(first, name)
+    change = lambda t, b: upsert(t, b, KEYS)
+    expected = rows(change(first, batch))
+    assert tables.change_companies(batch, name, KEYS, change, most=3) is None
+    assert rows(spark.table(name)) == expected
+
+
 def test_a_company_with_most_rows_becomes_many_files(spark, table):
     rows_in = spark.range(0, 200_000, 1, 8).selectExpr(
         "CAST(id AS INT) AS id", "md5(CAST(id AS STRING)) AS v", "IF(id % 10 < 7, 'hot', concat('c', id % 10)) AS Entity"
     )
     name = table(rows_in)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
     try:
         tables.refresh(rows_in, name)
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     stored = spark.table(name)
     files_of = stored.selectExpr("Entity", "_metadata.file_path AS f").distinct().groupBy("Entity").count()
     files = {r["Entity"]: r["count"] for r in files_of.collect()}
