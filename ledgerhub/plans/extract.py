@@ -13,6 +13,7 @@ from ledgerhub.operators.changes import modified_since, of_kinds
 from ledgerhub.operators.watermark import above_watermark
 from ledgerhub.plans import catalog, run_log
 from ledgerhub.plans.catalog import Dataset
+from ledgerhub.scratch import written_once
 from ledgerhub.sinks import files, tables
 from ledgerhub.sources import pages, reports
 
@@ -108,8 +109,14 @@ def logged_run(
     log("Success", records, f"Total rows inserted: {records}.")
 
 
-def landed_records(landing: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Records of companies whose page chain is whole, and the companies to reject."""
+def landed_records(landing: DataFrame, store: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Records of companies whose page chain is whole, and the companies to reject.
+
+    The pages are needed twice; ``store`` parses them once and keeps them as Parquet below
+    the shared folder in between.
+    """
+    if store:
+        landing = written_once(landing, "pages")
     status = pages.chain_status(landing)
     whole = pages.complete_pages(landing, status)
     return pages.records(whole), pages.incomplete_companies(status)

@@ -15,6 +15,7 @@ from ledgerhub.sizing import distinct_within
 
 LEAD_LENGTH = 2
 MAX_SHAPES = 5000
+MAX_WANTED = 4_000_000
 # The number first: grouping sorts by the first bytes of the first key.
 MATCH_KEYS = ["invoice_no", "company", "kind"]
 
@@ -118,7 +119,9 @@ def first_headers(
     """Per (company, kind, invoice number) the first header mentioning the number.
 
     Headers are cut down to the wanted numbers and to one per number in the map tasks
-    before anything is shuffled, so a number that occurs everywhere stays cheap.
+    before anything is shuffled, so a number that occurs everywhere stays cheap. The cut
+    compares 64-bit hashes, which keeps the broadcast small; a number let through by a
+    collision finds no invoice to join.
     """
     candidates = _candidates(headers, invoices)
     if candidates is None:
@@ -127,10 +130,14 @@ def first_headers(
         ).withColumn("header", F.struct(
             *[F.lit(None).cast(headers.schema[c].dataType).alias(c) for c in _carried(headers)]
         ))
-    wanted = distinct_within(invoices.select(*MATCH_KEYS).dropna())
+    hashed = F.xxhash64(*MATCH_KEYS).alias("_key")
+    wanted = distinct_within(
+        invoices.select(*MATCH_KEYS).dropna().select(hashed), max_rows=MAX_WANTED
+    )
     ordered = F.struct(*[F.col(f"header.{c}") for c in arrival], "header")
     return (
-        candidates.join(wanted, MATCH_KEYS, "left_semi")
+        candidates.withColumn("_key", F.xxhash64(*MATCH_KEYS))
+        .join(wanted, "_key", "left_semi")
         .groupBy(*MATCH_KEYS)
         .agg(F.min(ordered).alias("first"))
         .select(*MATCH_KEYS, "first.header")

@@ -52,14 +52,19 @@ def broadcast_within(
     return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
-def distinct_within(df: DataFrame) -> DataFrame:
+def distinct_within(
+    df: DataFrame,
+    max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
     """Distinct rows of ``df``, marked for broadcast if measured small.
 
     The rows as they are bound the distinct ones from above and need no shuffle to
     measure; only if they are too many are the distinct rows measured themselves.
     """
     distinct = df.distinct()
-    small = fits_broadcast(df) or fits_broadcast(distinct)
+    bounds = (max_rows, max_bytes)
+    small = fits_broadcast(df, *bounds) or fits_broadcast(distinct, *bounds)
     return F.broadcast(distinct) if small else distinct
 
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import types as T
 
 from ledgerhub.operators import binding, changes
+from ledgerhub.plans import extract
 from ledgerhub.scratch import run_folder, shared_folder
 from ledgerhub.sources import counts, pages, registry, reports
 
@@ -42,7 +43,8 @@ def test_page_chains(spark, rows, tmp_path, one_per_line):
     status = pages.chain_status(landed)
     assert rows(status.where("complete"), "Entity") == [("A",), ("D",)]
     assert rows(pages.incomplete_companies(status)) == [("B", 1), ("C", 2), ("E", 1), ("F", 2)]
-    kept = pages.records(pages.complete_pages(landed, status))
+    kept, rejected = extract.landed_records(landed, store=one_per_line)
+    assert rows(rejected) == rows(pages.incomplete_companies(status))
     assert rows(kept) == [
         ("A", 1, 0, "1", "x"), ("A", 1, 1, "2", None), ("A", 2, 0, "3", None), ("D", 1, 0, "5", None),
     ]
