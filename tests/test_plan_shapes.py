@@ -1,23 +1,16 @@
 """Physical plans: what must hold for large tables."""
 
-import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from ledgerhub.operators.alignment import aligned_amounts
 from ledgerhub.operators.latest import last_per_key
 from ledgerhub.operators.watermark import above_watermark
 from ledgerhub.sizing import broadcast_within, local_copy, measured_size
+from tests.plans_text import plan
 
 FOLDER = "/root/testdata/sf0.001"
 
 
-def plan(df):
-    return df._jdf.queryExecution().explainString(
-        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
-    )
-
-
 def test_one_exchange_for_all_sums(spark):
     part = lambda: spark.range(10).selectExpr("id AS account", "'A' AS Entity", "1.5bd AS amount")
     out = aligned_amounts(part(), {"a": part(), "b": part(), "c": part()})
@@ -49,12 +42,3 @@ def test_measured_sides(spark):
     assert local_copy(small, 1) is None
     assert sorted(map(str, local_copy(small, 2).collect())) == ["Row(k='ab')", "Row(k=None)"]
     assert measured_size(small.select(F.array("k").alias("a")))[1] > 32
-
-
-@pytest.mark.parametrize("name", sorted(contract.queries()))
-def test_no_query_compares_all_pairs(spark, name):
-    if name.startswith("stream_"):
-        pytest.skip("runs inside foreachBatch")
-    text = plan(contract.queries()[name](spark, FOLDER))
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    assert "PythonUDF" not in text and "ArrowEvalPython" not in text
