@@ -18,6 +18,7 @@ from ledgerhub.sinks import files, tables
 from ledgerhub.sources import pages, reports
 
 ARRIVAL = ("page_no", "pos")
+REFRESHES = (catalog.REFRESH, catalog.STAGED_REFRESH, catalog.REPORT)
 
 
 def selected(entry: Dataset, landed: DataFrame, run_date: str) -> DataFrame:
@@ -45,7 +46,7 @@ def loaded(
     """Table content after the run, without writing anything."""
     batch = selected(entry, landed, run_date)
     stored = _stored(entry, batch)
-    if target is None or entry.load in (catalog.REFRESH, catalog.STAGED_REFRESH, catalog.REPORT):
+    if target is None or entry.load in REFRESHES:
         return stored
     if entry.load == catalog.APPEND:
         return load.append_above(target, stored, entry.entry_no)
@@ -70,11 +71,17 @@ def pulled(entry: Dataset, landed: DataFrame, table: str, run_date: str) -> Data
 
 def run(entry: Dataset, landed: DataFrame, table: str, run_date: str) -> None:
     """Load into a stored table, touching as little of it as the pattern allows."""
-    _apply(entry, pulled(entry, landed, table, run_date), table)
+    _apply(entry, _batch(entry, landed, table, run_date), table)
+
+
+def _batch(entry: Dataset, landed: DataFrame, table: str, run_date: str) -> DataFrame:
+    """What a run applies; stored once if applying it takes more than one pass."""
+    rows = pulled(entry, landed, table, run_date)
+    return rows if entry.load in REFRESHES else written_once(rows, "batch")
 
 
 def _apply(entry: Dataset, batch: DataFrame, table: str) -> None:
-    if entry.load in (catalog.REFRESH, catalog.STAGED_REFRESH, catalog.REPORT):
+    if entry.load in REFRESHES:
         stored = _stored(entry, batch)
         if ENTITY in stored.columns:
             tables.refresh(stored, table)
@@ -100,9 +107,9 @@ def logged_run(
         files.append_rows(row, log_folder)
 
     try:
-        batch = pulled(entry, landed, table, run_date)
-        records = batch.count()
+        batch = _batch(entry, landed, table, run_date)
         _apply(entry, batch, table)
+        records = (spark.table(table) if entry.load in REFRESHES else batch).count()
     except Exception as error:
         log("Error", None, str(error).splitlines()[0])
         raise

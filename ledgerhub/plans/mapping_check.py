@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerhub.functions.text import no_trailing_blanks
 from ledgerhub.operators.presence import absent
+from ledgerhub.scratch import written_once
 
 
 def missing_accounts(
@@ -34,10 +34,13 @@ def missing_message(missing: DataFrame, per_message: int = 1000) -> DataFrame:
     """The missing numbers as message texts, with the total in every row.
 
     Up to ``per_message`` numbers make one message. More are dealt over messages by hash,
-    so that no task has to hold an unbounded list and no number is left out.
+    so that no task has to hold an unbounded list and no number is left out. The numbers are
+    stored once, as their total decides how they are dealt.
     """
-    total = missing.count()
-    digits = max(0, math.ceil(math.log(total / per_message, 16))) if total else 0
+    missing = written_once(missing, "missing")
+    total, digits = missing.count(), 0
+    while per_message * 16**digits < total:
+        digits += 1
     part = F.substr(F.md5(F.col("no")), F.lit(1), F.lit(digits))
     listed = missing.groupBy(part.alias("part")).agg(
         F.count(F.lit(1)).alias("listed"),
