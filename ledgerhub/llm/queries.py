@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerhub.llm import bpe
+from ledgerhub.llm import bpe, warc
 from ledgerhub.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,24 @@ def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return token_digests(
         read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json")
     )
+
+
+@query("op10_warc", """
+    WITH p AS (
+        SELECT page_id, coalesce(html, '') AS html,
+               CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes
+        FROM pages
+    ), g AS (
+        SELECT *, CASE WHEN payload_bytes >= 1000
+                       THEN max(page_id) OVER (PARTITION BY html) ELSE page_id END AS first_id
+        FROM p
+    )
+    SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
+           CASE WHEN first_id = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+    FROM g
+""")
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archived(spark, read(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
