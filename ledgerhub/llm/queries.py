@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerhub.llm import bpe, warc
+from ledgerhub.llm import bpe, chat, quality, warc
 from ledgerhub.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,123 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archived(spark, read(spark, folder, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query("op4_chat", r"""
+    WITH rows_ AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               role AS role_, text AS text_ FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]', 'user', '</s>[INST] ok [/INST]'
+        UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]', 'assistant', '</s>[INST] ok [/INST]'
+    ), escaped AS (
+        SELECT *, length(regexp_replace(replace(text, '\', '\\'),
+            '([<\[])(\||/?s>|/?INST\]|</?SYS>>|start_of_turn>|end_of_turn>)', '\1\\\2', 'g'))
+          + length(regexp_replace(replace(role, '\', '\\'),
+            '([<\[])(\||/?s>|/?INST\]|</?SYS>>|start_of_turn>|end_of_turn>)', '\1\\\2', 'g'))
+          + length('<|turn|><|text|><|end|>') + 1 AS written
+        FROM rows_
+    ), joined AS (
+        SELECT conv_id, count(*) AS n_turns, sum(written) AS formatted_chars,
+               string_agg(role || chr(10) || text || chr(10), ''
+                          ORDER BY turn NULLS FIRST, role_ NULLS FIRST, text_ NULLS FIRST) AS turns,
+               coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role_ NULLS FIRST, text_ NULLS FIRST)
+                        FILTER (WHERE role = 'assistant'), '') AS loss
+        FROM escaped GROUP BY conv_id
+    )
+    SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars,
+           sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
+    FROM joined
+""")
+def op4_chat(spark: SparkSession, folder: str) -> DataFrame:
+    control = "</s>[INST] ok [/INST]"
+    planted = spark.range(1).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.lit(control).alias("prompt"), F.lit(control).alias("response")
+    )
+    records = chat.by_conversation(read(spark, folder, "conversations")).unionByName(
+        planted, allowMissingColumns=True
+    )
+    back = chat.read_back(chat.formatted(chat.canonical(records)))
+    line = lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))
+    loss = F.array_join(F.transform(F.filter("read_turns", lambda x: x["loss"]), lambda x: x["text"]), "")
+    return back.select(
+        "conv_id", F.size("read_turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("read_turns", line), "").cast("binary"), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+QUALITY_SQL = r"""
+    WITH listed AS (
+        SELECT doc_id, lang, source, coalesce(text, '') AS t,
+               regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+               [x FOR x IN string_split(coalesce(text, ''), chr(10))
+                IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines_
+        FROM documents
+    ), places AS (
+        SELECT doc_id, i, words[i:i + 4] AS win
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM listed)
+    ), twice AS (
+        SELECT doc_id, i FROM (
+            SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS n FROM places) WHERE n > 1
+    ), covered AS (
+        SELECT doc_id, CAST(sum(least(5, coalesce(nxt - i, 5))) AS BIGINT) AS n_repeat_words
+        FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM twice)
+        GROUP BY doc_id
+    ), counted AS (
+        SELECT doc_id, lang, source, CAST(len(words) AS BIGINT) AS n_words,
+               CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+               CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+               CAST(len(lines_) - len(list_distinct(lines_)) AS BIGINT) AS n_dup_lines,
+               coalesce(n_repeat_words, 0) AS n_repeat_words,
+               CAST(len(lines_) AS BIGINT) AS n_lines
+        FROM listed LEFT JOIN covered USING (doc_id)
+    ), based AS (
+        SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted
+    ), ratios AS (
+        SELECT *, unnest(['symbols', 'dup_lines', 'word_length']) AS ratio,
+               unnest([n_symbols * 1000 // n_words, n_dup_lines * 1000 // n_lines,
+                       word_chars * 100 // n_words]) AS value,
+               unnest([100, 400, 500]) AS least_
+        FROM based WHERE NOT base_failed
+    ), binned AS (
+        SELECT *, (value >> greatest(length(bin(value)) - 10, 0))
+                  << greatest(length(bin(value)) - 10, 0) AS b FROM ratios
+    ), ranked AS (
+        SELECT 0 AS level, lang, source, ratio, least_, b FROM binned
+        UNION ALL SELECT 1, lang, NULL, ratio, least_, b FROM binned
+        UNION ALL SELECT 2, NULL, NULL, ratio, least_, b FROM binned
+    ), places_ AS (
+        SELECT *, row_number() OVER (PARTITION BY level, lang, source, ratio ORDER BY b) AS r,
+               count(*) OVER (PARTITION BY level, lang, source, ratio) AS n FROM ranked
+    ), medians AS (
+        SELECT level, lang, source, ratio, n, least_, min(b) FILTER (WHERE r * 100 >= n * 5) AS q5,
+               min(b) FILTER (WHERE r * 100 >= n * 50) AS q50
+        FROM places_ GROUP BY ALL
+    ), fences AS (
+        SELECT level, lang, source, ratio, n, q50 - greatest(least_, 4 * (q50 - q5)) AS low,
+               q50 + greatest(least_, 4 * (q50 - q5)) AS high FROM medians
+    ), verdicts AS (
+        SELECT x.doc_id, bool_and(x.value BETWEEN
+            CASE WHEN a.n >= 50 THEN a.low WHEN b.n >= 50 THEN b.low ELSE c.low END AND
+            CASE WHEN a.n >= 50 THEN a.high WHEN b.n >= 50 THEN b.high ELSE c.high END) AS kept
+        FROM ratios x
+        JOIN fences a ON a.level = 0 AND a.lang IS NOT DISTINCT FROM x.lang
+                     AND a.source IS NOT DISTINCT FROM x.source AND a.ratio = x.ratio
+        JOIN fences b ON b.level = 1 AND b.lang IS NOT DISTINCT FROM x.lang AND b.ratio = x.ratio
+        JOIN fences c ON c.level = 2 AND c.ratio = x.ratio
+        GROUP BY x.doc_id
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           coalesce(kept, false) AS kept
+    FROM based LEFT JOIN verdicts USING (doc_id)
+"""
+
+
+@query("op5_quality", QUALITY_SQL)
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.rules(read(spark, folder, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
