@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerhub.llm import bpe, chat, quality, warc
+from ledgerhub.llm import bpe, chat, langid, quality, warc
 from ledgerhub.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -182,3 +182,11 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept",
     )
+
+
+@query("op6_langid")
+def op6_langid(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    model = langid.fit(docs.where(~langid.held_out()))
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
