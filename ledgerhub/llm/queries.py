@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerhub.llm import bpe, chat, langid, quality, warc
+from ledgerhub.llm import bpe, chat, langid, lm, quality, warc
 from ledgerhub.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -190,3 +190,11 @@ def op6_langid(spark: SparkSession, folder: str) -> DataFrame:
     model = langid.fit(docs.where(~langid.held_out()))
     found = langid.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query("op9_lm")
+def op9_lm(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text", lm.held_out().alias("held_out"))
+    return lm.score(docs, ~F.col("held_out")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
