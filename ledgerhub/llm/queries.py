@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerhub.llm import bpe, chat, langid, lm, quality, warc
-from ledgerhub.llm.common import read
+from ledgerhub.llm import bpe, chat, langid, lm, mixing, quality, warc
+from ledgerhub.llm.common import WORD, read, written_once
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -198,3 +198,48 @@ def op9_lm(spark: SparkSession, folder: str) -> DataFrame:
     return lm.score(docs, ~F.col("held_out")).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+#: The mix of the given tables: sources in four domains by number, and weights by name.
+DOMAIN_SQL = """CASE WHEN source IN ('src0', 'src1', 'src2', 'src3', 'src4') THEN 'web'
+    WHEN source IN ('src5', 'src6', 'src7', 'src8', 'src9') THEN 'books'
+    WHEN source IN ('src10', 'src11', 'src12', 'src13', 'src14') THEN 'news' ELSE 'forum' END"""
+MIX_WEIGHTS: mixing.Weights = {
+    ("web",): 3, ("books",): 4, ("news",): 2, ("forum",): 1,
+    ("*", "en"): 4, ("*", "de"): 3, ("*", "fr"): 2, ("*", "es"): 2,
+    ("web", "en"): 2, ("*", "*", "src0"): 2, ("*", "*", "src7"): 3,
+}
+MIX_SEED = 17
+
+
+@query("op1_mixing", f"""
+    WITH d AS (
+        SELECT doc_id, lang AS lang_, source AS source_, {DOMAIN_SQL} AS domain, coalesce(lang, '') AS lang,
+               coalesce(source, '') AS source,
+               len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n_tokens
+        FROM documents
+    ), leaves AS (
+        SELECT domain, lang, source, sum(n_tokens) AS have FROM d GROUP BY ALL
+    ), {mixing.shares_sql(MIX_WEIGHTS, 75, 2)},
+    shares AS (
+        SELECT domain, lang, source, budget // have AS epochs, budget % have AS rest
+        FROM b3 JOIN leaves USING (domain, lang, source) WHERE budget > 0
+    ), k AS (
+        SELECT *, md5('{MIX_SEED}|' || CAST(epochs AS VARCHAR) || '|'
+                      || coalesce(CAST(doc_id AS VARCHAR), '')) AS k
+        FROM d JOIN shares USING (domain, lang, source)
+    ), u AS (
+        SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY k) AS until FROM k
+    )
+    SELECT doc_id, domain, lang_ AS lang, source_ AS source, CAST(n_tokens AS BIGINT) AS n_tokens,
+           CAST(unnest(range(0, CAST(epochs + CASE WHEN rest > 0 AND until <= rest THEN 1 ELSE 0 END AS BIGINT)))
+                AS INTEGER) AS epoch
+    FROM u
+""")
+def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select(
+        "doc_id", F.expr(DOMAIN_SQL).alias("domain"), "lang", "source",
+        F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("n_tokens"),
+    )
+    docs = written_once(docs, "mix-documents")
+    return mixing.mix(docs, F.col("domain"), MIX_WEIGHTS, seed=MIX_SEED, tokens=F.col("n_tokens"))
