@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerhub.scratch import run_folder, shared_folder, written_once
 
 __all__ = [
-    "WORD", "fold_of", "is_small", "read", "run_folder", "shared_folder", "slices", "with_new",
-    "written_once",
+    "WORD", "fold_of", "numbers", "planes", "read", "run_folder", "shard_of", "shared_folder",
+    "slices", "tokenized", "with_new", "word_hashes", "written_once",
 ]
 
 #: A word: a run of characters other than space and \t \n \v \f \r.
@@ -48,6 +52,39 @@ def slices(texts: pa.Array, max_chars: int) -> Iterator[list[str]]:
         yield group
 
 
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no more than one row beyond."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def tokenized(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of the texts, A-Z in lower case, one after the other, and how many each text has."""
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words = split.flatten()
+    some = pc.not_equal(words, "")
+    offsets = split.offsets.to_numpy()
+    found = np.concatenate([[0], np.cumsum(some.to_numpy(zero_copy_only=False))])
+    return words.filter(some), np.diff(found[offsets - offsets[0]])
+
+
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """64-bit hash of each word, the same in every task; distinct words are hashed once."""
+    coded = words.dictionary_encode()
+    distinct = np.array(coded.dictionary.to_pylist(), object)
+    if not len(distinct):
+        return np.empty(0, np.uint64)
+    return pd.util.hash_array(distinct, categorize=False)[coded.indices.to_numpy()]
+
+
+def planes(values: np.ndarray) -> bytes:
+    """Numbers byte by byte of equal place, compressed: small numbers take few bytes."""
+    return zstandard.compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes(), 1)
+
+
+def numbers(data: bytes, kind: type, count: int) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    raw = np.frombuffer(zstandard.decompress(data, max_output_size=count * width), np.uint8)
+    return np.ascontiguousarray(raw.reshape(width, count).T).view(kind).ravel()
+
+
+def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
+    """Shards are ranges of the hash, so the keys of a shard lie together in sorted keys."""
+    return (((keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)

@@ -19,13 +19,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
-import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerhub.llm.common import fold_of, written_once
+from ledgerhub.llm.common import (
+    fold_of, numbers, planes, shard_of, tokenized, word_hashes, written_once,
+)
 
 ORDER = 2
 #: Weight of the lower order against the counts of a history, chosen on held-out texts.
@@ -41,19 +40,6 @@ _END = np.uint64(0x14057B7EF767814E)
 _ONE = np.uint64(1)
 
 
-def tokenized(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """Words of the texts, A-Z in lower case, one after the other, and how many each text has."""
-    if isinstance(texts, pa.ChunkedArray):
-        texts = texts.combine_chunks()
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
-    words = split.flatten()
-    some = pc.not_equal(words, "")
-    offsets = split.offsets.to_numpy()
-    found = np.concatenate([[0], np.cumsum(some.to_numpy(zero_copy_only=False))])
-    return words.filter(some), np.diff(found[offsets - offsets[0]])
-
-
 @dataclass
 class Sequences:
     """Texts as word hashes: one start mark, the words, one end mark each, one text after the other."""
@@ -65,10 +51,7 @@ class Sequences:
 
 def sequences(texts: pa.Array) -> Sequences:
     words, sizes = tokenized(texts)
-    coded = words.dictionary_encode()
-    distinct = np.array(coded.dictionary.to_pylist(), object)
-    own = pd.util.hash_array(distinct, categorize=False) if len(distinct) else np.empty(0, np.uint64)
-    own = own & ~_ONE  # the lowest bit tells single words from longer n-grams
+    own = word_hashes(words) & ~_ONE  # the lowest bit tells single words from longer n-grams
     begins = np.cumsum(sizes + 2) - (sizes + 2)
     hashes = np.empty(int(sizes.sum()) + 2 * len(sizes), np.uint64)
     is_start = np.zeros(len(hashes), bool)
@@ -77,7 +60,7 @@ def sequences(texts: pa.Array) -> Sequences:
     inner = np.ones(len(hashes), bool)
     inner[begins] = inner[ends] = False
     hashes[begins], hashes[ends] = _START & ~_ONE, _END & ~_ONE
-    hashes[inner] = own[coded.indices.to_numpy()]
+    hashes[inner] = own
     return Sequences(hashes, is_start, np.repeat(np.arange(len(sizes)), sizes + 2))
 
 
@@ -98,17 +81,6 @@ def keys_by_order(s: Sequences, order: int) -> list[np.ndarray]:
     return levels
 
 
-def planes(values: np.ndarray) -> bytes:
-    """Numbers byte by byte of equal place, compressed: small numbers take few bytes."""
-    return zstandard.compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes(), 1)
-
-
-def numbers(data: bytes, kind: type, count: int) -> np.ndarray:
-    width = np.dtype(kind).itemsize
-    raw = np.frombuffer(zstandard.decompress(data, max_output_size=count * width), np.uint8)
-    return np.ascontiguousarray(raw.reshape(width, count).T).view(kind).ravel()
-
-
 def pack(keys: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
     """Sorted keys as differences, and their counts."""
     return planes(np.diff(keys, prepend=np.uint64(0))), planes(counts.astype(np.uint32))
@@ -118,11 +90,6 @@ def unpack_keys(data: bytes, count: int) -> np.ndarray:
     return np.cumsum(numbers(data, np.uint64, count), dtype=np.uint64)
 
 
-def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
-    """Shards are ranges of the hash, so the keys of a shard lie together in sorted keys."""
-    return (((keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
-
-
 ASKED = "shard int, block int, n int, ks binary, cs binary"
 ANSWERED = "block int, shard int, n int, cs binary, tokens long, types long"
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerhub.llm import bpe, chat, langid, lm, mixing, quality, warc
+from ledgerhub.llm import bpe, chat, jaccard, langid, lm, mixing, quality, warc
 from ledgerhub.llm.common import WORD, read, written_once
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -243,3 +243,8 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
     docs = written_once(docs, "mix-documents")
     return mixing.mix(docs, F.col("domain"), MIX_WEIGHTS, seed=MIX_SEED, tokens=F.col("n_tokens"))
+
+
+@query("op2_jaccard")
+def op2_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.classes(read(spark, folder, "documents"))
