@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerhub.llm import ann, bpe, chat, jaccard, langid, lm, mixing, quality, warc
+from ledgerhub.llm import ann, bpe, chat, html, jaccard, langid, lm, mixing, quality, warc
 from ledgerhub.llm.common import WORD, read, written_once
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -253,3 +253,8 @@ def op2_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_ann")
 def op7_ann(spark: SparkSession, folder: str) -> DataFrame:
     return ann.search(read(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op8_html")
+def op8_html(spark: SparkSession, folder: str) -> DataFrame:
+    return html.with_length(html.main_text(read(spark, folder, "pages")))
