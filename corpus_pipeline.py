@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerhub.llm import stages
 from ledgerhub.llm.common import read, written_once
-from ledgerhub.llm.stages import bpe_coding
 
-STAGES = [("bpe coding", bpe_coding)]
+STAGES = [
+    ("language", stages.language),
+    ("quality rules", stages.quality_rules),
+    ("near duplicates", stages.near_duplicates),
+    ("mixing", stages.mix),
+    ("byte pairs", stages.bpe_coding),
+]
 
-#: SQL has no byte-pair coding; tests hold the rows against a brute-force version.
+#: SQL has neither compression nor byte-pair coding; tests hold the rows against a plain version.
 ORACLE_SQL = None
 
 

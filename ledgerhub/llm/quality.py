@@ -144,10 +144,10 @@ def limits(sketch: DataFrame) -> DataFrame:
     level = lambda k, tag: wide.where(F.col("level") == k).select(
         F.col("lang").alias("lang_" + tag), F.col("source").alias("source_" + tag),
         F.struct((F.col("n") >= MIN_GROUP).alias("enough"), *columns).alias(tag))
-    own, lang, every = level(0, "own"), level(1, "lng"), level(2, "all")
-    joined = own.join(lang, F.col("lang_own").eqNullSafe(F.col("lang_lng"))).crossJoin(F.broadcast(every))
+    own, lang, every = level(0, "own"), level(1, "lng"), wide.where("level = 2").first()
+    joined = own.join(lang, F.col("lang_own").eqNullSafe(F.col("lang_lng")))
     pick = lambda c: F.when(F.col("own.enough"), F.col("own." + c)).when(
-        F.col("lng.enough"), F.col("lng." + c)).otherwise(F.col("all." + c))
+        F.col("lng.enough"), F.col("lng." + c)).otherwise(F.lit(every[c] if every else None).cast("long"))
     return joined.select(F.col("lang_own").alias("lang"), F.col("source_own").alias("source"),
                          *[pick(c).alias(c) for c in columns])
 
@@ -165,12 +165,22 @@ def judged(counted: DataFrame, held: DataFrame) -> DataFrame:
     return with_new(joined, kept=kept).drop(*sides.columns)
 
 
+def counted_limits(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Stored counts of the documents without their texts, and the stored limits for them."""
+    counted = written_once(with_counts(df).drop("text"), "quality-counts")
+    return counted, written_once(limits(sketches(counted, "lang", "source")), "quality-limits")
+
+
 def rules(df: DataFrame) -> DataFrame:
     """``df`` without text, with its counts, ``base_failed`` and ``kept``.
 
     Null languages and sources are groups of their own. Repeated rows count each. An empty frame
     gives an empty one. The counts are stored once; sketches and verdicts are read from them.
     """
-    counted = written_once(with_counts(df).drop("text"), "quality-counts")
-    held = written_once(limits(sketches(counted, "lang", "source")), "quality-limits")
-    return judged(counted, held)
+    return judged(*counted_limits(df))
+
+
+def passing(df: DataFrame) -> DataFrame:
+    """Rows of ``df`` that the rules keep, texts and all. Counts are made anew, so texts are not shuffled."""
+    _, held = counted_limits(df.select("doc_id", "text", "lang", "source"))
+    return judged(with_counts(df), held).where("kept").select(*df.columns)
