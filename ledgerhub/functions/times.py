@@ -8,9 +8,9 @@ from ledgerhub.fixed_values import FIRST_REAL_DATE
 
 
 def at_time(day: Column, time_of_day: Column) -> Column:
-    """Date plus time of day; a missing time is midnight."""
+    """Date plus time of day; a missing time is midnight, a missing date is NULL."""
     clock = F.coalesce(time_of_day, F.lit("00:00:00"))
-    return F.try_to_timestamp(F.concat_ws(" ", F.date_format(day, "yyyy-MM-dd"), clock))
+    return F.try_to_timestamp(F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" "), clock))
 
 
 def real_time(day: Column, time_of_day: Column) -> Column:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import datetime
+from collections.abc import Callable, Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -69,9 +69,21 @@ def pulled(entry: Dataset, landed: DataFrame, table: str, run_date: str) -> Data
     return rows
 
 
-def run(entry: Dataset, landed: DataFrame, table: str, run_date: str) -> None:
-    """Load into a stored table, touching as little of it as the pattern allows."""
-    _apply(entry, _batch(entry, landed, table, run_date), table)
+def run(
+    entry: Dataset,
+    landed: DataFrame,
+    table: str,
+    run_date: str,
+    complete: DataFrame | None = None,
+    registered: DataFrame | None = None,
+) -> None:
+    """Load into a stored table, touching as little of it as the pattern allows.
+
+    A refresh replaces the companies that landed and keeps the others, such as those whose
+    pull was rejected. ``complete`` are the companies whose pull was whole: one without rows
+    is emptied. ``registered`` are all companies there are: others are removed.
+    """
+    _apply(entry, _batch(entry, landed, table, run_date), table, complete, registered)
 
 
 def _batch(entry: Dataset, landed: DataFrame, table: str, run_date: str) -> DataFrame:
@@ -80,11 +92,17 @@ def _batch(entry: Dataset, landed: DataFrame, table: str, run_date: str) -> Data
     return rows if entry.load in REFRESHES else written_once(rows, "batch")
 
 
-def _apply(entry: Dataset, batch: DataFrame, table: str) -> None:
+def _apply(
+    entry: Dataset,
+    batch: DataFrame,
+    table: str,
+    complete: DataFrame | None = None,
+    registered: DataFrame | None = None,
+) -> None:
     if entry.load in REFRESHES:
         stored = _stored(entry, batch)
         if ENTITY in stored.columns:
-            tables.refresh(stored, table)
+            tables.refresh_companies(stored, table, complete, registered)
         else:
             tables.swap(stored, table)
     elif entry.load == catalog.APPEND:
@@ -93,27 +111,71 @@ def _apply(entry: Dataset, batch: DataFrame, table: str) -> None:
         tables.change_companies(batch, table, entry.keys, _change(entry))
 
 
+def utc_now() -> datetime:
+    return datetime.now(timezone.utc)
+
+
 def logged_run(
     entry: Dataset, landed: DataFrame, table: str, run_date: str, log_folder: str,
     category: str = "DWH_extract",
+    complete: DataFrame | None = None,
+    registered: DataFrame | None = None,
+    now: Callable[[], datetime] = utc_now,
 ) -> None:
-    """:func:`run` with its row in the run log; a failure is logged and raised."""
-    spark, start = landed.sparkSession, datetime.now()
+    """:func:`run` with its rows in the run log; a failure is logged and raised.
+
+    A load of companies leaves a row for each: rows pulled, and whether as many are found in
+    the table afterwards where the load says how many that must be. A failed one leaves a row
+    for each company that landed, or one row if even that is not known.
+    """
+    spark, start = landed.sparkSession, now()
 
     def log(status: str, records: int | None, details: str) -> None:
         row = run_log.log_row(
-            spark, status, category, entry.target, start, datetime.now(), records, details
+            spark, status, category, entry.target, start, now(), records, details
         )
         files.append_rows(row, log_folder)
 
+    def log_companies(runs: DataFrame) -> None:
+        timed = runs.withColumns({
+            "started": F.lit(start), "ended": F.lit(now()), "uri": F.lit("N/A"),
+        })
+        files.append_rows(run_log.log_rows(timed, category, entry.target), log_folder)
+
     try:
         batch = _batch(entry, landed, table, run_date)
-        _apply(entry, batch, table)
-        records = (spark.table(table) if entry.load in REFRESHES else batch).count()
+        _apply(entry, batch, table, complete, registered)
     except Exception as error:
-        log("Error", None, str(error).splitlines()[0])
+        details = (str(error).splitlines() or [type(error).__name__])[0]
+        if ENTITY in landed.columns:
+            try:
+                failed = landed.select(F.col(ENTITY).alias("company")).distinct().select(
+                    "company", F.lit(False).alias("ok"), F.lit(None).cast("long").alias("records"),
+                    F.lit(details).alias("details"),
+                )
+                log_companies(written_once(failed, "failed"))
+                raise error
+            except Exception as second:
+                if second is error:
+                    raise
+        log("Error", None, details)
         raise
-    log("Success", records, f"Total rows inserted: {records}.")
+    if ENTITY not in batch.columns:
+        records = spark.table(table).count()
+        log("Success", records, f"Total rows inserted: {records}.")
+        return
+    if entry.load in REFRESHES:
+        checked = run_log.load_check(batch, spark.table(table).join(
+            batch.select(ENTITY).distinct(), ENTITY, "left_semi"))
+    else:
+        checked = batch.groupBy(ENTITY).agg(F.count(F.lit(1)).alias("pulled")).select(
+            ENTITY, "pulled", F.col("pulled").alias("inserted"), F.lit("Success").alias("status"))
+    ok = F.col("status") == "Success"
+    log_companies(written_once(checked.select(
+        F.col(ENTITY).alias("company"), ok.alias("ok"), F.col("inserted").alias("records"),
+        F.when(ok, F.format_string("Total rows inserted: %d.", "inserted")).otherwise(
+            F.format_string("Rows pulled: %d, rows found: %d.", "pulled", "inserted")).alias("details"),
+    ), "checked"))
 
 
 def landed_records(landing: DataFrame, store: bool = False) -> tuple[DataFrame, DataFrame]:

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerhub.functions.text import no_trailing_blanks
 from ledgerhub.operators.presence import absent
-from ledgerhub.scratch import written_once
 
 
 def missing_accounts(
@@ -30,25 +29,17 @@ def missing_accounts(
     return absent(numbers, known, ["no"])
 
 
-def missing_message(missing: DataFrame, per_message: int = 1000) -> DataFrame:
-    """The missing numbers as message texts, with the total in every row.
+def missing_message(missing: DataFrame) -> DataFrame:
+    """A row for each missing number, and one without number that has their total.
 
-    Up to ``per_message`` numbers make one message. More are dealt over messages by hash,
-    so that no task has to hold an unbounded list and no number is left out. The numbers are
-    stored once, as their total decides how they are dealt.
+    Joining the numbers to one text is mail delivery. Without missing numbers there is no row.
     """
-    missing = written_once(missing, "missing")
-    total, digits = missing.count(), 0
-    while per_message * 16**digits < total:
-        digits += 1
-    part = F.substr(F.md5(F.col("no")), F.lit(1), F.lit(digits))
-    listed = missing.groupBy(part.alias("part")).agg(
-        F.count(F.lit(1)).alias("listed"),
-        F.array_join(F.sort_array(F.collect_list("no")), ", ").alias("numbers"),
-    )
-    return listed.select(
-        "part",
-        "listed",
-        F.lit(total).cast("long").alias("total_missing"),
-        F.concat(F.lit("Values missing in Excel: "), "numbers").alias("error_details"),
+    total = missing.agg(F.count(F.lit(1)).alias("total_missing")).where("total_missing > 0")
+    each = missing.select(
+        "no", F.lit(None).cast("long").alias("total_missing"),
+        F.concat(F.lit("Value missing in Excel: "), "no").alias("error_details"),
     )
+    return each.unionByName(total.select(
+        F.lit(None).cast("string").alias("no"), "total_missing",
+        F.format_string("Values missing in Excel: %d", "total_missing").alias("error_details"),
+    ))

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerhub.functions.text import quoted
 from ledgerhub.operators.presence import present
-from ledgerhub.sizing import MAX_COMPANY_ROWS
 
 ENTITY = "Entity"
 NO_COMPANY = "__HIVE_DEFAULT_PARTITION__"
@@ -55,14 +54,12 @@ def swap(df: DataFrame, table: str) -> None:
     spark.catalog.refreshTable(table)
 
 
-def companies_of(
-    df: DataFrame, entity: str = ENTITY, most: int = MAX_COMPANY_ROWS
-) -> list[str] | None:
-    """The companies that occur in a batch; None if they are too many to list."""
-    rows = df.select(entity).distinct().limit(most + 1).collect()
+def companies_of(df: DataFrame, entity: str = ENTITY) -> list[str]:
+    """The companies that occur in a batch: no more names than the catalog holds partitions."""
+    rows = df.select(entity).distinct().collect()
     if any(row[0] is None for row in rows):
         raise ValueError(f"rows without {entity} cannot be stored")
-    return sorted(row[0] for row in rows) if len(rows) <= most else None
+    return sorted(row[0] for row in rows)
 
 
 def _table_folder(spark: SparkSession, table: str) -> str:
@@ -94,12 +91,15 @@ def _written_folders(
 
 
 def replace_companies(
-    df: DataFrame, table: str, entity: str = ENTITY, drop_others: bool = False
+    df: DataFrame,
+    table: str,
+    entity: str = ENTITY,
+    dropped: Callable[[set[str]], set[str]] | None = None,
 ) -> None:
     """Store ``df`` as the new content of every company in it.
 
     The rebalance hint splits a company that holds most rows over many tasks and files.
-    ``drop_others`` also removes companies that are not in ``df``: a full refresh.
+    ``dropped`` says which of the stored companies that are not in ``df`` are removed.
     """
     spark = df.sparkSession
     folder = f"{_table_folder(spark, table)}/_versions/{uuid.uuid4().hex}"
@@ -120,15 +120,41 @@ def replace_companies(
     new = [" ".join(place(name)) for name in sorted(written.keys() - stored.keys())]
     if new:
         spark.sql(f"ALTER TABLE {table} ADD {' '.join(new)}")
-    gone = stored.keys() - written.keys() if drop_others else ()
-    for name in gone:
-        spark.sql(f"ALTER TABLE {table} DROP PARTITION (`{entity}` = {_literal(name)})")
+    gone = dropped(stored.keys() - written.keys()) if dropped else ()
+    if gone:
+        parts = ", ".join(f"PARTITION (`{entity}` = {_literal(name)})" for name in sorted(gone))
+        spark.sql(f"ALTER TABLE {table} DROP {parts}")
     spark.catalog.refreshTable(table)
 
 
 def refresh(df: DataFrame, table: str, entity: str = ENTITY) -> None:
     """Full refresh: afterwards the table holds ``df`` and nothing else."""
-    replace_companies(df, table, entity, drop_others=True)
+    replace_companies(df, table, entity, dropped=lambda others: others)
+
+
+def refresh_companies(
+    df: DataFrame,
+    table: str,
+    complete: DataFrame | None = None,
+    registered: DataFrame | None = None,
+    entity: str = ENTITY,
+) -> None:
+    """Refresh of the companies that were pulled; all others keep their rows.
+
+    A stored company that is not in ``df`` is removed only if it is in ``complete``, since
+    its whole pull was empty, or not in ``registered``. Either may be None: nothing is known.
+    """
+    def named(frame: DataFrame, names: set[str]) -> set[str]:
+        asked = df.sparkSession.createDataFrame([(name,) for name in sorted(names)], f"`{entity}` STRING")
+        found = asked.join(frame.select(entity).distinct(), entity, "left_semi")
+        return {row[0] for row in found.collect()}
+
+    def gone(others: set[str]) -> set[str]:
+        empty = named(complete, others) if complete is not None and others else set()
+        left = others - named(registered, others) if registered is not None and others else set()
+        return empty | left
+
+    replace_companies(df, table, entity, dropped=gone)
 
 
 def change_companies(
@@ -137,25 +163,20 @@ def change_companies(
     keys: Sequence[str],
     change: Callable[[DataFrame, DataFrame], DataFrame],
     entity: str = ENTITY,
-    most: int = MAX_COMPANY_ROWS,
-) -> tuple[list[str], list[str]] | None:
+) -> tuple[list[str], list[str]]:
     """Apply ``change(target, batch)``; gives the companies rewritten and appended to.
 
     Only companies in which a key of the batch is stored already are rewritten. For the
     others, often all in an incremental load, the change of nothing is appended and what
     they hold is not read beyond its keys. ``keys`` include the company. Repeating the call
-    after a failure is harmless: rows that were appended are then found and replaced. A
-    batch with more companies than can be listed rewrites the whole table instead.
+    after a failure is harmless: rows that were appended are then found and replaced.
     """
     spark = batch.sparkSession
-    names = companies_of(batch, entity, most)
-    if names is None:
-        replace_companies(change(spark.table(table), batch), table, entity)
-        return None
+    names = companies_of(batch, entity)
     company = F.col(entity)
     stored = spark.table(table).where(company.isin(names))
     found = present(stored.select(*quoted(keys)), batch, keys, measured=True)
-    hit = companies_of(found, entity, most) if names else []
+    hit = companies_of(found, entity) if names else []
     fresh = [name for name in names if name not in hit]
     if fresh:
         nothing = spark.table(table).where(F.lit(False))

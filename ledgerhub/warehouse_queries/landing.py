@@ -20,11 +20,14 @@ from ledgerhub.warehouse_queries.base import (
 PAGE_SIZE = 2
 
 
-def _landed_pages(spark, folder):
+RECORD = T.StructType().add("turn", "long").add("role", "string").add("text", "string").add("note", "string")
+
+
+def _landed_pages(spark, folder, all_whole=False):
     """Conversations as page chains, one page per line.
 
     A conversation that ends with a question is an unfinished pull: its last page still
-    names a next one.
+    names a next one, unless ``all_whole``.
     """
     turns = read(spark, folder, "conversations")
     ends = turns.groupBy("conv_id").agg(
@@ -37,14 +40,14 @@ def _landed_pages(spark, folder):
         .agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("value"))
     )
     last = F.col("page_no") == F.floor(F.col("last_turn") / PAGE_SIZE) + 1
-    link = F.when(~last | (F.col("last_role") == "user"), F.format_string("?page=%d", F.col("page_no") + 1))
+    open_end = F.lit(not all_whole) & (F.col("last_role") == "user")
+    link = F.when(~last | open_end, F.format_string("?page=%d", F.col("page_no") + 1))
     store = run_folder(spark, "pages")
     grouped.select(
         F.concat(F.lit("C"), F.col("conv_id").cast("string")).alias("Entity"), "page_no", "value",
         link.alias(pages.NEXT_LINK),
     ).write.json(store)
-    record = T.StructType().add("turn", "long").add("role", "string").add("text", "string").add("note", "string")
-    return pages.read_pages(spark, store, record)
+    return pages.read_pages(spark, store, RECORD)
 
 
 _CHAINS_SQL = f"""
@@ -70,6 +73,40 @@ def json_page_rejects(spark, folder):
     return extract.landed_records(_landed_pages(spark, folder))[1]
 
 
+@query("refresh_keeps_rejected", _CHAINS_SQL + """
+SELECT 'C' || conv_id AS "Entity", turn, role,
+       CASE WHEN last_role = 'user' THEN text ELSE upper(md5(text)) END AS text
+FROM conversations JOIN c USING (conv_id)
+WHERE conv_id % 10 <> 3 AND (conv_id % 10 <> 4 OR last_role = 'user')
+""")
+def refresh_keeps_rejected(spark, folder):
+    """Two pulls of a refreshed table, read back.
+
+    In the second, companies that end with a question are unfinished and keep the rows of the
+    first; whole pulls replace them, even empty ones (ids ending in 4); companies that are no
+    longer registered (ids ending in 3) go.
+    """
+    entry, name = catalog.dataset("BC_Customers"), f"pulled_{uuid.uuid4().hex}"
+    first, _ = extract.landed_records(_landed_pages(spark, folder, all_whole=True))
+    tables.create(spark, name, first.drop(*extract.ARRIVAL).select(
+        "turn", "role", "text", "note", "Entity").schema, run_folder(spark, "table"))
+    extract.run(entry, first, name, "2001-01-01")
+    landed = _landed_pages(spark, folder).where(~F.col("Entity").endswith("3"))
+    changed = F.transform("value", lambda x: x.withField("text", F.upper(F.md5(x["text"]))))
+    whole = landed.where(F.col(f"`{pages.NEXT_LINK}`").isNull() & F.col("Entity").endswith("4")).select("Entity")
+    empty = whole.select(
+        F.lit(1).cast("long").alias("page_no"), F.array().cast(T.ArrayType(RECORD)).alias("value"),
+        F.lit(None).cast("string").alias(pages.NEXT_LINK), "Entity",
+    )
+    second = landed.withColumn("value", changed).join(whole, "Entity", "left_anti").unionByName(empty)
+    status = pages.chain_status(second)
+    rows, _ = extract.landed_records(second)
+    registered = read(spark, folder, "conversations").where("conv_id % 10 <> 3").select(
+        F.concat(F.lit("C"), F.col("conv_id").cast("string")).alias("Entity"))
+    extract.run(entry, rows, name, "2001-01-02", status.where("complete"), registered)
+    return spark.table(name).select("Entity", "turn", "role", "text")
+
+
 @query("count_answers", """
 SELECT event_type AS "Entity", CASE WHEN event_type <> 'error' THEN CAST(count(*) AS VARCHAR) END AS source_rows
 FROM events GROUP BY event_type

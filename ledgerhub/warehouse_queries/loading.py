@@ -441,14 +441,15 @@ WITH {DOCUMENTS_SQL},
 c AS (SELECT o.*, top FROM o LEFT JOIN
        (SELECT "Entity", max("entryNo") AS top FROM o WHERE order_date < '1999-01-01' GROUP BY "Entity") w
        ON w."Entity" = o."Entity")
-SELECT 'BC_bankledger' AS "Name", 'Success' AS "Status", count(*) AS records FROM o WHERE order_date < '1999-01-01' AND "entryNo" > 0
+SELECT 'BC_bankledger' AS "Name", 'Success' AS "Status", count(*) AS records, "Entity" AS company_name
+FROM o WHERE order_date < '1999-01-01' AND "entryNo" > 0 GROUP BY "Entity"
 UNION ALL
-SELECT 'BC_bankledger', 'Success', count(*) FROM c WHERE "entryNo" > coalesce(top, 0)
+SELECT 'BC_bankledger', 'Success', count(*), "Entity" FROM c WHERE "entryNo" > coalesce(top, 0) GROUP BY "Entity"
 UNION ALL
-SELECT 'BC_wmsRecordLink', 'Error', -1
+SELECT DISTINCT 'BC_wmsRecordLink', 'Error', -1, "Entity" FROM o
 """)
 def logged_extracts(spark, folder):
-    """Two ledger runs and a merge that fails on repeated keys, as seen in the run log."""
+    """Two ledger runs and a merge that fails on repeated keys, company by company in the run log."""
     name, log = f"ledger_{uuid.uuid4().hex}", run_folder(spark, "runlog")
     landed = documents(spark, folder).select(
         F.col("entryNo").alias("Entry_No"), "total", "order_date", "Entity"
@@ -469,7 +470,7 @@ def logged_extracts(spark, folder):
     except Exception as refused:  # the log row is what this query shows
         assert "repeats key" in str(refused)
     records = F.coalesce("RecordsInserted", F.lit(-1)).alias("records")
-    return spark.read.parquet(log).select("Name", "Status", records)
+    return spark.read.parquet(log).select("Name", "Status", records, "company_name")
 
 
 @query("reload_lines", f"""

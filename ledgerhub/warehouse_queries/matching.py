@@ -195,7 +195,7 @@ def _portcall_inputs(spark, folder):
     vessel = read(spark, folder, "customer").select(
         F.col("c_custkey").alias("ID"), F.col("c_name").alias("NAME")
     )
-    route = lineitem.where(F.col("l_linenumber") <= 3).select(
+    route = lineitem.select(
         F.col("l_orderkey").alias("PORTCALL_ID"), F.col("l_linenumber").alias("TYPE"),
         F.col("l_suppkey").alias("HARBOUR_ID"),
         F.concat(F.lit("Port <"), F.col("l_partkey").cast("string"), F.lit("> & Co")).alias("NAME"),

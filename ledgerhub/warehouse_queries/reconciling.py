@@ -203,15 +203,12 @@ def missing_mapping(spark, folder):
 
 
 @query("missing_message", _MISSING_SQL + """
-, k AS (SELECT count(*) AS total,
-          CASE WHEN count(*) <= 100 THEN 0 WHEN count(*) <= 1600 THEN 1 WHEN count(*) <= 25600 THEN 2
-               WHEN count(*) <= 409600 THEN 3 ELSE 4 END AS digits FROM m)
-SELECT substr(md5(no), 1, digits) AS part, count(*) AS listed, max(total) AS total_missing,
-       'Values missing in Excel: ' || string_agg(no, ', ' ORDER BY no) AS error_details
-FROM m, k GROUP BY 1
+SELECT no, CAST(NULL AS BIGINT) AS total_missing, 'Value missing in Excel: ' || no AS error_details FROM m
+UNION ALL
+SELECT NULL, count(*), 'Values missing in Excel: ' || count(*) FROM m HAVING count(*) > 0
 """)
 def missing_message(spark, folder):
-    return mapping_check.missing_message(_missing(spark, folder), per_message=100)
+    return mapping_check.missing_message(_missing(spark, folder))
 
 
 def _relations(spark, folder):

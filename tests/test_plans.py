@@ -83,17 +83,17 @@ def test_missing_accounts(frame, rows):
     mapping = frame([("100",), (None,)], "no STRING")
     missing = mapping_check.missing_accounts(accounts, mapping, excluded=["Consol HV "])
     assert rows(missing) == [("0100",)]
-    assert rows(mapping_check.missing_message(missing), "error_details", "total_missing") == [
-        ("Values missing in Excel: 0100", 1)
+    assert rows(mapping_check.missing_message(missing), "no", "error_details", "total_missing") == [
+        ("0100", "Value missing in Excel: 0100", None), (None, "Values missing in Excel: 1", 1)
     ]
 
 
-def test_missing_messages_lose_nothing(frame):
-    missing = frame([(str(i),) for i in range(1000)], "no STRING")
-    messages = mapping_check.missing_message(missing, per_message=50).collect()
-    listed = [n for m in messages for n in m["error_details"].split(": ")[1].split(", ")]
-    assert sorted(listed) == sorted(str(i) for i in range(1000))
-    assert max(m["listed"] for m in messages) < 50
+@pytest.mark.parametrize("count", [1, 1000, 1001])
+def test_missing_messages_have_one_shape(frame, count):
+    missing = frame([(str(i),) for i in range(count)], "no STRING")
+    messages = mapping_check.missing_message(missing).collect()
+    assert sorted(m["no"] for m in messages if m["no"]) == sorted(str(i) for i in range(count))
+    assert [m["total_missing"] for m in messages if m["no"] is None] == [count]
     assert mapping_check.missing_message(missing.where("no = 'x'")).count() == 0
 
 
