@@ -73,15 +73,6 @@ EU_COUNTRIES = [
     "IT", "LV", "LT", "LU", "MT", "NL", "PL", "PT", "RO", "SK", "SI", "ES", "SE",
 ]
 
-# --- fixed values: companies left out of the account mapping check
-UNMAPPED_COMPANIES = [
-    "Consol HV ", "Hartel", "Stella", "Geervliet", "Heenvliet", "MS Geervliet",
-    "MS Rhoon", "Noordvliet", "Zuidvliet", "Haringvliet", "Hoogvliet",
-]
-
-# --- fixed values: companies left out of the partner check
-PARTNERLESS_COMPANIES = ["Consol HV"]
-
 # --- fixed values: alert pages and thresholds
 JOB_QUEUE_PAGE = "&page=672"
 MESSAGE_PAGE = "&page=11242113"

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ledgerhub.functions.text import quoted
 from ledgerhub.sizing import distinct_within
@@ -42,3 +43,9 @@ def present(
     """Rows of ``df`` whose key occurs in ``other``."""
     found = _keys_of(other, keys, measured)
     return df.join(found, list(keys), "left_semi").select(*quoted(df.columns))
+
+
+def keyed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key is whole, and the others."""
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in quoted(keys)])
+    return df.where(whole), df.where(~whole)

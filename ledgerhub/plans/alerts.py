@@ -68,7 +68,7 @@ def stuck_messages(
 def companies_without_partner(
     registry: DataFrame,
     partners: DataFrame,
-    skip: Iterable[str] = tuple(fv.PARTNERLESS_COMPANIES),
+    skip: Iterable[str] = (),
     entity: str = "Entity",
 ) -> DataFrame:
     """Registered companies with no partner id that is neither NULL nor empty."""

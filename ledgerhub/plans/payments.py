@@ -11,7 +11,9 @@ from ledgerhub.fixed_values import PAY_MODE
 from ledgerhub.functions import money, rules
 from ledgerhub.functions.text import last_token
 from ledgerhub.functions.xml import element
-from ledgerhub.sizing import distinct_within
+from ledgerhub.operators.latest import first_per_key
+from ledgerhub.scratch import written_once
+from ledgerhub.sizing import broadcast_within, distinct_within
 
 LEAD_LENGTH = 2
 MAX_SHAPES = 5000
@@ -66,19 +68,12 @@ def _shapes(invoices: DataFrame) -> tuple[list[int], list[int], list[str] | None
     return numeric, other, starts
 
 
-def _carried(headers: DataFrame) -> list[str]:
-    return [c for c in headers.columns if c not in ("company", "kind")]
-
-
 def _pieces(
-    headers: DataFrame, runs: Column, sizes: Sequence[int], starts: list[str] | None
+    headers: DataFrame, kept: Sequence[str], runs: Column, sizes: Sequence[int], starts: list[str] | None
 ) -> DataFrame:
-    """Headers once per piece of their runs that has one of the sizes."""
+    """The ``kept`` columns once per piece of the runs that has one of the sizes."""
     run, at, size = F.col("run"), F.col("at"), F.col("size")
-    kept = ["company", "kind", "header"]
-    each_run = headers.select(
-        "company", "kind", F.struct(*_carried(headers)).alias("header"), F.explode(runs).alias("run")
-    ).where(F.length(run) >= min(sizes))
+    each_run = headers.select(*kept, F.explode(runs).alias("run")).where(F.length(run) >= min(sizes))
     places = F.sequence(F.lit(1), F.length(run) - min(sizes) + 1)
     each_place = each_run.select(*kept, "run", F.explode(places).alias("at"))
     if starts is not None:
@@ -94,8 +89,8 @@ def _pieces(
     )
 
 
-def _candidates(headers: DataFrame, invoices: DataFrame) -> DataFrame | None:
-    """Headers once per invoice number that could occur in their description.
+def _candidates(headers: DataFrame, kept: Sequence[str], invoices: DataFrame) -> DataFrame | None:
+    """The ``kept`` columns of headers once per invoice number that could occur in their description.
 
     Contains-matching without comparing every pair: an invoice number occurs in a
     description exactly if it is one of the description's pieces of that length. Digits-only
@@ -107,41 +102,55 @@ def _candidates(headers: DataFrame, invoices: DataFrame) -> DataFrame | None:
     found = []
     if numeric:
         digit_runs = F.regexp_extract_all(text, F.lit(r"(\d+)"), F.lit(1))
-        found.append(_pieces(headers, digit_runs, numeric, starts))
+        found.append(_pieces(headers, kept, digit_runs, numeric, starts))
     if other:
-        found.append(_pieces(headers, F.array(text), other, starts))
+        found.append(_pieces(headers, kept, F.array(text), other, starts))
     return reduce(DataFrame.unionByName, found) if found else None
 
 
+def _first_places(
+    headers: DataFrame, invoices: DataFrame, arrival: Sequence[str]
+) -> DataFrame | None:
+    """Per (company, kind, invoice number) the arrival columns of the first header mentioning it.
+
+    Only those columns are expanded. They are cut down to the wanted numbers and to one per
+    number in the map tasks before anything is shuffled, so a number that occurs everywhere
+    stays cheap. The cut compares 64-bit hashes, which keeps the broadcast small; a number let
+    through by a collision finds no invoice to join.
+    """
+    candidates = _candidates(headers, ["company", "kind", *arrival], invoices)
+    if candidates is None:
+        return None
+    hashed = F.xxhash64(*MATCH_KEYS).alias("_key")
+    wanted = distinct_within(
+        invoices.select(*MATCH_KEYS).dropna().select(hashed), max_rows=MAX_WANTED
+    )
+    hits = candidates.withColumn("_key", F.xxhash64(*MATCH_KEYS)).join(wanted, "_key", "left_semi")
+    return written_once(first_per_key(hits.drop("_key"), MATCH_KEYS, arrival), "first-places")
+
+
 def first_headers(
     headers: DataFrame, invoices: DataFrame, arrival: Sequence[str] = ("no", "id")
 ) -> DataFrame:
     """Per (company, kind, invoice number) the first header mentioning the number.
 
-    Headers are cut down to the wanted numbers and to one per number in the map tasks
-    before anything is shuffled, so a number that occurs everywhere stays cheap. The cut
-    compares 64-bit hashes, which keeps the broadcast small; a number let through by a
-    collision finds no invoice to join.
+    Headers are fetched by company, kind and arrival columns once the first ones are known;
+    of headers equal in those the first by all columns is taken.
     """
-    candidates = _candidates(headers, invoices)
-    if candidates is None:
+    carried = [c for c in headers.columns if c not in ("company", "kind")]
+    places = _first_places(headers, invoices, arrival)
+    if places is None:
         return invoices.sparkSession.createDataFrame(
             [], invoices.select(*MATCH_KEYS).schema
         ).withColumn("header", F.struct(
-            *[F.lit(None).cast(headers.schema[c].dataType).alias(c) for c in _carried(headers)]
+            *[F.lit(None).cast(headers.schema[c].dataType).alias(c) for c in carried]
         ))
-    hashed = F.xxhash64(*MATCH_KEYS).alias("_key")
-    wanted = distinct_within(
-        invoices.select(*MATCH_KEYS).dropna().select(hashed), max_rows=MAX_WANTED
-    )
-    ordered = F.struct(*[F.col(f"header.{c}") for c in arrival], "header")
-    return (
-        candidates.withColumn("_key", F.xxhash64(*MATCH_KEYS))
-        .join(wanted, "_key", "left_semi")
-        .groupBy(*MATCH_KEYS)
-        .agg(F.min(ordered).alias("first"))
-        .select(*MATCH_KEYS, "first.header")
-    )
+    own = ["company", "kind", *arrival]
+    side = broadcast_within(places.select("invoice_no", *[F.col(c).alias(f"_{c}") for c in own]))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in own])
+    fetched = headers.join(side, same).select(*headers.columns, "invoice_no")
+    one = first_per_key(fetched, MATCH_KEYS, arrival)
+    return one.select(*MATCH_KEYS, F.struct(*carried).alias("header"))
 
 
 def closed_only(matched: DataFrame) -> DataFrame:
@@ -149,23 +158,43 @@ def closed_only(matched: DataFrame) -> DataFrame:
     return matched.where(F.coalesce(F.col("header.closed"), F.lit(True)))
 
 
+def settled(
+    invoices: DataFrame, headers: DataFrame, arrival: Sequence[str] = ("no", "id")
+) -> DataFrame:
+    """Routed invoices with their first matching header, if it is closed, and what is paid.
+
+    ``headers`` has company, kind, id, no, systemModifiedAt, postingDate, postingDescription,
+    currencyFactor, closed and amountIncludingVAT. ``home`` is NULL where another currency has
+    no rate or a rate of zero. The invoices are stored once, as they are asked several times.
+    """
+    known = written_once(invoices.where(F.col("company").isNotNull()), "routed")
+    matched = closed_only(known.join(first_headers(headers, known, arrival), MATCH_KEYS))
+    booked = money.amount(F.col("header.amountIncludingVAT"))
+    factor = F.col("header.currencyFactor").cast(money.FACTOR)
+    paid = matched.withColumns({
+        "chosen": money.settled_amount(F.col("asked"), booked), "factor": factor,
+    })
+    return paid.withColumn("home", money.home_amount(F.col("chosen"), F.col("currency"), F.col("factor")))
+
+
+def without_rate(matched: DataFrame) -> DataFrame:
+    """Settled invoices that can't be paid for want of a rate, with the reason."""
+    reason = F.when(F.col("factor").isNull(), "exchange rate missing").when(
+        F.col("factor") == 0, "exchange rate is zero").otherwise("amount out of range")
+    return matched.where(F.col("home").isNull()).select(
+        "transaction", "invoice_no", F.col("header.id").alias("externalRefId"), reason.alias("reason")
+    )
+
+
 def payments(
     invoices: DataFrame, headers: DataFrame, arrival: Sequence[str] = ("no", "id")
 ) -> DataFrame:
     """Payment records of the routed invoices whose first matching header is closed.
 
-    ``headers`` has company, kind, id, no, systemModifiedAt, postingDate,
-    postingDescription, currencyFactor, closed and amountIncludingVAT.
+    Those of :func:`without_rate` are left out.
     """
-    known = invoices.where(F.col("company").isNotNull())
-    matched = known.join(first_headers(headers, known, arrival), MATCH_KEYS)
-    settled = closed_only(matched)
-    h = "header."
-    booked = money.amount(F.col(h + "amountIncludingVAT"))
-    factor = F.col(h + "currencyFactor").cast(money.FACTOR)
-    currency = F.col("currency")
-    chosen = money.settled_amount(F.col("asked"), booked)
-    return settled.select(
+    h, currency = "header.", F.col("currency")
+    return settled(invoices, headers, arrival).where(F.col("home").isNotNull()).select(
         "transaction",
         "invoice_no",
         last_token(F.col(h + "postingDescription")).alias("invoiceTransNo"),
@@ -173,12 +202,10 @@ def payments(
         F.date_format(h + "systemModifiedAt", "yyyy-MM-dd").alias("actDate"),
         F.col(h + "id").alias("externalRefId"),
         F.lit(PAY_MODE).alias("payMode"),
-        money.two_decimals(chosen).alias("currencyAmount"),
+        money.two_decimals(F.col("chosen")).alias("currencyAmount"),
         currency.alias("currency"),
-        money.two_decimals(money.home_amount(chosen, currency, factor)).alias(
-            "baseCurrencyAmount"
-        ),
-        money.rate_text(currency, factor).alias("bankXCRate"),
+        money.two_decimals(F.col("home")).alias("baseCurrencyAmount"),
+        money.rate_text(currency, F.col("factor")).alias("bankXCRate"),
         F.col("ledger").cast("string").alias("bankCode"),
         F.col("company_code").alias("companyCode"),
     )

@@ -11,6 +11,7 @@ from ledgerhub.functions import rules
 from ledgerhub.functions.text import or_blank
 from ledgerhub.functions.times import at_time, day_text, real_time
 from ledgerhub.functions.xml import element, prefixed, soap_message
+from ledgerhub.operators.latest import last_per_key
 from ledgerhub.operators.presence import absent_from_large
 from ledgerhub.scratch import written_once
 from ledgerhub.sizing import distinct_within
@@ -84,16 +85,18 @@ def unsent(
 ) -> DataFrame:
     """Port calls of the target agencies whose company holds no document for them yet.
 
-    ``documents`` has company and attribute06, the port call a document was made from. The
+    A port call is sent once: of several changes or legs the last change counts, and among
+    equal times the row that is last by all its columns. ``documents`` has company and attribute06, the port call a document was made from. The
     port calls are few and stored once, so that cutting down the documents to them does not
     repeat their joins.
     """
     targeted = calls.where(F.col("Agency").isin(list(agencies))).withColumn(
         "company", rules.agency_company(F.col("Agency"))
     )
-    targeted = written_once(targeted, "portcalls")
+    key = ["company", "PortCallNumber"]
+    targeted = written_once(last_per_key(targeted, key, ["Created"]), "portcalls")
     made = documents.select("company", F.col("attribute06").alias("PortCallNumber"))
-    return absent_from_large(targeted, made, ["company", "PortCallNumber"])
+    return absent_from_large(targeted, made, key)
 
 
 def documents_of(calls: DataFrame, run_date: str) -> DataFrame:

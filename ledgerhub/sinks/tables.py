@@ -14,7 +14,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerhub.functions.text import quoted
-from ledgerhub.operators.presence import present
+from ledgerhub.operators.presence import keyed, present
 
 ENTITY = "Entity"
 NO_COMPANY = "__HIVE_DEFAULT_PARTITION__"
@@ -163,15 +163,23 @@ def change_companies(
     keys: Sequence[str],
     change: Callable[[DataFrame, DataFrame], DataFrame],
     entity: str = ENTITY,
+    rejects: str | None = None,
 ) -> tuple[list[str], list[str]]:
     """Apply ``change(target, batch)``; gives the companies rewritten and appended to.
 
     Only companies in which a key of the batch is stored already are rewritten. For the
     others, often all in an incremental load, the change of nothing is appended and what
     they hold is not read beyond its keys. ``keys`` include the company. Repeating the call
-    after a failure is harmless: rows that were appended are then found and replaced.
+    after a failure is harmless: rows that were appended are then found and replaced. That
+    needs a key, so rows with a NULL in a key are refused unless ``rejects`` names a folder,
+    which is overwritten with them.
     """
     spark = batch.sparkSession
+    batch, keyless = keyed(batch, keys)
+    if rejects is not None:
+        keyless.write.mode("overwrite").parquet(rejects)
+    elif not keyless.isEmpty():
+        raise ValueError(f"rows without {', '.join(keys)} cannot be stored")
     names = companies_of(batch, entity)
     company = F.col(entity)
     stored = spark.table(table).where(company.isin(names))

@@ -1,41 +1,46 @@
-"""Stuck-message monitor: the alert query over the current table, once per trigger."""
+"""Stuck-message monitor, to be run by schedule.
+
+A message turns stuck by waiting, without a new event, and stops being stuck when it lands
+again with another state. So landed messages are merged into a current table by message id,
+and every run asks that table, whether anything landed or not.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Sequence
+from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ledgerhub.plans.alerts import stuck_messages
+from ledgerhub.streaming.upserts import upsert_stream
 
 
-def stuck_stream(
+def watch(
     spark: SparkSession,
     landing: str,
     schema: StructType,
-    alert_folder: str,
+    table: str,
+    keys: list[str],
     checkpoint: str,
+    alert_folder: str,
     base: str,
-    now: Callable[[], Column] = F.current_timestamp,
+    now: datetime,
+    arrival: Sequence[str] = (),
+    rejects: str | None = None,
     **options,
-) -> StreamingQuery:
-    """After every batch of landed messages, alerts over all messages landed so far.
+) -> DataFrame:
+    """Bring ``table`` up to date with what landed, then alert on its state at ``now``.
 
-    Age is processing time: a message turns stuck without a new event, so the whole
-    current table is asked and no event-time state is kept.
+    The last arrival of a message wins. The alerts of a run are stored under its time, and
+    overwritten when the run is repeated.
     """
-    def watch(batch: DataFrame, batch_id: int) -> None:
-        current = spark.read.schema(schema).parquet(landing)
-        alerts = stuck_messages(current, base, now(), **options)
-        alerts.write.mode("overwrite").parquet(f"{alert_folder}/batch_id={batch_id}")
-
-    return (
-        spark.readStream.schema(schema)
-        .parquet(landing)
-        .writeStream.foreachBatch(watch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    upsert_stream(
+        spark, landing, schema, table, keys, checkpoint, arrival=arrival, rejects=rejects
+    ).awaitTermination()
+    at = F.lit(now.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    alerts = stuck_messages(spark.table(table), base, at, **options)
+    folder = f"{alert_folder}/checked_at={now:%Y%m%dT%H%M%S}"
+    alerts.write.mode("overwrite").parquet(folder)
+    return spark.read.schema(alerts.schema).parquet(folder)

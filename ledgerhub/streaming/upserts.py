@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from ledgerhub.operators.latest import last_per_key
 from ledgerhub.operators.load import upsert
 from ledgerhub.sinks import tables
 
+#: Where a row came from: the later file wins, in a file the later row.
+LANDED = {"_landed_at": "file_modification_time", "_landed_in": "file_path", "_landed_row": "row_index"}
+
 
 def upsert_stream(
     spark: SparkSession,
@@ -19,18 +25,27 @@ def upsert_stream(
     keys: list[str],
     checkpoint: str,
     files_per_batch: int | None = None,
+    arrival: Sequence[str] = (),
+    rejects: str | None = None,
 ) -> StreamingQuery:
     """Merge every new landed file into ``table``, then stop.
 
-    Merging the same batch twice changes nothing, so a batch repeated after a failure is
-    harmless. Only companies in which the batch changes stored rows are rewritten.
+    Polls by change date overlap and several may land before a run, so of a key that a batch
+    has more than once the last arrival is taken: by the columns ``arrival``, then by file and
+    place. Merging the same batch twice changes nothing, so a batch repeated after a failure is
+    harmless. Only companies in which the batch changes stored rows are rewritten. Rows with a
+    NULL in a key are refused, or set aside below ``rejects``, one folder per batch.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        latest = last_per_key(batch, keys, [*arrival, *LANDED]).drop(*LANDED)
+        keyless = batch.where(" or ".join(f"`{k}` is null" for k in keys)).drop(*LANDED)
+        kept = latest.where(" and ".join(f"`{k}` is not null" for k in keys)).unionByName(keyless)
+        kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             tables.change_companies(
                 kept, table, keys,
                 lambda target, rows: upsert(target, rows, keys, measured=True),
+                rejects=rejects and f"{rejects}/batch_id={batch_id}",
             )
         finally:
             kept.unpersist()
@@ -38,8 +53,9 @@ def upsert_stream(
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    rows = reader.parquet(landing)
     return (
-        reader.parquet(landing)
+        rows.select("*", *[F.col(f"_metadata.{field}").alias(name) for name, field in LANDED.items()])
         .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

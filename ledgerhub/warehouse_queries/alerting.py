@@ -13,7 +13,7 @@ BASE = "https://erp.example/?company="
 NOW = "2024-01-15 12:00:00"
 
 
-def _messages(spark, folder):
+def _messages(spark, folder, *more):
     state = (
         F.when(F.col("event_type") == "error", "Failed")
         .when(F.col("event_type") == "signup", "New")
@@ -22,7 +22,7 @@ def _messages(spark, folder):
     kind = F.concat(F.lit("MSG"), F.regexp_extract("props", r"(\d+)", 1))
     return read(spark, folder, "events").select(
         state.alias("status"), kind.alias("messageType"), F.col("ts").alias("receivedAt"),
-        F.col("user_id").cast("string").alias("Entity"),
+        F.col("user_id").cast("string").alias("Entity"), *more,
     )
 
 

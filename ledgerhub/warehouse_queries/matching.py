@@ -26,8 +26,10 @@ def _transaction():
 
 
 def _invoice_no():
+    """Numbers that start with 1 or 2 tell the kind; every seventh order's has letters."""
     sales = F.when(F.col("o_orderstatus") == "O", "1").otherwise("2")
-    return F.concat(sales, F.col("o_orderkey").cast("string"))
+    letters = F.when(F.col("o_orderkey") % 7 == 0, "AB").otherwise("")
+    return F.concat(sales, letters, F.col("o_orderkey").cast("string"))
 
 
 def _currency():
@@ -59,6 +61,9 @@ def _headers(spark, folder):
         .when(F.col("l_returnflag") == "R", money("o_totalprice") + F.lit("0.02").cast("decimal(18,2)"))
         .otherwise(money("l_extendedprice"))
     )
+    # a rate of ten decimals and more; missing or zero for some parts
+    long = (F.lit("0.923456789123").cast("decimal(20,12)") + F.col("l_discount").cast("decimal(18,2)")).cast("decimal(38,18)")
+    rate = F.when(F.col("l_partkey") % 50 == 0, F.lit(0).cast("decimal(38,18)")).when(F.col("l_partkey") % 50 != 1, long)
     closed = F.when(F.col("l_linestatus") == "O", True).when(F.col("l_returnflag") == "N", False)
     return joined.select(
         payment_company(_transaction()).alias("company"),
@@ -73,8 +78,10 @@ def _headers(spark, folder):
         F.concat_ws("/", F.lpad(F.col("l_orderkey").cast("string"), 9, "0"), "l_linenumber").alias("no"),
         F.col("l_shipdate").alias("systemModifiedAt"),
         F.col("l_shipdate").cast("date").alias("postingDate"),
-        F.concat_ws("-", F.concat(F.lit("Invoice "), _invoice_no()), F.lit("VS"), "l_linenumber").alias("postingDescription"),
-        (F.lit(1) + F.col("l_discount").cast("decimal(18,6)")).cast("decimal(18,6)").alias("currencyFactor"),
+        F.concat_ws(
+            "-", F.concat(F.lit("Invoice "), _invoice_no(), F.lit(" and "), _invoice_no(), F.lit("0")), F.lit("VS"), "l_linenumber",
+        ).alias("postingDescription"),
+        rate.alias("currencyFactor"),
         closed.alias("closed"),
         booked.cast("decimal(18,2)").alias("amountIncludingVAT"),
     ).where(F.col("company").isNotNull())
@@ -85,7 +92,7 @@ WITH i AS (
   SELECT o_orderkey, o_totalprice,
     CASE o_orderpriority WHEN '1-URGENT' THEN 'XVLIE' WHEN '2-HIGH' THEN 'HNV' WHEN '3-MEDIUM' THEN 'COA'
       WHEN '4-NOT SPECIFIED' THEN 'MAAS' ELSE 'ZZZ' END || o_orderkey AS transaction,
-    CASE WHEN o_orderstatus = 'O' THEN '1' ELSE '2' END || o_orderkey AS invoice_no,
+    CASE WHEN o_orderstatus = 'O' THEN '1' ELSE '2' END || CASE WHEN o_orderkey % 7 = 0 THEN 'AB' ELSE '' END || o_orderkey AS invoice_no,
     CASE o_orderstatus WHEN 'F' THEN 'EUR' WHEN 'P' THEN 'JPY' ELSE 'USD' END AS currency,
     CAST(o_totalprice AS DECIMAL(18,2)) AS asked,
     CASE o_orderpriority WHEN '1-URGENT' THEN 'Hartel' WHEN '2-HIGH' THEN 'Chartering'
@@ -101,8 +108,8 @@ h AS (
       || CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR) || '-' || strftime(l_shipdate, '%Y%m%d') AS id,
     lpad(CAST(l_orderkey AS VARCHAR), 9, '0') || '/' || l_linenumber AS no,
     strftime(l_shipdate, '%Y-%m-%d') AS day,
-    'Invoice ' || invoice_no || '-VS-' || l_linenumber AS descr, CAST(l_linenumber AS VARCHAR) AS tail,
-    1 + CAST(l_discount AS DECIMAL(18,6)) AS factor,
+    'Invoice ' || invoice_no || ' and ' || invoice_no || '0-VS-' || l_linenumber AS descr, CAST(l_linenumber AS VARCHAR) AS tail,
+    CASE l_partkey % 50 WHEN 0 THEN 0 WHEN 1 THEN NULL ELSE 0.923456789123 + CAST(l_discount AS DECIMAL(18,2)) END AS factor,
     CASE WHEN l_linestatus = 'O' THEN TRUE WHEN l_returnflag = 'N' THEN FALSE END AS closed,
     CASE l_returnflag WHEN 'A' THEN asked + 0.01 WHEN 'R' THEN asked + 0.02
       ELSE CAST(l_extendedprice AS DECIMAL(18,2)) END AS booked
@@ -114,7 +121,12 @@ f AS (
 c AS (
   SELECT *, CASE WHEN abs(asked - booked) <= 0.019999 THEN asked ELSE CAST(booked AS DECIMAL(18,2)) END AS chosen
   FROM f WHERE place = 1 AND coalesce(closed, TRUE)),
-u AS (SELECT *, CAST(chosen * 100 AS HUGEINT) * 1000000 AS num, CAST(factor * 1000000 AS HUGEINT) AS den FROM c),
+x AS (SELECT transaction, invoice_no, id AS "externalRefId",
+        CASE WHEN factor IS NULL THEN 'exchange rate missing' ELSE 'exchange rate is zero' END AS reason
+      FROM c WHERE currency <> 'EUR' AND coalesce(factor, 0) = 0),
+u AS (SELECT *, CAST(chosen * 100 AS HUGEINT) * 1000000000000 AS num,
+        CASE WHEN coalesce(factor, 0) = 0 THEN 1 ELSE CAST(factor * 1000000000000 AS HUGEINT) END AS den
+      FROM c WHERE currency = 'EUR' OR coalesce(factor, 0) <> 0),
 v AS (SELECT *, num // den AS quo, num % den AS rem FROM u),
 r AS (SELECT *, quo + CASE WHEN 2 * rem > den OR (2 * rem = den AND quo % 2 = 1) THEN 1 ELSE 0 END AS cents FROM v),
 p AS (
@@ -122,7 +134,7 @@ p AS (
     id AS "externalRefId", 'WT' AS "payMode", CAST(chosen AS VARCHAR) AS "currencyAmount", currency,
     CASE WHEN currency = 'EUR' THEN CAST(chosen AS VARCHAR)
       ELSE CAST(cents // 100 AS VARCHAR) || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') END AS "baseCurrencyAmount",
-    CASE WHEN currency = 'EUR' THEN '1' ELSE CAST(CAST(factor AS DOUBLE) AS VARCHAR) END AS "bankXCRate",
+    CASE WHEN currency = 'EUR' THEN '1' ELSE regexp_replace(CAST(CAST(factor AS DECIMAL(18,12)) AS VARCHAR), '0+$', '') END AS "bankXCRate",
     CASE currency WHEN 'EUR' THEN '19200' WHEN 'USD' THEN '19400' END AS "bankCode",
     company_code AS "companyCode"
   FROM r)
@@ -135,9 +147,15 @@ def payment_match(spark, folder):
     return payments.payments(_open_invoices(spark, folder), _headers(spark, folder))
 
 
+@query("payment_rate_rejects", _PAYMENT_SQL + "SELECT * FROM x")
+def payment_rate_rejects(spark, folder):
+    """Settled invoices whose rate is missing or zero: they don't end the job."""
+    return payments.without_rate(payments.settled(_open_invoices(spark, folder), _headers(spark, folder)))
+
+
 @query("payment_rejects", """
 SELECT 'ZZZ' || o_orderkey AS transaction,
-  CASE WHEN o_orderstatus = 'O' THEN '1' ELSE '2' END || o_orderkey AS invoice_no
+  CASE WHEN o_orderstatus = 'O' THEN '1' ELSE '2' END || CASE WHEN o_orderkey % 7 = 0 THEN 'AB' ELSE '' END || o_orderkey AS invoice_no
 FROM orders WHERE o_orderpriority = '5-LOW'
 """)
 def payment_rejects(spark, folder):
@@ -234,7 +252,10 @@ c AS (
   WHERE agent IN ('Maripro BV', 'Maripro Belgium BV')),
 sent AS (SELECT CASE WHEN o_totalprice > 250000 THEN 'Maripro' ELSE 'Maripro Belgium' END AS company,
     'PC' || o_orderkey AS num FROM orders WHERE o_orderstatus = 'O'),
-n AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM sent WHERE sent.company = c.company AND num = "PortCallNumber"))
+l AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY company, "PortCallNumber" ORDER BY "Created" DESC,
+    "Agency" DESC, "ETA" DESC, "ETD" DESC, "LastPort" DESC, "LastPortLOCODE" DESC, "NextPort" DESC,
+    "NextPortLOCODE" DESC, "VesselName" DESC, "VoyageNumber" DESC) = 1),
+n AS (SELECT * FROM l c WHERE NOT EXISTS (SELECT 1 FROM sent WHERE sent.company = c.company AND num = "PortCallNumber"))
 """
 
 

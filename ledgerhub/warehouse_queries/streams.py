@@ -3,26 +3,27 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from ledgerhub.scratch import run_folder
 from ledgerhub.sinks import tables
 from ledgerhub.streaming.inbox import inbox_stream
-from ledgerhub.streaming.stuck import stuck_stream
+from ledgerhub.streaming.stuck import watch
 from ledgerhub.streaming.upserts import upsert_stream
-from ledgerhub.warehouse_queries.alerting import BASE, NOW, _alert_sql, _messages
-from ledgerhub.warehouse_queries.base import DOCUMENTS_SQL, documents, moment, query, read
+from ledgerhub.warehouse_queries.alerting import BASE, NOW, _messages
+from ledgerhub.warehouse_queries.base import DOCUMENTS_SQL, documents, query, read
 
 
 @query("stream_upsert", f"""
 WITH {DOCUMENTS_SQL}
-SELECT "entryNo", CASE WHEN order_date >= '2000-01-01' OR priority = '1-URGENT' THEN 'X' ELSE status END AS status,
+SELECT "entryNo", CASE WHEN priority = '1-URGENT' THEN 'Y' WHEN order_date >= '2000-01-01' THEN 'X' ELSE status END AS status,
        total, "Entity"
 FROM o
 """)
 def stream_upsert(spark, folder):
-    """Two polls with one checkpoint: first all older documents, then new and changed ones."""
+    """Two runs with one checkpoint: first all older documents, then two polls that overlap."""
     landing, checkpoint = run_folder(spark, "landing"), run_folder(spark, "checkpoint")
     name = f"polled_{uuid.uuid4().hex}"
     rows = documents(spark, folder)
@@ -37,8 +38,8 @@ def stream_upsert(spark, folder):
 
     rows.where("order_date < '2000-01-01'").select(*shape).write.mode("append").parquet(landing)
     poll()
-    changed = rows.where("order_date >= '2000-01-01' or priority = '1-URGENT'")
-    changed.withColumn("status", F.lit("X")).select(*shape).write.mode("append").parquet(landing)
+    for condition, status in (("order_date >= '2000-01-01' or priority = '1-URGENT'", "X"), ("priority = '1-URGENT'", "Y")):
+        rows.where(condition).withColumn("status", F.lit(status)).select(*shape).write.mode("append").parquet(landing)
     poll()
     return spark.table(name).select(*shape)
 
@@ -82,16 +83,31 @@ def stream_dead_letters(spark, folder):
     return spark.read.parquet(bad).drop("batch_id")
 
 
-@query("stream_stuck", _alert_sql(
-    f"status = 'New' AND contains(kind, 'MSG') AND ts < TIMESTAMP '{NOW}' - INTERVAL 5 MINUTE",
-    " errors found.", "&page=11242113"))
+@query("stream_stuck", f"""
+SELECT company_name, count(*) AS row_count, count(*) || ' errors found.' AS error_details,
+       '{BASE}' || company_name || '&page=11242113' AS link
+FROM (SELECT 'U' || user_id % 20 AS company_name FROM events
+      WHERE event_type = 'signup' AND user_id % 3 <> 0 AND ts < TIMESTAMP '{NOW}' - INTERVAL 5 MINUTE)
+GROUP BY company_name
+""")
 def stream_stuck(spark, folder):
-    """Messages land, the monitor looks at all of them."""
-    landing, alerts = run_folder(spark, "landing"), run_folder(spark, "alerts")
-    messages = _messages(spark, folder)
-    messages.write.parquet(landing)
-    stuck_stream(
-        spark, landing, messages.schema, alerts, run_folder(spark, "checkpoint"), BASE,
-        now=lambda: moment(NOW), kind="MSG",
-    ).awaitTermination()
-    return spark.read.parquet(alerts).drop("batch_id")
+    """Messages land, some land again as done, others turn stuck while nothing lands."""
+    landing, alerts, checkpoint = (run_folder(spark, p) for p in ("landing", "alerts", "checkpoint"))
+    company = F.concat(F.lit("U"), (F.col("user_id") % 20).cast("string"))
+    messages = _messages(spark, folder, "event_id", "user_id").withColumn("Entity", company)
+    shape = ["event_id", "status", "messageType", "receivedAt", "Entity"]
+    name, schema = f"messages_{uuid.uuid4().hex}", messages.select(*shape).schema
+    tables.create(spark, name, schema, run_folder(spark, "table"))
+
+    def check(now):
+        return watch(
+            spark, landing, schema, name, ["event_id", "Entity"], checkpoint, alerts, BASE,
+            datetime.fromisoformat(now), kind="MSG",
+        )
+
+    messages.select(*shape).write.mode("append").parquet(landing)
+    check("2000-01-01 00:00:00")  # all are new, none has waited
+    done = messages.where("status = 'New' and user_id % 3 = 0").withColumn("status", F.lit("Done"))
+    done.select(*shape).write.mode("append").parquet(landing)
+    check("2000-01-01 00:01:00")
+    return check(NOW)

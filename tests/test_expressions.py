@@ -83,6 +83,11 @@ def test_settled_amount(value, booked, expected):
     assert value(money.settled_amount, D("100.00"), D(booked)) == D(expected)
 
 
+def test_time_of_a_missing_day(value):
+    build = lambda d, t: times.at_time(d.cast("date"), t)
+    assert value(build, None, "12:00:00") is None and value(build, "2024-01-02", None) is not None
+
+
 def test_home_amount(value):
     factor = D("1.100000")
     assert value(money.home_amount, D("100.00"), "USD", factor) == D("90.91")
@@ -90,6 +95,12 @@ def test_home_amount(value):
     assert value(money.home_amount, D("0.05"), "USD", D("2.000000")) == D("0.02")
     assert value(money.rate_text, "EUR", factor) == "1"
     assert value(money.rate_text, "USD", factor) == "1.1"
+    assert value(money.rate_text, "USD", D("0.9234567891")) == "0.9234567891"
+    assert value(money.rate_text, "USD", D("1")) == "1.0"
+    assert value(money.home_amount, D("1000000.00"), "USD", D("0.9234567891")) == D("1082887.70")
+    assert value(money.home_amount, D("-0.15"), "USD", D("2.000000")) == D("-0.08")
+    assert value(money.home_amount, D("1.00"), "USD", D("0")) is None
+    assert value(money.home_amount, D("1.00"), "EUR", D("0")) == D("1.00")
 
 
 def test_two_decimals(value):

@@ -1,6 +1,7 @@
 """Stored tables, the extract catalog and streams."""
 
 import uuid
+from datetime import datetime, timedelta
 
 import pytest
 
@@ -9,6 +10,7 @@ from ledgerhub.plans import catalog, extract
 from ledgerhub.scratch import run_folder, written_once
 from ledgerhub.sinks import files, tables
 from ledgerhub.streaming.inbox import inbox_stream
+from ledgerhub.streaming.stuck import watch
 from ledgerhub.streaming.upserts import upsert_stream
 
 DDL = "id INT, v STRING, Entity STRING"
@@ -234,6 +236,51 @@ def test_stream_upsert_continues_from_its_checkpoint(spark, rows, table, tmp_pat
     assert rows(spark.table(name)) == [(1, "a", "A"), (2, "new", "B"), (3, "c", "C")]
 
 
+def test_overlapping_polls_and_rows_without_key(spark, rows, table, tmp_path):
+    """Two polls land one key before a run; the last arrival wins, and a restart changes nothing."""
+    first = spark.createDataFrame([(1, "a", "A"), (2, "b", "B"), (None, "no key", "A")], DDL)
+    name, landing, checkpoint, aside = table(first), str(tmp_path / "in"), str(tmp_path / "cp"), str(tmp_path / "aside")
+
+    def poll(**more):
+        upsert_stream(spark, landing, first.schema, name, ["id", "Entity"], checkpoint, **more).awaitTermination()
+
+    first.coalesce(1).write.parquet(landing)
+    spark.createDataFrame([(1, "newer", "A")], DDL).write.mode("append").parquet(landing)
+    with pytest.raises(Exception, match="cannot be stored"):
+        poll()
+    for _ in range(2):
+        poll(rejects=aside)
+        assert rows(spark.table(name)) == [(1, "newer", "A"), (2, "b", "B")]
+        assert rows(spark.read.parquet(aside), "v") == [("no key",)]
+
+
+def test_replayed_batch_with_null_key_adds_nothing(spark, rows, table, tmp_path):
+    batch = spark.createDataFrame([(1, "a", "A"), (None, "x", "A")], DDL)
+    name = table(batch)
+    for _ in range(2):
+        tables.change_companies(batch, name, KEYS, lambda t, b: upsert(t, b, KEYS), rejects=str(tmp_path / "aside"))
+    assert rows(spark.table(name)) == [(1, "a", "A")]
+    assert rows(spark.read.parquet(str(tmp_path / "aside"))) == [(None, "x", "A")]
+
+
+def test_messages_turn_stuck_while_nothing_lands(spark, rows, table, tmp_path):
+    ddl = "id INT, status STRING, messageType STRING, receivedAt TIMESTAMP_NTZ, Entity STRING"
+    when = datetime(2024, 1, 1, 12, 0)
+    first = spark.createDataFrame([(1, "New", "CDM", when, "A"), (2, "New", "CDM", when, "A")], ddl)
+    name, places = table(first), [str(tmp_path / p) for p in ("in", "cp", "alerts")]
+
+    def check(minutes):
+        found = watch(spark, places[0], first.schema, name, ["id", "Entity"], places[1], places[2], "http://x?c=",
+                      when + timedelta(minutes=minutes))
+        return rows(found, "company_name", "row_count")
+
+    first.write.parquet(places[0])
+    assert check(1) == []
+    assert check(60) == [("A", 2)]
+    spark.createDataFrame([(1, "Done", "CDM", when, "A")], ddl).write.mode("append").parquet(places[0])
+    assert check(61) == [("A", 1)]
+
+
 def test_inbox_sets_malformed_messages_aside(spark, rows, tmp_path):
     inbox = tmp_path / "in"
     inbox.mkdir()
