@@ -142,7 +142,7 @@ def test_failed_jobs_and_partners(frame, rows):
     assert rows(alerts.failed_jobs(queue, "b=", threshold=2)) == []
     registry = frame([("A",), ("B",), ("C",), ("Consol HV",)], "name STRING")
     partners = frame([("p", "A"), ("", "B"), (None, "B")], "Central_Layer_Partner_ID STRING, Entity STRING")
-    assert rows(alerts.companies_without_partner(registry, partners), "company_name") == [("B",), ("C",)]
+    assert rows(alerts.companies_without_partner(registry, partners, ["Consol HV"]), "company_name") == [("B",), ("C",)]
 
 
 def test_relation_growth(spark, frame, rows):
