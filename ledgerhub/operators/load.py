@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerhub.functions.text import quoted
 from ledgerhub.operators.latest import first_per_key, last_per_key
@@ -35,21 +35,15 @@ def append_above(
 def unique_batch(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The batch itself; fails the job when a key occurs twice.
 
-    Partial aggregation shrinks a repeated key in the map tasks, so even a batch made of
-    one key fails fast instead of filling one task.
+    Of each key the map tasks pass on two rows at most (``row_number() <= 2``), so even a
+    batch made of one key fails fast instead of filling one task. Rows are sorted by key, as
+    a join by key needs them anyway.
     """
-    rest = [c for c in batch.columns if c not in keys]
-    row = F.struct(*quoted(rest)) if rest else F.struct(F.lit(True))
-    counted = batch.groupBy(*quoted(keys)).agg(
-        F.count(F.lit(1)).alias("_copies"), F.first(row).alias("_row")
-    )
-    message = F.concat(
-        F.lit("upsert batch repeats key "), F.to_json(F.struct(*quoted(keys)))
-    )
-    once = F.when(F.col("_copies") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
-    checked = counted.where(once)
-    values = [F.col(f"_row.{name}") for name in quoted(rest)]
-    return checked.select(*quoted(keys), *values).select(*quoted(batch.columns))
+    names = quoted(keys)
+    place = F.row_number().over(Window.partitionBy(*names).orderBy(*names))
+    message = F.concat(F.lit("upsert batch repeats key "), F.to_json(F.struct(*names)))
+    once = F.when(F.col("_place") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
+    return batch.withColumn("_place", place).where("_place <= 2").where(once).drop("_place")
 
 
 def upsert(
@@ -58,18 +52,15 @@ def upsert(
     """Merge: a matched row takes the batch's columns, an unmatched batch row is inserted.
 
     Columns the batch does not have keep the target's value on a match and are NULL on
-    an insert. ``measured`` sizes the batch first and broadcasts it when it is small: then
-    the target is updated where it lies, without a shuffle.
+    an insert. One full join does both, with each side shuffled once. ``measured`` sizes the
+    batch first and broadcasts it when it is small: then the target is updated where it lies,
+    without a shuffle.
     """
     unique = unique_batch(batch, keys)
     changed = [c for c in batch.columns if c not in keys]
     source = unique.select(
         *quoted(keys), F.struct(F.lit(True).alias("_hit"), *quoted(changed)).alias("_new")
     )
-    known = target.select(*quoted(keys))
-    if measured and fits_broadcast(batch):
-        source = F.broadcast(source)
-        known = known.join(F.broadcast(batch.select(*quoted(keys))), list(keys), "left_semi")
     matched = F.col("_new._hit").isNotNull()
 
     def value(column: str) -> Column:
@@ -78,7 +69,13 @@ def upsert(
             return F.col(name)
         return F.when(matched, F.col(f"_new.{name}")).otherwise(F.col(name)).alias(column)
 
-    updated = target.join(source, list(keys), "left").select(*[value(c) for c in target.columns])
+    columns = [value(c) for c in target.columns]
+    if not (measured and fits_broadcast(batch)):
+        return target.join(source, list(keys), "full_outer").select(*columns)
+    updated = target.join(F.broadcast(source), list(keys), "left").select(*columns)
+    known = target.select(*quoted(keys)).join(
+        F.broadcast(batch.select(*quoted(keys))), list(keys), "left_semi"
+    )
     inserted = absent(unique, known, keys)
     return updated.unionByName(inserted, allowMissingColumns=True).select(*quoted(target.columns))
 

@@ -45,6 +45,13 @@ def present(
     return df.join(found, list(keys), "left_semi").select(*quoted(df.columns))
 
 
+def flagged(df: DataFrame, other: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """``df`` with the flag ``name``: whether the row's key occurs in ``other``. One probe."""
+    found = _keys_of(other, keys, False).withColumn("_found", F.lit(True))
+    joined = df.join(found, list(keys), "left")
+    return joined.select(*quoted(df.columns), F.col("_found").isNotNull().alias(name))
+
+
 def keyed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Rows whose key is whole, and the others."""
     whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in quoted(keys)])

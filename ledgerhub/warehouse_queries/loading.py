@@ -9,7 +9,7 @@ from pyspark.sql import functions as F, types as T
 from ledgerhub.functions.text import no_trailing_blanks
 from ledgerhub.operators import binding, changes, load
 from ledgerhub.operators.counts import rows_per_company
-from ledgerhub.operators.presence import absent, present
+from ledgerhub.operators.presence import absent, flagged
 from ledgerhub.operators.watermark import high_watermarks
 from ledgerhub.plans import catalog, count_check, extract
 from ledgerhub.scratch import run_folder
@@ -341,9 +341,7 @@ def existing_keys(spark, folder):
     stored = read(spark, folder, "lineitem").where("l_returnflag = 'R'").select(
         F.col("l_orderkey").alias("no")
     )
-    return present(orders, stored, ["no"]).withColumn("stored", F.lit(True)).unionByName(
-        absent(orders, stored, ["no"]).withColumn("stored", F.lit(False))
-    )
+    return flagged(orders, stored, ["no"], "stored")
 
 
 @query("company_counts", f"""

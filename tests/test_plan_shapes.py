@@ -4,9 +4,12 @@ from pyspark.sql import functions as F
 
 from ledgerhub.operators.alignment import aligned_amounts
 from ledgerhub.operators.latest import last_per_key
+from ledgerhub.operators.load import upsert
+from ledgerhub.operators.presence import flagged
 from ledgerhub.operators.watermark import above_watermark
 from ledgerhub.sizing import broadcast_within, local_copy, measured_size
-from tests.plans_text import plan
+from ledgerhub.warehouse_queries import QUERIES
+from tests.plans_text import exchanges, plan
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -14,10 +17,27 @@ FOLDER = "/root/testdata/sf0.001"
 def test_one_exchange_for_all_sums(spark):
     part = lambda: spark.range(10).selectExpr("id AS account", "'A' AS Entity", "1.5bd AS amount")
     out = aligned_amounts(part(), {"a": part(), "b": part(), "c": part()})
-    assert plan(out).count("Exchange\n") <= 1 or plan(out).count("+- Exchange") == 1
+    assert exchanges(out) == 1
     assert "Join" not in plan(out)
 
 
+def test_upsert_shuffles_each_side_once_and_sorts_no_whole_rows(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        orders = spark.read.parquet(f"{FOLDER}/orders.parquet")
+        out = upsert(orders, orders.where("o_orderkey % 3 = 0"), ["o_orderkey"])
+        assert exchanges(out) == 2 and plan(out).count("FullOuter") >= 1
+        assert "SortAggregate" not in plan(out)
+        assert exchanges(flagged(orders, orders, ["o_orderkey"], "known")) == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_first_headers_carry_no_whole_header_to_the_shuffle(spark):
+    text = plan(QUERIES["payment_match"](spark, FOLDER))
+    assert "SortAggregate" not in text
+
+
 def test_last_per_key_cuts_rows_before_the_shuffle(spark):
     lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet")
     text = plan(last_per_key(lines, ["l_orderkey"], ["l_shipdate"]))
