@@ -53,6 +53,17 @@ def drift(df: DataFrame, schema: T.StructType) -> dict[str, list[str]]:
     }
 
 
+def drift_rows(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """:func:`drift` as rows (problem, column, filled): in how many records an unknown column has a value."""
+    found = drift(df, schema)
+    names = [("missing", n) for n in found["missing"]] + [("unknown", n) for n in found["unknown"]]
+    filled = [F.lit(0).cast("long") if p == "missing" else F.count(quoted([n])[0]) for p, n in names]
+    rows = [F.struct(F.lit(p).alias("problem"), F.lit(n).alias("column"), c.alias("filled")) for (p, n), c in zip(names, filled)]
+    if not rows:
+        return df.sparkSession.createDataFrame([], "problem STRING, column STRING, filled BIGINT")
+    return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+
+
 def positional(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Columns renamed by position; the widths must agree."""
     if len(df.columns) != len(names):

@@ -13,12 +13,16 @@ APPEND_MERGE = "merge above watermark"
 MERGE = "merge"
 REPLACE_ALL = "replace, keep repeats"
 REPLACE_LAST = "replace, last wins"
+INSERT_ABSENT = "insert if absent"  # first of each key, stored rows stay
 REPORT = "report"                  # positional CSV, whole table per run
 
 
 @dataclass(frozen=True)
 class Dataset:
-    """One extract job. ``kinds`` is (column, values) of rows to keep."""
+    """One extract job. ``kinds`` is (column, values) of rows to keep.
+
+    ``only`` are (column, value) pairs a report's rows must have, by its header names.
+    """
 
     target: str
     source: str
@@ -29,6 +33,7 @@ class Dataset:
     kinds: tuple[str, tuple] | None = None
     width: int | None = None
     skipped: tuple[str, ...] = field(default=())
+    only: tuple[tuple[str, str], ...] = ()
 
 
 def _append(target: str, source: str, entry_no: str) -> Dataset:
@@ -42,10 +47,11 @@ def _replace_last(target: str, source: str, key: str, kinds=None) -> Dataset:
     )
 
 
-def _report(target: str, source: str, width: int) -> Dataset:
-    return Dataset(target, source, REPORT, width=width)
+def _report(target: str, source: str, width: int, only=()) -> Dataset:
+    return Dataset(target, source, REPORT, width=width, only=only)
 
 
+_SETTLED = (("DataType", fv.VOYAGE_DATA_TYPE), ("SnapShotType", fv.VOYAGE_SNAPSHOT))
 _LINE_TYPES = ("type", tuple(fv.LOADED_LINE_TYPES))
 
 # Table and source names of the extract jobs.
@@ -98,7 +104,7 @@ DATASETS = [
     _report("VS_voyage_cargoes", "whs_voyage_cargo", 300),
     _report("VS_voyage_it", "whs_voyage_it", 76),
     _report("VS_voyage_pnl", "whs_voyage_pnl", 208),
-    _report("VS_voyagev3", "VoyageV3", 6),
+    _report("VS_voyagev3", "VoyageV3", 6, _SETTLED),
     Dataset("BC_GLaccounts_mapping", "Ledgernummer"),
 ]
 

@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerhub.operators import load
-from ledgerhub.operators.binding import ENTITY, without
+from ledgerhub.operators.binding import ENTITY, positional, without
 from ledgerhub.operators.changes import modified_since, of_kinds
 from ledgerhub.operators.watermark import above_watermark
 from ledgerhub.plans import catalog, run_log
@@ -58,6 +58,8 @@ def loaded(
         return load.replace_all(target, stored, entry.keys)
     if entry.load == catalog.REPLACE_LAST:
         return load.replace_last(target, batch, entry.keys, arrival)
+    if entry.load == catalog.INSERT_ABSENT:
+        return load.insert_absent(target, batch, entry.keys, arrival)
     raise ValueError(f"no load pattern {entry.load}")
 
 
@@ -107,6 +109,10 @@ def _apply(
             tables.swap(stored, table)
     elif entry.load == catalog.APPEND:
         tables.append(_stored(entry, batch), table)
+    elif entry.load == catalog.INSERT_ABSENT:
+        target = batch.sparkSession.table(table)
+        new = load.new_rows(target, batch, entry.keys, ARRIVAL)
+        tables.append(written_once(_stored(entry, new), "absent"), table)
     else:
         tables.change_companies(batch, table, entry.keys, _change(entry))
 
@@ -192,8 +198,18 @@ def landed_records(landing: DataFrame, store: bool = False) -> tuple[DataFrame,
 
 
 def landed_report(spark: SparkSession, entry: Dataset, path: str) -> DataFrame:
-    """A positional report of the catalog's width."""
-    return reports.positional_report(spark, path, entry.width)
+    """A report of the catalog's width, by position; rows the entry does not want are left out.
+
+    Such rows are told by header names. A report without those columns was cut at its source.
+    """
+    if not entry.only:
+        return reports.positional_report(spark, path, entry.width)
+    named = reports.named_report(spark, path)
+    wanted = named
+    if {column for column, _ in entry.only} <= set(named.columns):
+        for column, value in entry.only:
+            wanted = wanted.where(F.col(column) == value)
+    return positional(wanted, reports.positional_schema(entry.width).names)
 
 
 def _change(entry: Dataset):

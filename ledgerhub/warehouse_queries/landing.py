@@ -12,7 +12,7 @@ from ledgerhub.operators import binding
 from ledgerhub.plans import catalog, extract
 from ledgerhub.scratch import run_folder
 from ledgerhub.sinks import files, tables
-from ledgerhub.sources import counts, pages, reports
+from ledgerhub.sources import counts, pages, registry, reports, warehouse
 from ledgerhub.warehouse_queries.base import (
     DOCUMENTS_SQL, documents, moment, money, plain, query, read,
 )
@@ -171,17 +171,18 @@ def csv_by_name(spark, folder):
 
 
 @query("report_refresh", """
-SELECT CAST(o_orderkey AS VARCHAR) AS "_c1", CAST(o_custkey AS VARCHAR) AS "_c2", o_orderstatus AS "_c3",
+SELECT CAST(o_orderkey AS VARCHAR) AS "_c1", CAST(o_custkey AS VARCHAR) AS "_c2", 'closed' AS "_c3",
        CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS "_c4", strftime(o_orderdate, '%Y-%m-%d') AS "_c5",
-       o_orderpriority AS "_c6"
-FROM orders
+       'A' AS "_c6"
+FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'
 """)
 def report_refresh(spark, folder):
-    """A voyage report of six positional columns replaces the stored table."""
+    """A voyage report of six columns replaces the stored table; the job keeps settled voyages."""
     store = run_folder(spark, "report")
     read(spark, folder, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", money("o_totalprice"),
-        F.date_format("o_orderdate", "yyyy-MM-dd"), "o_orderpriority",
+        "o_orderkey", "o_custkey", F.when(F.col("o_orderstatus") == "F", "closed").otherwise("open").alias("SnapShotType"),
+        money("o_totalprice"), F.date_format("o_orderdate", "yyyy-MM-dd"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", "A").otherwise("F").alias("DataType"),
     ).write.option("header", True).csv(store)
     entry = catalog.dataset("VS_voyagev3")
     landed = extract.landed_report(spark, entry, store)
@@ -216,6 +217,68 @@ def mapping_import(spark, folder):
     return reports.mapping_keys(reports.named_report(spark, store), "Ledgernummer")
 
 
+@query("mapping_load", """
+SELECT lpad(CAST(p_partkey AS VARCHAR), 8, '0') AS "Ledgernummer" FROM part WHERE p_size > 10
+""")
+def mapping_load(spark, folder):
+    """The stored mapping list is replaced by the landed one, then read back."""
+    entry, name = catalog.dataset("BC_GLaccounts_mapping"), f"mapping_{uuid.uuid4().hex}"
+    number = F.lpad(F.col("p_partkey").cast("string"), 8, "0").alias("Ledgernummer")
+    for condition in ("p_size <= 10", "p_size > 10"):
+        store = run_folder(spark, "mapping")
+        read(spark, folder, "part").where(condition).select(F.col("p_name").alias("Omschrijving"), number).write.option(
+            "header", True).csv(store)
+        landed = reports.mapping_keys(reports.named_report(spark, store), "Ledgernummer")
+        tables.create_plain(spark, name, landed.schema, run_folder(spark, "table"))
+        extract.run(entry, landed, name, "2001-01-01")
+    return warehouse.read_table(spark, name)
+
+
+@query("registry_tables", """
+SELECT CASE WHEN n_regionkey % 2 = 0 THEN 'first' ELSE 'second' END AS registry, n_name AS name
+FROM nation WHERE n_name <> 'NATION_3'
+""")
+def registry_tables(spark, folder):
+    """Names from two stored registries, one company left out."""
+    found = []
+    for name, rest in (("first", 0), ("second", 1)):
+        table = f"companies_{uuid.uuid4().hex}"
+        rows = read(spark, folder, "nation").where(F.col("n_regionkey") % 2 == rest).select(F.col("n_name").alias("name"))
+        tables.create_plain(spark, table, rows.schema, run_folder(spark, "table"))
+        tables.swap(rows, table)
+        names = registry.read_companies(spark, table, skip=["NATION_3"])
+        found.append(names.select(F.lit(name).alias("registry"), "name"))
+    return found[0].unionByName(found[1])
+
+
+@query("staging_scan", """
+SELECT o_orderstatus AS status, count(*) AS documents FROM orders GROUP BY o_orderstatus
+""")
+def staging_scan(spark, folder):
+    """A query over a stored table of a named database."""
+    table = f"staged_{uuid.uuid4().hex}"
+    rows = read(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    tables.create_plain(spark, table, rows.schema, run_folder(spark, "table"))
+    tables.swap(rows, table)
+    scanned = warehouse.read_table(spark, table, "default")
+    return scanned.groupBy(F.col("o_orderstatus").alias("status")).agg(F.count(F.lit(1)).alias("documents"))
+
+
+@query("drift_report", """
+SELECT 'missing' AS problem, 'searchName' AS "column", CAST(0 AS BIGINT) AS filled
+UNION ALL SELECT 'unknown', 'c_mktsegment', count(*) FILTER (WHERE c_mktsegment <> 'BUILDING') FROM customer
+UNION ALL SELECT 'unknown', 'c_nationkey', count(c_nationkey) FROM customer
+""")
+def drift_report(spark, folder):
+    """Declared columns that did not land and landed ones that are not declared, with their filled rows."""
+    landed = read(spark, folder, "customer").select(
+        F.col("c_custkey").alias("NO"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"),
+        F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")).alias("c_mktsegment"), "c_nationkey",
+    )
+    schema = T.StructType().add("no", "long").add("name", "string").add("balance", "double").add("searchName", "string")
+    return binding.drift_rows(landed, schema)
+
+
 @query("bind_by_name", """
 SELECT c_custkey AS no, c_name AS name, CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS balance,
        md5(c_name) AS etag, c_mktsegment AS "3PL_Vendor_No", CAST(NULL AS VARCHAR) AS "searchName",

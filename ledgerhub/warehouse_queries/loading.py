@@ -434,6 +434,37 @@ def stored_company_table(spark, folder):
     return spark.table(name).select("entryNo", "Entity", "status", "total")
 
 
+@query("stored_insert_absent", f"""
+WITH {DOCUMENTS_SQL}
+SELECT "entryNo", "Entity", CASE WHEN order_date < '1999-01-01' THEN status ELSE 'first' END AS status, total FROM o
+""")
+def stored_insert_absent(spark, folder):
+    """Stored documents stay as they are; of new ones, landed twice, the first arrival is added."""
+    name = f"absent_{uuid.uuid4().hex}"
+    rows = documents(spark, folder).select("entryNo", "status", "total", "order_date", "Entity")
+    shape = ["entryNo", "status", "total", "Entity"]
+    tables.create(spark, name, rows.select(*shape).schema, run_folder(spark, "table"))
+    tables.refresh(rows.where("order_date < '1999-01-01'").select(*shape), name)
+    landed = [
+        rows.select(*shape).withColumns({"status": F.lit(s), "page_no": F.lit(i), "pos": F.col("entryNo")})
+        for i, s in ((1, "first"), (2, "second"))
+    ]
+    entry = catalog.Dataset("documents", "orders", catalog.INSERT_ABSENT, keys=("entryNo", "Entity"))
+    for _ in range(2):  # a repeated run adds nothing
+        extract.run(entry, landed[0].unionByName(landed[1]), name, "2001-01-01")
+    return spark.table(name).select(*shape)
+
+
+@query("tagged_pulls", """
+SELECT c_custkey AS no, c_name AS name, CASE WHEN c_acctbal < 0 THEN 'debtors' ELSE 'others' END AS "Entity" FROM customer
+""")
+def tagged_pulls(spark, folder):
+    """One pull per company, each tagged with its company."""
+    customer = read(spark, folder, "customer").select(F.col("c_custkey").alias("no"), F.col("c_name").alias("name"), "c_acctbal")
+    pulls = [("debtors", "c_acctbal < 0"), ("others", "c_acctbal >= 0")]
+    return load.fan_out([binding.tagged(customer.where(c).drop("c_acctbal"), company) for company, c in pulls])
+
+
 @query("logged_extracts", f"""
 WITH {DOCUMENTS_SQL},
 c AS (SELECT o.*, top FROM o LEFT JOIN

@@ -271,6 +271,12 @@ def portcall_feed(spark, folder):
     return calls.withColumns(stamps)
 
 
+@query("portcall_listing", _PORTCALL_SQL + """SELECT "PortCallNumber", company, "VesselName" FROM n ORDER BY "PortCallNumber" DESC""")
+def portcall_listing(spark, folder):
+    """New port calls, highest number first."""
+    return portcalls.newest_first(_new_portcalls(spark, folder)).select("PortCallNumber", "company", "VesselName")
+
+
 _ESCAPED = "replace(replace(coalesce({0}, ''), '&', '&amp;'), '<', '&lt;')"
 _DOCUMENT_SQL = (
     f"'<ns0:Message xmlns:ns0=\"{PORTCALL_NAMESPACE}\"><ns0:Header><ns0:MessageID>' || \"PortCallNumber\""
