@@ -1,23 +1,33 @@
-"""Company-partitioned Parquet tables.
+"""Company-partitioned Parquet tables, with key buckets where single rows change.
 
-A change is written to a new folder and the catalog is pointed at it afterwards, company
-by company. A job that fails leaves the table as it was, readers never see half a company,
-and companies without changes are neither read nor written.
+A table is partitioned by company, and if it is made with ``buckets`` also by a hash of its
+keys: then a change rewrites only the buckets it touches, however large the company. A change
+is written to a new folder and the catalog is pointed at it afterwards, partition by
+partition; the folders it replaces are removed then. A job that fails leaves the table as it
+was, readers never see half a partition, and what does not change is neither read nor written.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
+from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ledgerhub.functions.text import quoted
 from ledgerhub.operators.presence import keyed, present
 
 ENTITY = "Entity"
+BUCKET = "_bucket"
 NO_COMPANY = "__HIVE_DEFAULT_PARTITION__"
+_KEYS, _BUCKETS = "ledgerhub.keys", "ledgerhub.buckets"
+
+#: The values of a partition's columns, as the catalog shows them.
+Spec = tuple[str, ...]
 
 
 def _literal(text: str) -> str:
@@ -25,17 +35,72 @@ def _literal(text: str) -> str:
     return f"'{escaped}'"
 
 
+@dataclass(frozen=True)
+class Layout:
+    """Partition columns of a stored table, and what its buckets are made from."""
+
+    entity: str
+    keys: tuple[str, ...]
+    buckets: int
+
+    @property
+    def columns(self) -> list[str]:
+        return [self.entity, BUCKET] if self.buckets > 1 else [self.entity]
+
+    def bucket(self) -> Column:
+        """Bucket number of a row; keys count by their text, so their types may differ."""
+        texts = [F.col(k).cast("string") for k in quoted(self.keys)]
+        return F.pmod(F.xxhash64(*texts), F.lit(self.buckets)).cast("int")
+
+    def placed(self, df: DataFrame) -> DataFrame:
+        """``df`` with its bucket, if the table has any."""
+        return df.withColumn(BUCKET, self.bucket()) if self.buckets > 1 else df
+
+    def part(self, spec: Spec) -> str:
+        pairs = [f"`{self.entity}` = {_literal(spec[0])}"]
+        pairs += [f"`{BUCKET}` = {int(n)}" for n in spec[1:]]
+        return f"PARTITION ({', '.join(pairs)})"
+
+    def within(self, specs: Iterable[Spec]) -> Column:
+        """Whether a row lies in one of the partitions; reaches the partition filter."""
+        by_company: dict[str, list[int]] = {}
+        for spec in sorted(specs):
+            by_company.setdefault(spec[0], []).extend(int(n) for n in spec[1:])
+        company = F.col(self.entity)
+        if self.buckets == 1:
+            return company.isin(list(by_company))
+        places = [(company == name) & F.col(BUCKET).isin(numbers) for name, numbers in by_company.items()]
+        return reduce(lambda a, b: a | b, places, F.lit(False))
+
+
 def create(
-    spark: SparkSession, table: str, schema: T.StructType, folder: str, entity: str = ENTITY
+    spark: SparkSession,
+    table: str,
+    schema: T.StructType,
+    folder: str,
+    entity: str = ENTITY,
+    keys: Sequence[str] = (),
+    buckets: int = 1,
 ) -> None:
-    """An empty table partitioned by company, unless it is there already."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    """An empty table partitioned by company, unless it is there already.
+
+    With ``buckets`` above 1 also by a hash of ``keys``; it then has a last column ``_bucket``.
+    """
+    fields = [*schema.fields, T.StructField(BUCKET, T.IntegerType())] if buckets > 1 else schema.fields
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    parts = f"`{entity}`, `{BUCKET}`" if buckets > 1 else f"`{entity}`"
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
-        f"PARTITIONED BY (`{entity}`) LOCATION {_literal(folder)}"
+        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet PARTITIONED BY ({parts}) "
+        f"LOCATION {_literal(folder)} TBLPROPERTIES ("
+        f"{_literal(_KEYS)} = {_literal(json.dumps(list(keys)))}, {_literal(_BUCKETS)} = '{buckets}')"
     )
 
 
+def layout_of(spark: SparkSession, table: str, entity: str = ENTITY) -> Layout:
+    shown = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    return Layout(entity, tuple(json.loads(shown.get(_KEYS, "[]"))), int(shown.get(_BUCKETS, 1)))
+
+
 def create_plain(spark: SparkSession, table: str, schema: T.StructType, folder: str) -> None:
     """An empty table without companies, unless it is there already."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
@@ -47,49 +112,112 @@ def create_plain(spark: SparkSession, table: str, schema: T.StructType, folder:
 def swap(df: DataFrame, table: str) -> None:
     """Full refresh of a table without companies: new folder first, then point at it."""
     spark = df.sparkSession
-    base = _table_folder(spark, table).split("/_versions/")[0]
+    old = _table_folder(spark, table)
+    base = old.split("/_versions/")[0]
     folder = f"{base}/_versions/{uuid.uuid4().hex}"
-    _in_table_order(df, table).write.parquet(folder)
+    df.select(*quoted(spark.table(table).columns)).write.parquet(folder)
     spark.sql(f"ALTER TABLE {table} SET LOCATION {_literal(folder)}")
     spark.catalog.refreshTable(table)
+    if old != base:
+        _remove(spark, base, [old])
 
 
 def companies_of(df: DataFrame, entity: str = ENTITY) -> list[str]:
     """The companies that occur in a batch: no more names than the catalog holds partitions."""
-    rows = df.select(entity).distinct().collect()
-    if any(row[0] is None for row in rows):
-        raise ValueError(f"rows without {entity} cannot be stored")
-    return sorted(row[0] for row in rows)
+    return sorted({spec[0] for spec in _parts_of(df, [entity])})
+
+
+def _parts_of(df: DataFrame, columns: list[str]) -> set[Spec]:
+    rows = df.select(*[F.col(c).cast("string") for c in quoted(columns)]).distinct().collect()
+    if any(None in row for row in rows):
+        raise ValueError(f"rows without {columns[0]} cannot be stored")
+    return {tuple(row) for row in rows}
+
+
+def _location(rows: list, heading: str) -> str:
+    """The first location below a heading; columns and partitions come before it."""
+    names = [r["col_name"] for r in rows]
+    start = names.index(heading)
+    return rows[names.index("Location", start)]["data_type"].rstrip("/")
 
 
 def _table_folder(spark: SparkSession, table: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
-    return rows[-1]["data_type"].rstrip("/")  # columns of that name come first
+    shown = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    return _location(shown, "# Detailed Table Information")
+
+
+def _part_folder(spark: SparkSession, table: str, part: str) -> str:
+    shown = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {part}").collect()
+    return _location(shown, "# Detailed Partition Information")
 
 
-def _in_table_order(df: DataFrame, table: str) -> DataFrame:
-    return df.select(*quoted(df.sparkSession.table(table).columns))
+def _remove(spark: SparkSession, base: str, folders: Iterable[str]) -> None:
+    """Delete folders below ``base`` that a change has replaced; the catalog no longer names them."""
+    for folder in folders:
+        if not folder.startswith(base + "/"):
+            raise ValueError(f"{folder} is not below {base}")
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def _company_folders(spark: SparkSession, table: str) -> dict[str, str]:
-    """Stored companies and their folder names, from the catalog alone."""
+def _in_table_order(df: DataFrame, table: str, layout: Layout) -> DataFrame:
+    return layout.placed(df).select(*quoted(df.sparkSession.table(table).columns))
+
+
+def _stored_parts(spark: SparkSession, table: str) -> dict[Spec, str]:
+    """Stored partitions and their folder names, from the catalog alone."""
     shown = [row["partition"] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
-    return {unquote(name.split("=", 1)[1]): name for name in shown}
+    return {tuple(unquote(p.split("=", 1)[1]) for p in name.split("/")): name for name in shown}
 
 
-def _written_folders(
-    spark: SparkSession, table: str, schema: T.StructType, folder: str, entity: str
-) -> dict[str, str]:
-    """Companies in a written folder, found by listing it and not by reading rows."""
+def _written_parts(spark: SparkSession, table: str, schema: T.StructType, folder: str, layout: Layout) -> dict[Spec, str]:
+    """Partitions in a written folder, found by listing it and not by reading rows."""
     incoming = f"{table}_incoming_{uuid.uuid4().hex}"
-    create(spark, incoming, schema, folder, entity)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    parts = ", ".join(quoted(layout.columns))
+    spark.sql(
+        f"CREATE TABLE {incoming} ({columns}) USING parquet PARTITIONED BY ({parts}) LOCATION {_literal(folder)}"
+    )
     try:
         spark.catalog.recoverPartitions(incoming)
-        return _company_folders(spark, incoming)
+        return _stored_parts(spark, incoming)
     finally:
         spark.sql(f"DROP TABLE {incoming}")
 
 
+def _replace(df: DataFrame, table: str, layout: Layout, gone: Callable[[set[Spec], set[Spec]], set[Spec]]) -> None:
+    """Store ``df`` as the new content of every partition in it.
+
+    ``gone(stored, written)`` are further partitions to remove. The rebalance hint splits a
+    partition that holds most rows over many tasks and files.
+    """
+    spark = df.sparkSession
+    base = _table_folder(spark, table)
+    folder = f"{base}/_versions/{uuid.uuid4().hex}"
+    ordered = _in_table_order(df, table, layout)
+    ordered.hint("rebalance", *layout.columns).write.partitionBy(*layout.columns).parquet(folder)
+    written = _written_parts(spark, table, ordered.schema, folder, layout)
+    if any(spec[0] == NO_COMPANY for spec in written):
+        raise ValueError(f"rows without {layout.entity} cannot be stored")
+    stored = _stored_parts(spark, table).keys()
+
+    def place(spec: Spec) -> str:
+        return f"LOCATION {_literal(folder + '/' + written[spec])}"
+
+    replaced = [(spec, layout.part(spec)) for spec in sorted(written.keys() & stored)]
+    dropped = [layout.part(spec) for spec in sorted(gone(set(stored), set(written)))]
+    old = [_part_folder(spark, table, part) for part in [p for _, p in replaced] + dropped]
+    for spec, part in replaced:
+        spark.sql(f"ALTER TABLE {table} {part} SET {place(spec)}")
+    new = [f"{layout.part(spec)} {place(spec)}" for spec in sorted(written.keys() - stored)]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD {' '.join(new)}")
+    if dropped:
+        spark.sql(f"ALTER TABLE {table} DROP {', '.join(dropped)}")
+    spark.catalog.refreshTable(table)
+    _remove(spark, base, old)
+
+
 def replace_companies(
     df: DataFrame,
     table: str,
@@ -98,33 +226,15 @@ def replace_companies(
 ) -> None:
     """Store ``df`` as the new content of every company in it.
 
-    The rebalance hint splits a company that holds most rows over many tasks and files.
     ``dropped`` says which of the stored companies that are not in ``df`` are removed.
     """
-    spark = df.sparkSession
-    folder = f"{_table_folder(spark, table)}/_versions/{uuid.uuid4().hex}"
-    ordered = _in_table_order(df, table)
-    ordered.hint("rebalance", entity).write.partitionBy(entity).parquet(folder)
-    written = _written_folders(spark, table, ordered.schema, folder, entity)
-    if NO_COMPANY in written:
-        raise ValueError(f"rows without {entity} cannot be stored")
-    stored = _company_folders(spark, table)
-
-    def place(name: str) -> tuple[str, str]:
-        part = f"PARTITION (`{entity}` = {_literal(name)})"
-        return part, f"LOCATION {_literal(folder + '/' + written[name])}"
-
-    for name in written.keys() & stored.keys():
-        part, location = place(name)
-        spark.sql(f"ALTER TABLE {table} {part} SET {location}")
-    new = [" ".join(place(name)) for name in sorted(written.keys() - stored.keys())]
-    if new:
-        spark.sql(f"ALTER TABLE {table} ADD {' '.join(new)}")
-    gone = dropped(stored.keys() - written.keys()) if dropped else ()
-    if gone:
-        parts = ", ".join(f"PARTITION (`{entity}` = {_literal(name)})" for name in sorted(gone))
-        spark.sql(f"ALTER TABLE {table} DROP {parts}")
-    spark.catalog.refreshTable(table)
+    def gone(stored: set[Spec], written: set[Spec]) -> set[Spec]:
+        fresh = {spec[0] for spec in written}
+        others = {spec[0] for spec in stored} - fresh
+        names = fresh | (dropped(others) if dropped else set())
+        return {spec for spec in stored - written if spec[0] in names}
+
+    _replace(df, table, layout_of(df.sparkSession, table, entity), gone)
 
 
 def refresh(df: DataFrame, table: str, entity: str = ENTITY) -> None:
@@ -165,36 +275,44 @@ def change_companies(
     entity: str = ENTITY,
     rejects: str | None = None,
 ) -> tuple[list[str], list[str]]:
-    """Apply ``change(target, batch)``; gives the companies rewritten and appended to.
-
-    Only companies in which a key of the batch is stored already are rewritten. For the
-    others, often all in an incremental load, the change of nothing is appended and what
-    they hold is not read beyond its keys. ``keys`` include the company. Repeating the call
-    after a failure is harmless: rows that were appended are then found and replaced. That
-    needs a key, so rows with a NULL in a key are refused unless ``rejects`` names a folder,
-    which is overwritten with them.
+    """Apply ``change(target, batch)``; gives the companies with rewritten rows, and the others.
+
+    Only partitions in which a key of the batch is stored already are rewritten: companies, or
+    buckets of companies. To the others, often all in an incremental load, the change of nothing
+    is appended and what they hold is not read beyond its keys. ``keys`` include the company,
+    and the keys of the table's buckets if it has any. Repeating the call after a failure is
+    harmless: rows that were appended are then found and replaced. That needs a key, so rows
+    with a NULL in a key are refused unless ``rejects`` names a folder, which is overwritten
+    with them.
     """
     spark = batch.sparkSession
+    layout = layout_of(spark, table, entity)
+    if layout.buckets > 1 and not set(layout.keys) <= set(keys):
+        raise ValueError(f"buckets by {', '.join(layout.keys)} need these among the keys")
     batch, keyless = keyed(batch, keys)
     if rejects is not None:
         keyless.write.mode("overwrite").parquet(rejects)
     elif not keyless.isEmpty():
         raise ValueError(f"rows without {', '.join(keys)} cannot be stored")
-    names = companies_of(batch, entity)
-    company = F.col(entity)
-    stored = spark.table(table).where(company.isin(names))
-    found = present(stored.select(*quoted(keys)), batch, keys, measured=True)
-    hit = companies_of(found, entity) if names else []
-    fresh = [name for name in names if name not in hit]
+    batch, target = layout.placed(batch), spark.table(table)
+    touched = _parts_of(batch, layout.columns)
+    stored = target.where(layout.within(touched))
+    columns = list(dict.fromkeys([*keys, *layout.columns]))
+    hit = _parts_of(present(stored.select(*quoted(columns)), batch, keys, measured=True), layout.columns)
+    fresh = touched - hit
+
+    def changed(rows: DataFrame, specs: set[Spec]) -> DataFrame:
+        return change(rows.drop(BUCKET), batch.where(layout.within(specs)).drop(BUCKET))
+
     if fresh:
-        nothing = spark.table(table).where(F.lit(False))
-        append(change(nothing, batch.where(company.isin(fresh))), table, entity)
+        append(changed(target.where(F.lit(False)), fresh), table, entity)
     if hit:
-        new = change(stored.where(company.isin(hit)), batch.where(company.isin(hit)))
-        replace_companies(new, table, entity)
-    return hit, fresh
+        _replace(changed(target.where(layout.within(hit)), hit), table, layout, lambda _, written: hit - written)
+    rewritten = {spec[0] for spec in hit}
+    return sorted(rewritten), sorted({spec[0] for spec in fresh} - rewritten)
 
 
 def append(df: DataFrame, table: str, entity: str = ENTITY) -> None:
     """Add rows without touching stored ones."""
-    _in_table_order(df, table).hint("rebalance", entity).write.mode("append").insertInto(table)
+    layout = layout_of(df.sparkSession, table, entity)
+    _in_table_order(df, table, layout).hint("rebalance", *layout.columns).write.mode("append").insertInto(table)

@@ -422,7 +422,9 @@ def stored_company_table(spark, folder):
     name = f"documents_{uuid.uuid4().hex}"
     rows = documents(spark, folder).select("entryNo", "Entity", "status", "total", "order_date", "region")
     shape = ["entryNo", "status", "total", "Entity"]
-    tables.create(spark, name, rows.select(*shape).schema, run_folder(spark, "table"))
+    tables.create(
+        spark, name, rows.select(*shape).schema, run_folder(spark, "table"), keys=["entryNo"], buckets=4
+    )
     tables.refresh(rows.where("order_date < '2000-01-01' and region <> 'ASIA'").select(*shape), name)
     batch = rows.where("order_date >= '1999-07-01' and region = 'EUROPE'").select(*shape)
     tables.change_companies(

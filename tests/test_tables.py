@@ -91,6 +91,47 @@ def test_a_company_with_most_rows_becomes_many_files(spark, table):
     assert files["hot"] > 2 and max(n for c, n in files.items() if c != "hot") <= 2
 
 
+def folder_bytes(folder):
+    import os
+
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet"))
+
+
+@pytest.mark.parametrize("buckets", [1, 16])
+def test_a_changed_row_rewrites_its_bucket_and_bytes_do_not_grow(spark, rows, buckets):
+    first = spark.range(20_000).selectExpr("CAST(id AS INT) AS id", "md5(CAST(id AS STRING)) AS v", "IF(id < 18000, 'big', 'small') AS Entity")
+    name, folder = f"t_{uuid.uuid4().hex}", run_folder(spark, "test")
+    tables.create(spark, name, first.schema, folder, keys=["id"], buckets=buckets)
+    tables.refresh(first, name)
+    size, old = folder_bytes(folder), {r[0] for r in spark.table(name).selectExpr("_metadata.file_path").distinct().collect()}
+    for run in range(10):
+        batch = spark.createDataFrame([(7, f"run {run}", "big")], DDL)
+        tables.change_companies(batch, name, KEYS, lambda t, b: upsert(t, b, KEYS, measured=True))
+        if run == 0:
+            new = spark.table(name).selectExpr("_metadata.file_path AS p", "id").where(f"p not in ({', '.join(repr(o) for o in old)})")
+            assert new.count() < (18_000 if buckets == 1 else 18_000 / buckets * 1.5) + 1
+    assert rows(spark.table(name).where("id = 7"), "id", "v", "Entity") == [(7, "run 9", "big")]
+    assert spark.table(name).count() == 20_000
+    assert folder_bytes(folder) < 1.3 * size
+
+
+def test_bucketed_table_equals_plain_one(spark, rows):
+    first = spark.createDataFrame([(i, "a", f"c{i % 3}") for i in range(60)], DDL)
+    batch = spark.createDataFrame([(i, "b", f"c{i % 4}") for i in range(40, 90)], DDL)
+    frames = []
+    for buckets in (1, 5):
+        name = f"t_{uuid.uuid4().hex}"
+        tables.create(spark, name, first.schema, run_folder(spark, "test"), keys=["id"], buckets=buckets)
+        tables.refresh(first, name)
+        tables.change_companies(batch, name, KEYS, lambda t, b: upsert(t, b, KEYS))
+        tables.append(batch.where("id = 89").selectExpr("id + 100 AS id", "v", "Entity"), name)
+        tables.refresh_companies(first.where("Entity = 'c0' and id < 9"), name)
+        frames.append(rows(spark.table(name), "id", "v", "Entity"))
+    assert frames[0] == frames[1] and len(frames[0]) > 40
+    with pytest.raises(ValueError, match="buckets by id"):
+        tables.change_companies(batch, name, ["Entity"], lambda t, b: b)
+
+
 def test_failed_change_leaves_the_table_alone(spark, rows, table):
     first = spark.createDataFrame([(1, "a", "A")], DDL)
     name = table(first)
