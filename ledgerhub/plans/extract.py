@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerhub.operators import load
-from ledgerhub.operators.binding import ENTITY, positional, without
+from ledgerhub.operators.binding import ENTITY, bind, drift_rows, positional, without
 from ledgerhub.operators.changes import modified_since, of_kinds
 from ledgerhub.operators.watermark import above_watermark
-from ledgerhub.plans import catalog, run_log
+from ledgerhub.plans import catalog, run_log, schemas
 from ledgerhub.plans.catalog import Dataset
 from ledgerhub.scratch import written_once
 from ledgerhub.sinks import files, tables
@@ -197,6 +197,49 @@ def landed_records(landing: DataFrame, store: bool = False) -> tuple[DataFrame,
     return pages.records(whole), pages.incomplete_companies(status)
 
 
+def declared(entry: Dataset, schema: T.StructType | None = None) -> T.StructType:
+    """The columns a job loads: the caller's, or those declared for its table."""
+    found = schema or schemas.schema_of(entry.target)
+    if found is None:
+        raise ValueError(f"no columns are declared for {entry.target}")
+    return found
+
+
+def bound(entry: Dataset, records: DataFrame, schema: T.StructType | None = None) -> DataFrame:
+    """Landed records with the declared columns, typed, their company and their place in the pull."""
+    place = [f for f in records.schema.fields if f.name in (ENTITY, *ARRIVAL)]
+    return bind(records, T.StructType([*declared(entry, schema).fields, *place]))
+
+
+def run_landed(
+    spark: SparkSession,
+    entry: Dataset,
+    folder: str,
+    table: str,
+    run_date: str,
+    log_folder: str,
+    landed: T.StructType | None = None,
+    schema: T.StructType | None = None,
+    registered: DataFrame | None = None,
+    now: Callable[[], datetime] = utc_now,
+) -> tuple[DataFrame, DataFrame]:
+    """From landed pages to the stored table: chain check, binding, load, log with load check.
+
+    Gives the companies whose pull was rejected and the drift report. ``landed`` are the
+    record's fields as they land, by default the declared ones, so that only these are parsed.
+    """
+    wanted = declared(entry, schema)
+    landing = written_once(pages.read_pages(spark, folder, landed or wanted), "pages")
+    status = written_once(pages.chain_status(landing), "status")
+    records = pages.records(pages.complete_pages(landing, status))
+    logged_run(
+        entry, bound(entry, records, schema), table, run_date, log_folder,
+        complete=status.where("complete"), registered=registered, now=now,
+    )
+    drift = drift_rows(records.drop(ENTITY, *ARRIVAL), wanted)
+    return pages.incomplete_companies(status), drift
+
+
 def landed_report(spark: SparkSession, entry: Dataset, path: str) -> DataFrame:
     """A report of the catalog's width, by position; rows the entry does not want are left out.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Window, functions as F, types as T
 
 from ledgerhub.functions.text import no_trailing_blanks
 from ledgerhub.operators import binding, changes, load
@@ -14,6 +14,7 @@ from ledgerhub.operators.watermark import high_watermarks
 from ledgerhub.plans import catalog, count_check, extract
 from ledgerhub.scratch import run_folder
 from ledgerhub.sinks import files, tables
+from ledgerhub.sources import pages
 from ledgerhub.sources.registry import company_names, for_companies
 from ledgerhub.warehouse_queries.base import (
     DOCUMENTS_SQL, ENTRIES_SQL, LINES_SQL, companies, customer_companies, documents, entries,
@@ -457,6 +458,96 @@ def stored_insert_absent(spark, folder):
     return spark.table(name).select(*shape)
 
 
+RECORD = T.StructType([
+    T.StructField("entryNo", T.LongType()), T.StructField("status", T.StringType()), T.StructField("total", T.DoubleType()),
+])
+PAGES = 4
+
+
+def _land(rows, versions):
+    """Pages of the rows below a new folder: each row once per version, the last page without next link."""
+    page = (F.pmod("entryNo", F.lit(PAGES)) + 1).alias("page_no")
+    every = load.fan_out([rows.withColumn("status", F.coalesce(F.lit(v), F.col("status"))) for v in versions])
+    numbered = every.groupBy("Entity", page).agg(F.sort_array(F.collect_list(F.struct("entryNo", "status", "total"))).alias("value"))
+    first = numbered.groupBy("Entity").agg(F.count(F.lit(1)).alias("pages"))  # companies with few rows may lack a page
+    place = F.row_number().over(Window.partitionBy("Entity").orderBy("page_no"))
+    linked = numbered.withColumn("place", place).join(first, "Entity")
+    store = run_folder(rows.sparkSession, "landed")
+    linked.select(
+        "Entity", F.col("place").alias("page_no"), "value",
+        F.when(F.col("place") < F.col("pages"), "next").alias(pages.NEXT_LINK),
+    ).write.json(store)
+    return store
+
+
+def _landed_load(spark, folder, kind, versions):
+    """Old documents land and are loaded, then later ones that overlap them; the table read back."""
+    name, log = f"landed_{uuid.uuid4().hex}", run_folder(spark, "log")
+    rows = documents(spark, folder)
+    entry = catalog.Dataset("documents", "orders", kind, keys=("entryNo", "Entity"), entry_no="entryNo")
+    stored = T.StructType([*RECORD.fields, T.StructField("Entity", T.StringType())])
+    tables.create(spark, name, stored, run_folder(spark, "table"), keys=["entryNo"], buckets=4)
+    for condition, named in (("order_date < '1999-01-01'", [None]), ("order_date >= '1998-01-01'", versions)):
+        store = _land(rows.where(condition), named)
+        rejects, drift = extract.run_landed(spark, entry, store, name, "2001-01-01", log, schema=RECORD)
+        assert rejects.isEmpty() and drift.isEmpty()
+    failed = spark.read.parquet(log).where("Status <> 'Success'")
+    return spark.table(name).select("entryNo", "status", "total", "Entity").join(
+        failed.select(F.col("company_name").alias("Entity")), "Entity", "left_anti"
+    ).select("entryNo", "status", "total", "Entity")
+
+
+_LANDED_SQL = f"""
+WITH {DOCUMENTS_SQL},
+t AS (SELECT "entryNo", status, total, "Entity", order_date FROM o WHERE order_date < '1999-01-01'),
+n AS (SELECT "entryNo", total, "Entity", order_date FROM o WHERE order_date >= '1998-01-01'),
+w AS (SELECT "Entity", max("entryNo") AS top FROM t WHERE "entryNo" > 0 GROUP BY "Entity"),
+a AS (SELECT n.* FROM n LEFT JOIN w ON w."Entity" = n."Entity" WHERE n."entryNo" > coalesce(top, 0))
+"""
+
+
+@query("landed_refresh", _LANDED_SQL + """SELECT "entryNo", 'x' AS status, total, "Entity" FROM n
+UNION ALL SELECT "entryNo", status, total, "Entity" FROM t WHERE "Entity" NOT IN (SELECT "Entity" FROM n)""")
+def landed_refresh(spark, folder):
+    return _landed_load(spark, folder, catalog.REFRESH, ["x"])
+
+
+@query("landed_append", _LANDED_SQL + """SELECT "entryNo", status, total, "Entity" FROM t WHERE "entryNo" > 0
+UNION ALL SELECT "entryNo", unnest(['x', 'y']), total, "Entity" FROM a""")
+def landed_append(spark, folder):
+    return _landed_load(spark, folder, catalog.APPEND, ["x", "y"])
+
+
+@query("landed_append_merge", _LANDED_SQL + """SELECT "entryNo", status, total, "Entity" FROM t
+WHERE "entryNo" > 0 UNION ALL SELECT "entryNo", 'x', total, "Entity" FROM a""")
+def landed_append_merge(spark, folder):
+    return _landed_load(spark, folder, catalog.APPEND_MERGE, ["x"])
+
+
+@query("landed_merge", _LANDED_SQL + """SELECT "entryNo", status, total, "Entity" FROM t WHERE order_date < '1998-01-01'
+UNION ALL SELECT "entryNo", 'x', total, "Entity" FROM n""")
+def landed_merge(spark, folder):
+    return _landed_load(spark, folder, catalog.MERGE, ["x"])
+
+
+@query("landed_replace_all", _LANDED_SQL + """SELECT "entryNo", status, total, "Entity" FROM t
+WHERE order_date < '1998-01-01' UNION ALL SELECT "entryNo", unnest(['x', 'y']), total, "Entity" FROM n""")
+def landed_replace_all(spark, folder):
+    return _landed_load(spark, folder, catalog.REPLACE_ALL, ["x", "y"])
+
+
+@query("landed_replace_last", _LANDED_SQL + """SELECT "entryNo", status, total, "Entity" FROM t
+WHERE order_date < '1998-01-01' UNION ALL SELECT "entryNo", 'y', total, "Entity" FROM n""")
+def landed_replace_last(spark, folder):
+    return _landed_load(spark, folder, catalog.REPLACE_LAST, ["x", "y"])
+
+
+@query("landed_insert_absent", _LANDED_SQL + """SELECT "entryNo", status, total, "Entity" FROM t
+UNION ALL SELECT "entryNo", 'x', total, "Entity" FROM n WHERE order_date >= '1999-01-01'""")
+def landed_insert_absent(spark, folder):
+    return _landed_load(spark, folder, catalog.INSERT_ABSENT, ["x", "y"])
+
+
 @query("tagged_pulls", """
 SELECT c_custkey AS no, c_name AS name, CASE WHEN c_acctbal < 0 THEN 'debtors' ELSE 'others' END AS "Entity" FROM customer
 """)

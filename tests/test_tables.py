@@ -340,3 +340,38 @@ def test_files(spark, rows, tmp_path):
     back = spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "r"))
     assert rows(back, "id", "v", "Entity") == [("1", 'x "q", y', "A b")]
     assert rows(written_once(frame, "test")) == rows(frame)
+
+
+def test_declared_columns(spark, tmp_path):
+    from ledgerhub.plans import schemas
+
+    targets = {d.target for d in catalog.DATASETS}
+    known = [t for t in schemas._FIELDS if schemas.schema_of(t) is not None]
+    assert set(known) <= targets and len(known) == 18
+    assert extract.declared(catalog.dataset("BC_wmsRecordLink")).fieldNames() == ["id", "tableNo", "created"]
+    with pytest.raises(ValueError, match="no columns are declared"):
+        extract.declared(catalog.dataset("BC_Services"))
+
+
+def test_one_path_from_landing_to_table(spark, rows, tmp_path):
+    """Text values become typed, unknown fields are reported, an unfinished pull is rejected and kept."""
+    entry, log = catalog.dataset("BC_wmsRecordLink"), run_folder(spark, "log")
+    name = f"t_{uuid.uuid4().hex}"
+    stored = "id STRING, tableNo INT, created TIMESTAMP, Entity STRING"
+    tables.create(spark, name, spark.createDataFrame([], stored).schema, run_folder(spark, "test"), keys=["id"], buckets=2)
+    wide = spark.createDataFrame([], "id STRING, tableNo STRING, created STRING, extra STRING").schema
+
+    def land(lines):
+        folder = tmp_path / uuid.uuid4().hex
+        folder.mkdir()
+        (folder / "pages.json").write_text("\n".join(lines))
+        return extract.run_landed(spark, entry, str(folder), name, "2024-05-02", log, landed=wide)
+
+    record = '{"id": "%s", "tableNo": "%s", "created": "2024-05-02 10:00:00", "extra": "e"}'
+    rejects, drift = land([
+        '{"Entity": "A", "page_no": 1, "value": [%s, %s]}' % (record % ("1", "122"), record % ("2", "7")),
+        '{"Entity": "B", "page_no": 1, "@odata.nextLink": "more", "value": [%s]}' % (record % ("3", "122")),
+    ])
+    assert rows(rejects) == [("B", 1)] and rows(drift) == [("unknown", "extra", 2)]
+    assert rows(spark.table(name), "id", "tableNo", "Entity") == [("1", 122, "A")]
+    assert rows(spark.read.parquet(log), "Status", "RecordsInserted", "company_name") == [("Success", 1, "A")]
