@@ -119,7 +119,8 @@ def swap(df: DataFrame, table: str) -> None:
     spark.sql(f"ALTER TABLE {table} SET LOCATION {_literal(folder)}")
     spark.catalog.refreshTable(table)
     if old != base:
-        _remove(spark, base, [old])
+        path = spark._jvm.org.apache.hadoop.fs.Path(old)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def companies_of(df: DataFrame, entity: str = ENTITY) -> list[str]:
@@ -146,18 +147,19 @@ def _table_folder(spark: SparkSession, table: str) -> str:
     return _location(shown, "# Detailed Table Information")
 
 
-def _part_folder(spark: SparkSession, table: str, part: str) -> str:
-    shown = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {part}").collect()
-    return _location(shown, "# Detailed Partition Information")
-
+def _remove(spark: SparkSession, base: str, names: set[str], depth: int, but: str) -> None:
+    """Delete what partitions of these folder names held before they were moved to the folder ``but``.
 
-def _remove(spark: SparkSession, base: str, folders: Iterable[str]) -> None:
-    """Delete folders below ``base`` that a change has replaced; the catalog no longer names them."""
-    for folder in folders:
-        if not folder.startswith(base + "/"):
-            raise ValueError(f"{folder} is not below {base}")
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    A partition lies right below ``base`` or in one of its versions, ``depth`` folders deep.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(base)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    levels = "/".join(["*=*"] * depth)
+    for pattern in (levels, f"_versions/*/{levels}"):
+        for found in store.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, pattern)):
+            parts = found.getPath().toUri().getPath().split("/")
+            if "/".join(parts[-depth:]) in names and parts[-depth - 1] != but:
+                store.delete(found.getPath(), True)
 
 
 def _in_table_order(df: DataFrame, table: str, layout: Layout) -> DataFrame:
@@ -192,30 +194,30 @@ def _replace(df: DataFrame, table: str, layout: Layout, gone: Callable[[set[Spec
     partition that holds most rows over many tasks and files.
     """
     spark = df.sparkSession
-    base = _table_folder(spark, table)
-    folder = f"{base}/_versions/{uuid.uuid4().hex}"
+    base, version = _table_folder(spark, table), uuid.uuid4().hex
+    folder = f"{base}/_versions/{version}"
     ordered = _in_table_order(df, table, layout)
     ordered.hint("rebalance", *layout.columns).write.partitionBy(*layout.columns).parquet(folder)
     written = _written_parts(spark, table, ordered.schema, folder, layout)
     if any(spec[0] == NO_COMPANY for spec in written):
         raise ValueError(f"rows without {layout.entity} cannot be stored")
-    stored = _stored_parts(spark, table).keys()
+    names = _stored_parts(spark, table)
+    stored = names.keys()
 
     def place(spec: Spec) -> str:
         return f"LOCATION {_literal(folder + '/' + written[spec])}"
 
-    replaced = [(spec, layout.part(spec)) for spec in sorted(written.keys() & stored)]
-    dropped = [layout.part(spec) for spec in sorted(gone(set(stored), set(written)))]
-    old = [_part_folder(spark, table, part) for part in [p for _, p in replaced] + dropped]
-    for spec, part in replaced:
-        spark.sql(f"ALTER TABLE {table} {part} SET {place(spec)}")
+    replaced = sorted(written.keys() & stored)
+    dropped = sorted(gone(set(stored), set(written)))
+    for spec in replaced:
+        spark.sql(f"ALTER TABLE {table} {layout.part(spec)} SET {place(spec)}")
     new = [f"{layout.part(spec)} {place(spec)}" for spec in sorted(written.keys() - stored)]
     if new:
         spark.sql(f"ALTER TABLE {table} ADD {' '.join(new)}")
     if dropped:
-        spark.sql(f"ALTER TABLE {table} DROP {', '.join(dropped)}")
+        spark.sql(f"ALTER TABLE {table} DROP {', '.join(map(layout.part, dropped))}")
     spark.catalog.refreshTable(table)
-    _remove(spark, base, old)
+    _remove(spark, base, {names[spec] for spec in [*replaced, *dropped]}, len(layout.columns), version)
 
 
 def replace_companies(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Window, functions as F, types as T
 
 from ledgerhub.functions import money as m
 from ledgerhub.functions import rules, text, times
@@ -23,11 +23,11 @@ PAGE_SIZE = 2
 RECORD = T.StructType().add("turn", "long").add("role", "string").add("text", "string").add("note", "string")
 
 
-def _landed_pages(spark, folder, all_whole=False):
+def _landed_pages(spark, folder):
     """Conversations as page chains, one page per line.
 
     A conversation that ends with a question is an unfinished pull: its last page still
-    names a next one, unless ``all_whole``.
+    names a next one.
     """
     turns = read(spark, folder, "conversations")
     ends = turns.groupBy("conv_id").agg(
@@ -40,8 +40,7 @@ def _landed_pages(spark, folder, all_whole=False):
         .agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("value"))
     )
     last = F.col("page_no") == F.floor(F.col("last_turn") / PAGE_SIZE) + 1
-    open_end = F.lit(not all_whole) & (F.col("last_role") == "user")
-    link = F.when(~last | open_end, F.format_string("?page=%d", F.col("page_no") + 1))
+    link = F.when(~last | (F.col("last_role") == "user"), F.format_string("?page=%d", F.col("page_no") + 1))
     store = run_folder(spark, "pages")
     grouped.select(
         F.concat(F.lit("C"), F.col("conv_id").cast("string")).alias("Entity"), "page_no", "value",
@@ -73,37 +72,45 @@ def json_page_rejects(spark, folder):
     return extract.landed_records(_landed_pages(spark, folder))[1]
 
 
-@query("refresh_keeps_rejected", _CHAINS_SQL + """
-SELECT 'C' || conv_id AS "Entity", turn, role,
-       CASE WHEN last_role = 'user' THEN text ELSE upper(md5(text)) END AS text
-FROM conversations JOIN c USING (conv_id)
-WHERE conv_id % 10 <> 3 AND (conv_id % 10 <> 4 OR last_role = 'user')
+def _landed_companies(spark, folder, text):
+    """Conversations of 25 companies as page chains, a page for each, without unfinished ones."""
+    company = F.concat(F.lit("C"), (F.col("conv_id") % 25).cast("string"))
+    turns = read(spark, folder, "conversations").withColumns({"Entity": company, "text": text})
+    value = F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("value")
+    grouped = turns.groupBy("Entity", "conv_id").agg(value)
+    order = Window.partitionBy("Entity").orderBy("conv_id")
+    placed = grouped.withColumns({"page_no": F.row_number().over(order), "more": F.lead("conv_id").over(order)})
+    return placed.select("Entity", "page_no", "value", F.when(F.col("more").isNotNull(), "next").alias(pages.NEXT_LINK))
+
+
+@query("refresh_keeps_rejected", """
+SELECT 'C' || conv_id % 25 AS "Entity", turn, role,
+       CASE WHEN conv_id % 5 = 1 THEN text ELSE upper(md5(text)) END AS text
+FROM conversations WHERE conv_id % 5 NOT IN (3, 4)
 """)
 def refresh_keeps_rejected(spark, folder):
-    """Two pulls of a refreshed table, read back.
+    """Two pulls of a refreshed table, read back. By the last digit of their number, modulo 5:
 
-    In the second, companies that end with a question are unfinished and keep the rows of the
-    first; whole pulls replace them, even empty ones (ids ending in 4); companies that are no
-    longer registered (ids ending in 3) go.
+    1: the second pull is unfinished, the rows of the first stay; 3: no longer registered, not
+    pulled, gone; 4: the second pull is whole and empty, nothing stays; others are replaced.
     """
-    entry, name = catalog.dataset("BC_Customers"), f"pulled_{uuid.uuid4().hex}"
-    first, _ = extract.landed_records(_landed_pages(spark, folder, all_whole=True))
-    tables.create(spark, name, first.drop(*extract.ARRIVAL).select(
-        "turn", "role", "text", "note", "Entity").schema, run_folder(spark, "table"))
-    extract.run(entry, first, name, "2001-01-01")
-    landed = _landed_pages(spark, folder).where(~F.col("Entity").endswith("3"))
-    changed = F.transform("value", lambda x: x.withField("text", F.upper(F.md5(x["text"]))))
-    whole = landed.where(F.col(f"`{pages.NEXT_LINK}`").isNull() & F.col("Entity").endswith("4")).select("Entity")
-    empty = whole.select(
-        F.lit(1).cast("long").alias("page_no"), F.array().cast(T.ArrayType(RECORD)).alias("value"),
-        F.lit(None).cast("string").alias(pages.NEXT_LINK), "Entity",
-    )
-    second = landed.withColumn("value", changed).join(whole, "Entity", "left_anti").unionByName(empty)
-    status = pages.chain_status(second)
-    rows, _ = extract.landed_records(second)
-    registered = read(spark, folder, "conversations").where("conv_id % 10 <> 3").select(
-        F.concat(F.lit("C"), F.col("conv_id").cast("string")).alias("Entity"))
-    extract.run(entry, rows, name, "2001-01-02", status.where("complete"), registered)
+    entry, name, log = catalog.dataset("BC_Customers"), f"pulled_{uuid.uuid4().hex}", run_folder(spark, "log")
+    schema = T.StructType([f for f in RECORD.fields if f.name != "note"])
+    stored = T.StructType([*schema.fields, T.StructField("Entity", T.StringType())])
+    tables.create(spark, name, stored, run_folder(spark, "table"))
+    kind = F.substring("Entity", 2, 9).cast("int") % 5
+    first = _landed_companies(spark, folder, F.col("text"))
+    second = _landed_companies(spark, folder, F.upper(F.md5("text"))).where(kind != 3)
+    link = F.when(kind == 1, "next").when(kind != 4, F.col(f"`{pages.NEXT_LINK}`"))
+    none = F.array().cast(second.schema["value"].dataType)
+    second = second.where((kind != 4) | (F.col("page_no") == 1)).withColumns({
+        pages.NEXT_LINK: link, "value": F.when(kind == 4, none).otherwise(F.col("value")),
+    })
+    registered = first.where(kind != 3).select("Entity").distinct()
+    for landed, names in ((first, None), (second, registered)):
+        store = run_folder(spark, "pages")
+        landed.write.json(store)
+        extract.run_landed(spark, entry, store, name, "2001-01-01", log, schema=schema, registered=names)
     return spark.table(name).select("Entity", "turn", "role", "text")
 
 
