@@ -8,9 +8,8 @@ from ledgerhub.llm.common import written_once
 
 
 def _with_least(links: DataFrame) -> DataFrame:
-    """Both directions of each link (u, v) with the smallest node ``m`` next to or at u."""
+    """Both directions of stored links (u, v) with the smallest node ``m`` next to or at u."""
     both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    both = written_once(both.distinct(), "links")
     least = written_once(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
     return both.join(least, "u")
 

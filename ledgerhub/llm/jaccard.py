@@ -10,9 +10,11 @@ Empty subsets cost most, as unrelated sets share them. They are left out as long
 they hold are no more than the band has to spare; a set with more of them indexes them too, which
 keeps the join exact. Credits and segments are chosen per band by expected cost.
 
-Links are wanted as classes. In a bucket of the index all sets are compared with its smallest
-one; what is still in different classes is compared in further rounds. Every link used is verified
-on the words.
+Links are wanted as classes. First the sets of a bucket of the index are compared with the one that
+is nearest to all, then those still in other classes with the nearest one of the bucket's largest
+class, last all that are still in different classes. What is compared are bitmaps with the parity
+of the shingles that fall on each bit; sets differ in as many shingles at least as their bitmaps
+do in bits. Pairs that can be links by their bitmaps are verified on the words.
 """
 
 from __future__ import annotations
@@ -40,13 +42,18 @@ SHARD_SHINGLES = 2_000_000
 #: Cost model of a band: sets in it, share of pairs of sets that have a passage in common,
 #: shingles of such a passage, and what a candidate pair costs in index rows.
 BAND_SETS, SHARED_PAIRS, PASSAGE, PAIR_COST = 4000, 0.005, 50, 100
-#: Rounds with one pivot per bucket before all remaining pairs of different classes are compared.
-PIVOT_ROUNDS = 6
-FEW_PAIRS = 200_000
+#: Sets of a bucket that are compared in one task; larger buckets are compared part by part.
+PART_SETS = 4000
+#: Sets by which a large bucket's middle one is chosen; buckets up to SMALL are compared as a whole.
+JUDGES = 32
+SMALL = 64
+CHUNK_ROWS = 5000
 
 _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xC2B2AE3D27D4EB4F)
 _SHIFT = np.uint64(32)
+#: Odd numbers that tell the places of a shingle's words apart.
+FACTORS = [np.uint64(pow(0x9E3779B97F4A7C15, k, 1 << 64) | 1) for k in range(1, WORDS + 1)]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -130,6 +137,13 @@ def bands(largest: int) -> list[Band]:
     return out
 
 
+def ascending(owner: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Order by owner, then value."""
+    order = np.argsort(value)
+    small = owner.astype(np.uint16) if len(owner) and owner[-1] < 1 << 16 else owner
+    return order[np.argsort(small[order], kind="stable")]
+
+
 def shingled(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text in ascending order, one text after the other, and the text's number.
 
@@ -137,28 +151,44 @@ def shingled(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """
     words, sizes = tokenized(pa.array(texts, pa.large_string()))
     hashes = word_hashes(words)
-    owner = np.repeat(np.arange(len(sizes)), sizes)
     begin = np.cumsum(sizes) - sizes
-    last = np.maximum(sizes - WORDS, 0)  # place of a text's last shingle in it
-    place = np.arange(len(hashes)) - begin[owner]
-    starts = place <= last[owner]
+    count = np.where(sizes >= WORDS, sizes - WORDS + 1, np.minimum(sizes, 1))
+    owner = np.repeat(np.arange(len(sizes)), count)
+    place = np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(count.sum())
     length = np.minimum(sizes, WORDS)[owner]
-    value = np.zeros(len(hashes), np.uint64)
+    all_long = bool((length == WORDS).all())
+    padded = np.append(hashes, np.zeros(WORDS, np.uint64))
+    value = length.astype(np.uint64)
     with np.errstate(over="ignore"):
         for k in range(WORDS):
-            word = np.zeros(len(hashes), np.uint64)
-            word[:len(hashes) - k] = hashes[k:]
-            value = np.where(k < length, mix(value * _A + word + np.uint64(k + 1)), value)
-    owner, value = owner[starts], value[starts]
-    order = np.lexsort((value, owner))
+            word = padded[place + k] * FACTORS[k]
+            value = value + (word if all_long else np.where(k < length, word, np.uint64(0)))
+    value = mix(value)
+    order = ascending(owner, value)
     owner, value = owner[order], value[order]
     new = np.ones(len(value), bool)
     new[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
     return value[new], owner[new]
 
 
-def set_rows(ids: np.ndarray, texts: list[str]) -> dict[str, np.ndarray]:
-    """Size and two order-free digests of each text's set."""
+def bit_count(size: int) -> int:
+    """Bits of the bitmap of a set: a power of two, 64 at least."""
+    return 1 << max(6, (int(size) - 1).bit_length())
+
+
+def bitmaps(value: np.ndarray, size: np.ndarray) -> list[bytes]:
+    """For each text the parity of its shingles by their lowest bits."""
+    out, at = [], 0
+    for n in size.tolist():
+        bits = bit_count(n)
+        own = np.bincount((value[at:at + n] & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+        out.append(np.packbits(own.astype(np.uint8)).tobytes())
+        at += n
+    return out
+
+
+def set_rows(ids: pa.Array, texts: list[str]) -> dict[str, pa.Array]:
+    """Size, two order-free digests and the bitmap of each text's set."""
     value, owner = shingled(texts)
     n = len(texts)
     size = np.bincount(owner, minlength=n)
@@ -170,8 +200,9 @@ def set_rows(ids: np.ndarray, texts: list[str]) -> dict[str, np.ndarray]:
         if len(starts):
             with np.errstate(over="ignore"):
                 total[begins] = np.add.reduceat(mix(value ^ salt), starts)
-        digests.append(total.view(np.int64))
-    return {"doc_id": ids, "n_shingles": size, "d1": digests[0], "d2": digests[1]}
+        digests.append(pa.array(total.view(np.int64)))
+    return {"doc_id": ids, "n_shingles": pa.array(size, pa.int64()), "d1": digests[0], "d2": digests[1],
+            "bits": pa.array(bitmaps(value, size), pa.binary())}
 
 
 def signatures(value: np.ndarray, owner: np.ndarray, n: int, all_bands: list[Band]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -209,7 +240,7 @@ def signatures(value: np.ndarray, owner: np.ndarray, n: int, all_bands: list[Ban
 
 
 INDEXED = "shard int, n int, sigs binary, ids binary"
-BUCKETS = "bucket long, leader long, doc_id long"
+BUCKETS = "bucket long, doc_id long"
 
 
 def packed_rows(sigs: list[np.ndarray], ids: list[np.ndarray], shards: int, bits: int) -> Iterator[dict]:
@@ -232,21 +263,157 @@ def buckets(rows: list[dict]) -> dict[str, np.ndarray]:
     """
     sig = np.concatenate([np.cumsum(numbers(r["sigs"], np.uint64, r["n"]), dtype=np.uint64) for r in rows])
     doc = np.concatenate([numbers(r["ids"], np.int64, r["n"]) for r in rows])
+    order = np.argsort(sig)
+    sig, doc = sig[order], doc[order]
+    several = np.zeros(len(sig), bool)
+    several[1:] = sig[1:] == sig[:-1]
+    several[:-1] |= several[1:]
+    sig, doc = sig[several], doc[several]
     order = np.lexsort((doc, sig))
     sig, doc = sig[order], doc[order]
     new = np.ones(len(sig), bool)
     new[1:] = (sig[1:] != sig[:-1]) | (doc[1:] != doc[:-1])
     sig, doc = sig[new], doc[new]
+    if not len(sig):
+        return {"bucket": np.empty(0, np.int64), "doc_id": np.empty(0, np.int64)}
     begins = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
     sizes = np.diff(np.append(begins, len(sig)))
     with np.errstate(over="ignore"):
         same = np.add.reduceat(mix(doc.view(np.uint64) + _A), begins) + sizes.astype(np.uint64)
-    several = np.flatnonzero(sizes > 1)
-    _, first = np.unique(same[several], return_index=True)
-    kept = several[first]
+    shared = np.flatnonzero(sizes > 1)
+    _, first = np.unique(same[shared], return_index=True)
+    kept = shared[first]
     at = np.repeat(begins[kept] - (np.cumsum(sizes[kept]) - sizes[kept]), sizes[kept]) + np.arange(sizes[kept].sum())
-    return {"bucket": np.repeat(same[kept].view(np.int64), sizes[kept]),
-            "leader": np.repeat(doc[begins[kept]], sizes[kept]), "doc_id": doc[at]}
+    return {"bucket": np.repeat(same[kept].view(np.int64), sizes[kept]), "doc_id": doc[at]}
+
+
+@dataclass
+class Sets:
+    """Sets with sizes and bitmaps."""
+
+    size: np.ndarray
+    bits: list[bytes]
+
+    def __post_init__(self):
+        self.folded: dict[int, np.ndarray] = {}
+        self.width = np.array([len(b) for b in self.bits], np.int64)
+
+    def at(self, width: int) -> np.ndarray:
+        """Bitmaps folded to ``width`` bytes, as rows of 64-bit words; those that are shorter are zero."""
+        if width not in self.folded:
+            out = np.zeros((len(self.bits), width), np.uint8)
+            for wide in np.unique(self.width[self.width >= width]):
+                rows = np.flatnonzero(self.width == wide)
+                own = np.frombuffer(b"".join(self.bits[i] for i in rows), np.uint8)
+                out[rows] = np.bitwise_xor.reduce(own.reshape(len(rows), -1, width), axis=1)
+            self.folded[width] = out.view(np.uint64)
+        return self.folded[width]
+
+    def slack(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """For pairs of sets, by how many bits they are nearer than the limit for a link; below 0 they can't be linked."""
+        small, large = np.minimum(self.size[a], self.size[b]), np.maximum(self.size[a], self.size[b])
+        out = np.where(OF * small >= LEAST * large, (small + large) * (OF - LEAST) // (OF + LEAST), -1)
+        widths = np.minimum(self.width[a], self.width[b])
+        for width in np.unique(widths[out >= 0]):
+            rows = self.at(int(width))
+            for these in np.array_split(np.flatnonzero((widths == width) & (out >= 0)), 1 + len(a) * int(width) // (1 << 23)):
+                differ = np.bitwise_count(rows[a[these]] ^ rows[b[these]]).sum(1, dtype=np.int64)
+                out[these] -= differ
+        return out
+
+
+def middle(sets: Sets, among: np.ndarray) -> int:
+    """The set nearest to a few judges, which are spread over the sets: most links go through it."""
+    judges = among[np.unique(np.linspace(0, len(among) - 1, JUDGES).astype(int))]
+    near = sets.slack(np.repeat(judges, len(among)), np.tile(among, len(judges)))
+    return int(among[near.reshape(len(judges), -1).sum(0).argmax()])
+
+
+Pairs = tuple[np.ndarray, np.ndarray]
+NO_PAIRS: Pairs = (np.empty(0, np.int64), np.empty(0, np.int64))
+
+
+def star(sets: Sets, group: np.ndarray, hub: int, among: np.ndarray) -> Pairs:
+    others = among[group[among] != group[hub]]
+    hubs = np.full(len(others), hub)
+    near = sets.slack(hubs, others) >= 0
+    return hubs[near], others[near]
+
+
+def of_large(sets: Sets, group: np.ndarray, members: np.ndarray, phase: int) -> Pairs:
+    """Pairs of one large bucket. Phase 0: a star around its middle; 1: for each set out of its largest
+    class the nearest one in it, and a star of the rest; 2: all in different classes that can be links."""
+    if phase == 0:
+        return star(sets, group, middle(sets, members), members)
+    own = group[members]
+    found = []
+    if phase == 1:
+        names, counts = np.unique(own, return_counts=True)
+        main, rest = members[own == names[counts.argmax()]], members[own != names[counts.argmax()]]
+        for i in rest:
+            near = sets.slack(np.full(len(main), i), main)
+            if near.max() >= 0:
+                found.append((main[near.argmax()][None], i[None]))
+        found.append(star(sets, group, middle(sets, rest), rest))
+    else:
+        found = [star(sets, group, i, members[k + 1:]) for k, i in enumerate(members[:-1])]
+    return tuple(np.concatenate([f[k] for f in found]) for k in (0, 1))
+
+
+def of_small(sets: Sets, group: np.ndarray, members: np.ndarray, begins: np.ndarray, sizes: np.ndarray, phase: int) -> Pairs:
+    """Pairs of many small buckets at once. Phase 0: a star around each one's middle; 1: all in different
+    classes that can be links."""
+    first, second, bucket = [], [], []
+    for n in np.unique(sizes):
+        these = np.flatnonzero(sizes == n)
+        i, j = np.triu_indices(n, 1)
+        first.append((begins[these][:, None] + i).ravel())
+        second.append((begins[these][:, None] + j).ravel())
+        bucket.append(np.repeat(these, len(i)))
+    i, j, bucket = np.concatenate(first), np.concatenate(second), np.concatenate(bucket)
+    a, b = members[i], members[j]
+    if phase:
+        apart = group[a] != group[b]
+        a, b = a[apart], b[apart]
+    count = len(sets.size)
+    code, place = np.unique(np.minimum(a, b) * count + np.maximum(a, b), return_inverse=True)
+    near = sets.slack(code // count, code % count)
+    if phase:
+        code = code[near >= 0]
+        return code // count, code % count
+    total = np.bincount(i, near[place], len(members)) + np.bincount(j, near[place], len(members))
+    # of each bucket the place with the largest total, the first of equal ones
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((np.arange(len(owner)), -total[np.repeat(begins, sizes) + _within(sizes)], owner))
+    hub = (np.repeat(begins, sizes) + _within(sizes))[order][np.cumsum(sizes) - sizes]
+    chosen = ((i == hub[bucket]) | (j == hub[bucket])) & (near[place] >= 0)
+    code = np.unique(code[place[chosen]])
+    return code // count, code % count
+
+
+def _within(sizes: np.ndarray) -> np.ndarray:
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def pairs_of(doc: np.ndarray, size: np.ndarray, bits: list[bytes], group: np.ndarray, bucket: np.ndarray, phase: int) -> Pairs:
+    """Pairs of documents to verify, from rows of whole buckets that lie together."""
+    begins = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    sizes = np.diff(np.append(begins, len(bucket)))
+    # a set is its document and bitmap: rows of one document can have several texts
+    names: dict[tuple, int] = {}
+    member = np.array([names.setdefault(x, len(names)) for x in zip(doc.tolist(), bits)], np.int64)
+    _, first = np.unique(member, return_index=True)
+    sets, own = Sets(size[first], [bits[i] for i in first]), group[first]
+    found = [NO_PAIRS]
+    small = (sizes <= SMALL) & (sizes > 1)
+    if small.any() and phase < 2:
+        found.append(of_small(sets, own, member, begins[small], sizes[small], phase))
+    for k in np.flatnonzero(sizes > SMALL):
+        members = member[begins[k]:begins[k] + sizes[k]]
+        if len(np.unique(own[members])) > 1:
+            found.append(of_large(sets, own, members, phase))
+    a, b = (doc[first][np.concatenate([f[k] for f in found])] for k in (0, 1))
+    return np.minimum(a, b)[a != b], np.maximum(a, b)[a != b]
 
 
 def words_of(text: str | None) -> frozenset:
@@ -284,22 +451,21 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def class_sets(docs: DataFrame) -> DataFrame:
-    """Stored (doc_id, n_shingles, d1, d2) of every row."""
+    """Stored (doc_id, n_shingles, d1, d2, bits) of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
             for texts in slices(batch["text"], SLICE_CHARS):
                 ids = batch["doc_id"].slice(at, len(texts))
                 at += len(texts)
-                rows = set_rows(ids, texts)
-                yield pa.RecordBatch.from_pydict(
-                    {k: v if k == "doc_id" else pa.array(v, pa.int64()) for k, v in rows.items()})
+                yield pa.RecordBatch.from_pydict(set_rows(ids, texts))
 
-    return written_once(docs.mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long"), "jaccard-sets")
+    return written_once(
+        docs.mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, bits binary"), "jaccard-sets")
 
 
 def indexed(docs: DataFrame, largest: int, shingles: int) -> DataFrame:
-    """Stored buckets of the documents' index, of two documents and more."""
+    """Stored buckets (bucket, doc_id) of the documents' index, of two documents and more."""
     all_bands = bands(largest)
     shards = -(-shingles // SHARD_SHINGLES) or 1
     bits = min(64, max(shingles, 1).bit_length() + 22)  # few enough chance matches; all are verified
@@ -330,35 +496,67 @@ def indexed(docs: DataFrame, largest: int, shingles: int) -> DataFrame:
     return written_once(rows.distinct(), "jaccard-buckets")
 
 
-def joined_classes(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Verified links (u, v) that hold every class together; ``found`` are the buckets."""
-    checked = written_once(found.where("leader <> doc_id").select(
-        F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct(), "jaccard-checked")
-    links = written_once(verified(checked, docs), "jaccard-links")
-    for number in range(PIVOT_ROUNDS + 1):
-        classes = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-        rows = found.join(classes, found["doc_id"] == classes["node"], "left").select(
-            "bucket", "doc_id", F.coalesce("component", "doc_id").alias("c"))
-        rows = written_once(rows, "jaccard-rows")
-        several = rows.groupBy("bucket").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y")
-        open_rows = written_once(rows.join(written_once(several.select("bucket"), "jaccard-open"), "bucket"), "jaccard-rows")
-        count = open_rows.groupBy("bucket", "c").count().groupBy("bucket").agg(
-            F.sum("count").cast("double").alias("n"), F.sum(F.col("count").cast("double") * F.col("count")).alias("s"))
-        pairs = count.agg(F.sum(F.expr("(n * n - s) / 2"))).first()[0] or 0
-        if not pairs:
-            return links
-        last = pairs <= FEW_PAIRS or number == PIVOT_ROUNDS
-        left = open_rows.select("bucket", F.col("doc_id").alias("a"), F.col("c").alias("ca"))
-        if not last:
-            least = F.min_by(F.struct("a", "ca"), F.xxhash64(F.lit(number), "a")).alias("p")
-            left = written_once(left.groupBy("bucket").agg(least).select("bucket", "p.a", "p.ca"), "jaccard-pivots")
-        meet = left.join(open_rows, "bucket").where("ca <> c" + (" and a < doc_id" if last else ""))
-        new = meet.select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct()
-        new = written_once(new.join(checked, ["a", "b"], "left_anti"), "jaccard-new")
-        links = written_once(links.union(verified(new, docs)), "jaccard-links")
-        checked = written_once(checked.union(new), "jaccard-checked")
-        if last:
-            return links
+def candidates(rows: DataFrame, phase: int) -> DataFrame:
+    """Pairs (a, b) to verify, from stored rows (bucket, doc_id, n_shingles, bits, class, sets) of open buckets.
+
+    A bucket of more than PART_SETS sets is compared part by part: each pair of its parts is a
+    bucket of its own here, so none is larger than two parts. Small buckets are done after phase 1.
+    """
+    if phase == 2:
+        rows = rows.where(F.col("sets") > SMALL)
+    parts = F.ceil(F.col("sets") / PART_SETS).cast("long")
+    cut = rows.withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("doc_id"), "parts"))
+    # part p is in the groups (p, q) and (q, p) of all q; a bucket of one part is the group (0, 0)
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1).cast("array<long>")))
+    cut = cut.withColumn("cell", F.when(F.col("parts") == 1, F.col("bucket")).otherwise(
+        F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other"))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(table: pa.Table) -> pa.RecordBatch:
+            a, b = pairs_of(table["doc_id"].to_numpy(), table["n_shingles"].to_numpy(), table["bits"].to_pylist(),
+                            table["class"].to_numpy(), table["cell"].to_numpy(), phase)
+            return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            for at in range(0, batch.num_rows, CHUNK_ROWS):
+                held.append(batch.slice(at, CHUNK_ROWS))
+                table = pa.Table.from_batches(held)
+                cell = table["cell"].to_numpy()
+                whole = int(np.searchsorted(cell, cell[-1])) if len(cell) else 0  # the last bucket may go on
+                if whole:
+                    yield found(table.slice(0, whole))
+                held = table.slice(whole).to_batches()
+        if held:
+            yield found(pa.Table.from_batches(held))
+
+    dealt = cut.select("cell", "doc_id", "n_shingles", "bits", "class").repartition("cell")
+    return dealt.sortWithinPartitions("cell", "doc_id").mapInArrow(run, "a long, b long").distinct()
+
+
+def joined_classes(docs: DataFrame, found: DataFrame, sets: DataFrame) -> DataFrame:
+    """Verified links (a, b) that hold every class together; ``found`` are the buckets, ``sets`` has the bitmaps."""
+    links = checked = None
+    for phase in (0, 1, 2):
+        if phase:
+            known = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+            known = written_once(known, "jaccard-classes")
+            named = found.join(known, found["doc_id"] == known["node"], "left").select(
+                "bucket", "doc_id", F.coalesce("component", "doc_id").alias("class"))
+        else:
+            named = found.select("bucket", "doc_id", F.col("doc_id").alias("class"))
+        named = written_once(named, "jaccard-named")
+        wide = named.groupBy("bucket").agg(
+            F.count(F.lit(1)).alias("sets"), F.min("class").alias("x"), F.max("class").alias("y")).where("x <> y")
+        wide = written_once(wide.select("bucket", "sets"), "jaccard-open")
+        rows = written_once(named.join(wide, "bucket"), "jaccard-rows").join(sets, "doc_id")
+        pairs = candidates(rows, phase)
+        if checked is not None:
+            pairs = pairs.join(checked, ["a", "b"], "left_anti")
+        pairs = written_once(pairs, "jaccard-pairs")
+        checked = pairs if checked is None else checked.union(pairs)
+        new = written_once(verified(pairs, docs), "jaccard-links")
+        links = new if links is None else links.union(new)
     return links
 
 
@@ -378,7 +576,7 @@ def classes(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
     digest = ["n_shingles", "d1", "d2"]
     same = written_once(sets.where("n_shingles > 0 and doc_id is not null").groupBy(*digest).agg(
         F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "jaccard-same")
-    members = written_once(sets.join(same, digest, "left").select(
+    members = written_once(sets.drop("bits").join(same, digest, "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("least"),
     ), "jaccard-members")
     # per document with words: whether one of its sets is indexed under its own key, and its sets' keys
@@ -387,7 +585,8 @@ def classes(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
     ).where("not own or x <> y"), "jaccard-keys")
     size = members.agg(F.max("n_shingles").alias("most"), F.sum("n_shingles").alias("all")).first()
     single = docs.join(broadcast_within(keys.where("not own").select("doc_id")), "doc_id", "left_anti")
-    links = joined_classes(docs, indexed(single, size["most"] or 0, size["all"] or 0))
+    links = joined_classes(
+        docs, indexed(single, size["most"] or 0, size["all"] or 0), sets.where("n_shingles > 0").select("doc_id", "n_shingles", "bits"))
     several = members.where("n_shingles > 0").join(keys.where("x <> y").select("doc_id", "x"), "doc_id")
     links = links.union(several.where("least <> x").select(F.col("least").alias("a"), F.col("x").alias("b")))
     found = written_once(

@@ -97,10 +97,42 @@ def test_bands():
         assert b.spare >= 0 and b.segments * b.credits == jaccard.most_differing(b.top - 1, b.high) + 1 + b.spare
 
 
-@pytest.mark.parametrize("rounds", [0, 6])
-def test_classes(spark, monkeypatch, rounds):
-    monkeypatch.setattr(jaccard, "PIVOT_ROUNDS", rounds)
-    monkeypatch.setattr(jaccard, "FEW_PAIRS", 0)
+def test_bitmaps_never_refuse_a_link():
+    texts = made_texts(4, 150)
+    _, links, sets = brute(list(enumerate(texts)))
+    value, owner = jaccard.shingled(texts)
+    size = np.bincount(owner, minlength=len(texts))
+    own = jaccard.Sets(size, jaccard.bitmaps(value, size))
+    a, b = np.array(sorted(links)).T
+    assert (own.slack(a, b) >= 0).all()
+    unlike = [(i, j) for i in range(60) for j in range(60, 120) if len(sets[i][1]) > 30 and not sets[i][1] & sets[j][1]]
+    a, b = np.array(unlike).T
+    assert (own.slack(a, b) < 0).all()
+
+
+def test_pairs_of_buckets():
+    """Small buckets together and one by one as large ones give pairs that make the same classes."""
+    texts = made_texts(6, 60)
+    value, owner = jaccard.shingled(texts)
+    size = np.bincount(owner, minlength=len(texts))
+    bits, some = jaccard.bitmaps(value, size), np.flatnonzero(size)
+    own = jaccard.Sets(size, bits)
+    doc = np.concatenate([some[:40], some[20:70], some[90:91]])
+    bucket = np.repeat([1, 2, 3], [40, 50, 1])
+    for phase in (0, 1, 2):
+        args = (doc, size[doc], [bits[i] for i in doc], doc, bucket)
+        a, b = jaccard.pairs_of(*args, phase)
+        assert (own.slack(a, b) >= 0).all() and (a < b).all()
+        if phase == 1:
+            wanted = {(x, y) for lot in (some[:40], some[20:70]) for x in lot for y in lot if x < y and own.slack(np.array([x]), np.array([y]))[0] >= 0}
+            assert set(zip(a.tolist(), b.tolist())) == wanted
+
+
+@pytest.mark.parametrize("part,small,chunk", [(3, 2, 7), (4000, 4, 50), (4000, 64, 5000)])
+def test_classes(spark, monkeypatch, part, small, chunk):
+    monkeypatch.setattr(jaccard, "PART_SETS", part)
+    monkeypatch.setattr(jaccard, "SMALL", small)
+    monkeypatch.setattr(jaccard, "CHUNK_ROWS", chunk)
     texts = made_texts(9)
     rows = [(i * 3 % 1009, t) for i, t in enumerate(texts)]
     rows += [(5000, None), (5001, ""), (5002, " \n"), (None, texts[0]), (None, texts[0]), (5003, "x " * 40000)]
