@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerhub.functions.money import AMOUNT
 
 KEYS = ["account", "Entity"]
+EXACT = "decimal(28,8)"
 
 
 def aligned_amounts(driving: DataFrame, sources: Mapping[str, DataFrame]) -> DataFrame:
@@ -18,11 +19,11 @@ def aligned_amounts(driving: DataFrame, sources: Mapping[str, DataFrame]) -> Dat
     ``driving`` has account and Entity, every source those and amount. All inputs meet in
     one union below one aggregate: sums are formed in the map tasks, there is a single
     exchange instead of one per source, and no account can become a skewed join key.
-    Keys outside the driving set are left out.
+    Keys outside the driving set are left out. Amounts are summed as they are and rounded once.
     """
     def slots(filled: str | None):
         return [
-            (F.col("amount").cast(AMOUNT) if name == filled else F.lit(None).cast(AMOUNT)).alias(name)
+            (F.col("amount").cast(EXACT) if name == filled else F.lit(None).cast(EXACT)).alias(name)
             for name in sources
         ]
 
@@ -32,6 +33,6 @@ def aligned_amounts(driving: DataFrame, sources: Mapping[str, DataFrame]) -> Dat
         for name, source in sources.items()
     ]
     union = reduce(DataFrame.unionByName, parts)
-    sums = [F.coalesce(F.sum(name), F.lit(0)).cast(AMOUNT).alias(name) for name in sources]
+    sums = [F.coalesce(F.bround(F.sum(name), 2), F.lit(0)).cast(AMOUNT).alias(name) for name in sources]
     summed = union.groupBy(*KEYS).agg(F.max("_driving").alias("_driving"), *sums)
     return summed.where("_driving = 1").drop("_driving")

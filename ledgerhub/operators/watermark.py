@@ -25,13 +25,23 @@ def above_watermark(
     entity: str = "Entity",
     default: int = 0,
 ) -> DataFrame:
-    """Batch rows numbered strictly above their company's watermark.
+    """Batch rows numbered strictly above their company's watermark in ``target``."""
+    return above_marks(batch, high_watermarks(target, entry_no, entity), entry_no, entity, default)
 
-    A company without rows in the target starts at ``default``. For few companies the
-    watermarks become a filter that reaches the batch's scan; for more they are a
-    broadcast side; beyond ``MAX_COMPANY_ROWS`` companies an ordinary join.
+
+def above_marks(
+    batch: DataFrame,
+    marks: DataFrame,
+    entry_no: str,
+    entity: str = "Entity",
+    default: int = 0,
+) -> DataFrame:
+    """Batch rows numbered strictly above their company's ``max_entry_no`` in ``marks``.
+
+    A company without a mark starts at ``default``. For few companies the watermarks become a
+    filter that reaches the batch's scan; for more they are a broadcast side; beyond
+    ``MAX_COMPANY_ROWS`` companies an ordinary join.
     """
-    marks = high_watermarks(target, entry_no, entity)
     local = local_copy(marks, MAX_COMPANY_ROWS)
     if local is not None and local.count() <= MAX_FILTER_COMPANIES:
         return batch.where(_filter(local.collect(), entry_no, entity, default))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ledgerhub.operators import load
 from ledgerhub.operators.binding import ENTITY, bind, drift_rows, positional, without
 from ledgerhub.operators.changes import modified_since, of_kinds
-from ledgerhub.operators.watermark import above_watermark
+from ledgerhub.operators.watermark import above_marks, above_watermark, high_watermarks
 from ledgerhub.plans import catalog, run_log, schemas
 from ledgerhub.plans.catalog import Dataset
 from ledgerhub.scratch import written_once
@@ -18,6 +18,7 @@ from ledgerhub.sinks import files, tables
 from ledgerhub.sources import pages, reports
 
 ARRIVAL = ("page_no", "pos")
+NUMBERED = (catalog.APPEND, catalog.APPEND_MERGE)
 REFRESHES = (catalog.REFRESH, catalog.STAGED_REFRESH, catalog.REPORT)
 
 
@@ -66,11 +67,27 @@ def loaded(
 def pulled(entry: Dataset, landed: DataFrame, table: str, run_date: str) -> DataFrame:
     """The landed rows a run will apply to the stored table."""
     rows = selected(entry, landed, run_date)
-    if entry.load in (catalog.APPEND, catalog.APPEND_MERGE):
-        return above_watermark(rows, landed.sparkSession.table(table), entry.entry_no)
+    if entry.load in NUMBERED:
+        return above_marks(rows, marks_of(entry, landed.sparkSession, table), entry.entry_no)
     return rows
 
 
+def marks_of(entry: Dataset, spark: SparkSession, table: str) -> DataFrame:
+    """Watermarks kept with the last load; found by a scan of the table if there are none."""
+    kept = tables.kept_marks(spark, table)
+    return high_watermarks(spark.table(table), entry.entry_no) if kept is None else kept
+
+
+def _apply_numbered(entry: Dataset, batch: DataFrame, table: str, write: Callable[[], None]) -> None:
+    """A load above watermarks: what it adds to them is kept for the next one."""
+    spark = batch.sparkSession
+    old = written_once(marks_of(entry, spark, table), "marks")
+    new = high_watermarks(batch, entry.entry_no)
+    marks = written_once(old.unionByName(new).groupBy(ENTITY).agg(F.max("max_entry_no").alias("max_entry_no")), "marks")
+    write()
+    tables.keep_marks(marks, table)
+
+
 def run(
     entry: Dataset,
     landed: DataFrame,
@@ -108,7 +125,10 @@ def _apply(
         else:
             tables.swap(stored, table)
     elif entry.load == catalog.APPEND:
-        tables.append(_stored(entry, batch), table)
+        _apply_numbered(entry, batch, table, lambda: tables.append(_stored(entry, batch), table))
+    elif entry.load == catalog.APPEND_MERGE:
+        _apply_numbered(entry, batch, table, lambda: tables.change_companies(
+            batch, table, entry.keys, _change(entry)))
     elif entry.load == catalog.INSERT_ABSENT:
         target = batch.sparkSession.table(table)
         new = load.new_rows(target, batch, entry.keys, ARRIVAL)

@@ -96,6 +96,29 @@ def create(
     )
 
 
+def _marks_name(table: str) -> str:
+    return f"{table}_watermarks"
+
+
+def kept_marks(spark: SparkSession, table: str) -> DataFrame | None:
+    """Watermarks kept with a stored table; None if none are, or something was written since."""
+    name = _marks_name(table)
+    return spark.table(name) if spark.catalog.tableExists(name) else None
+
+
+def keep_marks(marks: DataFrame, table: str) -> None:
+    """Keep watermarks until the table is written to again."""
+    spark, name = marks.sparkSession, _marks_name(table)
+    folder = f"{_table_folder(spark, table)}_watermarks/{uuid.uuid4().hex}"
+    marks.write.parquet(folder)
+    create_plain(spark, name, marks.schema, folder)
+
+
+def _forget_marks(spark: SparkSession, table: str) -> None:
+    """Before any write: a job that ends between write and new marks must not leave old ones."""
+    spark.sql(f"DROP TABLE IF EXISTS {_marks_name(table)}")
+
+
 def layout_of(spark: SparkSession, table: str, entity: str = ENTITY) -> Layout:
     shown = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
     return Layout(entity, tuple(json.loads(shown.get(_KEYS, "[]"))), int(shown.get(_BUCKETS, 1)))
@@ -199,6 +222,7 @@ def _replace(df: DataFrame, table: str, layout: Layout, gone: Callable[[set[Spec
     ordered = _in_table_order(df, table, layout)
     ordered.hint("rebalance", *layout.columns).write.partitionBy(*layout.columns).parquet(folder)
     written = _written_parts(spark, table, ordered.schema, folder, layout)
+    _forget_marks(spark, table)
     if any(spec[0] == NO_COMPANY for spec in written):
         raise ValueError(f"rows without {layout.entity} cannot be stored")
     names = _stored_parts(spark, table)
@@ -317,4 +341,5 @@ def change_companies(
 def append(df: DataFrame, table: str, entity: str = ENTITY) -> None:
     """Add rows without touching stored ones."""
     layout = layout_of(df.sparkSession, table, entity)
+    _forget_marks(df.sparkSession, table)
     _in_table_order(df, table, layout).hint("rebalance", *layout.columns).write.mode("append").insertInto(table)

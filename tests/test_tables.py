@@ -375,3 +375,22 @@ def test_one_path_from_landing_to_table(spark, rows, tmp_path):
     assert rows(rejects) == [("B", 1)] and rows(drift) == [("unknown", "extra", 2)]
     assert rows(spark.table(name), "id", "tableNo", "Entity") == [("1", 122, "A")]
     assert rows(spark.read.parquet(log), "Status", "RecordsInserted", "company_name") == [("Success", 1, "A")]
+
+
+def test_watermarks_are_kept_with_the_load(spark, rows, table):
+    """The second run reads the kept marks; any other write makes the third scan the table."""
+    entry = catalog.dataset("BC_CustomerLedgerEntries")
+    frame = spark.createDataFrame([landed_row(1, "a", 0), landed_row(5, "b", 1), landed_row(2, "c", 2, entity="B")], LANDED)
+    name = table(frame.drop("page_no", "pos"))
+    assert tables.kept_marks(spark, name) is None
+    extract.run(entry, frame, name, "2024-05-02")
+    assert rows(tables.kept_marks(spark, name)) == [("A", 5), ("B", 2)]
+    more = frame.unionByName(spark.createDataFrame([landed_row(9, "d", 3)], LANDED))
+    extract.run(entry, more, name, "2024-05-02")
+    assert rows(spark.table(name), "id") == [(1,), (2,), (5,), (9,)]
+    assert rows(tables.kept_marks(spark, name)) == [("A", 9), ("B", 2)]
+    tables.append(spark.createDataFrame([landed_row(20, "e", 4)], LANDED).drop("page_no", "pos"), name)
+    assert tables.kept_marks(spark, name) is None
+    late = spark.createDataFrame([landed_row(15, "too late", 5), landed_row(21, "f", 6)], LANDED)
+    extract.run(entry, late, name, "2024-05-02")
+    assert {r["id"] for r in spark.table(name).collect()} == {1, 2, 5, 9, 20, 21}
