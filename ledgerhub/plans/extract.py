@@ -204,7 +204,7 @@ def logged_run(
     ), "checked"))
 
 
-def landed_records(landing: DataFrame, store: bool = False) -> tuple[DataFrame, DataFrame]:
+def landed_records(landing: DataFrame, store: bool = True) -> tuple[DataFrame, DataFrame]:
     """Records of companies whose page chain is whole, and the companies to reject.
 
     The pages are needed twice; ``store`` parses them once and keeps them as Parquet below

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerhub.functions.xml import parsed
 
 
-def split_messages(messages: DataFrame, ddl: str) -> tuple[DataFrame, DataFrame]:
+def read_messages(messages: DataFrame, ddl: str) -> DataFrame:
+    """Messages with their parsed form."""
+    return messages.withColumn("message", parsed(F.col("value"), ddl))
+
+
+def split_messages(read: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Parsed messages, and those that are not well-formed."""
-    read = messages.withColumn("message", parsed(F.col("value"), ddl))
     bad = F.col("message").isNull() | F.col("message._corrupt_record").isNotNull()
     good = read.where(~bad).select("message.*").drop("_corrupt_record")
     return good, read.where(bad).select(F.col("value").alias("payload"))
@@ -31,9 +36,13 @@ def inbox_stream(
     leaves no duplicates. The checkpoint marks messages as completed.
     """
     def consume(batch: DataFrame, batch_id: int) -> None:
-        good, bad = split_messages(batch, ddl)
-        good.write.mode("overwrite").parquet(f"{good_folder}/batch_id={batch_id}")
-        bad.write.mode("overwrite").parquet(f"{bad_folder}/batch_id={batch_id}")
+        read = read_messages(batch, ddl).persist(StorageLevel.MEMORY_AND_DISK)  # parsed once
+        try:
+            good, bad = split_messages(read)
+            good.write.mode("overwrite").parquet(f"{good_folder}/batch_id={batch_id}")
+            bad.write.mode("overwrite").parquet(f"{bad_folder}/batch_id={batch_id}")
+        finally:
+            read.unpersist()
 
     return (
         spark.readStream.text(landing, wholetext=one_per_file)
