@@ -10,9 +10,9 @@ Empty subsets cost most, as unrelated sets share them. They are left out as long
 they hold are no more than the band has to spare; a set with more of them indexes them too, which
 keeps the join exact. Credits and segments are chosen per band by expected cost.
 
-Links are wanted as classes. First the sets of a bucket of the index are compared with the one that
-is nearest to all, then those still in other classes with the nearest one of the bucket's largest
-class, last all that are still in different classes. What is compared are bitmaps with the parity
+Links are wanted as classes. First each set is compared with the one that is nearest to all in the
+largest of its buckets, then of the classes in a bucket only the nearest sets are compared, last all
+that are still in different classes. What is compared are bitmaps with the parity
 of the shingles that fall on each bit; sets differ in as many shingles at least as their bitmaps
 do in bits. Pairs that can be links by their bitmaps are verified on the words.
 """
@@ -361,8 +361,8 @@ def of_large(sets: Sets, group: np.ndarray, members: np.ndarray, phase: int) ->
 
 
 def of_small(sets: Sets, group: np.ndarray, members: np.ndarray, begins: np.ndarray, sizes: np.ndarray, phase: int) -> Pairs:
-    """Pairs of many small buckets at once. Phase 0: a star around each one's middle; 1: all in different
-    classes that can be links."""
+    """Pairs of many small buckets at once. Phase 0: a star around each one's middle; 1: for two classes
+    in a bucket their nearest sets; 2: all in different classes that can be links."""
     first, second, bucket = [], [], []
     for n in np.unique(sizes):
         these = np.flatnonzero(sizes == n)
@@ -374,11 +374,22 @@ def of_small(sets: Sets, group: np.ndarray, members: np.ndarray, begins: np.ndar
     a, b = members[i], members[j]
     if phase:
         apart = group[a] != group[b]
-        a, b = a[apart], b[apart]
+        a, b, bucket = a[apart], b[apart], bucket[apart]
     count = len(sets.size)
     code, place = np.unique(np.minimum(a, b) * count + np.maximum(a, b), return_inverse=True)
     near = sets.slack(code // count, code % count)
-    if phase:
+    if phase == 1:
+        good = np.flatnonzero(near[place] >= 0)
+        ga, gb = group[a[good]], group[b[good]]
+        low, high = np.minimum(ga, gb), np.maximum(ga, gb)
+        order = np.lexsort((place[good], -near[place[good]], high, low, bucket[good]))
+        new = np.ones(len(order), bool)
+        for key in (bucket[good], low, high):
+            new[1:] &= key[order][1:] == key[order][:-1]
+        new[1:] = ~new[1:]
+        code = np.unique(code[place[good][order[new]]])
+        return code // count, code % count
+    if phase == 2:
         code = code[near >= 0]
         return code // count, code % count
     total = np.bincount(i, near[place], len(members)) + np.bincount(j, near[place], len(members))
@@ -406,7 +417,7 @@ def pairs_of(doc: np.ndarray, size: np.ndarray, bits: list[bytes], group: np.nda
     sets, own = Sets(size[first], [bits[i] for i in first]), group[first]
     found = [NO_PAIRS]
     small = (sizes <= SMALL) & (sizes > 1)
-    if small.any() and phase < 2:
+    if small.any():
         found.append(of_small(sets, own, member, begins[small], sizes[small], phase))
     for k in np.flatnonzero(sizes > SMALL):
         members = member[begins[k]:begins[k] + sizes[k]]
@@ -500,10 +511,8 @@ def candidates(rows: DataFrame, phase: int) -> DataFrame:
     """Pairs (a, b) to verify, from stored rows (bucket, doc_id, n_shingles, bits, class, sets) of open buckets.
 
     A bucket of more than PART_SETS sets is compared part by part: each pair of its parts is a
-    bucket of its own here, so none is larger than two parts. Small buckets are done after phase 1.
+    bucket of its own here, so none is larger than two parts.
     """
-    if phase == 2:
-        rows = rows.where(F.col("sets") > SMALL)
     parts = F.ceil(F.col("sets") / PART_SETS).cast("long")
     cut = rows.withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("doc_id"), "parts"))
     # part p is in the groups (p, q) and (q, p) of all q; a bucket of one part is the group (0, 0)
@@ -534,6 +543,32 @@ def candidates(rows: DataFrame, phase: int) -> DataFrame:
     return dealt.sortWithinPartitions("cell", "doc_id").mapInArrow(run, "a long, b long").distinct()
 
 
+def first_buckets(named: DataFrame) -> DataFrame:
+    """Each document of (bucket, doc_id, class) once, in its bucket of most documents; with ``sets``."""
+    size = written_once(named.groupBy("bucket").agg(F.count(F.lit(1)).alias("sets")), "jaccard-sizes")
+    rows = written_once(named.join(size, "bucket"), "jaccard-rows")
+    largest = rows.groupBy("doc_id").agg(F.max(F.struct("sets", "bucket")).alias("x"))
+    chosen = written_once(largest.select("doc_id", "x.bucket"), "jaccard-largest")
+    return rows.join(chosen, ["doc_id", "bucket"])
+
+
+def open_buckets(named: DataFrame) -> DataFrame:
+    """Documents of buckets with several classes, buckets with one main class put together.
+
+    The buckets of near copies are many samples of one group of documents; together they are that
+    group, and its documents are compared once. Nothing is lost: what shared a bucket still does.
+    """
+    counted = named.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("n"))
+    several = counted.groupBy("bucket").agg(
+        F.min("class").alias("x"), F.max("class").alias("y"),
+        F.max(F.struct("n", (-F.col("class")).alias("c"))).alias("top")).where("x <> y")
+    main = written_once(several.select("bucket", (-F.col("top.c")).alias("main")), "jaccard-open")
+    rows = written_once(named.join(main, "bucket").select(
+        F.col("main").alias("bucket"), "doc_id", "class").distinct(), "jaccard-rows")
+    size = written_once(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("sets")), "jaccard-sizes")
+    return rows.join(size, "bucket")
+
+
 def joined_classes(docs: DataFrame, found: DataFrame, sets: DataFrame) -> DataFrame:
     """Verified links (a, b) that hold every class together; ``found`` are the buckets, ``sets`` has the bitmaps."""
     links = checked = None
@@ -545,11 +580,9 @@ def joined_classes(docs: DataFrame, found: DataFrame, sets: DataFrame) -> DataFr
                 "bucket", "doc_id", F.coalesce("component", "doc_id").alias("class"))
         else:
             named = found.select("bucket", "doc_id", F.col("doc_id").alias("class"))
-        named = written_once(named, "jaccard-named")
-        wide = named.groupBy("bucket").agg(
-            F.count(F.lit(1)).alias("sets"), F.min("class").alias("x"), F.max("class").alias("y")).where("x <> y")
-        wide = written_once(wide.select("bucket", "sets"), "jaccard-open")
-        rows = written_once(named.join(wide, "bucket"), "jaccard-rows").join(sets, "doc_id")
+        rows = first_buckets(written_once(named, "jaccard-named")) if not phase else open_buckets(
+            written_once(named, "jaccard-named"))
+        rows = rows.join(sets, "doc_id")
         pairs = candidates(rows, phase)
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
