@@ -23,8 +23,8 @@ from ledgerhub.llm.common import slices, with_new
 WORD_PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
-SLICE_CHARS = 1_000_000
-MAX_KEPT_WORDS = 200_000
+SLICE_CHARS = 400_000
+MAX_KEPT_WORDS = 100_000
 _SHIFT = 24
 _NONE = np.iinfo(np.int64).max
 
@@ -207,6 +207,32 @@ def decoded(ids: Column, tables: Tables) -> Column:
     return run(ids)
 
 
+def there_and_back(text: Column, tables: Tables) -> Column:
+    """Struct column (token_ids, decoded_text): ids as ``encoded`` packs them, and the text decoded
+    from them, in one pass of one Python worker."""
+
+    @F.arrow_udf("struct<token_ids:binary,decoded_text:string>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder = Encoder(tables)
+        for batch in batches:
+            ids, texts = [], []
+            for group in slices(batch, SLICE_CHARS):
+                for own in encoder.encode(group):
+                    ids.append(own.tobytes())
+                    texts.append(decode_ids(own, tables))
+            yield pa.StructArray.from_arrays(
+                [pa.array(ids, pa.binary()), pa.array(texts, pa.string())], ["token_ids", "decoded_text"])
+
+    return run.asNondeterministic()(text)
+
+
+def round_trip(df: DataFrame, tables: Tables, text: str = "text") -> DataFrame:
+    """``encode`` and ``decode`` in one: ``df`` with token_ids, n_tokens and decoded_text."""
+    both = with_new(df, coded_=there_and_back(F.col(text), tables))
+    out = with_new(both, token_ids=F.col("coded_.token_ids"), decoded_text=F.col("coded_.decoded_text"))
+    return with_new(out.drop("coded_"), n_tokens=(F.octet_length("token_ids") / 4).cast("long"))
+
+
 def encode(df: DataFrame, tables: Tables, text: str = "text") -> DataFrame:
     """``df`` with ``token_ids`` (binary, 4 bytes an id) and ``n_tokens``.
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -68,10 +68,9 @@ def tokenized(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 def word_hashes(words: pa.Array) -> np.ndarray:
     """64-bit hash of each word, the same in every task; distinct words are hashed once."""
     coded = words.dictionary_encode()
-    distinct = np.array(coded.dictionary.to_pylist(), object)
-    if not len(distinct):
-        return np.empty(0, np.uint64)
-    return pd.util.hash_array(distinct, categorize=False)[coded.indices.to_numpy()]
+    distinct = coded.dictionary.to_pylist()
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))
+    return hashes[coded.indices.to_numpy()]
 
 
 def planes(values: np.ndarray) -> bytes:

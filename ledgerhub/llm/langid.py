@@ -109,7 +109,8 @@ def classified(text: Column, model: Dictionaries) -> Column:
                 [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
                 ["lang_pred", "score"])
 
-    return run(text)
+    # else a filter on the result is pushed below the column and runs it a second time
+    return run.asNondeterministic()(text)
 
 
 def identify(df: DataFrame, model: Dictionaries, text: str = "text") -> DataFrame:

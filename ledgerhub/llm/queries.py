@@ -28,8 +28,7 @@ def query(name: str, sql: str | None = None):
 def token_digests(docs: DataFrame, tokenizer: str) -> DataFrame:
     """doc_id, n_tokens and digests of the ids and of the text decoded from them."""
     tables = bpe.load(tokenizer)
-    coded = bpe.encode(docs.select("doc_id", "text"), tables).drop("text")
-    return bpe.decode(coded, tables).select(
+    return bpe.round_trip(docs.select("doc_id", "text"), tables).select(
         "doc_id", "n_tokens",
         F.sha2("token_ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded_text").cast("binary"), 256).alias("decoded_sha256"),

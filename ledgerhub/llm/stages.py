@@ -50,6 +50,6 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def bpe_coding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens and token ids, and whether decoding gave the text back, of every row."""
     tables = bpe.load(public_tokenizers.path("byte_bpe_50k.json"))
-    coded = bpe.decode(bpe.encode(docs.select(*DOCUMENT), tables), tables)
+    coded = bpe.round_trip(docs.select(*DOCUMENT), tables)
     same = F.col("decoded_text") == F.coalesce("text", F.lit(""))
     return coded.select("doc_id", "lang", "source", "n_tokens", "token_ids", same.alias("round_trip"))

@@ -76,6 +76,9 @@ def test_frames(spark, tables, library):
         ids = wanted(library, text)
         assert (got[key]["ids"], got[key]["n_tokens"], got[key]["decoded_text"]) == (ids, len(ids), text)
     assert bpe.encode(df.limit(0), tables).count() == 0
+    both = bpe.round_trip(df, tables)
+    kept = ["doc_id", "text", "token_ids", "decoded_text", "n_tokens"]
+    assert both.columns == kept and both.exceptAll(out.select(kept)).count() == 0
 
 
 def test_query(spark, library):
