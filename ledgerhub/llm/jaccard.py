@@ -36,14 +36,14 @@ from ledgerhub.sizing import broadcast_within
 WORDS = 5
 #: Sets link from 4/5 on: 100 * intersection >= 80 * union.
 LEAST, OF = 80, 100
-SLICE_CHARS = 2_000_000
-FLUSH = 1_000_000
-SHARD_SHINGLES = 2_000_000
+SLICE_CHARS = 500_000
+FLUSH = 400_000
+SHARD_SHINGLES = 800_000
 #: Cost model of a band: sets in it, share of pairs of sets that have a passage in common,
 #: shingles of such a passage, and what a candidate pair costs in index rows.
 BAND_SETS, SHARED_PAIRS, PASSAGE, PAIR_COST = 4000, 0.005, 50, 100
 #: Sets of a bucket that are compared in one task; larger buckets are compared part by part.
-PART_SETS = 4000
+PART_SETS = 500
 #: Sets by which a large bucket's middle one is chosen; buckets up to SMALL are compared as a whole.
 JUDGES = 32
 SMALL = 64

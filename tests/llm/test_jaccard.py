@@ -128,7 +128,7 @@ def test_pairs_of_buckets():
             assert set(zip(a.tolist(), b.tolist())) == wanted
 
 
-@pytest.mark.parametrize("part,small,chunk", [(3, 2, 7), (4000, 4, 50), (4000, 64, 5000)])
+@pytest.mark.parametrize("part,small,chunk", [(3, 2, 7), (500, 4, 50), (500, 64, 5000)])
 def test_classes(spark, monkeypatch, part, small, chunk):
     monkeypatch.setattr(jaccard, "PART_SETS", part)
     monkeypatch.setattr(jaccard, "SMALL", small)
