@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ledgerhub.scratch import run_folder, shared_folder, written_once
 
 __all__ = [
-    "WORD", "fold_of", "numbers", "planes", "read", "run_folder", "shard_of", "shared_folder",
+    "WORD", "fold_of", "long_rows", "numbers", "planes", "read", "run_folder", "shard_of", "shared_folder",
     "slices", "tokenized", "with_new", "word_hashes", "written_once",
 ]
 
@@ -22,7 +22,20 @@ __all__ = [
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def long_rows(spark: SparkSession, rows: int = 1000) -> None:
+    """Send texts to Python workers in batches of 1,000 rows, unless the session asks for others.
+
+    Spark's default of 10,000 makes batches of tens of MB, held by the JVM and the worker alike.
+    """
+    if spark.conf.get(ARROW_ROWS) == "10000":
+        spark.conf.set(ARROW_ROWS, str(rows))
+
+
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    long_rows(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

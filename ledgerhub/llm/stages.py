@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerhub.llm import bpe, jaccard, langid, mixing, quality
-from ledgerhub.llm.common import written_once
+from ledgerhub.llm.common import long_rows, written_once
 from ledgerhub.llm.queries import DOMAIN_SQL, MIX_SEED, MIX_WEIGHTS
 from ledgerhub.sizing import broadcast_within
 
@@ -22,6 +22,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Learns from the labelled ones of ``docs``, leaving out the held-out fold.
     """
+    long_rows(spark)
     docs = docs.select(*DOCUMENT)
     found = langid.identify(docs, langid.fit(docs.where(~langid.held_out()))).where("not rejected")
     return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*DOCUMENT)
@@ -35,6 +36,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the least id; rows without id all stay."""
+    long_rows(spark)
     docs = docs.select(*DOCUMENT)
     found = jaccard.classes(docs)
     others = written_once(found.where("component_id < doc_id").select("doc_id").distinct(), "stage-others")
@@ -49,6 +51,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe_coding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens and token ids, and whether decoding gave the text back, of every row."""
+    long_rows(spark)
     tables = bpe.load(public_tokenizers.path("byte_bpe_50k.json"))
     coded = bpe.round_trip(docs.select(*DOCUMENT), tables)
     same = F.col("decoded_text") == F.coalesce("text", F.lit(""))
