@@ -1,8 +1,10 @@
 """Declared columns of extract jobs.
 
-Names are those of the interface; the types are our declaration. A job reads and keeps these
-columns only. Jobs without an entry take their columns from the caller (``extract.run_landed``),
-as do jobs of which more columns are wanted.
+Names are those of the interface, as they land, since pages are parsed by exact name; the types are
+our declaration, text where the name doesn't tell. Each entry has the whole list of its job, the
+record tag included if the job stores it, and the time its change filter needs. A job reads and
+keeps these columns only. Jobs without an entry (README) take theirs from the caller
+(``extract.run_landed``), as do jobs of which more columns are wanted.
 """
 
 from __future__ import annotations
@@ -14,43 +16,159 @@ _KINDS = {
     "day": T.DateType(), "time": T.TimestampType(), "amount": T.DecimalType(18, 2), "rate": T.DecimalType(18, 6),
 }
 
-# --- fixed values: field names of the interface, by type
-_LEDGER = "number:Entry_No day:Posting_Date text:Document_No amount:Amount"
-_INVOICE = "text:id text:no day:postingDate text:preAssignedNo text:userID time:systemModifiedAt"
-_ENTRY = (
-    "text:id number:entryNo day:postingDate text:documentType text:documentNo text:currencyCode amount:amount"
-    " amount:remainingAmount amount:amountLCY flag:open day:dueDate number:closedByEntryNo day:closedAtDate"
-)
+# --- fixed values: field names of the interface as they land, by type; all that the job's list of columns names
 _HEADER = (
-    "text:Id text:DocumentType text:No text:SellToCustomerNo text:VoyageNo day:DocumentDate day:PostingDate"
-    " text:StatusCode text:VesselNo text:OrderTypeCode text:Attribute06 text:PortFromName text:PortToName"
-    " time:systemModifiedAt"
+    "text:@odata.etag text:id text:documentType text:no text:sellToCustomerNo text:sellToCustomerName "
+    "text:billToCustomerNo text:billToCustomerName text:voyageNo text:movementType day:documentDate day:postingDate "
+    "text:statusCode time:createdDateTime text:createdUserID time:modifiedDateTime text:modifiedUserID "
+    "day:announcedDate text:announcedTime day:arrivedDate text:arrivedTime day:departedDate day:deliveryDate "
+    "day:estimatedDepartureDate text:vesselNo text:orderTypeCode text:shortcutDimension2Code text:attribute01 "
+    "text:attribute02 text:attribute03 text:attribute04 text:attribute05 text:attribute06 text:attribute07 "
+    "text:attribute08 text:attribute09 text:attribute10 text:portFromName text:portToName time:systemModifiedAt"
 )
 _LINE = (
-    "text:Id time:SystemCreatedAt time:SystemModifiedAt text:DocumentNo small:LineNo text:SellToCustomerNo"
-    " text:BuyFromVendorNo text:CurrencyCode text:Type text:No rate:Quantity rate:UnitPrice amount:LineAmount"
-    " day:PostingDate text:InvoiceNo"
-)
-_RELATION = (
-    "text:no text:name text:countryRegionCode text:genBusPostingGroup text:vatBusPostingGroup"
-    " text:statusCode3PL time:systemCreatedAt"
+    "text:@odata.etag text:id time:systemCreatedAt time:systemModifiedAt text:documentNo small:lineNo "
+    "text:sellToCustomerNo text:buyFromVendorNo text:currencyCode amount:lineAmountLCY text:type text:no "
+    "rate:quantity rate:unitPrice amount:lineAmount time:createdDateTime text:createdUserID time:modifiedDateTime "
+    "text:modifiedUserID text:itemCategoryCode text:productGroupCode text:batchNo text:shortcutDimension2Code "
+    "day:postingDate text:invoiceType text:invoiceNo day:invoiceDate text:purchInvoiceType text:purchInvoiceNo "
+    "day:purchInvoiceDate text:agreementType text:agreementNo"
 )
 _FIELDS = {
-    "BC_GLaccounts": "text:id text:no text:name text:accountType text:accountCategory flag:blocked amount:balance",
+    "BC_GLaccounts": (
+        "text:@odata.etag text:id time:systemCreatedAt text:systemCreatedBy time:systemModifiedAt "
+        "text:systemModifiedBy text:no text:name text:searchName text:accountType text:globalDimension1Code "
+        "text:globalDimension2Code text:accountCategory text:incomeBalance text:debitCredit text:no2 text:comment "
+        "flag:blocked text:directPosting text:reconciliationAccount text:newPage text:noOfBlankLines text:indentation "
+        "time:lastModifiedDateTime day:lastDateModified amount:balanceAtDate amount:netChange amount:budgetedAmount "
+        "text:totaling amount:balance amount:budgetAtDate text:consolTranslationMethod text:consolDebitAcc "
+        "text:consolCreditAcc text:genPostingType text:genBusPostingGroup text:genProdPostingGroup amount:debitAmount "
+        "amount:creditAmount text:automaticExtTexts amount:budgetedDebitAmount amount:budgetedCreditAmount "
+        "text:taxAreaCode flag:taxLiable text:taxGroupCode text:vatBusPostingGroup text:vatProdPostingGroup "
+        "amount:vatAmt text:additionalCurrencyNetChange amount:addCurrencyBalanceAtDate "
+        "text:additionalCurrencyBalance text:exchangeRateAdjustment amount:addCurrencyDebitAmount "
+        "amount:addCurrencyCreditAmount text:defaultICPartnerGLAccNo number:accountSubcategoryEntryNo "
+        "text:accountSubcategoryDescript text:costTypeNo text:defaultDeferralTemplateCode text:apiAccountType "
+        "text:omitDefaultDescrInJnl text:availableForPurchase3PL text:availableForSales3PL text:pictureMediaEditLink "
+        "text:pictureMediaReadLink"
+    ),
     "BC_GLentries": (
-        "text:id time:systemModifiedAt number:entryNo text:gLAccountNo day:postingDate text:documentType"
-        " text:documentNo text:description amount:amount text:sourceType text:sourceNo flag:reversed"
+        "text:id time:systemCreatedAt text:systemCreatedBy time:systemModifiedAt text:systemModifiedBy number:entryNo "
+        "text:gLAccountNo day:postingDate text:documentType text:documentNo text:description text:balAccountNo "
+        "amount:amount text:globalDimension1Code text:globalDimension2Code text:userID text:sourceCode "
+        "text:systemCreatedEntry text:priorYearEntry text:jobNo rate:quantity amount:vatAmount text:businessUnitCode "
+        "text:journalBatchName text:reasonCode text:genPostingType text:genBusPostingGroup text:genProdPostingGroup "
+        "text:balAccountType number:transactionNo amount:debitAmount amount:creditAmount day:documentDate "
+        "text:externalDocumentNo text:sourceType text:sourceNo text:noSeries text:taxAreaCode flag:taxLiable "
+        "text:taxGroupCode text:useTax text:vatBusPostingGroup text:vatProdPostingGroup "
+        "amount:additionalCurrencyAmount amount:addCurrencyDebitAmount amount:addCurrencyCreditAmount "
+        "text:closeIncomeStatementDimID text:icPartnerCode flag:reversed number:reversedByEntryNo "
+        "number:reversedEntryNo text:gLAccountName text:journalTemplName number:dimensionSetID "
+        "text:shortcutDimension3Code text:shortcutDimension4Code text:shortcutDimension5Code "
+        "text:shortcutDimension6Code text:shortcutDimension7Code text:shortcutDimension8Code "
+        "number:lastDimCorrectionEntryNo text:lastDimCorrectionNode text:dimensionChangesCount text:prodOrderNo "
+        "text:faEntryType number:faEntryNo text:comment text:accountId time:lastModifiedDateTime "
+        "text:documentLineNo3PL text:wmsDocumentType text:wmsDocumentNo text:wmsDocumentLineNo text:tmsDocumentType "
+        "text:tmsDocumentNo text:tmsDocumentSequenceNo text:tmsDocumentLineNo text:ultimo"
+    ),
+    "BC_CustomerLedgerEntries": (
+        "text:@odata.etag text:id time:systemCreatedAt text:systemCreatedBy time:systemModifiedAt "
+        "text:systemModifiedBy number:entryNo text:customerNo day:postingDate text:documentType text:documentNo "
+        "text:description text:customerName text:currencyCode amount:amount amount:remainingAmount "
+        "amount:originalAmtLCY amount:remainingAmtLCY amount:amountLCY amount:salesLCY amount:profitLCY "
+        "amount:invDiscountLCY text:sellToCustomerNo text:customerPostingGroup text:globalDimension1Code "
+        "text:globalDimension2Code text:salespersonCode text:userID text:sourceCode text:onHold text:appliesToDocType "
+        "text:appliesToDocNo flag:open day:dueDate day:pmtDiscountDate text:originalPmtDiscPossible "
+        "amount:pmtDiscGivenLCY amount:origPmtDiscPossibleLCY flag:positive number:closedByEntryNo day:closedAtDate "
+        "amount:closedByAmount text:appliesToID text:journalTemplName text:journalBatchName text:reasonCode "
+        "text:balAccountType text:balAccountNo number:transactionNo amount:closedByAmountLCY amount:debitAmount "
+        "amount:creditAmount amount:debitAmountLCY amount:creditAmountLCY day:documentDate text:externalDocumentNo "
+        "text:calculateInterest text:closingInterestCalculated text:noSeries text:closedByCurrencyCode "
+        "amount:closedByCurrencyAmount text:adjustedCurrencyFactor text:originalCurrencyFactor amount:originalAmount "
+        "text:remainingPmtDiscPossible day:pmtDiscToleranceDate text:maxPaymentTolerance text:lastIssuedReminderLevel "
+        "text:acceptedPaymentTolerance text:acceptedPmtDiscTolerance amount:pmtToleranceLCY amount:amountToApply "
+        "text:icPartnerCode text:applyingEntry flag:reversed number:reversedByEntryNo number:reversedEntryNo "
+        "flag:prepayment text:paymentReference text:paymentMethodCode text:appliesToExtDocNo "
+        "text:recipientBankAccount text:messageToRecipient text:exportedToPaymentFile number:dimensionSetID "
+        "text:shortcutDimension3Code text:shortcutDimension4Code text:shortcutDimension5Code "
+        "text:shortcutDimension6Code text:shortcutDimension7Code text:shortcutDimension8Code "
+        "text:directDebitMandateID"
+    ),
+    "BC_VendorLedgerEntries": (
+        "text:@odata.etag text:id time:systemCreatedAt text:systemCreatedBy time:systemModifiedAt "
+        "text:systemModifiedBy number:entryNo text:vendorNo day:postingDate text:documentType text:documentNo "
+        "text:description text:vendorName text:currencyCode amount:amount amount:remainingAmount "
+        "amount:originalAmtLCY amount:remainingAmtLCY amount:amountLCY amount:purchaseLCY amount:invDiscountLCY "
+        "text:buyFromVendorNo text:vendorPostingGroup text:globalDimension1Code text:globalDimension2Code "
+        "text:purchaserCode text:userID text:sourceCode text:onHold text:appliesToDocType text:appliesToDocNo "
+        "flag:open day:dueDate day:pmtDiscountDate text:originalPmtDiscPossible amount:pmtDiscRcdLCY "
+        "amount:origPmtDiscPossibleLCY flag:positive number:closedByEntryNo day:closedAtDate amount:closedByAmount "
+        "text:appliesToID text:journalTemplName text:journalBatchName text:reasonCode text:balAccountType "
+        "text:balAccountNo number:transactionNo amount:closedByAmountLCY amount:debitAmount amount:creditAmount "
+        "amount:debitAmountLCY amount:creditAmountLCY day:documentDate text:externalDocumentNo text:noSeries "
+        "text:closedByCurrencyCode amount:closedByCurrencyAmount text:adjustedCurrencyFactor "
+        "text:originalCurrencyFactor amount:originalAmount text:remainingPmtDiscPossible day:pmtDiscToleranceDate "
+        "text:maxPaymentTolerance text:acceptedPaymentTolerance text:acceptedPmtDiscTolerance amount:pmtToleranceLCY "
+        "amount:amountToApply text:icPartnerCode text:applyingEntry flag:reversed number:reversedByEntryNo "
+        "number:reversedEntryNo flag:prepayment text:creditorNo text:paymentReference text:paymentMethodCode "
+        "text:appliesToExtDocNo text:recipientBankAccount text:messageToRecipient text:exportedToPaymentFile "
+        "number:dimensionSetID text:shortcutDimension3Code text:shortcutDimension4Code text:shortcutDimension5Code "
+        "text:shortcutDimension6Code text:shortcutDimension7Code text:shortcutDimension8Code"
+    ),
+    "BC_DetCustomerLedger": (
+        "text:@odata.etag number:Entry_No day:Posting_Date text:Entry_Type text:Document_Type text:Document_No "
+        "text:Customer_No text:Initial_Entry_Global_Dim_1 text:Initial_Entry_Global_Dim_2 text:Posting_Group "
+        "text:Currency_Code amount:Amount amount:Amount_LCY amount:Debit_Amount amount:Debit_Amount_LCY "
+        "amount:Credit_Amount amount:Credit_Amount_LCY day:Initial_Entry_Due_Date text:User_ID text:Source_Code "
+        "text:Reason_Code flag:Unapplied number:Unapplied_by_Entry_No number:Cust_Ledger_Entry_No"
+    ),
+    "BC_DetVendorLedger": (
+        "text:@odata.etag number:Entry_No day:Posting_Date text:Entry_Type text:Document_Type text:Document_No "
+        "text:Vendor_No text:Initial_Entry_Global_Dim_1 text:Initial_Entry_Global_Dim_2 text:Posting_Group "
+        "text:Currency_Code amount:Amount amount:Amount_LCY amount:Debit_Amount amount:Debit_Amount_LCY "
+        "amount:Credit_Amount amount:Credit_Amount_LCY day:Initial_Entry_Due_Date text:User_ID text:Source_Code "
+        "text:Reason_Code flag:Unapplied number:Unapplied_by_Entry_No number:Vendor_Ledger_Entry_No"
+    ),
+    "BC_bankledger": (
+        "text:@odata.etag number:Entry_No day:Posting_Date text:Document_Type text:Document_No text:Bank_Account_No "
+        "text:Description text:Global_Dimension_1_Code text:Global_Dimension_2_Code text:Our_Contact_Code "
+        "text:Currency_Code amount:Amount amount:Debit_Amount amount:Credit_Amount amount:RunningBalance "
+        "amount:Amount_LCY amount:Debit_Amount_LCY amount:Credit_Amount_LCY amount:RunningBalanceLCY "
+        "amount:Remaining_Amount text:Bal_Account_Type text:Bal_Account_No flag:Open text:User_ID text:Source_Code "
+        "text:Reason_Code flag:Reversed number:Reversed_by_Entry_No number:Reversed_Entry_No number:Dimension_Set_ID "
+        "text:Shortcut_Dimension_3_Code text:Shortcut_Dimension_4_Code text:Shortcut_Dimension_5_Code "
+        "text:Shortcut_Dimension_6_Code text:Shortcut_Dimension_7_Code text:Shortcut_Dimension_8_Code"
+    ),
+    "BC_wmsServiceLedger": (
+        "text:@odata.etag number:Entry_No day:Posting_Date text:Entry_Type text:Document_No text:Service_No "
+        "text:Description text:User_ID text:Source_Code text:Reason_Code text:WMS_Document_Type text:WMS_Document_No "
+        "text:WMS_Document_Line_No text:Global_Dimension_1_Code text:Global_Dimension_2_Code "
+        "text:Gen_Bus_Posting_Group text:Gen_Prod_Posting_Group amount:Amount amount:Amount_LCY text:Currency_Code "
+        "text:Currency_Factor amount:VAT_Amount amount:Debit_Amount amount:Credit_Amount rate:Carrier_Quantity "
+        "rate:Order_Quantity rate:Gross_Weight rate:Net_Weight rate:Quantity text:Unit_of_Measure_Code "
+        "text:Qty_per_Unit_of_Measure rate:Quantity_Base rate:Unit_Price rate:Unit_Cost text:Original_Line_Qty "
+        "text:Original_Unit_Price_Cost amount:Min_Line_Amount amount:Max_Line_Amount amount:Base_Line_Amount "
+        "number:Dimension_Set_ID text:Applies_to_Entry text:Batch_No text:Building_Code day:Document_Date "
+        "flag:Reversed text:Source_Type text:Source_No"
+    ),
+    "BC_PurchaseInvoiceHeader": "text:id text:no day:postingDate text:preAssignedNo text:userID time:systemModifiedAt text:payToVendorNo",
+    "BC_SalesInvoiceHeader": (
+        "text:@odata.etag text:id text:no text:sellToCustomerNo day:postingDate text:preAssignedNo text:userID "
+        "time:systemModifiedAt"
+    ),
+    "BC_Customers": (
+        "text:@odata.etag text:id text:number text:displayName text:type text:addressLine1 text:addressLine2 "
+        "text:city text:state text:country text:postalCode text:phoneNumber text:email text:website "
+        "text:salespersonCode amount:balanceDue amount:creditLimit flag:taxLiable text:taxAreaId "
+        "text:taxAreaDisplayName text:taxRegistrationNumber text:currencyId text:currencyCode text:paymentTermsId "
+        "text:shipmentMethodId text:paymentMethodId text:blocked time:lastModifiedDateTime"
+    ),
+    "BC_Vendors": (
+        "text:@odata.etag text:id text:number text:displayName text:addressLine1 text:addressLine2 text:city "
+        "text:state text:country text:postalCode text:phoneNumber text:email text:website text:taxRegistrationNumber "
+        "text:currencyId text:currencyCode text:irs1099Code text:paymentTermsId text:paymentMethodId flag:taxLiable "
+        "text:blocked amount:balance time:lastModifiedDateTime"
     ),
-    "BC_CustomerLedgerEntries": _ENTRY + " text:customerNo",
-    "BC_VendorLedgerEntries": _ENTRY + " text:vendorNo",
-    "BC_DetCustomerLedger": _LEDGER + " text:Entry_Type text:Document_Type text:Customer_No",
-    "BC_DetVendorLedger": _LEDGER + " text:Entry_Type text:Document_Type text:Vendor_No",
-    "BC_bankledger": _LEDGER + " text:Bank_Account_No text:Currency_Code flag:Open flag:Reversed",
-    "BC_wmsServiceLedger": _LEDGER + " text:Entry_Type text:Service_No rate:Quantity rate:Unit_Price",
-    "BC_PurchaseInvoiceHeader": _INVOICE + " text:payToVendorNo",
-    "BC_SalesInvoiceHeader": _INVOICE + " text:sellToCustomerNo",
-    "BC_Customers": _RELATION + " text:customerPostingGroup",
-    "BC_Vendors": _RELATION + " text:vendorPostingGroup",
     "BC_wmsDH": _HEADER,
     "BC_wmsPDH": _HEADER,
     "BC_wmsDL": _LINE,
@@ -64,5 +182,5 @@ def schema_of(target: str) -> T.StructType | None:
     """Declared columns of a target table, without the company; None if it has none here."""
     if target not in _FIELDS:
         return None
-    pairs = (field.split(":") for field in _FIELDS[target].split())
+    pairs = (field.split(":", 1) for field in _FIELDS[target].split())
     return T.StructType([T.StructField(name, _KINDS[kind]) for kind, name in pairs])

@@ -394,3 +394,26 @@ def test_watermarks_are_kept_with_the_load(spark, rows, table):
     late = spark.createDataFrame([landed_row(15, "too late", 5), landed_row(21, "f", 6)], LANDED)
     extract.run(entry, late, name, "2024-05-02")
     assert {r["id"] for r in spark.table(name).collect()} == {1, 2, 5, 9, 20, 21}
+
+
+def test_all_columns_of_a_job_land(spark, rows, tmp_path):
+    """Names as they land, the record tag among them: none is lost between page and table."""
+    values = {"long": "7", "int": "7", "boolean": "true", "date": '"2024-05-02"', "timestamp": '"2024-05-02T10:00:00Z"',
+              "string": '"122"', "decimal(18,2)": "1.25", "decimal(18,6)": "1.5", "bigint": "7"}
+    sizes = {"BC_GLentries": 78, "BC_Customers": 28, "BC_wmsDH": 40, "BC_wmsDL": 32}
+    names = {"BC_GLentries": "vatAmount", "BC_Customers": "displayName", "BC_wmsDH": "no", "BC_wmsDL": "lineAmountLCY"}
+    for target, size in sizes.items():
+        entry = catalog.dataset(target)
+        wanted = extract.declared(entry)
+        assert len(wanted) == size and names[target] in wanted.fieldNames()
+        assert {k for k in (*entry.keys, entry.entry_no, entry.changed) if k and k != "Entity"} <= set(wanted.fieldNames())
+        kept = {entry.kinds[0]: f'"{entry.kinds[1][0]}"'} if entry.kinds else {}
+        record = ", ".join(f'"{f.name}": {kept.get(f.name, values[f.dataType.simpleString()])}' for f in wanted.fields)
+        folder, name = tmp_path / target, f"t_{uuid.uuid4().hex}"
+        folder.mkdir()
+        (folder / "pages.json").write_text('{"Entity": "A", "page_no": 1, "value": [{%s}]}' % record)
+        stored = spark.createDataFrame([], wanted).schema.add("Entity", "string")
+        tables.create(spark, name, stored, run_folder(spark, "test"), keys=list(entry.keys[:1]), buckets=2 if entry.keys else 0)
+        extract.run_landed(spark, entry, str(folder), name, "2024-05-02", run_folder(spark, "log"))
+        found = spark.table(name).collect()
+        assert len(found) == 1 and None not in found[0]
