@@ -64,6 +64,26 @@ def drift_rows(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
+def landed_drift(counts: DataFrame, schema: T.StructType, parsed: T.StructType | None = None) -> DataFrame:
+    """Drift as rows (problem, column, filled) of the field names that landed: (column, filled) in ``counts``.
+
+    Pages are parsed by the exact names of ``parsed``, by default those of ``schema``: another
+    spelling is unknown, and its column is missing. If no record landed there is no report.
+    """
+    declared = {plain_name(f.name).lower(): f.name for f in schema.fields}
+    read = {f.name: plain_name(f.name).lower() for f in (parsed or schema).fields}
+    bound = [(name, declared[key]) for name, key in read.items() if key in declared]
+    spark = counts.sparkSession
+    known = spark.createDataFrame(bound, "column STRING, declared STRING")
+    wanted = spark.createDataFrame([(n,) for n in declared.values()], "declared STRING")
+    unknown = counts.join(F.broadcast(known), "column", "left_anti").select(
+        F.lit("unknown").alias("problem"), "column", "filled")
+    here = known.join(counts, "column", "left_semi").select("declared").distinct()
+    missing = wanted.join(here, "declared", "left_anti").crossJoin(counts.limit(1).select()).select(
+        F.lit("missing").alias("problem"), F.col("declared").alias("column"), F.lit(0).cast("long").alias("filled"))
+    return missing.unionByName(unknown)
+
+
 def positional(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Columns renamed by position; the widths must agree."""
     if len(df.columns) != len(names):

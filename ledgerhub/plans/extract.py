@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerhub.operators import load
-from ledgerhub.operators.binding import ENTITY, bind, drift_rows, positional, without
+from ledgerhub.operators.binding import ENTITY, bind, landed_drift, positional, without
 from ledgerhub.operators.changes import modified_since, of_kinds
 from ledgerhub.operators.watermark import above_marks, above_watermark, high_watermarks
 from ledgerhub.plans import catalog, run_log, schemas
@@ -247,6 +247,7 @@ def run_landed(
 
     Gives the companies whose pull was rejected and the drift report. ``landed`` are the
     record's fields as they land, by default the declared ones, so that only these are parsed.
+    For the report the pages are read once more, for the names and values of all their fields.
     """
     wanted = declared(entry, schema)
     landing = written_once(pages.read_pages(spark, folder, landed or wanted), "pages")
@@ -256,8 +257,8 @@ def run_landed(
         entry, bound(entry, records, schema), table, run_date, log_folder,
         complete=status.where("complete"), registered=registered, now=now,
     )
-    drift = drift_rows(records.drop(ENTITY, *ARRIVAL), wanted)
-    return pages.incomplete_companies(status), drift
+    found = landed_drift(pages.field_counts(pages.read_pages(spark, folder, pages.RAW), status), wanted, landed)
+    return pages.incomplete_companies(status), written_once(found, "drift")
 
 
 def landed_report(spark: SparkSession, entry: Dataset, path: str) -> DataFrame:

@@ -8,10 +8,12 @@ from ledgerhub.functions.text import quoted
 from ledgerhub.sizing import company_side
 
 NEXT_LINK = "@odata.nextLink"
+#: A record of which nothing is known: its fields by name, values as text.
+RAW = T.MapType(T.StringType(), T.StringType())
 
 
 def read_pages(
-    spark: SparkSession, folder: str, record: T.StructType, one_per_line: bool = True
+    spark: SparkSession, folder: str, record: T.StructType | T.MapType, one_per_line: bool = True
 ) -> DataFrame:
     """Pages with company, page number and record array.
 
@@ -74,3 +76,13 @@ def complete_pages(pages: DataFrame, status: DataFrame) -> DataFrame:
 
 def incomplete_companies(status: DataFrame) -> DataFrame:
     return status.where(~F.col("complete")).select("Entity", "pages")
+
+
+def field_counts(raw: DataFrame, status: DataFrame) -> DataFrame:
+    """(column, filled) of each field name in records of whole pulls, read as :data:`RAW`.
+
+    ``filled`` is in how many records the field has a value.
+    """
+    fields = complete_pages(raw, status).select(F.explode("value").alias("record")).select(
+        F.explode("record").alias("column", "text"))
+    return fields.groupBy("column").agg(F.count("text").alias("filled"))

@@ -417,3 +417,25 @@ def test_all_columns_of_a_job_land(spark, rows, tmp_path):
         extract.run_landed(spark, entry, str(folder), name, "2024-05-02", run_folder(spark, "log"))
         found = spark.table(name).collect()
         assert len(found) == 1 and None not in found[0]
+
+
+def test_drift_of_landed_pages_without_their_schema(spark, rows, tmp_path):
+    """Fields the API adds, drops or spells anew are reported although pages are parsed by the declared names."""
+    entry, name = catalog.dataset("BC_wmsRecordLink"), f"t_{uuid.uuid4().hex}"
+    stored = "id STRING, tableNo INT, created TIMESTAMP, Entity STRING"
+    tables.create(spark, name, spark.createDataFrame([], stored).schema, run_folder(spark, "test"), keys=["id"], buckets=2)
+
+    def drift(*records):
+        folder = tmp_path / uuid.uuid4().hex
+        folder.mkdir()
+        page = '{"Entity": "A", "page_no": 1, "value": [%s]}' % ", ".join(records)
+        other = '{"Entity": "B", "page_no": 2, "value": [{"rejected": 1}]}'
+        (folder / "pages.json").write_text(page + "\n" + other)
+        return rows(extract.run_landed(spark, entry, str(folder), name, "2024-05-02", run_folder(spark, "log"))[1])
+
+    whole = '"id": "1", "tableNo": 122, "created": null'
+    assert drift() == [] and drift("{%s}" % whole) == []
+    assert drift("{%s, \"new\": {\"a\": [1]}}" % whole, "{%s, \"new\": null, \"none\": null}" % whole) == [
+        ("unknown", "new", 1), ("unknown", "none", 0)]
+    assert drift('{"id": "1", "TableNo": 122}') == [
+        ("missing", "created", 0), ("missing", "tableNo", 0), ("unknown", "TableNo", 1)]
