@@ -6,8 +6,9 @@ count on each page of the cohort, form an equivalence class. The class of tokens
 every page in the same order is the template's root; other large and frequent classes are valid if
 each lies in one slot of the root on all pages, and nest there. What the template does not
 hold are the slots. The element of the template that holds the article is the one with most slot
-text; what its tags, roles and class names call a menu, advert, form, comment and so on is left
-out of it.
+text; what tags, roles and class names inside or beside it call a menu, advert, form, comment and
+so on is left out. They don't judge the article's element itself nor those around it: a form,
+class, id or role that would leave out most slot text is the page's wrapper and is passed over.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import html
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -30,6 +31,9 @@ MIN_PAGES = 8
 MIN_CLASS, MIN_SUPPORT = 2, 0.5
 #: A page of which the template would take more than this share of the article keeps it whole.
 MAX_TEMPLATE_SHARE = 0.3
+#: How many times the slot text outside it an element that names leave out must hold to be the article's, by
+#: whether it and the text outside have a first-level heading or an article element.
+WRAPPER_SHARE = {(True, False): 1, (True, True): 4, (False, False): 4, (False, True): 20}
 
 #: Elements by what HTML says they are.
 RAW = ("script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "xmp", "noembed", "noframes")
@@ -41,6 +45,9 @@ LEFT_OUT = frozenset(
     "head nav footer aside form menu dialog button select option optgroup datalist fieldset object canvas audio "
     "video map applet frameset".split())
 LEFT_OUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
+#: Of these, what can be around a whole page; the others never hold an article.
+WRAPPERS = frozenset("form fieldset object dialog frameset".split())
+WRAPPER_ROLES = frozenset("search form dialog alert alertdialog".split())
 CONTAINERS = frozenset(["article", "main"])
 #: Words in class names and ids of what is not the article.
 LEFT_OUT_NAMES = frozenset(
@@ -65,14 +72,26 @@ _DIGITS = re.compile(r"\d+")
 
 @dataclass
 class Node:
-    """A run of text: the chain of elements around it, its words, and whether it is in a left-out element."""
+    """A run of text: the chain of elements around it, its words, and the left-out elements it is in."""
 
     path: tuple[str, ...]
     text: str
-    out: bool
-    heading: bool
+    never: bool  # in an element that holds no article
+    owner: int  # of the others that are left out, the place of the innermost in the path; 0 if there is none
+    serial: int  # its number on the page
+    nested: bool  # it is in another one
+    heading: int  # level
     separate: bool  # a block ended before it
 
+    @property
+    def out(self) -> bool:
+        return self.never or self.owner > 0
+
+    def seen(self, wrapper: tuple[str, ...]) -> bool:
+        """Is it kept if the rules pass over the wrapper and the elements around it?"""
+        return not self.never and (not self.owner or (
+            self.owner <= len(wrapper) and self.path[:self.owner] == wrapper[:self.owner]))
+
 
 @dataclass
 class Page:
@@ -85,8 +104,8 @@ def names_of(value: str) -> set[str]:
     return {n.lower() for n in _NAME.findall(parts)}
 
 
-def element(tag: str, attrs: str, inside: bool) -> tuple[str, bool]:
-    """Label of an element (tag, class and id, numbers apart) and whether it is left out by itself."""
+def element(tag: str, attrs: str, inside: bool) -> tuple[str, bool, bool]:
+    """Label of an element (tag, class and id, numbers apart), whether it never holds an article, and is left out."""
     given = {}
     if attrs.strip(" /"):
         for name, *values in _ATTRIBUTE.findall(attrs):
@@ -94,24 +113,26 @@ def element(tag: str, attrs: str, inside: bool) -> tuple[str, bool]:
     label = " ".join(filter(None, (tag, given.get("class", ""), given.get("id", ""))))
     named = names_of(given.get("class", "") + " " + given.get("id", ""))
     role = given.get("role", "").lower()
-    out = tag in LEFT_OUT or role in LEFT_OUT_ROLES or "hidden" in given or given.get("aria-hidden") == "true"
-    out = out or (tag == "header" and not inside)
-    if tag not in ("html", "body", "main"):
+    top = tag in ("html", "body", "main")
+    never = tag in LEFT_OUT - WRAPPERS or role in LEFT_OUT_ROLES - WRAPPER_ROLES
+    never = never or (tag == "header" and not inside) or ("hidden" in given and not top)
+    out = tag in WRAPPERS or role in WRAPPER_ROLES or "hidden" in given or given.get("aria-hidden") == "true"
+    if not top:
         out = out or bool(named & LEFT_OUT_NAMES) or (not inside and tag != "article" and bool(named & OUTER_NAMES))
-    return _DIGITS.sub("#", label), out
+    return _DIGITS.sub("#", label), never, out
 
 
 def parsed(source: str) -> Page:
     """Text runs and tags of a page. Ends of elements that aren't open are ignored; open ones end with their parent."""
     page = Page()
-    stack: list[tuple[str, str, bool]] = []  # tag, label, left out
+    stack: list[tuple[str, str, bool, int, int, bool]] = []  # tag, label, and never, owner, serial and nested of its text
     path: tuple[str, ...] = ()
-    separate, heading = True, 0
+    separate, heading, serial = True, 0, 0
     for m in _TOKEN.finditer(source):
         text = m["text"]
         if text is not None:
-            out = stack[-1][2] if stack else False
-            page.nodes.append(Node(path, html.unescape(text) if "&" in text else text, out, heading > 0, separate))
+            within = stack[-1][2:] if stack else (False, 0, 0, False)
+            page.nodes.append(Node(path, html.unescape(text) if "&" in text else text, *within, heading, separate))
             separate = False
             continue
         tag = (m["tag"] or m["tag2"] or "").lower()
@@ -119,28 +140,30 @@ def parsed(source: str) -> Page:
             separate = separate or m["raw"] is not None
             continue
         end, attrs = m["end"] or m["end2"] or "", m["attrs"] or m["attrs2"] or ""
-        if tag in INLINE and not (any(t == tag for t, _, _ in stack) if end else _NAMED.search(attrs)):
+        if tag in INLINE and not (any(t[0] == tag for t in stack) if end else _NAMED.search(attrs)):
             continue
         separate = separate or tag not in INLINE
         if tag in VOID or (tag == "p" and not attrs.strip()):
             page.tags.append((len(page.nodes), path, end + tag))
             continue
         if len(tag) == 2 and tag[0] == "h" and tag[1] in "123456":
-            heading = 0 if end else 1
+            heading = 0 if end else int(tag[1])
         if end:
             page.tags.append((len(page.nodes), path, "/" + tag))
-            if any(t == tag for t, _, _ in stack):
+            if any(t[0] == tag for t in stack):
                 while stack.pop()[0] != tag:
                     pass
-                path = tuple(label for _, label, _ in stack)
+                path = tuple(t[1] for t in stack)
             continue
         if tag == "body":  # ends a head left open
             stack = [s for s in stack if s[0] != "head"]
         elif tag in ("li", "dt", "dd", "tr", "td", "th", "p", "option") and stack and stack[-1][0] == tag:
             stack.pop()
-        label, out = element(tag, attrs, any(t in CONTAINERS and not o for t, _, o in stack))
-        stack.append((tag, label, out or bool(stack and stack[-1][2])))
-        path = tuple(x for _, x, _ in stack)
+        label, never, out = element(tag, attrs, any(t[0] in CONTAINERS for t in stack))
+        around = stack[-1][2:] if stack else (False, 0, 0, False)
+        serial += 1
+        stack.append((tag, label, never or around[0], *((len(stack) + 1, serial, around[1] > 0) if out else around[1:])))
+        path = tuple(t[1] for t in stack)
         page.tags.append((len(page.nodes), path, tag))
     return page
 
@@ -228,16 +251,59 @@ def in_template(node: Node, template: Template) -> bool:
     return bool(words) and not node.heading and all((node.path, w) in template.held for w in words)
 
 
-def container(pages: list[Page], template: Template | None) -> tuple[str, ...] | None:
-    """The chain of the template's element that holds the article."""
-    if template is None:
-        return None
+def slots(page: Page, template: Template | None) -> list[Node]:
+    """Text that can be the article's, whatever names say of it."""
+    return [n for n in page.nodes if not n.never and n.text.strip() and (template is None or not in_template(n, template))]
+
+
+def owned(found: list[Node]) -> tuple[dict[tuple[str, ...], int], set[tuple[str, ...]]]:
+    """Of a page's slots, the size of the largest left-out element of each chain, and which have a heading or article.
+
+    () is the text that the rules keep.
+    """
+    sizes: dict[tuple, int] = defaultdict(int)
+    marked, paths = set(), set()
+    for n in found:
+        key = n.path[:n.owner]
+        sizes[key, n.serial] += len(n.text)
+        if n.heading == 1:
+            marked.add(key)
+        elif not n.nested and n.path not in paths:
+            paths.add(n.path)
+            if any(x.split(" ", 1)[0] in CONTAINERS for x in n.path):
+                marked.add(key)
+    largest: dict[tuple[str, ...], int] = {}
+    for (key, _), size in sizes.items():
+        largest[key] = max(size, largest.get(key, 0))
+    return largest, marked
+
+
+def wrapper(found: list[list[Node]]) -> tuple[str, ...]:
+    """The chain of a left-out element that holds the article by the pages' slots; () if there is none."""
+    total: Counter = Counter()
+    marks: Counter = Counter()
+    for nodes in found:
+        largest, marked = owned(nodes)
+        total.update(largest)
+        marks.update(marked)
+    outside = total.pop((), 0)
+    if not total:
+        return ()
+    marked = lambda p: 2 * marks[p] >= len(found)
+    best = max(total, key=lambda p: (total[p] * (WRAPPER_SHARE[False, False] if marked(p) else 1), p))
+    return best if total[best] > outside * WRAPPER_SHARE[marked(best), marked(())] else ()
+
+
+def container(
+    pages: list[Page], template: Template, around: tuple[str, ...] = (), found: list[list[Node]] | None = None,
+) -> tuple[str, ...] | None:
+    """The chain of the template's element that holds the article, by the pages' slots (``found`` if they are known)."""
     sizes: Counter = Counter()
     elements = {t[0] for t in template.root if t[1].startswith("<") and not t[1].startswith("</")}
     total = 0
-    for p in pages:
-        for n in p.nodes:
-            if not n.out and not in_template(n, template):
+    for nodes in [slots(p, template) for p in pages] if found is None else found:
+        for n in nodes:
+            if n.seen(around):
                 size = len(n.text)
                 total += size
                 for k in range(1, len(n.path) + 1):
@@ -250,12 +316,17 @@ def container(pages: list[Page], template: Template | None) -> tuple[str, ...] |
     return max(wide, key=lambda p: (len(p), p)) if wide else None
 
 
-def article(page: Page, template: Template | None, chain: tuple[str, ...] | None) -> str:
-    """Text of the slots in the article's element; without a template, of articles or else the body."""
-    kept = [n for n in page.nodes if not n.out]
+def article(page: Page, template: Template | None, chain: tuple[str, ...] | None, around: tuple[str, ...] = ()) -> str:
+    """Text of the slots in the article's element; without a template, of articles or else the body.
+
+    A page without the template's article element is judged by its own slots.
+    """
+    kept = [n for n in page.nodes if n.seen(around)]
     if chain is not None and any(n.path[:len(chain)] == chain and n.text.strip() for n in kept):
         kept = [n for n in kept if n.path[:len(chain)] == chain]
     else:
+        around = wrapper([slots(page, template)]) if any(n.owner and not n.never for n in page.nodes) else ()
+        kept = [n for n in page.nodes if n.seen(around)]
         own = [n for n in kept if any(x.split(" ")[0] in CONTAINERS for x in n.path)]
         kept = own if any(n.text.strip() for n in own) else kept
     if template is not None:
@@ -267,19 +338,30 @@ def article(page: Page, template: Template | None, chain: tuple[str, ...] | None
                 if in_template(n, template):
                     cut = cut or n.separate
                 else:
-                    out.append(Node(n.path, n.text, n.out, n.heading, n.separate or cut))
+                    out.append(replace(n, separate=n.separate or cut))
                     cut = False
             kept = out
     return joined(kept)
 
 
+def largest_text(page: Page) -> str:
+    """What tells pages apart: the text that the rules keep, or that of a left-out element which holds more."""
+    sizes, _ = owned(slots(page, None))
+    most = max(sizes, key=lambda p: (sizes[p], not p, p), default=())
+    return joined([n for n in page.nodes if not n.never and n.path[:n.owner] == most])
+
+
 def extracted(sources: list[str], same_host: bool) -> list[str]:
     """Main texts of a cohort's pages."""
     pages = [parsed(s) for s in sources]
-    different = list({joined([n for n in p.nodes if not n.out]): p for p in pages}.values())
+    different = list({largest_text(p): p for p in pages}.values())
     template = deduced(different) if same_host else None
-    chain = container(different, template)
-    return [article(p, template, chain) for p in pages]
+    if template is None:
+        return [article(p, None, None) for p in pages]
+    found = [slots(p, template) for p in different]
+    around = wrapper(found)
+    chain = container(different, template, around, found)
+    return [article(p, template, chain, around) for p in pages]
 
 
 def host(url: Column) -> Column:
@@ -292,7 +374,8 @@ def main_text(df: DataFrame) -> DataFrame:
 
     Whole pages are read. A null or empty html has the text ''. Pages without a host, and hosts with
     fewer than MIN_PAGES different pages in a cohort, have no template: articles or else the body
-    are taken, without what tags and names leave out. Repeated rows each give a row. Other columns
+    are taken, without what tags and names leave out; an element that they leave out is taken all
+    the same if the slot text shows that it holds the article. Repeated rows each give a row. Other columns
     of ``df`` are not looked at. A host's pages are dealt over cohorts by a hash of the row, so a
     host with most pages is many groups.
     """

@@ -103,3 +103,53 @@ def test_query(spark, folder):
     for r in got:
         own = pages[r["page_id"]]
         assert (r["url"], r["text"], r["n_chars"]) == (own["url"], wanted(own["html"]), len(wanted(own["html"])))
+
+
+WRAPPERS = [
+    ("<form id=aspnetForm>", "</form>"), ("<div class='layout has-sidebar'>", "</div>"), ("<div id=page class='search'>", "</div>"),
+    ("<form><div role=search>", "</div></form>"),
+]
+
+
+def wrapped(source, kind, opened, closed):
+    """The page with an element of that name around all of its body, or in place of the article's own."""
+    if kind == "article":
+        return source.replace("<main><article>", "<main><article class='post no-comments'>")
+    return source.replace("<body>", "<body>" + opened, 1).replace("</body>", closed + "</body>")
+
+
+@pytest.mark.parametrize("opened,closed", WRAPPERS)
+@pytest.mark.parametrize("kind", ["article", "div"])
+def test_names_do_not_judge_what_is_around_the_article(kind, opened, closed):
+    pages = site(random.Random(4), kind)
+    sources = [wrapped(p, "div", opened, closed) for p, _ in pages]
+    assert extraction.extracted(sources, True) == [m for _, m in pages]
+    alone = [extraction.extracted([s], False)[0] for s in sources]
+    assert alone == [extraction.extracted([p], False)[0] for p, _ in pages] and all(m in a for (_, m), a in zip(pages, alone))
+
+
+def test_names_do_not_judge_the_article_itself():
+    pages = site(random.Random(5), "article")
+    sources = [wrapped(p, "article", "", "") for p, _ in pages]
+    assert extraction.extracted(sources, True) == [m for _, m in pages]
+    assert [extraction.extracted([s], False)[0] for s in sources] == [m + " Follow us on every network" for _, m in pages]
+
+
+def test_a_few_wrapped_pages_among_others():
+    pages = site(random.Random(6), "div")
+    sources = [wrapped(p, "div", *WRAPPERS[0]) if i % 7 == 0 else p for i, (p, _) in enumerate(pages)]
+    assert all(m in got for got, (_, m) in zip(extraction.extracted(sources, True), pages))
+
+
+def test_long_comments_do_not_replace_the_article():
+    pages = [(p.replace("</h2>", "</h2><p>" + "so true " * 300 + f"{i}</p>"), m) for i, (p, m) in enumerate(site(random.Random(7), "article"))]
+    assert extraction.extracted([p for p, _ in pages], True) == [m for _, m in pages]
+
+
+@pytest.mark.parametrize("source,text", [
+    ("<form id=f><h1>a</h1><header>no</header><nav>no</nav><p>b</p></form>", "a b"), ("<nav>no</nav><div class=search>all</div>", "all"),
+    ("<article class='no-comments'><header>a</header>b<div class=share>no</div></article>", "a b"), ("<nav>no</nav>", ""),
+    ("<main>text of the page</main><form>" + "label " * 20 + "</form>", "text of the page"),
+])
+def test_names_around_single_pages(source, text):
+    assert extraction.extracted([source], False) == [text]
