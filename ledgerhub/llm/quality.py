@@ -119,7 +119,8 @@ def limits(sketch: DataFrame) -> DataFrame:
 
     A limit is the median plus or minus SPREADS times the distance of the median from the
     quantile of 5 percent, but at least the ratio's least distance. The upper half is not used:
-    that is where junk lies. Sketches of a language and of all are merged from those of sources.
+    that is where junk lies. A ratio with the median 0 has no lower spread, so its least distance
+    decides; on the given tables that holds for all three (README). Sketches of a language and of all are merged from those of sources.
     """
     merged = [
         sketch.select(F.lit(0).alias("level"), "lang", "source", "ratio", "bin", "n"),
