@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ledgerhub.llm.common import (
     numbers, planes, shard_of, slices, tokenized, word_hashes, written_once,
@@ -507,12 +507,53 @@ def indexed(docs: DataFrame, largest: int, shingles: int) -> DataFrame:
     return written_once(rows.distinct(), "jaccard-buckets")
 
 
+def stars(large: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a hub and the sets of its bucket that can link with it: at most one for each stored row.
+
+    The hub is the judge nearest to all judges, which are the JUDGES sets with the smallest hash.
+    """
+    lowest = W.partitionBy("bucket").orderBy(F.xxhash64("doc_id", "bits"), "doc_id")
+    judges = large.withColumn("judge", F.row_number().over(lowest)).where(F.col("judge") <= JUDGES)
+
+    def chosen(key: tuple, table: pa.Table) -> pa.Table:
+        sets = Sets(table["n_shingles"].to_numpy(), table["bits"].to_pylist())
+        return table.select(["bucket", "hub", "hub_shingles", "hub_bits"]).slice(middle(sets, np.arange(len(sets.size))), 1)
+
+    hubs = judges.select(
+        "bucket", "n_shingles", "bits", F.col("doc_id").alias("hub"), F.col("n_shingles").alias("hub_shingles"),
+        F.col("bits").alias("hub_bits"),
+    ).groupBy("bucket").applyInArrow(chosen, "bucket long, hub long, hub_shingles long, hub_bits binary")
+    hubs = written_once(hubs, "jaccard-hubs")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            sets = Sets(np.concatenate([batch["n_shingles"].to_numpy(), batch["hub_shingles"].to_numpy()]),
+                        batch["bits"].to_pylist() + batch["hub_bits"].to_pylist())
+            a, b = batch["doc_id"].to_numpy(), batch["hub"].to_numpy()
+            good = (sets.slack(np.arange(n), n + np.arange(n)) >= 0) & (a != b)
+            yield pa.RecordBatch.from_pydict({
+                "a": pa.array(np.minimum(a, b)[good], pa.int64()), "b": pa.array(np.maximum(a, b)[good], pa.int64())})
+
+    return large.select("bucket", "doc_id", "n_shingles", "bits").join(
+        broadcast_within(hubs), "bucket").mapInArrow(run, "a long, b long")
+
+
 def candidates(rows: DataFrame, phase: int) -> DataFrame:
     """Pairs (a, b) to verify, from stored rows (bucket, doc_id, n_shingles, bits, class, sets) of open buckets.
 
-    A bucket of more than PART_SETS sets is compared part by part: each pair of its parts is a
-    bucket of its own here, so none is larger than two parts.
+    In phase 0 a bucket of more than PART_SETS sets is one star. Later, when only buckets with
+    several classes are left, it is compared part by part: each pair of its parts is a bucket of
+    its own here, so none is larger than two parts.
     """
+    if phase == 0:
+        large = written_once(rows.where(F.col("sets") > PART_SETS), "jaccard-large")
+        return compared(rows.where(F.col("sets") <= PART_SETS), phase).union(stars(large)).distinct()
+    return compared(rows, phase)
+
+
+def compared(rows: DataFrame, phase: int) -> DataFrame:
+    """Pairs (a, b) to verify, of sets that meet in a bucket or in two parts of a large one."""
     parts = F.ceil(F.col("sets") / PART_SETS).cast("long")
     cut = rows.withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("doc_id"), "parts"))
     # part p is in the groups (p, q) and (q, p) of all q; a bucket of one part is the group (0, 0)

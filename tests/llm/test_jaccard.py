@@ -146,6 +146,21 @@ def test_classes(spark, monkeypatch, part, small, chunk):
     assert jaccard.classes(df.limit(0)).count() == 0
 
 
+def test_large_buckets_are_one_star_at_first(spark, monkeypatch):
+    """Near copies far above a part give a pair each, around one hub, in phase 0; other buckets are as before."""
+    monkeypatch.setattr(jaccard, "PART_SETS", 4)
+    base = [f"w{i}" for i in range(400)]
+    texts = [" ".join(base + [f"own{k}"]) for k in range(60)] + ["other " + " ".join(f"v{i}" for i in range(99)) + f" x{k}" for k in range(3)]
+    value, owner = jaccard.shingled(texts)
+    size = np.bincount(owner, minlength=len(texts))
+    rows = [(1 if i < 60 else 2, i, int(size[i]), b, i, 60 if i < 60 else 3) for i, b in enumerate(jaccard.bitmaps(value, size))]
+    df = spark.createDataFrame(rows, "bucket long, doc_id long, n_shingles long, bits binary, class long, sets long")
+    pairs = {tuple(r) for r in jaccard.candidates(df, 0).collect()}
+    star = [p for p in pairs if p[0] < 60]
+    assert len(star) == 59 and len(set.intersection(*map(set, star))) == 1
+    assert len(pairs) == 61 and {x for p in pairs if p[0] >= 60 for x in p} == {60, 61, 62}
+
+
 def test_components(spark):
     rng = random.Random(4)
     links = [(i, i + 1) for i in range(100, 160)] + [(1000, 1000 + i) for i in range(1, 50)] + [(5, 5)]
