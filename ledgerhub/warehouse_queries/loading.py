@@ -461,13 +461,18 @@ def stored_insert_absent(spark, folder):
 RECORD = T.StructType([
     T.StructField("entryNo", T.LongType()), T.StructField("status", T.StringType()), T.StructField("total", T.DoubleType()),
 ])
-PAGES = 4
+PAGES, PAGE_ROWS = 4, 1000
 
 
 def _land(rows, versions):
-    """Pages of the rows below a new folder: each row once per version, the last page without next link."""
-    page = (F.pmod("entryNo", F.lit(PAGES)) + 1).alias("page_no")
+    """Pages of the rows below a new folder: each row once per version, the last page without next link.
+
+    A company has PAGES pages or more, of PAGE_ROWS rows on average, so their number grows with the table.
+    """
     every = load.fan_out([rows.withColumn("status", F.coalesce(F.lit(v), F.col("status"))) for v in versions])
+    needed = F.greatest(F.lit(PAGES), F.ceil(F.count(F.lit(1)) / PAGE_ROWS)).cast("long").alias("needed")
+    every = every.join(every.groupBy("Entity").agg(needed), "Entity")
+    page = (F.pmod(F.xxhash64("entryNo"), "needed") + 1).alias("page_no")
     numbered = every.groupBy("Entity", page).agg(F.sort_array(F.collect_list(F.struct("entryNo", "status", "total"))).alias("value"))
     first = numbered.groupBy("Entity").agg(F.count(F.lit(1)).alias("pages"))  # companies with few rows may lack a page
     place = F.row_number().over(Window.partitionBy("Entity").orderBy("page_no"))

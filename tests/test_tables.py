@@ -439,3 +439,16 @@ def test_drift_of_landed_pages_without_their_schema(spark, rows, tmp_path):
         ("unknown", "new", 1), ("unknown", "none", 0)]
     assert drift('{"id": "1", "TableNo": 122}') == [
         ("missing", "created", 0), ("missing", "tableNo", 0), ("unknown", "TableNo", 1)]
+
+
+def test_landed_pages_grow_in_number(spark):
+    """A company with many rows lands in many pages of bounded size; its chain is whole."""
+    from ledgerhub.sources import pages
+    from ledgerhub.warehouse_queries import loading
+
+    frame = spark.range(12000).selectExpr(
+        "id AS entryNo", "'s' AS status", "1D AS total", "IF(id < 10, 'B', 'A') AS Entity")
+    landing = pages.read_pages(spark, loading._land(frame, [None]), loading.RECORD)
+    sizes = {(r["Entity"], r["page_no"]): len(r["value"]) for r in landing.collect()}
+    assert sum(e == "A" for e, _ in sizes) == 12 and sum(sizes.values()) == 12000 and max(sizes.values()) <= 1.2 * loading.PAGE_ROWS
+    assert pages.chain_status(landing).where("complete").count() == 2
