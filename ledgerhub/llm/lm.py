@@ -1,16 +1,15 @@
-"""Language-model scoring with a backoff automaton whose counts cover the whole corpus.
+"""Language-model scoring by backoff with counts that cover the whole corpus.
 
 The model smooths each order with the one below: p(w|h) = (c(hw) + m p(w|h')) / (c(h) + m), where
 h' is h without its first word; single words have add-one smoothing and share one unknown word.
-As an automaton, histories are states. State h has an arc for each w seen after it and a failure
-arc to h' of weight m / (c(h) + m). A text is read once from left to right: from the state at hand
-failure arcs are followed until an arc for the next word is found, its weight and theirs are added
-up, and the state moves on.
+Scores are those of a backoff automaton: histories are its states, state h has an arc for each w
+seen after it and a failure arc to h' of weight m / (c(h) + m). The automaton is not built and no
+state is carried: its traversal is replaced by looking up the n-grams of all places of a block at
+once, order by order.
 
 Counts never meet in one place. Documents are dealt into blocks; a block sends its distinct
 n-grams as sorted hashes, once for counting and looking up, to shards of the hash range; a shard
-adds the counts up and answers each block in the order it was asked. A block's automaton has
-the arcs its own texts can use.
+adds the counts up and answers each block in the order it was asked.
 """
 
 from __future__ import annotations
@@ -159,9 +158,9 @@ class Automaton:
         """For each place the weight of reading its word from the state its left neighbours lead to,
         and the word's own count.
 
-        The state at a place is the longest seen history there. Texts are read side by side: for
-        every place at once the arc of the highest order with a count is taken, after the failure
-        arcs above it.
+        The state at a place is the longest seen history there. It isn't carried from place to place:
+        for every place at once the arc of the highest order with a count is taken, after the
+        failure arcs above it.
         """
         counts = [self.count(k) for k in levels]
         arc = self.root(counts[0])
