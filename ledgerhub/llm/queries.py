@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerhub.llm import ann, bpe, chat, html, jaccard, langid, lm, mixing, quality, warc
+from ledgerhub.llm import (
+    ann, bpe, chat, decontaminate, divergence, fim, html, jaccard, langid, lm, mixing, quality, warc,
+)
 from ledgerhub.llm.common import WORD, read, written_once
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -257,3 +259,119 @@ def op7_ann(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_html")
 def op8_html(spark: SparkSession, folder: str) -> DataFrame:
     return html.with_length(html.main_text(read(spark, folder, "pages")))
+
+
+#: A-Z to lower case, and nothing else.
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query("op11_decontaminate", rf"""
+    WITH d AS (
+        SELECT row_number() OVER () AS r, doc_id,
+               regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+    ), items AS (
+        SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+               regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark
+    ), windows AS (
+        SELECT DISTINCT item, least(len(words), 10) AS size, unnest(
+            [array_to_string(words[i:i + least(len(words), 10) - 1], ' ')
+             FOR i IN range(1, greatest(len(words) - 10, 0) + 2)]) AS win
+        FROM items WHERE len(words) > 0
+    ), sizes AS (SELECT DISTINCT size FROM windows), places AS (
+        SELECT r, size, i, array_to_string(words[i:i + size - 1], ' ') AS win
+        FROM (SELECT r, words, size, unnest(range(1, len(words) - size + 2)) AS i FROM d, sizes)
+    ), found AS (
+        SELECT r, size, i, win FROM places WHERE (size, win) IN (SELECT (size, win) FROM windows)
+    ), hit AS (
+        SELECT r, count(DISTINCT place) AS n_hit
+        FROM (SELECT r, unnest(range(i, i + size)) AS place FROM found) GROUP BY r
+    ), named AS (
+        SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+        FROM (SELECT DISTINCT r, item FROM found JOIN windows USING (size, win)) GROUP BY r
+    )
+    SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+           coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+""")
+def op11_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.mark(docs, read(spark, folder, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", F.size("hit_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("hit_items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query("op12_divergence", rf"""
+    WITH d AS (
+        SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               regexp_extract_all({LOWERED}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+    ), groups_ AS (SELECT DISTINCT lang, source FROM d), words AS (
+        SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs
+        FROM (SELECT r, lang, source, unnest(terms) AS term FROM d) GROUP BY ALL
+    ), kept AS (
+        SELECT lang, term, sum(n) AS lang_n FROM words GROUP BY ALL HAVING sum(docs) >= 30
+    ), langs AS (SELECT lang, count(*) AS v, sum(lang_n) AS total FROM kept GROUP BY lang),
+    cells AS (
+        SELECT g.lang, g.source, k.term, k.lang_n, coalesce(w.n, 0) AS n,
+               sum(coalesce(w.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total
+        FROM groups_ g JOIN kept k ON k.lang = g.lang
+        LEFT JOIN words w ON w.lang = g.lang AND w.source = g.source AND w.term = k.term
+    ), shares AS (
+        SELECT c.lang, c.source, c.term, c.n,
+               1 + CAST(1000000000 * (c.n + 5)::HUGEINT // (c.total + 5 * v) AS BIGINT) AS p,
+               1 + CAST(1000000000 * (c.lang_n + 5)::HUGEINT // (l.total + 5 * v) AS BIGINT) AS q
+        FROM cells c JOIN langs l ON l.lang = c.lang
+    ), pairs AS (
+        SELECT a.lang, a.source, b.source AS item, CAST(coalesce(sum(abs(x.p - y.p)), 0) AS BIGINT) AS value
+        FROM groups_ a JOIN groups_ b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source
+        LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+        GROUP BY ALL
+    ), listed AS (
+        SELECT lang, source, 'pair' AS part, item, value FROM pairs
+        UNION ALL SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q
+    ), ranked AS (
+        SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER)
+                  AS rank FROM listed
+    )
+    SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+""")
+def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(read(spark, folder, "documents"))
+
+
+@query("op13_fim", r"""
+    WITH t AS (
+        SELECT doc_id, coalesce(text, '') AS text,
+               regexp_extract_all(coalesce(text, ''), '[ 	-]*[^ 	-]+|[ 	-]+') AS tokens,
+               sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+    ), u AS (
+        SELECT doc_id, text, tokens, len(tokens) AS n,
+               CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+               CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM t
+    ), v AS (
+        SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+               CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                         OR h3 % 100 >= 50 THEN 'plain'
+                    WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u
+    ), w AS (
+        SELECT doc_id, text, n, form, array_to_string(tokens[1:a], '') AS pre,
+               array_to_string(tokens[a + 1:b], '') AS mid, array_to_string(tokens[b + 1:], '') AS suf FROM v
+    )
+    SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+           CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                  ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+           sha256(text) AS restored_sha256
+    FROM w
+""")
+def op13_fim(spark: SparkSession, folder: str) -> DataFrame:
+    made = fim.transform(read(spark, folder, "documents").select("doc_id", "text"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
+        digest(fim.restored(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
