@@ -6,9 +6,10 @@ count on each page of the cohort, form an equivalence class. The class of tokens
 every page in the same order is the template's root; other large and frequent classes are valid if
 each lies in one slot of the root on all pages, and nest there. What the template does not
 hold are the slots. The element of the template that holds the article is the one with most slot
-text; what tags, roles and class names inside or beside it call a menu, advert, form, comment and
-so on is left out. They don't judge the article's element itself nor those around it: a form,
-class, id or role that would leave out most slot text is the page's wrapper and is passed over.
+text; what tags, roles and class names beside it call a menu, advert, form, comment and so on is left
+out, inside it only what tags, roles or whole names (``INNER_NAMES``) call so. They don't judge the
+article's element itself nor those around it: a form, class, id or role that would leave out most slot
+text is the page's wrapper and is passed over.
 """
 
 from __future__ import annotations
@@ -56,6 +57,13 @@ LEFT_OUT_NAMES = frozenset(
     "sidebars aside widget widgets menu menus nav navbar navigation breadcrumb breadcrumbs footer masthead topbar "
     "comment comments reply replies respond disqus discussion share sharing social related recommended "
     "recommendations pagination pager toolbar login search hidden".split())
+#: Whole class names and ids that are left out inside the article too; there, words in longer names
+#: such as share-price don't count.
+INNER_NAMES = frozenset(
+    "ad ads adbox adslot advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies "
+    "consent newsletter subscribe subscription signup sidebar menu nav navbar navigation breadcrumb breadcrumbs "
+    "footer comment comments replies disqus share sharing social related pagination pager toolbar login hidden".split())
+_COMMENTS = re.compile(r"comments?[-_](?:area|body|box|container|form|item|list|section|thread|wrapper)")
 #: As above, but only outside the article.
 OUTER_NAMES = frozenset("header top bottom".split())
 
@@ -78,6 +86,7 @@ class Node:
     text: str
     never: bool  # in an element that holds no article
     owner: int  # of the others that are left out, the place of the innermost in the path; 0 if there is none
+    firm: int  # the same, of those that are left out inside the article too
     serial: int  # its number on the page
     nested: bool  # it is in another one
     heading: int  # level
@@ -87,6 +96,10 @@ class Node:
     def out(self) -> bool:
         return self.never or self.owner > 0
 
+    def inside(self, chain: tuple[str, ...]) -> bool:
+        """Does it lie in the article's element, in nothing that is left out there?"""
+        return not self.never and self.firm <= len(chain) and self.path[:len(chain)] == chain
+
     def seen(self, wrapper: tuple[str, ...]) -> bool:
         """Is it kept if the rules pass over the wrapper and the elements around it?"""
         return not self.never and (not self.owner or (
@@ -104,34 +117,39 @@ def names_of(value: str) -> set[str]:
     return {n.lower() for n in _NAME.findall(parts)}
 
 
-def element(tag: str, attrs: str, inside: bool) -> tuple[str, bool, bool]:
-    """Label of an element (tag, class and id, numbers apart), whether it never holds an article, and is left out."""
+def element(tag: str, attrs: str, inside: bool) -> tuple[str, bool, bool, bool]:
+    """Label of an element (tag, class and id, numbers apart), whether it never holds an article, and is left out
+    outside and inside the article."""
     given = {}
     if attrs.strip(" /"):
         for name, *values in _ATTRIBUTE.findall(attrs):
             given.setdefault(name.lower(), html.unescape(next((v for v in values if v), "")))
     label = " ".join(filter(None, (tag, given.get("class", ""), given.get("id", ""))))
-    named = names_of(given.get("class", "") + " " + given.get("id", ""))
+    named = given.get("class", "") + " " + given.get("id", "")
+    whole = set(named.lower().split())
     role = given.get("role", "").lower()
     top = tag in ("html", "body", "main")
     never = tag in LEFT_OUT - WRAPPERS or role in LEFT_OUT_ROLES - WRAPPER_ROLES
     never = never or (tag == "header" and not inside) or ("hidden" in given and not top)
-    out = tag in WRAPPERS or role in WRAPPER_ROLES or "hidden" in given or given.get("aria-hidden") == "true"
-    if not top:
-        out = out or bool(named & LEFT_OUT_NAMES) or (not inside and tag != "article" and bool(named & OUTER_NAMES))
-    return _DIGITS.sub("#", label), never, out
+    firm = tag in WRAPPERS or role in WRAPPER_ROLES or "hidden" in given or given.get("aria-hidden") == "true"
+    firm = firm or (not top and (bool(whole & INNER_NAMES) or any(map(_COMMENTS.fullmatch, whole))))
+    out = firm
+    if not top and not inside:
+        words = names_of(named)
+        out = out or bool(words & LEFT_OUT_NAMES) or (tag != "article" and bool(words & OUTER_NAMES))
+    return _DIGITS.sub("#", label), never, out, firm
 
 
 def parsed(source: str) -> Page:
     """Text runs and tags of a page. Ends of elements that aren't open are ignored; open ones end with their parent."""
     page = Page()
-    stack: list[tuple[str, str, bool, int, int, bool]] = []  # tag, label, and never, owner, serial and nested of its text
+    stack: list[tuple[str, str, bool, int, int, int, bool]] = []  # tag, label, and never to nested of its text
     path: tuple[str, ...] = ()
     separate, heading, serial = True, 0, 0
     for m in _TOKEN.finditer(source):
         text = m["text"]
         if text is not None:
-            within = stack[-1][2:] if stack else (False, 0, 0, False)
+            within = stack[-1][2:] if stack else (False, 0, 0, 0, False)
             page.nodes.append(Node(path, html.unescape(text) if "&" in text else text, *within, heading, separate))
             separate = False
             continue
@@ -159,10 +177,13 @@ def parsed(source: str) -> Page:
             stack = [s for s in stack if s[0] != "head"]
         elif tag in ("li", "dt", "dd", "tr", "td", "th", "p", "option") and stack and stack[-1][0] == tag:
             stack.pop()
-        label, never, out = element(tag, attrs, any(t[0] in CONTAINERS for t in stack))
-        around = stack[-1][2:] if stack else (False, 0, 0, False)
+        label, never, out, firm = element(tag, attrs, any(t[0] in CONTAINERS for t in stack))
+        over, owner, held, number, nested = stack[-1][2:] if stack else (False, 0, 0, 0, False)
         serial += 1
-        stack.append((tag, label, never or around[0], *((len(stack) + 1, serial, around[1] > 0) if out else around[1:])))
+        place = len(stack) + 1
+        if out:
+            owner, number, nested = place, serial, owner > 0
+        stack.append((tag, label, never or over, owner, place if firm else held, number, nested))
         path = tuple(t[1] for t in stack)
         page.tags.append((len(page.nodes), path, tag))
     return page
@@ -321,9 +342,9 @@ def article(page: Page, template: Template | None, chain: tuple[str, ...] | None
 
     A page without the template's article element is judged by its own slots.
     """
-    kept = [n for n in page.nodes if n.seen(around)]
-    if chain is not None and any(n.path[:len(chain)] == chain and n.text.strip() for n in kept):
-        kept = [n for n in kept if n.path[:len(chain)] == chain]
+    if chain is not None and any(n.path[:len(chain)] == chain and n.text.strip() for n in page.nodes if n.seen(around)):
+        whole = chain[-1].split(" ")[0] in ("html", "body")  # not one element of the page: names judge as outside
+        kept = [n for n in page.nodes if (n.seen(around) and n.path[:len(chain)] == chain if whole else n.inside(chain))]
     else:
         around = wrapper([slots(page, template)]) if any(n.owner and not n.never for n in page.nodes) else ()
         kept = [n for n in page.nodes if n.seen(around)]

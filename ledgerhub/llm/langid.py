@@ -16,11 +16,11 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ledgerhub.llm.common import fold_of, with_new
+from ledgerhub.sizing import broadcast_within
 
-#: Bounds of the sample the dictionaries are made of: documents of each language, characters of
-#: each document, bytes of a dictionary and of all dictionaries together.
+#: Bounds of the sample the dictionaries are made of: documents of each language, bytes of a dictionary
+#: and of all dictionaries together. Documents are taken whole or not at all.
 SAMPLE_DOCUMENTS = 400
-SAMPLE_CHARS = 4000
 DICTIONARY_BYTES = 1 << 18
 ALL_DICTIONARY_BYTES = 1 << 26
 LEVEL = 6
@@ -49,23 +49,26 @@ class Dictionaries:
 def fit(train: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> Dictionaries:
     """Dictionaries from a bounded sample of labelled rows: per language those with the smallest hash of ``key``.
 
-    Rows without text, language or key are not learned from. First only keys and languages are
-    read to choose; then the chosen texts. A repeated key counts once in the sample.
+    Texts are taken whole, one after the other, as long as they fit into the dictionary; one that
+    doesn't is passed over. Rows without text, language or key are not learned from, nor are texts
+    longer than a dictionary. Languages are learned as far as whole dictionaries fit into all bytes,
+    those with more rows first. First only keys and languages are read to choose; then the chosen
+    texts. Of rows with the same key and language the least text is taken.
     """
     rows = train.select(F.col(key).alias("k"), F.col(lang).alias("l"), F.col(text).alias("t")).where(
-        "k is not null and l is not null and t is not null")
-    counts = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count(F.lit(1)).alias("n")).collect()}
-    ordered = sorted(counts, key=lambda l: (-counts[l], l))
+        f"octet_length(t) <= {DICTIONARY_BYTES} and k is not null and l is not null")
+    counted = rows.groupBy("l").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l")
+    ordered = [r["l"] for r in counted.limit(max(1, ALL_DICTIONARY_BYTES // DICTIONARY_BYTES)).collect()]
     first = W.partitionBy("l").orderBy(F.xxhash64("k"), "k")
-    chosen = rows.select("k", "l").distinct().withColumn("r", F.row_number().over(first)).where(
-        F.col("r") <= SAMPLE_DOCUMENTS)
-    found = rows.join(F.broadcast(chosen), ["k", "l"]).groupBy("l", "r").agg(
-        F.min(F.left("t", F.lit(SAMPLE_CHARS))).alias("t"))
-    most = min(DICTIONARY_BYTES, ALL_DICTIONARY_BYTES // max(1, len(ordered)))
-    parts: dict[str, bytes] = {}
-    for r in found.orderBy("l", F.col("r").desc()).toLocalIterator():  # the end of a dictionary is the nearest
-        parts[r["l"]] = (parts.get(r["l"], b"") + letters_only(r["t"]))[-most:]
-    return Dictionaries(ordered, [parts.get(l, b"") for l in ordered])
+    keys = rows.where(F.col("l").isin(ordered)).select("k", "l").distinct()
+    chosen = keys.withColumn("r", F.row_number().over(first)).where(F.col("r") <= SAMPLE_DOCUMENTS)
+    found = rows.join(broadcast_within(chosen), ["k", "l"]).groupBy("l", "r").agg(F.min("t").alias("t"))
+    parts: dict[str, list[bytes]] = {l: [] for l in ordered}
+    for r in found.orderBy("l", "r").toLocalIterator():
+        letters = letters_only(r["t"])
+        if sum(map(len, parts[r["l"]])) + len(letters) <= DICTIONARY_BYTES:
+            parts[r["l"]].append(letters)
+    return Dictionaries(ordered, [b"".join(reversed(parts[l])) for l in ordered])  # the end is the nearest
 
 
 class Classifier:

@@ -64,9 +64,19 @@ def filled_up(children: DataFrame, budgets: DataFrame | None, total: int, path:
     return rows.select(*path, share.cast("decimal(38,0)").alias("budget"))
 
 
+def usable_sql(weights: Weights) -> str:
+    """SQL condition: no node on a leaf's path has weight 0."""
+    return " AND ".join(f"({weight_sql(weights, depth)}) > 0" for depth in range(1, len(LEVELS) + 1))
+
+
 def budgets(leaves: DataFrame, weights: Weights, total: int, max_epochs: int) -> DataFrame:
-    """Leaves (path, have) that get tokens, with ``budget``."""
+    """Leaves (path, have) that get tokens, with ``budget``.
+
+    What lies below a node of weight 0 can't be used, so it is no part of what its ancestors hold:
+    their shortage goes to their siblings.
+    """
     whole = "decimal(38,0)"
+    leaves = leaves.where(usable_sql(weights))
     found: DataFrame | None = None
     for depth in range(1, len(LEVELS) + 1):
         path = LEVELS[:depth]
@@ -159,7 +169,7 @@ def shares_sql(weights: Weights, budget_percent: int, max_epochs: int) -> str:
             c{depth} AS (SELECT {names}, {given} AS given, cap, w FROM (
                 SELECT {names}, sum(have)::HUGEINT * {max_epochs} AS cap,
                        ({weight_sql(weights, depth)})::HUGEINT AS w
-                FROM leaves GROUP BY {names}) {source} WHERE w > 0 AND cap > 0),
+                FROM leaves WHERE {usable_sql(weights)} GROUP BY {names}) {source} WHERE w > 0 AND cap > 0),
             r{depth} AS (SELECT *, row_number() OVER o AS r,
                 coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS before,
                 (sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::HUGEINT AS left_w

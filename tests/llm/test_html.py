@@ -153,3 +153,23 @@ def test_long_comments_do_not_replace_the_article():
 ])
 def test_names_around_single_pages(source, text):
     assert extraction.extracted([source], False) == [text]
+
+
+NAMED = ['<section id="discussion">', '<p class="share-price">', '<div class="alert-info">', '<p id="hidden-cost">',
+         '<p class="search-results-explained">', '<div class="social-history menu-costs">']
+
+
+@pytest.mark.parametrize("kind", ["article", "div"])
+def test_words_in_names_leave_nothing_out_inside_the_article(kind):
+    """Elements of these names are text of the article; whole names of adverts and comments are not."""
+    rng = random.Random(8)
+    sources, texts = [], []
+    for page, main in site(rng, kind):
+        more = [(opened, sentence(rng, 8)) for opened in NAMED]
+        extra = "".join(f"{o}{t}</{o[1:].split()[0]}>" for o, t in more)
+        out = f"<div class='ad'>{sentence(rng, 9)}</div><div class='post comments'>{sentence(rng, 9)}</div><div id=comment-list>{sentence(rng, 9)}</div>"
+        sources.append(page.replace("<p>Follow us", extra + out + "<p>Follow us"))
+        texts.append(" ".join([main, *[t for _, t in more]]))
+    assert extraction.extracted(sources, True) == texts
+    if kind == "article":
+        assert [extraction.extracted([s], False)[0] for s in sources] == [t + " Follow us on every network" for t in texts]

@@ -1,8 +1,11 @@
 """Held-out accuracy, odd rows, ties and rejection."""
 
+import re
 import zlib
+from collections import Counter
 
 import pytest
+import zstandard
 
 from ledgerhub.llm import langid
 from ledgerhub.llm.queries import QUERIES
@@ -55,6 +58,70 @@ def test_nothing_learned(spark, train):
 
 def test_sample_is_bounded(train, monkeypatch):
     monkeypatch.setattr(langid, "DICTIONARY_BYTES", 100)
-    assert all(len(c) <= 100 for c in langid.fit(train).contents)
-    monkeypatch.setattr(langid, "ALL_DICTIONARY_BYTES", 20)
-    assert sum(len(c) for c in langid.fit(train).contents) <= 20
+    found = langid.fit(train)
+    assert found.languages == ["en", "de"] and all(60 < len(c) <= 100 for c in found.contents)
+    assert all(c.endswith(b" ") and c.startswith(b" ") for c in found.contents)  # whole texts only
+    monkeypatch.setattr(langid, "ALL_DICTIONARY_BYTES", 120)
+    assert langid.fit(train).languages == ["en"]
+    monkeypatch.setattr(langid, "DICTIONARY_BYTES", 20)
+    assert langid.fit(train).languages == ["en"]  # of its texts only the shortest fits
+
+
+OTHER = re.compile(r"[\W\d_]+")
+
+
+def words(text):
+    found = OTHER.sub(" ", (text or "").lower()).strip()
+    return f" {found} ".encode() if found else b""
+
+
+def plain_fit(rows, limit, documents):
+    """Dictionaries by a loop over (key, its hash, language, text)."""
+    langs = Counter(lang for key, _, lang, text in rows if key is not None and lang and text is not None)
+    out = {}
+    for lang in sorted(langs, key=lambda l: (-langs[l], l)):
+        own = sorted({(h, key) for key, h, l, text in rows if l == lang and key is not None and text is not None})
+        used = []
+        for _, key in own[:documents]:
+            data = words(min(text for k, _, l, text in rows if k == key and l == lang))
+            if sum(map(len, used)) + len(data) <= limit:
+                used.append(data)
+        out[lang] = b"".join(used[::-1])
+    return out
+
+
+def plain_classify(text, dictionaries):
+    data = words(text)
+    if not data:
+        return "und", 0.0
+    sizes = []
+    for lang, content in dictionaries.items():
+        d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        total = 0
+        for i in range(0, len(data), 1024):
+            c = zstandard.ZstdCompressor(level=6, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
+            total += len(c.compress(data[i:i + 1024]))
+        sizes.append(total)
+    best = sizes.index(min(sizes))
+    second = min(s for i, s in enumerate(sizes) if i != best)
+    return list(dictionaries)[best], (second - sizes[best]) / second
+
+
+def test_against_plain_loop(spark):
+    """Every row of the smallest tables, dictionaries and sums of its own."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [tuple(r) for r in docs.selectExpr("doc_id", "xxhash64(doc_id)", "lang", "text").collect()]
+    train = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    dictionaries = plain_fit(train, 1 << 18, 400)
+    got = {r["doc_id"]: r for r in QUERIES["op6_langid"](spark, "/root/testdata/sf0.001").collect()}
+    for key, _, _, text in rows:
+        lang, score = plain_classify(text, dictionaries)
+        assert (got[key]["lang_pred"], got[key]["score"]) == (lang, pytest.approx(score, abs=1e-12))
+
+
+def test_long_texts_are_learned_whole(spark):
+    tail = "zyxwv utsrq " * 20
+    df = spark.createDataFrame([(1, "abcde fghij " * 700 + tail, "a"), (2, "klmno " * 1500, "b")], "doc_id long, text string, lang string")
+    model = langid.fit(df)
+    assert tail.encode() in model.contents[0]
+    assert langid.Classifier(model).classify(tail)[0] == "a"

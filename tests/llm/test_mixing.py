@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 from fractions import Fraction
 
+import duckdb
 from pyspark.sql import functions as F
 
 from check_queries import compare
@@ -41,7 +42,8 @@ def brute(rows, percent, epochs, seed):
     for depth in (1, 2, 3):
         caps = defaultdict(int)
         for p, n in have.items():
-            caps[p[:depth]] += n * epochs
+            if all(weight(p[:k]) > 0 for k in (1, 2, 3)):
+                caps[p[:depth]] += n * epochs
         new = {}
         for parent, given in found.items():
             new |= fill({p: (c, weight(p)) for p, c in caps.items() if p[:-1] == parent}, given)
@@ -84,6 +86,20 @@ def test_shortage_goes_to_siblings_first(spark):
     assert short == {"s1a": 10, "s2a": 1000, "s2b": 1590}
 
 
+def test_shortage_below_weight_0_goes_to_the_sibling(spark):
+    """The budget is 15,500: web can use 1,000 of its tokens, so books gets the other 14,500."""
+    rows = [("web", "en", "usable", 1000), ("web", "en", "zero", 10000), ("web", "xx", "usable", 10000), ("books", "en", "s", 20000)]
+    leaves = spark.createDataFrame(rows, "domain string, lang string, source string, have long")
+    weights = {("*", "*", "zero"): 0, ("*", "xx"): 0}
+    got = {r["domain"]: int(r["budget"]) for r in mixing.budgets(leaves, weights, 15500, 1).collect()}
+    assert got == {"web": 1000, "books": 14500}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE leaves (domain VARCHAR, lang VARCHAR, source VARCHAR, have BIGINT)")
+    con.executemany("INSERT INTO leaves VALUES (?, ?, ?, ?)", rows)
+    twin = con.execute(f"WITH {mixing.shares_sql(weights, 50, 1)} SELECT domain, CAST(budget AS BIGINT) FROM b3 WHERE budget > 0")
+    assert dict(twin.fetchall()) == {"web": 1000, "books": 19500}  # 50 % of 41,000 tokens
+
+
 def test_odd_frames(spark):
     df = spark.createDataFrame([(1, None, None, None)] * 3 + [(2, "", "en", "s"), (3, "w " * 20000, "en", "s")],
                                "doc_id long, text string, lang string, source string")
