@@ -71,6 +71,24 @@ def test_number_of_companies_changes_nothing(spark, rows, table, companies):
     assert rows(spark.table(name)) == expected
 
 
+def test_thousands_of_companies_with_buckets(spark, rows):
+    """The filter on touched partitions is one look-up: 5,000 companies of 4 buckets, and a change of 700."""
+    layout = tables.Layout("Entity", ("id",), 4)
+    specs = [(f"O'Neil \\ {i}/{i % 7}", str(b)) for i in range(5000) for b in range(4)]
+    frame = spark.createDataFrame([*[(c, int(b)) for c, b in specs[::9]], ("O'Neil \\ 1/1", 9), ("x", 1)], "Entity STRING, _bucket INT")
+    assert frame.where(layout.within(specs)).count() == len(specs[::9])
+    assert frame.where(layout.within([])).count() == 0
+    first = spark.range(700).selectExpr("CAST(id AS INT) AS id", "'a' AS v", "concat('c', id) AS Entity")
+    name = f"t_{uuid.uuid4().hex}"
+    tables.create(spark, name, first.schema, run_folder(spark, "test"), keys=["id"], buckets=4)
+    change = lambda t, b: upsert(t, b, KEYS, measured=True)
+    assert tables.change_companies(first, name, KEYS, change) == ([], sorted(f"c{i}" for i in range(700)))
+    batch = spark.createDataFrame([(3, "new", "c3"), (900, "new", "c4")], DDL)
+    assert tables.change_companies(batch, name, KEYS, change)[0] == ["c3"]
+    assert rows(spark.table(name).where("v = 'new'"), "id", "Entity") == [(3, "c3"), (900, "c4")]
+    assert spark.table(name).count() == 701
+
+
 def test_a_company_with_most_rows_becomes_many_files(spark, table):
     rows_in = spark.range(0, 200_000, 1, 8).selectExpr(
         "CAST(id AS INT) AS id", "md5(CAST(id AS STRING)) AS v", "IF(id % 10 < 7, 'hot', concat('c', id % 10)) AS Entity"
