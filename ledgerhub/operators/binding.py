@@ -65,10 +65,11 @@ def drift_rows(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def landed_drift(counts: DataFrame, schema: T.StructType, parsed: T.StructType | None = None) -> DataFrame:
-    """Drift as rows (problem, column, filled) of the field names that landed: (column, filled) in ``counts``.
+    """Drift as rows (problem, column, filled) of the fields that landed: (column, filled, unfit) in ``counts``.
 
     Pages are parsed by the exact names of ``parsed``, by default those of ``schema``: another
-    spelling is unknown, and its column is missing. If no record landed there is no report.
+    spelling is unknown, and its column is missing. A column with values that are none of its type is
+    ``unfit``, ``filled`` being their number. If no record landed there is no report.
     """
     declared = {plain_name(f.name).lower(): f.name for f in schema.fields}
     read = {f.name: plain_name(f.name).lower() for f in (parsed or schema).fields}
@@ -81,7 +82,9 @@ def landed_drift(counts: DataFrame, schema: T.StructType, parsed: T.StructType |
     here = known.join(counts, "column", "left_semi").select("declared").distinct()
     missing = wanted.join(here, "declared", "left_anti").crossJoin(counts.limit(1).select()).select(
         F.lit("missing").alias("problem"), F.col("declared").alias("column"), F.lit(0).cast("long").alias("filled"))
-    return missing.unionByName(unknown)
+    unfit = counts.where("unfit > 0").join(F.broadcast(known), "column", "left_semi").select(
+        F.lit("unfit").alias("problem"), "column", F.col("unfit").alias("filled"))
+    return missing.unionByName(unknown).unionByName(unfit)
 
 
 def positional(df: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -1,12 +1,14 @@
-"""Row-count reconciliation per company and the repair it guides."""
+"""Row-count reconciliation per company, holes in entry numbers, and the repairs they guide."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerhub.functions.text import quoted
+from ledgerhub.operators import intervals
 from ledgerhub.operators.counts import compared_counts
 from ledgerhub.operators.watermark import above_watermark
+from ledgerhub.scratch import written_once
 from ledgerhub.sizing import company_side
 
 
@@ -49,9 +51,45 @@ def repair_rows(
 ) -> DataFrame:
     """Rows to append: above the watermark, only for companies whose counts differ.
 
-    Holes below a watermark stay; a full reload heals those.
+    Holes below a watermark stay; :func:`hole_rows` heals those.
     """
     checked = count_check(names, source_counts, table, entity)
     broken = company_side(checked.where("status = 'mismatch'").select(entity))
     wanted = source.join(broken, entity, "left_semi").select(*quoted(source.columns))
     return above_watermark(wanted, table, entry_no, entity)
+
+
+def entry_gaps(table: DataFrame, entry_no: str, entity: str = "Entity", width: int = intervals.WIDTH) -> DataFrame:
+    """Per company the ranges of entry numbers that its table skips, first and last included."""
+    missing = intervals.gaps(intervals.of_numbers(table, entry_no, [entity], width), [entity], width)
+    return _as_ranges(missing, entity)
+
+
+def missing_ranges(
+    source: DataFrame, table: DataFrame, entry_no: str, entity: str = "Entity", width: int = intervals.WIDTH
+) -> DataFrame:
+    """Per company the ranges of entry numbers that the source has and the table hasn't."""
+    return _as_ranges(_missing(source, table, entry_no, entity, width), entity)
+
+
+def hole_rows(
+    source: DataFrame, table: DataFrame, entry_no: str, entity: str = "Entity", width: int = intervals.WIDTH
+) -> DataFrame:
+    """Rows to append so that the table has every entry number of the source, below and above its watermark.
+
+    Exactly the missing ranges are loaded; rows of a number that the table has are not compared
+    (see ``plans/digest_check.py``). Several rows with a missing number are all loaded.
+    """
+    ranges = written_once(_missing(source, table, entry_no, entity, width), "ranges")
+    return intervals.covered(source, entry_no, ranges, [entity], width)
+
+
+def _missing(source: DataFrame, table: DataFrame, entry_no: str, entity: str, width: int) -> DataFrame:
+    held = [intervals.of_numbers(df, entry_no, [entity], width) for df in (source, table)]
+    return intervals.without(*held, [entity], width)
+
+
+def _as_ranges(found: DataFrame, entity: str) -> DataFrame:
+    return found.select(
+        *quoted([entity]), F.col("lo").alias("first_no"), (F.col("hi") - 1).alias("last_no"),
+        (F.col("hi") - F.col("lo")).alias("missing"))

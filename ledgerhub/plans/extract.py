@@ -7,7 +7,8 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ledgerhub.operators import load
+from ledgerhub.functions.text import plain_name
+from ledgerhub.operators import inference, load
 from ledgerhub.operators.binding import ENTITY, bind, landed_drift, positional, without
 from ledgerhub.operators.changes import modified_since, of_kinds
 from ledgerhub.operators.watermark import above_marks, above_watermark, high_watermarks
@@ -246,18 +247,66 @@ def run_landed(
     """From landed pages to the stored table: chain check, binding, load, log with load check.
 
     Gives the companies whose pull was rejected and the drift report. ``landed`` are the
-    record's fields as they land, by default the declared ones, so that only these are parsed.
-    For the report the pages are read once more, for the names and values of all their fields.
+    record's fields as they land, by default the declared ones. Pages are parsed once; records and
+    report are taken from what is kept of that.
     """
     wanted = declared(entry, schema)
-    landing = written_once(pages.read_pages(spark, folder, landed or wanted), "pages")
+    return _run_pages(spark, entry, _kept_pages(spark, folder), table, run_date, log_folder, landed, wanted, registered, now)
+
+
+def run_inferred(
+    spark: SparkSession,
+    entry: Dataset,
+    folder: str,
+    table: str,
+    run_date: str,
+    log_folder: str,
+    store: str,
+    buckets: int = 1,
+    registered: DataFrame | None = None,
+    now: Callable[[], datetime] = utc_now,
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`run_landed` for a job of which no columns are declared.
+
+    The first run infers them from what landed whole and makes the table below ``store``. From then on
+    the table's columns are the declared ones: fields that come later, and values that don't fit any
+    more, are in the drift report. A first run in which no record landed leaves no table.
+    """
+    landing = _kept_pages(spark, folder)
+    if not spark.catalog.tableExists(table):
+        whole = pages.complete_pages(landing, pages.chain_status(landing))
+        found = inference.schema(written_once(inference.profile(pages.fields(whole)), "profile"), (ENTITY, *ARRIVAL))
+        if len(found):
+            gone = {plain_name(c).lower() for c in entry.skipped}
+            kept = [f for f in found.fields if plain_name(f.name).lower() not in gone]
+            keys = [k for k in entry.keys if k != ENTITY]
+            stored = T.StructType([*kept, T.StructField(ENTITY, T.StringType())])
+            tables.create(spark, table, stored, store, keys=keys, buckets=buckets if keys else 1)
+        else:
+            status = pages.chain_status(landing)
+            return pages.incomplete_companies(status), landed_drift(pages.field_counts(pages.fields(whole)), found)
+    own = [f for f in spark.table(table).schema.fields if f.name not in (ENTITY, tables.BUCKET)]
+    return _run_pages(
+        spark, entry, landing, table, run_date, log_folder, None, T.StructType(own), registered, now)
+
+
+def _kept_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return written_once(pages.read_pages(spark, folder, pages.RAW), "pages")
+
+
+def _run_pages(
+    spark: SparkSession, entry: Dataset, landing: DataFrame, table: str, run_date: str, log_folder: str,
+    landed: T.StructType | None, wanted: T.StructType, registered: DataFrame | None, now: Callable[[], datetime],
+) -> tuple[DataFrame, DataFrame]:
     status = written_once(pages.chain_status(landing), "status")
-    records = pages.records(pages.complete_pages(landing, status))
+    whole = pages.complete_pages(landing, status)
+    records = pages.records(whole, landed or wanted)
     logged_run(
-        entry, bound(entry, records, schema), table, run_date, log_folder,
+        entry, bound(entry, records, wanted), table, run_date, log_folder,
         complete=status.where("complete"), registered=registered, now=now,
     )
-    found = landed_drift(pages.field_counts(pages.read_pages(spark, folder, pages.RAW), status), wanted, landed)
+    landing_fields = pages.fields(whole).where(~F.col("column").isin(list(entry.skipped)))
+    found = landed_drift(pages.field_counts(landing_fields, landed or wanted), wanted, landed)
     return pages.incomplete_companies(status), written_once(found, "drift")
 
 

@@ -8,17 +8,18 @@ from ledgerhub.functions.text import quoted
 from ledgerhub.sizing import company_side
 
 NEXT_LINK = "@odata.nextLink"
-#: A record of which nothing is known: its fields by name, values as text.
-RAW = T.MapType(T.StringType(), T.StringType())
+#: A record of which nothing is known: all its fields, each with the kind of value that landed.
+RAW = T.VariantType()
 
 
 def read_pages(
-    spark: SparkSession, folder: str, record: T.StructType | T.MapType, one_per_line: bool = True
+    spark: SparkSession, folder: str, record: T.StructType | T.VariantType, one_per_line: bool = True
 ) -> DataFrame:
     """Pages with company, page number and record array.
 
     One page per line keeps files splittable; one page per file is read whole. A page
-    without ``page_no`` takes the last number of its file name.
+    without ``page_no`` takes the last number of its file name. With records as :data:`RAW` pages are
+    parsed once for all that is asked of them: :func:`records`, :func:`fields`.
     """
     schema = (
         T.StructType()
@@ -36,11 +37,30 @@ def read_pages(
     )
 
 
-def records(pages: DataFrame) -> DataFrame:
-    """One row per record, with its place in the pull."""
-    return pages.select(
-        "Entity", "page_no", F.posexplode("value").alias("pos", "record")
-    ).select("Entity", "page_no", "pos", "record.*")
+def _path(name: str) -> str:
+    """The place of a field in a record, by its exact name."""
+    if "'" in name and '"' in name:
+        raise ValueError(f"a field name with both kinds of quotes can't be read: {name}")
+    return f'$["{name}"]' if "'" in name else f"$['{name}']"
+
+
+def records(pages: DataFrame, schema: T.StructType | None = None) -> DataFrame:
+    """One row per record, with its place in the pull.
+
+    Of :data:`RAW` records the fields of ``schema`` are taken, by exact name; a value that doesn't fit is NULL.
+    """
+    each = pages.select("Entity", "page_no", F.posexplode("value").alias("pos", "record"))
+    if schema is None:
+        return each.select("Entity", "page_no", "pos", "record.*")
+    typed = [F.try_variant_get("record", _path(f.name), f.dataType.simpleString()).alias(f.name) for f in schema.fields]
+    return each.select("Entity", "page_no", "pos", *typed)
+
+
+def fields(pages: DataFrame) -> DataFrame:
+    """(column, value) of each field of :data:`RAW` records, a landed null included."""
+    each = pages.select(F.explode("value").alias("record"))
+    found = each.lateralJoin(each.sparkSession.tvf.variant_explode(F.col("record").outer()))
+    return found.select(F.col("key").alias("column"), "value")
 
 
 def chain_status(pages: DataFrame) -> DataFrame:
@@ -78,11 +98,17 @@ def incomplete_companies(status: DataFrame) -> DataFrame:
     return status.where(~F.col("complete")).select("Entity", "pages")
 
 
-def field_counts(raw: DataFrame, status: DataFrame) -> DataFrame:
-    """(column, filled) of each field name in records of whole pulls, read as :data:`RAW`.
+def field_counts(found: DataFrame, schema: T.StructType | None = None) -> DataFrame:
+    """(column, filled, unfit) of each field name in :func:`fields`.
 
-    ``filled`` is in how many records the field has a value.
+    ``filled`` is in how many records the field has a value, ``unfit`` how many of these are no value of the
+    type that ``schema`` has under that exact name.
     """
-    fields = complete_pages(raw, status).select(F.explode("value").alias("record")).select(
-        F.explode("record").alias("column", "text"))
-    return fields.groupBy("column").agg(F.count("text").alias("filled"))
+    by_type: dict[str, list[str]] = {}
+    for f in schema.fields if schema else []:
+        by_type.setdefault(f.dataType.simpleString(), []).append(f.name)
+    fits = F.lit(True)
+    for kind, names in by_type.items():
+        fits = F.when(F.col("column").isin(names), F.try_variant_get("value", "$", kind).isNotNull()).otherwise(fits)
+    has = ~F.is_variant_null("value")
+    return found.groupBy("column").agg(F.count_if(has).alias("filled"), F.count_if(has & ~fits).alias("unfit"))

@@ -8,7 +8,7 @@ from pyspark.sql import Window, functions as F, types as T
 
 from ledgerhub.functions import money as m
 from ledgerhub.functions import rules, text, times
-from ledgerhub.operators import binding
+from ledgerhub.operators import binding, inference
 from ledgerhub.plans import catalog, extract
 from ledgerhub.scratch import run_folder
 from ledgerhub.sinks import files, tables
@@ -286,6 +286,115 @@ def drift_report(spark, folder):
     return binding.drift_rows(landed, schema)
 
 
+LINE_RECORDS = 500
+
+
+def _land_texts(rows, store):
+    """Records given as JSON text, as page chains of their company, a page per line.
+
+    Pages have LINE_RECORDS records on average, so their number grows with the rows.
+    """
+    sized = rows.groupBy("Entity").agg(F.ceil(F.count(F.lit(1)) / LINE_RECORDS).alias("n"))
+    paged = rows.join(sized, "Entity").withColumn("page", F.pmod(F.xxhash64("record"), "n"))
+    lists = paged.groupBy("Entity", "page").agg(F.concat_ws(", ", F.sort_array(F.collect_list("record"))).alias("list"))
+    order = Window.partitionBy("Entity").orderBy("page")
+    placed = lists.withColumns({"place": F.row_number().over(order), "more": F.lead("page").over(order)})
+    line = F.format_string(
+        '{"Entity": "%s", "page_no": %d, "value": [%s]%s}', "Entity", "place", "list",
+        F.when(F.col("more").isNull(), "").otherwise(f', "{pages.NEXT_LINK}": "next"'))
+    placed.select(line.alias("value")).write.text(store)
+
+
+def _json(**columns):
+    """JSON text of a record; columns are JSON values as text, NULL leaves the field out."""
+    parts = [F.concat(F.lit(f'"{name}": '), value) for name, value in columns.items()]
+    return F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
+
+
+def _text(column):
+    return F.concat(F.lit('"'), column, F.lit('"'))
+
+
+#: The kinds of value that a column of the records has, by order status: the type must hold them all.
+_INFERRED_SQL = """
+SELECT 'entryNo' AS "column", 'bigint' AS type, count(*) AS filled FROM orders
+UNION ALL SELECT 'No', 'string', count(*) FROM orders
+UNION ALL SELECT 'total', 'decimal(' || greatest(18, max(length(CAST(floor(o_totalprice) AS BIGINT)::VARCHAR)) + 2) || ',2)', count(*) FROM orders
+UNION ALL SELECT 'status', 'string', count(*) FROM orders
+UNION ALL SELECT 'posted', 'date', count(*) FROM orders
+UNION ALL SELECT 'changed', CASE WHEN count(*) FILTER (WHERE o_orderstatus = 'F') > 0 THEN 'timestamp' ELSE 'date' END, count(*) FROM orders
+UNION ALL SELECT 'blocked', 'boolean', count(*) FROM orders WHERE o_orderstatus <> 'P'
+UNION ALL SELECT 'quantity', CASE WHEN count(*) FILTER (WHERE o_orderstatus <> 'O') > 0 THEN 'decimal(18,3)' ELSE 'bigint' END, count(*) FROM orders
+UNION ALL SELECT 'share', 'double', count(*) FROM orders
+UNION ALL SELECT 'mixed', CASE count(DISTINCT o_orderstatus = 'P') WHEN 2 THEN 'string' ELSE 'bigint' END, count(*) FROM orders
+UNION ALL SELECT 'badDay', 'string', count(*) FROM orders
+UNION ALL SELECT 'never', 'string', 0
+"""
+
+
+@query("inferred_schema", _INFERRED_SQL)
+def inferred_schema(spark, folder):
+    """Columns of records that nobody declared: profiles of two pulls, merged, and the type of each."""
+    status = F.col("o_orderstatus")
+    number = F.col("o_orderkey").cast("string")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    record = _json(
+        entryNo=number, No=_text(F.lpad(number, 9, "0")), total=money("o_totalprice").cast("string"), status=_text(status),
+        posted=_text(day), changed=_text(F.when(status == "F", F.concat(day, F.lit("T08:00:00Z"))).otherwise(day)),
+        blocked=F.when(status != "P", (F.col("o_orderkey") % 2 == 0).cast("string")),
+        quantity=F.when(status == "O", F.col("o_custkey").cast("string")).otherwise(
+            F.concat((F.col("o_custkey") % 100000).cast("string"), F.lit(".125"))),
+        share=F.concat((F.col("o_orderkey") % 7 + 1).cast("string"), F.lit(".5E3")),
+        mixed=F.when(status == "P", F.lit("true")).otherwise(number),
+        badDay=_text(F.when(F.col("o_orderkey") % 2 == 0, F.lit("2024-02-31")).otherwise(day)), never=F.lit("null"),
+    )
+    rows = read(spark, folder, "orders").select(
+        F.concat(F.lit("C"), (F.col("o_custkey") % 25).cast("string")).alias("Entity"), record.alias("record"), "o_orderkey")
+    profiles = []
+    for condition in ("o_orderkey % 3 = 0", "o_orderkey % 3 <> 0"):
+        store = run_folder(spark, "pages")
+        _land_texts(rows.where(condition).drop("o_orderkey"), store)
+        profiles.append(inference.profile(pages.fields(pages.read_pages(spark, store, pages.RAW))))
+    return inference.typed(inference.merged(profiles))
+
+
+@query("landed_inferred", """
+SELECT "Entity", no, name, balance, blocked FROM (
+  SELECT 'C' || c_nationkey AS "Entity", lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS no, c_name AS name,
+         CAST(CAST(c_acctbal AS DECIMAL(18,2)) + CASE WHEN c_nationkey % 5 = 1 THEN 0 ELSE 1 END AS DOUBLE) AS balance,
+         CASE WHEN c_nationkey % 5 <> 1 AND c_custkey % 3 = 0 THEN NULL ELSE c_acctbal < 0 END AS blocked
+  FROM customer)
+""")
+def landed_inferred(spark, folder):
+    """A job without declared columns, pulled twice: the first pull makes the table, the second one has an
+    unfinished chain for every fifth company, a new field, and text where flags were."""
+    entry, name, log = catalog.dataset("BC_Services"), f"inferred_{uuid.uuid4().hex}", run_folder(spark, "log")
+    number, table_store = F.col("c_custkey"), run_folder(spark, "table")
+    kept = F.col("c_nationkey") % 5 == 1
+
+    def pull(extra, flag, more):
+        record = _json(
+            no=_text(F.lpad(number.cast("string"), 8, "0")), name=_text(F.col("c_name")),
+            balance=(money("c_acctbal") + extra).cast("string"), blocked=flag, **more)
+        store = run_folder(spark, "pages")
+        _land_texts(read(spark, folder, "customer").select(
+            F.concat(F.lit("C"), F.col("c_nationkey").cast("string")).alias("Entity"), record.alias("record")), store)
+        return store
+
+    flag = (F.col("c_acctbal") < 0).cast("string")
+    first = pull(F.lit(0), flag, {})
+    second = pull(F.lit(1), F.when(~kept & (number % 3 == 0), F.lit('"maybe"')).otherwise(flag), {"fax": F.lit('"1"')})
+    unfinished = spark.read.text(second).select(F.when(
+        F.regexp_extract("value", r'"Entity": "C(\d+)"', 1).cast("int") % 5 == 1,
+        F.concat(F.expr("left(value, length(value) - 1)"), F.lit(f', "{pages.NEXT_LINK}": "more"}}'))).otherwise(
+        F.col("value")).alias("value"))
+    cut = run_folder(spark, "pages")
+    unfinished.write.text(cut)
+    for store in (first, cut):
+        extract.run_inferred(spark, entry, store, name, "2001-01-01", log, table_store)
+    return spark.table(name).select("Entity", "no", "name", plain("balance").alias("balance"), "blocked")
+
+
 @query("bind_by_name", """
 SELECT c_custkey AS no, c_name AS name, CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS balance,
        md5(c_name) AS etag, c_mktsegment AS "3PL_Vendor_No", CAST(NULL AS VARCHAR) AS "searchName",
