@@ -103,16 +103,16 @@ def run(
     pull was rejected. ``complete`` are the companies whose pull was whole: one without rows
     is emptied. ``registered`` are all companies there are: others are removed.
     """
-    _apply(entry, _batch(entry, landed, table, run_date), table, complete, registered)
+    apply(entry, batch_of(entry, landed, table, run_date), table, complete, registered)
 
 
-def _batch(entry: Dataset, landed: DataFrame, table: str, run_date: str) -> DataFrame:
+def batch_of(entry: Dataset, landed: DataFrame, table: str, run_date: str) -> DataFrame:
     """What a run applies; stored once if applying it takes more than one pass."""
     rows = pulled(entry, landed, table, run_date)
     return rows if entry.load in REFRESHES else written_once(rows, "batch")
 
 
-def _apply(
+def apply(
     entry: Dataset,
     batch: DataFrame,
     table: str,
@@ -129,13 +129,13 @@ def _apply(
         _apply_numbered(entry, batch, table, lambda: tables.append(_stored(entry, batch), table))
     elif entry.load == catalog.APPEND_MERGE:
         _apply_numbered(entry, batch, table, lambda: tables.change_companies(
-            batch, table, entry.keys, _change(entry)))
+            batch, table, entry.keys, change_of(entry)))
     elif entry.load == catalog.INSERT_ABSENT:
         target = batch.sparkSession.table(table)
         new = load.new_rows(target, batch, entry.keys, ARRIVAL)
         tables.append(written_once(_stored(entry, new), "absent"), table)
     else:
-        tables.change_companies(batch, table, entry.keys, _change(entry))
+        tables.change_companies(batch, table, entry.keys, change_of(entry))
 
 
 def utc_now() -> datetime:
@@ -170,8 +170,8 @@ def logged_run(
         files.append_rows(run_log.log_rows(timed, category, entry.target), log_folder)
 
     try:
-        batch = _batch(entry, landed, table, run_date)
-        _apply(entry, batch, table, complete, registered)
+        batch = batch_of(entry, landed, table, run_date)
+        apply(entry, batch, table, complete, registered)
     except Exception as error:
         details = (str(error).splitlines() or [type(error).__name__])[0]
         if ENTITY in landed.columns:
@@ -325,7 +325,8 @@ def landed_report(spark: SparkSession, entry: Dataset, path: str) -> DataFrame:
     return positional(wanted, reports.positional_schema(entry.width).names)
 
 
-def _change(entry: Dataset):
+def change_of(entry: Dataset) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """What a batch makes of stored rows, for the loads that replace some."""
     def change(target: DataFrame, batch: DataFrame) -> DataFrame:
         stored = _stored(entry, batch)
         if entry.load == catalog.REPLACE_ALL:

@@ -336,6 +336,18 @@ def change_companies(
     return sorted(rewritten), sorted({spec[0] for spec in fresh} - rewritten)
 
 
+def rows_of_batch(batch: DataFrame, table: str, keys: Sequence[str], entity: str = ENTITY) -> DataFrame:
+    """Stored rows with a key of the batch; only partitions to which the batch's rows belong are read."""
+    spark = batch.sparkSession
+    layout = layout_of(spark, table, entity)
+    if not set(layout.keys) <= set(keys):
+        layout = Layout(entity, (), 1)
+    whole, _ = keyed(batch, keys)
+    touched = _parts_of(layout.placed(whole), layout.columns)
+    stored = spark.table(table).where(layout.within(touched)).drop(BUCKET)
+    return present(stored, whole, keys, measured=True)
+
+
 def append(df: DataFrame, table: str, entity: str = ENTITY) -> None:
     """Add rows without touching stored ones."""
     layout = layout_of(df.sparkSession, table, entity)
