@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from ledgerhub.operators.latest import last_per_key
 from ledgerhub.operators.load import upsert
+from ledgerhub.operators.versions import latest_versions, merge_by_version
 from ledgerhub.sinks import tables
 
 #: Where a row came from: the later file wins, in a file the later row.
@@ -27,6 +28,7 @@ def upsert_stream(
     files_per_batch: int | None = None,
     arrival: Sequence[str] = (),
     rejects: str | None = None,
+    version: str | None = None,
 ) -> StreamingQuery:
     """Merge every new landed file into ``table``, then stop.
 
@@ -35,17 +37,26 @@ def upsert_stream(
     place. Merging the same batch twice changes nothing, so a batch repeated after a failure is
     harmless. Only companies in which the batch changes stored rows are rewritten. Rows with a
     NULL in a key are refused, or set aside below ``rejects``, one folder per batch.
+
+    With ``version`` that column decides instead of the arrival, also against stored rows: an older
+    version that lands later changes nothing, in whatever order files come (``operators/versions.py``).
     """
+    def change(target: DataFrame, rows: DataFrame) -> DataFrame:
+        if version is not None:
+            return merge_by_version(target, rows, keys, version, measured=True)
+        return upsert(target, rows, keys, measured=True)
+
     def merge(batch: DataFrame, batch_id: int) -> None:
-        latest = last_per_key(batch, keys, [*arrival, *LANDED]).drop(*LANDED)
+        if version is not None:
+            latest = latest_versions(batch.drop(*LANDED), keys, version)
+        else:
+            latest = last_per_key(batch, keys, [*arrival, *LANDED]).drop(*LANDED)
         keyless = batch.where(" or ".join(f"`{k}` is null" for k in keys)).drop(*LANDED)
         kept = latest.where(" and ".join(f"`{k}` is not null" for k in keys)).unionByName(keyless)
         kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             tables.change_companies(
-                kept, table, keys,
-                lambda target, rows: upsert(target, rows, keys, measured=True),
-                rejects=rejects and f"{rejects}/batch_id={batch_id}",
+                kept, table, keys, change, rejects=rejects and f"{rejects}/batch_id={batch_id}",
             )
         finally:
             kept.unpersist()
