@@ -11,19 +11,17 @@ in between, the sums are those of the table before it until it is repeated.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerhub.functions.text import quoted
-from ledgerhub.operators import load
 from ledgerhub.operators.alignment import EXACT
 from ledgerhub.operators.binding import ENTITY
 from ledgerhub.operators.presence import present
-from ledgerhub.plans import catalog, extract
+from ledgerhub.plans import extract
 from ledgerhub.plans.catalog import Dataset
-from ledgerhub.sinks import tables
+from ledgerhub.plans.effects import REFRESHES, replaced_and_added
 
 
 @dataclass(frozen=True)
@@ -82,16 +80,6 @@ def compact(spark: SparkSession, sums: Sums, folder: str) -> Sums:
     return new
 
 
-def replaced_and_added(entry: Dataset, batch: DataFrame, table: str) -> tuple[DataFrame | None, DataFrame]:
-    """The stored rows that a batch replaces, None if it replaces none, and those it puts in their place."""
-    if entry.load == catalog.APPEND:
-        return None, batch
-    old = tables.rows_of_batch(batch, table, entry.keys)
-    if entry.load == catalog.INSERT_ABSENT:
-        return None, load.new_rows(old, batch, entry.keys, extract.ARRIVAL)
-    return old, extract.change_of(entry)(old, batch)
-
-
 def run(
     entry: Dataset, landed: DataFrame, table: str, run_date: str, sums: Sums, name: str,
     complete: DataFrame | None = None, registered: DataFrame | None = None,
@@ -105,7 +93,7 @@ def run(
     batch = extract.batch_of(entry, landed, table, run_date)
     planned = sums._run("planned", name)
     if not _written(spark, planned):
-        if entry.load in extract.REFRESHES:
+        if entry.load in REFRESHES:
             change = _refreshed(spark, entry, batch, sums, complete, registered)
         else:
             removed, added = replaced_and_added(entry, batch, table)

@@ -9,19 +9,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerhub.functions.text import plain_name
 from ledgerhub.operators import inference, load
-from ledgerhub.operators.binding import ENTITY, bind, landed_drift, positional, without
+from ledgerhub.operators.binding import ENTITY, bind, landed_drift, positional
 from ledgerhub.operators.changes import modified_since, of_kinds
 from ledgerhub.operators.watermark import above_marks, above_watermark, high_watermarks
-from ledgerhub.plans import catalog, run_log, schemas
+from ledgerhub.plans import catalog, effects, run_log, schemas
 from ledgerhub.plans.catalog import Dataset
+from ledgerhub.plans.effects import ARRIVAL, NUMBERED, REFRESHES, change_of, stored_columns
 from ledgerhub.scratch import written_once
 from ledgerhub.sinks import files, tables
 from ledgerhub.sources import pages, reports
 
-ARRIVAL = ("page_no", "pos")
-NUMBERED = (catalog.APPEND, catalog.APPEND_MERGE)
-REFRESHES = (catalog.REFRESH, catalog.STAGED_REFRESH, catalog.REPORT)
-
 
 def selected(entry: Dataset, landed: DataFrame, run_date: str) -> DataFrame:
     """The landed rows the entry loads: its kinds, and changes since the day before."""
@@ -34,10 +31,6 @@ def selected(entry: Dataset, landed: DataFrame, run_date: str) -> DataFrame:
     return rows
 
 
-def _stored(entry: Dataset, rows: DataFrame) -> DataFrame:
-    return without(rows, [*entry.skipped, *ARRIVAL])
-
-
 def loaded(
     entry: Dataset,
     target: DataFrame | None,
@@ -47,7 +40,7 @@ def loaded(
 ) -> DataFrame:
     """Table content after the run, without writing anything."""
     batch = selected(entry, landed, run_date)
-    stored = _stored(entry, batch)
+    stored = stored_columns(entry, batch)
     if target is None or entry.load in REFRESHES:
         return stored
     if entry.load == catalog.APPEND:
@@ -120,20 +113,20 @@ def apply(
     registered: DataFrame | None = None,
 ) -> None:
     if entry.load in REFRESHES:
-        stored = _stored(entry, batch)
+        stored = stored_columns(entry, batch)
         if ENTITY in stored.columns:
             tables.refresh_companies(stored, table, complete, registered)
         else:
             tables.swap(stored, table)
     elif entry.load == catalog.APPEND:
-        _apply_numbered(entry, batch, table, lambda: tables.append(_stored(entry, batch), table))
+        _apply_numbered(entry, batch, table, lambda: tables.append(stored_columns(entry, batch), table))
     elif entry.load == catalog.APPEND_MERGE:
         _apply_numbered(entry, batch, table, lambda: tables.change_companies(
             batch, table, entry.keys, change_of(entry)))
     elif entry.load == catalog.INSERT_ABSENT:
         target = batch.sparkSession.table(table)
         new = load.new_rows(target, batch, entry.keys, ARRIVAL)
-        tables.append(written_once(_stored(entry, new), "absent"), table)
+        tables.append(written_once(stored_columns(entry, new), "absent"), table)
     else:
         tables.change_companies(batch, table, entry.keys, change_of(entry))
 
@@ -151,8 +144,9 @@ def logged_run(
 ) -> None:
     """:func:`run` with its rows in the run log; a failure is logged and raised.
 
-    A load of companies leaves a row for each: rows pulled, and whether as many are found in
-    the table afterwards where the load says how many that must be. A failed one leaves a row
+    A load of companies leaves a row for each, with the rows inserted and updated. It is checked by reading
+    back what the load should have left (``plans/effects.py``; a refresh by its rows), so a
+    load that lost, repeated or did not change rows is an error of its company. A failed run leaves a row
     for each company that landed, or one row if even that is not known.
     """
     spark, start = landed.sparkSession, now()
@@ -171,6 +165,9 @@ def logged_run(
 
     try:
         batch = batch_of(entry, landed, table, run_date)
+        checked = ENTITY in batch.columns and entry.load not in REFRESHES
+        before = written_once(effects.expected(entry, batch, table), "expected") if checked else None
+        marks = written_once(marks_of(entry, spark, table), "marks") if entry.load == catalog.APPEND else None
         apply(entry, batch, table, complete, registered)
     except Exception as error:
         details = (str(error).splitlines() or [type(error).__name__])[0]
@@ -192,17 +189,18 @@ def logged_run(
         log("Success", records, f"Total rows inserted: {records}.")
         return
     if entry.load in REFRESHES:
-        checked = run_log.load_check(batch, spark.table(table).join(
+        told = run_log.load_check(batch, spark.table(table).join(
             batch.select(ENTITY).distinct(), ENTITY, "left_semi"))
+        told = told.withColumns({"updated": F.lit(0), "rows": F.col("pulled"), "found": F.col("inserted")})
     else:
-        checked = batch.groupBy(ENTITY).agg(F.count(F.lit(1)).alias("pulled")).select(
-            ENTITY, "pulled", F.col("pulled").alias("inserted"), F.lit("Success").alias("status"))
+        told = effects.load_check(before, effects.seen(entry, batch, table, marks))
     ok = F.col("status") == "Success"
-    log_companies(written_once(checked.select(
-        F.col(ENTITY).alias("company"), ok.alias("ok"), F.col("inserted").alias("records"),
-        F.when(ok, F.format_string("Total rows inserted: %d.", "inserted")).otherwise(
-            F.format_string("Rows pulled: %d, rows found: %d.", "pulled", "inserted")).alias("details"),
-    ), "checked"))
+    details = F.when(~ok, F.format_string("Rows expected: %d, rows found: %d.", "rows", "found")).when(
+        F.col("updated") > 0, F.format_string("Rows inserted: %d, rows updated: %d.", "inserted", "updated")).otherwise(
+        F.format_string("Total rows inserted: %d.", "inserted"))
+    log_companies(written_once(told.select(
+        F.col(ENTITY).alias("company"), ok.alias("ok"), (F.col("inserted") + F.col("updated")).alias("records"),
+        details.alias("details")), "checked"))
 
 
 def landed_records(landing: DataFrame, store: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -325,19 +323,6 @@ def landed_report(spark: SparkSession, entry: Dataset, path: str) -> DataFrame:
     return positional(wanted, reports.positional_schema(entry.width).names)
 
 
-def change_of(entry: Dataset) -> Callable[[DataFrame, DataFrame], DataFrame]:
-    """What a batch makes of stored rows, for the loads that replace some."""
-    def change(target: DataFrame, batch: DataFrame) -> DataFrame:
-        stored = _stored(entry, batch)
-        if entry.load == catalog.REPLACE_ALL:
-            return load.replace_all(target, stored, entry.keys, measured=True)
-        if entry.load == catalog.REPLACE_LAST:
-            return load.replace_last(target, batch, entry.keys, ARRIVAL, measured=True)
-        return load.upsert(target, stored, entry.keys, measured=True)
-
-    return change
-
-
 def status_extract(relations: DataFrame) -> DataFrame:
     """Number and logistics status of customers or vendors."""
     return relations.select("no", "statusCode3PL", "Entity")

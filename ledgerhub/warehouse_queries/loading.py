@@ -11,8 +11,8 @@ from ledgerhub.operators import binding, changes, load
 from ledgerhub.operators.counts import rows_per_company
 from ledgerhub.operators.presence import absent, flagged
 from ledgerhub.operators.watermark import high_watermarks
-from ledgerhub.plans import catalog, count_check, extract
-from ledgerhub.scratch import run_folder
+from ledgerhub.plans import catalog, count_check, effects, extract, run_log
+from ledgerhub.scratch import run_folder, written_once
 from ledgerhub.sinks import files, tables
 from ledgerhub.sources import pages
 from ledgerhub.sources.registry import company_names, for_companies
@@ -553,6 +553,63 @@ def landed_insert_absent(spark, folder):
     return _landed_load(spark, folder, catalog.INSERT_ABSENT, ["x", "y"])
 
 
+KINDS = [
+    catalog.APPEND, catalog.APPEND_MERGE, catalog.MERGE, catalog.REPLACE_ALL, catalog.REPLACE_LAST, catalog.INSERT_ABSENT, catalog.REFRESH,
+]
+
+
+@query("load_check_by_kind", f"""
+WITH {DOCUMENTS_SQL},
+t AS (SELECT * FROM o WHERE order_date < '1999-01-01' AND "entryNo" > 0),
+n AS (SELECT *, "entryNo" IN (SELECT "entryNo" FROM t) AS known FROM o WHERE order_date >= '1998-01-01'),
+w AS (SELECT "Entity", max("entryNo") AS top FROM t GROUP BY "Entity"),
+a AS (SELECT n.* FROM n LEFT JOIN w ON w."Entity" = n."Entity" WHERE n."entryNo" > coalesce(top, 0)),
+b AS (
+  SELECT 'append above watermark' AS kind, "Entity", "entryNo", NOT known AS fresh, FALSE AS old, 1 AS held FROM a
+  UNION ALL SELECT 'merge above watermark', "Entity", "entryNo", NOT known, known, 1 FROM a
+  UNION ALL SELECT 'merge', "Entity", "entryNo", NOT known, known, 1 FROM n
+  UNION ALL SELECT 'replace, keep repeats', "Entity", "entryNo", NOT known, known, 1 FROM n
+  UNION ALL SELECT 'replace, last wins', "Entity", "entryNo", NOT known, known, 1 FROM n
+  UNION ALL SELECT 'insert if absent', "Entity", "entryNo", NOT known, FALSE, 1 FROM n
+  UNION ALL SELECT 'refresh', "Entity", "entryNo", TRUE, FALSE, 1 FROM n),
+l AS (SELECT *, "Entity" IN ('NATION_1', 'NATION_2') AND "entryNo" % 5 = 0 AS lost, "Entity" = 'NATION_3' AND "entryNo" % 7 = 0 AS wrong FROM b)
+SELECT kind, "Entity", count(*) AS pulled,
+       CASE WHEN kind = 'refresh' THEN count(*) FILTER (WHERE NOT lost) ELSE count(*) FILTER (WHERE fresh) END AS inserted,
+       count(*) FILTER (WHERE old) AS updated, count(*) FILTER (WHERE NOT lost) AS found,
+       CASE WHEN bool_or(lost) OR (kind <> 'refresh' AND bool_or(wrong)) THEN 'Error' ELSE 'Success' END AS status
+FROM l GROUP BY kind, "Entity"
+""")
+def load_check_by_kind(spark, folder):
+    """Every kind of load, judged by what the table holds afterwards. Behind the load's back two companies lose
+    every fifth number, and a third one's rows get another status."""
+    rows = documents(spark, folder).withColumns({"page_no": F.lit(1), "pos": F.col("entryNo")})
+    shape = ["entryNo", "status", "total", "Entity"]
+    old = written_once(rows.where("order_date < '1999-01-01' and entryNo > 0").select(*shape), "old")
+    new = rows.where("order_date >= '1998-01-01'").withColumn("status", F.lit("x")).select(*shape, "page_no", "pos")
+    lost = F.col("Entity").isin("NATION_1", "NATION_2") & (F.col("entryNo") % 5 == 0)
+    wrong = (F.col("Entity") == "NATION_3") & (F.col("entryNo") % 7 == 0)
+    found = []
+    for kind in KINDS:
+        name = f"checked_{uuid.uuid4().hex}"
+        tables.create(spark, name, old.schema, run_folder(spark, "table"))
+        tables.refresh(old, name)
+        entry = catalog.Dataset("documents", "orders", kind, keys=("entryNo", "Entity"), entry_no="entryNo")
+        batch = extract.batch_of(entry, new, name, "2001-01-01")
+        refresh = kind == catalog.REFRESH
+        before = None if refresh else written_once(effects.expected(entry, batch, name), "expected")
+        marks = written_once(extract.marks_of(entry, spark, name), "marks") if kind == catalog.APPEND else None
+        extract.apply(entry, batch, name)
+        hit = spark.table(name).where("Entity in ('NATION_1', 'NATION_2', 'NATION_3')").where(~lost)
+        tables.replace_companies(written_once(hit.withColumn("status", F.when(wrong, "?").otherwise(F.col("status"))), "hit"), name)
+        if refresh:
+            told = run_log.load_check(batch, spark.table(name).join(batch.select("Entity").distinct(), "Entity", "left_semi"))
+            told = told.select("Entity", "pulled", "inserted", F.lit(0).cast("long").alias("updated"), F.col("inserted").alias("found"), "status")
+        else:
+            told = effects.load_check(before, effects.seen(entry, batch, name, marks)).drop("rows")
+        found.append(told.withColumn("kind", F.lit(kind)))
+    return load.fan_out(found)
+
+
 @query("tagged_pulls", """
 SELECT c_custkey AS no, c_name AS name, CASE WHEN c_acctbal < 0 THEN 'debtors' ELSE 'others' END AS "Entity" FROM customer
 """)
