@@ -2,10 +2,10 @@
 
 The model smooths each order with the one below: p(w|h) = (c(hw) + m p(w|h')) / (c(h) + m), where
 h' is h without its first word; single words have add-one smoothing and share one unknown word.
-Scores are those of a backoff automaton: histories are its states, state h has an arc for each w
-seen after it and a failure arc to h' of weight m / (c(h) + m). The automaton is not built and no
-state is carried: its traversal is replaced by looking up the n-grams of all places of a block at
-once, order by order.
+The model is a backoff automaton: the histories that were seen are its states, state h has an arc for each w
+seen after it, of weight log p(w|h), and a failure arc to h' of weight log m / (c(h) + m). A block builds
+the part of it that its words can reach and reads all its texts in one traversal from left to right,
+side by side: each carries its state, and where a state has no arc for the next word, failure arcs are taken.
 
 Counts never meet in one place. Documents are dealt into blocks; a block sends its distinct
 n-grams as sorted hashes, once for counting and looking up, to shards of the hash range; a shard
@@ -14,7 +14,7 @@ adds the counts up and answers each block in the order it was asked.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -128,69 +128,163 @@ def answers(shard: int, rows: list[dict]) -> Iterator[dict]:
 
 @dataclass
 class Automaton:
-    """States are histories, by the key of their n-gram; weights are log10.
+    """Numbered states, one for each history that was seen, arcs and failure arcs; weights are log10.
 
-    ``keys`` are sorted n-grams with their counts over the training texts. The arc of an n-gram
-    leaves the state of all but its last word; a history's failure arc leads to the history without
-    its first word.
+    State 0 is the empty history; it has an arc for every word, those without a count sharing one weight.
+    ``arcs`` are the others, sorted by state * number of words + word, with their weights and targets.
+    ``fails`` and ``fail_weights`` lead from a state to the history without its first word.
     """
 
-    keys: np.ndarray
-    counts: np.ndarray
-    tokens: int
-    types: int
-    strength: float
-
-    def count(self, keys: np.ndarray) -> np.ndarray:
-        if not len(self.keys):
-            return np.zeros(len(keys))
-        place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[place] == keys, self.counts[place], 0).astype(np.float64)
-
-    def root(self, count: np.ndarray) -> np.ndarray:
-        """Weights of the arcs that leave the empty history; words without a count share one arc."""
-        return np.log10((count + 1) / (self.tokens + self.types + 1))
-
-    def failure(self, history: np.ndarray) -> np.ndarray:
-        return np.log10(self.strength / (history + self.strength))
-
-    def weights(self, levels: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """For each place the weight of reading its word from the state its left neighbours lead to,
-        and the word's own count.
-
-        The state at a place is the longest seen history there. It isn't carried from place to place:
-        for every place at once the arc of the highest order with a count is taken, after the
-        failure arcs above it.
-        """
-        counts = [self.count(k) for k in levels]
-        arc = self.root(counts[0])
-        best = arc.copy()
-        for n in range(1, len(levels)):
-            history = np.zeros(len(arc))
-            history[1:] = counts[n - 1][:-1]
-            history[levels[n] == 0] = 0
-            fails = self.failure(history)
-            with np.errstate(divide="ignore"):
-                arc = np.log10((counts[n] + self.strength * 10.0 ** best) / (history + self.strength))
-            best = np.where(counts[n] > 0, arc, fails + best)
-        return best, counts[0]
-
-
-def scored(texts: pa.Array, automaton: Automaton, order: int) -> dict[str, np.ndarray]:
+    words: int
+    root_weights: np.ndarray
+    root_targets: np.ndarray
+    arcs: np.ndarray
+    arc_weights: np.ndarray
+    arc_targets: np.ndarray
+    fails: np.ndarray
+    fail_weights: np.ndarray
+
+    def step(self, states: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Read one word from each state: the weights of the arcs taken, failure arcs included, and the new states."""
+        weights = np.zeros(len(states))
+        out = np.zeros(len(states), np.int64)
+        left = np.arange(len(states))
+        while True:
+            at_root = states[left] == 0
+            here = left[at_root]
+            weights[here] += self.root_weights[words[here]]
+            out[here] = self.root_targets[words[here]]
+            left = left[~at_root]
+            if not len(left):
+                return weights, out
+            wanted = states[left] * self.words + words[left]
+            place = np.minimum(np.searchsorted(self.arcs, wanted), max(len(self.arcs) - 1, 0))
+            found = self.arcs[place] == wanted if len(self.arcs) else np.zeros(len(left), bool)
+            here, place = left[found], place[found]
+            weights[here] += self.arc_weights[place]
+            out[here] = self.arc_targets[place]
+            left = left[~found]
+            weights[left] += self.fail_weights[states[left]]
+            states[left] = self.fails[states[left]]
+
+
+def built(
+    levels: list[np.ndarray], distinct: np.ndarray, words: np.ndarray, count_of: Callable[[np.ndarray], np.ndarray],
+    tokens: int, types: int, strength: float,
+) -> tuple[Automaton, np.ndarray]:
+    """The automaton of the n-grams of some texts, and the count of the word at each place.
+
+    ``distinct`` are the keys of the words, ``words`` the numbers of the places' words among them; ``count_of``
+    gives the counts of n-gram keys over the training texts. An n-gram's probability is (its count + strength * that without its first word) /
+    (its history's count + strength); it has an arc if it has a count.
+    """
+    n_words = max(1, len(distinct))
+    word_counts = count_of(distinct) if len(distinct) else np.zeros(1)
+    log_share = np.log10((word_counts + 1) / (tokens + types + 1))
+    state_at = np.zeros(len(words), np.int64)  # of the level before, at each place; 0 if it has no count
+    share_at = 10.0 ** log_share[words]  # probability of the n-gram of the level before that ends there
+    held_at = word_counts[words]  # and its count
+    fails, fail_weights, arcs, weights, targets = [np.zeros(1, np.int64)], [np.zeros(1)], [], [], []
+    root_targets = np.zeros(n_words, np.int64)
+    states, order = 1, len(levels)
+    if order > 1:  # single words as histories
+        seen = np.flatnonzero(word_counts > 0)
+        root_targets[seen] = states + np.arange(len(seen))
+        fails.append(np.zeros(len(seen), np.int64))
+        fail_weights.append(np.log10(strength / (word_counts[seen] + strength)))
+        states += len(seen)
+        state_at = root_targets[words]
+    for n in range(1, order):
+        key = levels[n]
+        inside = np.flatnonzero(key != 0)
+        own, place = np.unique(key[inside], return_inverse=True)
+        one = np.zeros(len(own), np.int64)
+        one[place] = inside  # a place of each n-gram
+        count = count_of(own)
+        share = (count + strength * share_at[one]) / (held_at[one - 1] + strength)
+        has = (count > 0) & (state_at[one - 1] > 0)
+        state = np.zeros(len(one), np.int64)
+        if n < order - 1:
+            state[has] = states + np.arange(int(has.sum()))
+            fails.append(state_at[one[has]])
+            fail_weights.append(np.log10(strength / (count[has] + strength)))
+            states += int(has.sum())
+        arcs.append(state_at[one[has] - 1] * n_words + words[one[has]])
+        weights.append(np.log10(share[has]))
+        targets.append(state[has] if n < order - 1 else state_at[one[has]])
+        new_state, new_share, new_held = np.zeros_like(state_at), np.zeros_like(share_at), np.zeros_like(held_at)
+        new_state[inside], new_share[inside], new_held[inside] = state[place], share[place], count[place]
+        state_at, share_at, held_at = new_state, new_share, new_held
+    empty = np.zeros(0, np.int64)
+    code, weight, target = (np.concatenate(x) if x else empty for x in (arcs, weights, targets))
+    by = np.argsort(code, kind="stable")
+    made = Automaton(
+        n_words, log_share, root_targets, code[by], weight[by], target[by], np.concatenate(fails), np.concatenate(fail_weights))
+    return made, word_counts[words]
+
+
+#: Words that a lane reads, besides those before it that lead to its first state.
+LANE = 256
+
+
+def traversed(s: Sequences, words: np.ndarray, automaton: Automaton, order: int, lane: int = LANE) -> np.ndarray:
+    """The weight of reading each place's word, from left to right, the state carried from word to word.
+
+    All texts are read side by side. A long text is several lanes: the state depends on the last
+    ``order - 1`` words at most, so a lane reads these first, without counting them.
+    """
+    begins = np.flatnonzero(s.is_start)
+    sizes = np.diff(np.append(begins, len(words)))
+    lanes = -(-sizes // lane)
+    nth = np.arange(int(lanes.sum())) - np.repeat(np.cumsum(lanes) - lanes, lanes)
+    text = np.repeat(np.arange(len(begins)), lanes)
+    first = begins[text] + nth * lane  # the first place that counts
+    lead = np.minimum(nth * lane, order - 1)
+    start, size = first - lead, np.minimum(lane, sizes[text] - nth * lane) + lead
+    longest = np.argsort(-size, kind="stable")
+    start, size, lead = start[longest], size[longest], lead[longest]
+    states = np.zeros(len(start), np.int64)
+    out = np.zeros(len(words))
+    active = np.searchsorted(-size, -np.arange(int(size.max()) if len(size) else 0), "left")  # lanes longer than each step
+    for step, n in enumerate(active.tolist()):
+        place = start[:n] + step
+        weight, states[:n] = automaton.step(states[:n].copy(), words[place])
+        counts = step >= lead[:n]
+        out[place[counts]] = weight[counts]
+    return out
+
+
+def scored(
+    texts: pa.Array, count_of: Callable[[np.ndarray], np.ndarray], tokens: int, types: int, strength: float, order: int,
+) -> dict[str, np.ndarray]:
     """Per text: tokens with the end, tokens with a count, and log10 probabilities by words and by the model."""
     s = sequences(texts)
     n = len(texts)
-    weight, count = automaton.weights(keys_by_order(s, order))
+    levels = keys_by_order(s, order)
+    distinct, words = np.unique(s.hashes, return_inverse=True)
+    automaton, count = built(levels, distinct, words, count_of, tokens, types, strength)
+    weight = traversed(s, words, automaton, order)
     read = ~s.is_start
     owner = s.owner[read]
     per = lambda values: np.bincount(owner, weights=values[read], minlength=n)
-    base = np.log10((count + 1) / (automaton.tokens + (automaton.types + 1)))
+    base = np.log10((count + 1) / (tokens + (types + 1)))
     return {
         "n_tokens": np.bincount(owner, minlength=n), "n_known": per((count > 0).astype(float)).astype(np.int64),
         "base_score": per(base), "score": per(weight),
     }
 
 
+def counts_in(keys: np.ndarray, counts: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+    """Look-up of n-gram keys in sorted ``keys``; others have no count."""
+    def count_of(wanted: np.ndarray) -> np.ndarray:
+        if not len(keys):
+            return np.zeros(len(wanted))
+        place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return np.where(keys[place] == wanted, counts[place], 0).astype(np.float64)
+
+    return count_of
+
+
 def score(
     df: DataFrame, train: Column, text: str = "text", order: int = ORDER, strength: float = STRENGTH,
     block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES,
@@ -235,8 +329,7 @@ def score(
         keys = keys[keys != 0]
         parts = found.sort_by("shard").to_pylist()
         counts = [numbers(p["cs"], np.uint64, p["n"]) for p in parts]
-        automaton = Automaton(keys, np.concatenate(counts), tokens, types, strength)
-        out = scored(texts, automaton, order)
+        out = scored(texts, counts_in(keys, np.concatenate(counts)), tokens, types, strength, order)
         out["train_tokens"] = np.full(len(texts), tokens)
         kept = own.select(rest)
         for name in made:

@@ -1,10 +1,13 @@
 """Scores against a plain automaton of dictionaries, sums to one, odd rows."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,7 +57,7 @@ TEXTS = [None, "", " \n", "The the THE cat", "the cat sat on the mat\x0bthe\x0cc
          "the cat " * 4000, "the cat sat", "the cat sat"]
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
 def test_against_plain_automaton(spark, order):
     rows = [(i, t, i % 3 != 2) for i, t in enumerate(TEXTS)] + [(None, "the mat", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, score boolean")
@@ -69,6 +72,25 @@ def test_against_plain_automaton(spark, order):
         assert r["score"] == pytest.approx(score, rel=1e-9) and r["base_score"] == pytest.approx(base, rel=1e-9)
 
 
+@pytest.mark.parametrize("order,lane", [(1, 2), (2, 1), (3, 1), (3, 2), (4, 2), (4, 5)])
+def test_lanes_carry_the_state(order, lane):
+    """Any cut of long texts into lanes gives the weights of one walk; states and failure arcs are those of the counts."""
+    rng = random.Random(order)
+    texts = ["".join(rng.choice("ab c ") for _ in range(rng.randint(0, 60))) for _ in range(20)]
+    arr = pa.array(texts, pa.string())
+    s = lm.sequences(arr)
+    levels = lm.keys_by_order(s, order)
+    half = np.concatenate([level[s.owner < 10] for level in levels])  # the other texts are not learned from
+    learned = lm.counts_in(*np.unique(half[half != 0], return_counts=True))
+    distinct, words = np.unique(s.hashes, return_inverse=True)
+    automaton, _ = lm.built(levels, distinct, words, learned, 100, 10, 7.0)
+    whole = lm.traversed(s, words, automaton, order, lane=10**6)
+    assert np.array_equal(whole, lm.traversed(s, words, automaton, order, lane))
+    assert (automaton.fails < np.arange(len(automaton.fails)) + (np.arange(len(automaton.fails)) == 0)).all()
+    assert len(automaton.fails) == 1 if order == 1 else len(automaton.fails) > 1
+    assert len(automaton.arcs) == len(set(automaton.arcs.tolist()))
+
+
 def test_sums_to_one():
     plain = Plain(["a b a c", "b a"], 3, 7.0)
     words = {k[0] for k in plain.c if len(k) == 1} - {START}
