@@ -227,7 +227,11 @@ def there_and_back(text: Column, tables: Tables) -> Column:
 
 
 def round_trip(df: DataFrame, tables: Tables, text: str = "text") -> DataFrame:
-    """``encode`` and ``decode`` in one: ``df`` with token_ids, n_tokens and decoded_text."""
+    """``encode`` and ``decode`` in one: ``df`` with token_ids, n_tokens and decoded_text.
+
+    Null and empty texts have no ids and the decoded text ''. Repeated rows are all coded; very long texts
+    are coded whole, in one worker's memory.
+    """
     both = with_new(df, coded_=there_and_back(F.col(text), tables))
     out = with_new(both, token_ids=F.col("coded_.token_ids"), decoded_text=F.col("coded_.decoded_text"))
     return with_new(out.drop("coded_"), n_tokens=(F.octet_length("token_ids") / 4).cast("long"))
@@ -237,7 +241,8 @@ def encode(df: DataFrame, tables: Tables, text: str = "text") -> DataFrame:
     """``df`` with ``token_ids`` (binary, 4 bytes an id) and ``n_tokens``.
 
     A null or empty text has no tokens. Strings of special tokens in a text become those
-    tokens. Columns of these names are replaced; rows, order and other columns stay.
+    tokens. Columns of these names are replaced; rows, repeated ones too, order and other columns stay.
+    A very long text is encoded whole and must fit a worker's memory.
     """
     packed = with_new(df, token_ids=encoded(F.col(text), tables))
     return with_new(packed, n_tokens=(F.octet_length("token_ids") / 4).cast("long"))

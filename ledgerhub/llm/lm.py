@@ -294,7 +294,8 @@ def score(
     ``train`` says which rows the model learns from; null counts as no. Words are runs without ASCII
     white space, A-Z in lower case; a null or empty text has the end alone. N-grams are told apart
     by 64-bit hashes. With nothing to learn from, every word is unknown. Columns of these names
-    are replaced. Blocks and shards grow in number with the text, not in size.
+    are replaced. Blocks and shards grow in number with the text, not in size. A text lies whole in one
+    block, however long it is; repeated rows count each time in training and each get a row.
     """
     made = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     whole = F.coalesce(F.col(text), F.lit(""))

@@ -175,7 +175,8 @@ def counted_limits(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 def rules(df: DataFrame) -> DataFrame:
     """``df`` without text, with its counts, ``base_failed`` and ``kept``.
 
-    Null languages and sources are groups of their own. Repeated rows count each. An empty frame
+    Null languages and sources are groups of their own. A null or empty text has no words and fails the
+    base rule; a very long one is counted whole, in its row. Repeated rows count each. An empty frame
     gives an empty one. The counts are stored once; sketches and verdicts are read from them.
     """
     return judged(*counted_limits(df))

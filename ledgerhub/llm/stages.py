@@ -35,7 +35,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the least id; rows without id all stay."""
+    """Of each group of near-duplicates the document with the least id; rows without id all stay.
+
+    Null and empty texts are no duplicates of anything. Rows that repeat an id stay or go together.
+    """
     long_rows(spark)
     docs = docs.select(*DOCUMENT)
     found = jaccard.classes(docs)
@@ -44,13 +47,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their source's budget uses them; a document used twice is two rows."""
+    """Documents as often as their source's budget uses them; a document used twice is two rows.
+
+    Null and empty texts have no words, so they use no budget and come and go with their source's epochs. Null
+    languages and sources are '' in the tree. Rows that repeat an id are used together.
+    """
     docs = docs.select(*DOCUMENT)
     return mixing.mix(docs, F.expr(DOMAIN_SQL), MIX_WEIGHTS, seed=MIX_SEED).select(*DOCUMENT)
 
 
 def bpe_coding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, n_tokens and token ids, and whether decoding gave the text back, of every row."""
+    """doc_id, lang, source, n_tokens and token ids, and whether decoding gave the text back, of every row.
+
+    A null text counts as '' and has no tokens.
+    """
     long_rows(spark)
     tables = bpe.load(public_tokenizers.path("byte_bpe_50k.json"))
     coded = bpe.round_trip(docs.select(*DOCUMENT), tables)
