@@ -11,176 +11,204 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_KINDS = {
-    "text": T.StringType(), "number": T.LongType(), "small": T.IntegerType(), "flag": T.BooleanType(),
-    "day": T.DateType(), "time": T.TimestampType(), "amount": T.DecimalType(18, 2), "rate": T.DecimalType(18, 6),
-}
-
-# --- fixed values: field names of the interface as they land, by type; all that the job's list of columns names
+# --- fixed values: field names of the interface as they land, with our types; all that the job's list of columns names
 _HEADER = (
-    "text:@odata.etag text:id text:documentType text:no text:sellToCustomerNo text:sellToCustomerName "
-    "text:billToCustomerNo text:billToCustomerName text:voyageNo text:movementType day:documentDate day:postingDate "
-    "text:statusCode time:createdDateTime text:createdUserID time:modifiedDateTime text:modifiedUserID "
-    "day:announcedDate text:announcedTime day:arrivedDate text:arrivedTime day:departedDate day:deliveryDate "
-    "day:estimatedDepartureDate text:vesselNo text:orderTypeCode text:shortcutDimension2Code text:attribute01 "
-    "text:attribute02 text:attribute03 text:attribute04 text:attribute05 text:attribute06 text:attribute07 "
-    "text:attribute08 text:attribute09 text:attribute10 text:portFromName text:portToName time:systemModifiedAt"
+    "`@odata.etag` STRING, id STRING, documentType STRING, no STRING, sellToCustomerNo STRING, "
+    "sellToCustomerName STRING, billToCustomerNo STRING, billToCustomerName STRING, voyageNo STRING, "
+    "movementType STRING, documentDate DATE, postingDate DATE, statusCode STRING, createdDateTime TIMESTAMP, "
+    "createdUserID STRING, modifiedDateTime TIMESTAMP, modifiedUserID STRING, announcedDate DATE, "
+    "announcedTime STRING, arrivedDate DATE, arrivedTime STRING, departedDate DATE, deliveryDate DATE, "
+    "estimatedDepartureDate DATE, vesselNo STRING, orderTypeCode STRING, shortcutDimension2Code STRING, "
+    "attribute01 STRING, attribute02 STRING, attribute03 STRING, attribute04 STRING, attribute05 STRING, "
+    "attribute06 STRING, attribute07 STRING, attribute08 STRING, attribute09 STRING, attribute10 STRING, "
+    "portFromName STRING, portToName STRING, systemModifiedAt TIMESTAMP"
 )
 _LINE = (
-    "text:@odata.etag text:id time:systemCreatedAt time:systemModifiedAt text:documentNo small:lineNo "
-    "text:sellToCustomerNo text:buyFromVendorNo text:currencyCode amount:lineAmountLCY text:type text:no "
-    "rate:quantity rate:unitPrice amount:lineAmount time:createdDateTime text:createdUserID time:modifiedDateTime "
-    "text:modifiedUserID text:itemCategoryCode text:productGroupCode text:batchNo text:shortcutDimension2Code "
-    "day:postingDate text:invoiceType text:invoiceNo day:invoiceDate text:purchInvoiceType text:purchInvoiceNo "
-    "day:purchInvoiceDate text:agreementType text:agreementNo"
+    "`@odata.etag` STRING, id STRING, systemCreatedAt TIMESTAMP, systemModifiedAt TIMESTAMP, documentNo STRING, "
+    "lineNo INT, sellToCustomerNo STRING, buyFromVendorNo STRING, currencyCode STRING, "
+    "lineAmountLCY DECIMAL(18,2), type STRING, no STRING, quantity DECIMAL(18,6), unitPrice DECIMAL(18,6), "
+    "lineAmount DECIMAL(18,2), createdDateTime TIMESTAMP, createdUserID STRING, modifiedDateTime TIMESTAMP, "
+    "modifiedUserID STRING, itemCategoryCode STRING, productGroupCode STRING, batchNo STRING, "
+    "shortcutDimension2Code STRING, postingDate DATE, invoiceType STRING, invoiceNo STRING, invoiceDate DATE, "
+    "purchInvoiceType STRING, purchInvoiceNo STRING, purchInvoiceDate DATE, agreementType STRING, "
+    "agreementNo STRING"
 )
-_FIELDS = {
+_COLUMNS = {
     "BC_GLaccounts": (
-        "text:@odata.etag text:id time:systemCreatedAt text:systemCreatedBy time:systemModifiedAt "
-        "text:systemModifiedBy text:no text:name text:searchName text:accountType text:globalDimension1Code "
-        "text:globalDimension2Code text:accountCategory text:incomeBalance text:debitCredit text:no2 text:comment "
-        "flag:blocked text:directPosting text:reconciliationAccount text:newPage text:noOfBlankLines text:indentation "
-        "time:lastModifiedDateTime day:lastDateModified amount:balanceAtDate amount:netChange amount:budgetedAmount "
-        "text:totaling amount:balance amount:budgetAtDate text:consolTranslationMethod text:consolDebitAcc "
-        "text:consolCreditAcc text:genPostingType text:genBusPostingGroup text:genProdPostingGroup amount:debitAmount "
-        "amount:creditAmount text:automaticExtTexts amount:budgetedDebitAmount amount:budgetedCreditAmount "
-        "text:taxAreaCode flag:taxLiable text:taxGroupCode text:vatBusPostingGroup text:vatProdPostingGroup "
-        "amount:vatAmt text:additionalCurrencyNetChange amount:addCurrencyBalanceAtDate "
-        "text:additionalCurrencyBalance text:exchangeRateAdjustment amount:addCurrencyDebitAmount "
-        "amount:addCurrencyCreditAmount text:defaultICPartnerGLAccNo number:accountSubcategoryEntryNo "
-        "text:accountSubcategoryDescript text:costTypeNo text:defaultDeferralTemplateCode text:apiAccountType "
-        "text:omitDefaultDescrInJnl text:availableForPurchase3PL text:availableForSales3PL text:pictureMediaEditLink "
-        "text:pictureMediaReadLink"
+        "`@odata.etag` STRING, id STRING, systemCreatedAt TIMESTAMP, systemCreatedBy STRING, "
+        "systemModifiedAt TIMESTAMP, systemModifiedBy STRING, no STRING, name STRING, searchName STRING, "
+        "accountType STRING, globalDimension1Code STRING, globalDimension2Code STRING, accountCategory STRING, "
+        "incomeBalance STRING, debitCredit STRING, no2 STRING, comment STRING, blocked BOOLEAN, "
+        "directPosting STRING, reconciliationAccount STRING, newPage STRING, noOfBlankLines STRING, "
+        "indentation STRING, lastModifiedDateTime TIMESTAMP, lastDateModified DATE, balanceAtDate DECIMAL(18,2), "
+        "netChange DECIMAL(18,2), budgetedAmount DECIMAL(18,2), totaling STRING, balance DECIMAL(18,2), "
+        "budgetAtDate DECIMAL(18,2), consolTranslationMethod STRING, consolDebitAcc STRING, "
+        "consolCreditAcc STRING, genPostingType STRING, genBusPostingGroup STRING, genProdPostingGroup STRING, "
+        "debitAmount DECIMAL(18,2), creditAmount DECIMAL(18,2), automaticExtTexts STRING, "
+        "budgetedDebitAmount DECIMAL(18,2), budgetedCreditAmount DECIMAL(18,2), taxAreaCode STRING, "
+        "taxLiable BOOLEAN, taxGroupCode STRING, vatBusPostingGroup STRING, vatProdPostingGroup STRING, "
+        "vatAmt DECIMAL(18,2), additionalCurrencyNetChange STRING, addCurrencyBalanceAtDate DECIMAL(18,2), "
+        "additionalCurrencyBalance STRING, exchangeRateAdjustment STRING, addCurrencyDebitAmount DECIMAL(18,2), "
+        "addCurrencyCreditAmount DECIMAL(18,2), defaultICPartnerGLAccNo STRING, accountSubcategoryEntryNo BIGINT, "
+        "accountSubcategoryDescript STRING, costTypeNo STRING, defaultDeferralTemplateCode STRING, "
+        "apiAccountType STRING, omitDefaultDescrInJnl STRING, availableForPurchase3PL STRING, "
+        "availableForSales3PL STRING, pictureMediaEditLink STRING, pictureMediaReadLink STRING"
     ),
     "BC_GLentries": (
-        "text:id time:systemCreatedAt text:systemCreatedBy time:systemModifiedAt text:systemModifiedBy number:entryNo "
-        "text:gLAccountNo day:postingDate text:documentType text:documentNo text:description text:balAccountNo "
-        "amount:amount text:globalDimension1Code text:globalDimension2Code text:userID text:sourceCode "
-        "text:systemCreatedEntry text:priorYearEntry text:jobNo rate:quantity amount:vatAmount text:businessUnitCode "
-        "text:journalBatchName text:reasonCode text:genPostingType text:genBusPostingGroup text:genProdPostingGroup "
-        "text:balAccountType number:transactionNo amount:debitAmount amount:creditAmount day:documentDate "
-        "text:externalDocumentNo text:sourceType text:sourceNo text:noSeries text:taxAreaCode flag:taxLiable "
-        "text:taxGroupCode text:useTax text:vatBusPostingGroup text:vatProdPostingGroup "
-        "amount:additionalCurrencyAmount amount:addCurrencyDebitAmount amount:addCurrencyCreditAmount "
-        "text:closeIncomeStatementDimID text:icPartnerCode flag:reversed number:reversedByEntryNo "
-        "number:reversedEntryNo text:gLAccountName text:journalTemplName number:dimensionSetID "
-        "text:shortcutDimension3Code text:shortcutDimension4Code text:shortcutDimension5Code "
-        "text:shortcutDimension6Code text:shortcutDimension7Code text:shortcutDimension8Code "
-        "number:lastDimCorrectionEntryNo text:lastDimCorrectionNode text:dimensionChangesCount text:prodOrderNo "
-        "text:faEntryType number:faEntryNo text:comment text:accountId time:lastModifiedDateTime "
-        "text:documentLineNo3PL text:wmsDocumentType text:wmsDocumentNo text:wmsDocumentLineNo text:tmsDocumentType "
-        "text:tmsDocumentNo text:tmsDocumentSequenceNo text:tmsDocumentLineNo text:ultimo"
+        "id STRING, systemCreatedAt TIMESTAMP, systemCreatedBy STRING, systemModifiedAt TIMESTAMP, "
+        "systemModifiedBy STRING, entryNo BIGINT, gLAccountNo STRING, postingDate DATE, documentType STRING, "
+        "documentNo STRING, description STRING, balAccountNo STRING, amount DECIMAL(18,2), "
+        "globalDimension1Code STRING, globalDimension2Code STRING, userID STRING, sourceCode STRING, "
+        "systemCreatedEntry STRING, priorYearEntry STRING, jobNo STRING, quantity DECIMAL(18,6), "
+        "vatAmount DECIMAL(18,2), businessUnitCode STRING, journalBatchName STRING, reasonCode STRING, "
+        "genPostingType STRING, genBusPostingGroup STRING, genProdPostingGroup STRING, balAccountType STRING, "
+        "transactionNo BIGINT, debitAmount DECIMAL(18,2), creditAmount DECIMAL(18,2), documentDate DATE, "
+        "externalDocumentNo STRING, sourceType STRING, sourceNo STRING, noSeries STRING, taxAreaCode STRING, "
+        "taxLiable BOOLEAN, taxGroupCode STRING, useTax STRING, vatBusPostingGroup STRING, "
+        "vatProdPostingGroup STRING, additionalCurrencyAmount DECIMAL(18,2), "
+        "addCurrencyDebitAmount DECIMAL(18,2), addCurrencyCreditAmount DECIMAL(18,2), "
+        "closeIncomeStatementDimID STRING, icPartnerCode STRING, reversed BOOLEAN, reversedByEntryNo BIGINT, "
+        "reversedEntryNo BIGINT, gLAccountName STRING, journalTemplName STRING, dimensionSetID BIGINT, "
+        "shortcutDimension3Code STRING, shortcutDimension4Code STRING, shortcutDimension5Code STRING, "
+        "shortcutDimension6Code STRING, shortcutDimension7Code STRING, shortcutDimension8Code STRING, "
+        "lastDimCorrectionEntryNo BIGINT, lastDimCorrectionNode STRING, dimensionChangesCount STRING, "
+        "prodOrderNo STRING, faEntryType STRING, faEntryNo BIGINT, comment STRING, accountId STRING, "
+        "lastModifiedDateTime TIMESTAMP, documentLineNo3PL STRING, wmsDocumentType STRING, wmsDocumentNo STRING, "
+        "wmsDocumentLineNo STRING, tmsDocumentType STRING, tmsDocumentNo STRING, tmsDocumentSequenceNo STRING, "
+        "tmsDocumentLineNo STRING, ultimo STRING"
     ),
     "BC_CustomerLedgerEntries": (
-        "text:@odata.etag text:id time:systemCreatedAt text:systemCreatedBy time:systemModifiedAt "
-        "text:systemModifiedBy number:entryNo text:customerNo day:postingDate text:documentType text:documentNo "
-        "text:description text:customerName text:currencyCode amount:amount amount:remainingAmount "
-        "amount:originalAmtLCY amount:remainingAmtLCY amount:amountLCY amount:salesLCY amount:profitLCY "
-        "amount:invDiscountLCY text:sellToCustomerNo text:customerPostingGroup text:globalDimension1Code "
-        "text:globalDimension2Code text:salespersonCode text:userID text:sourceCode text:onHold text:appliesToDocType "
-        "text:appliesToDocNo flag:open day:dueDate day:pmtDiscountDate text:originalPmtDiscPossible "
-        "amount:pmtDiscGivenLCY amount:origPmtDiscPossibleLCY flag:positive number:closedByEntryNo day:closedAtDate "
-        "amount:closedByAmount text:appliesToID text:journalTemplName text:journalBatchName text:reasonCode "
-        "text:balAccountType text:balAccountNo number:transactionNo amount:closedByAmountLCY amount:debitAmount "
-        "amount:creditAmount amount:debitAmountLCY amount:creditAmountLCY day:documentDate text:externalDocumentNo "
-        "text:calculateInterest text:closingInterestCalculated text:noSeries text:closedByCurrencyCode "
-        "amount:closedByCurrencyAmount text:adjustedCurrencyFactor text:originalCurrencyFactor amount:originalAmount "
-        "text:remainingPmtDiscPossible day:pmtDiscToleranceDate text:maxPaymentTolerance text:lastIssuedReminderLevel "
-        "text:acceptedPaymentTolerance text:acceptedPmtDiscTolerance amount:pmtToleranceLCY amount:amountToApply "
-        "text:icPartnerCode text:applyingEntry flag:reversed number:reversedByEntryNo number:reversedEntryNo "
-        "flag:prepayment text:paymentReference text:paymentMethodCode text:appliesToExtDocNo "
-        "text:recipientBankAccount text:messageToRecipient text:exportedToPaymentFile number:dimensionSetID "
-        "text:shortcutDimension3Code text:shortcutDimension4Code text:shortcutDimension5Code "
-        "text:shortcutDimension6Code text:shortcutDimension7Code text:shortcutDimension8Code "
-        "text:directDebitMandateID"
+        "`@odata.etag` STRING, id STRING, systemCreatedAt TIMESTAMP, systemCreatedBy STRING, "
+        "systemModifiedAt TIMESTAMP, systemModifiedBy STRING, entryNo BIGINT, customerNo STRING, "
+        "postingDate DATE, documentType STRING, documentNo STRING, description STRING, customerName STRING, "
+        "currencyCode STRING, amount DECIMAL(18,2), remainingAmount DECIMAL(18,2), originalAmtLCY DECIMAL(18,2), "
+        "remainingAmtLCY DECIMAL(18,2), amountLCY DECIMAL(18,2), salesLCY DECIMAL(18,2), profitLCY DECIMAL(18,2), "
+        "invDiscountLCY DECIMAL(18,2), sellToCustomerNo STRING, customerPostingGroup STRING, "
+        "globalDimension1Code STRING, globalDimension2Code STRING, salespersonCode STRING, userID STRING, "
+        "sourceCode STRING, onHold STRING, appliesToDocType STRING, appliesToDocNo STRING, open BOOLEAN, "
+        "dueDate DATE, pmtDiscountDate DATE, originalPmtDiscPossible STRING, pmtDiscGivenLCY DECIMAL(18,2), "
+        "origPmtDiscPossibleLCY DECIMAL(18,2), positive BOOLEAN, closedByEntryNo BIGINT, closedAtDate DATE, "
+        "closedByAmount DECIMAL(18,2), appliesToID STRING, journalTemplName STRING, journalBatchName STRING, "
+        "reasonCode STRING, balAccountType STRING, balAccountNo STRING, transactionNo BIGINT, "
+        "closedByAmountLCY DECIMAL(18,2), debitAmount DECIMAL(18,2), creditAmount DECIMAL(18,2), "
+        "debitAmountLCY DECIMAL(18,2), creditAmountLCY DECIMAL(18,2), documentDate DATE, "
+        "externalDocumentNo STRING, calculateInterest STRING, closingInterestCalculated STRING, noSeries STRING, "
+        "closedByCurrencyCode STRING, closedByCurrencyAmount DECIMAL(18,2), adjustedCurrencyFactor STRING, "
+        "originalCurrencyFactor STRING, originalAmount DECIMAL(18,2), remainingPmtDiscPossible STRING, "
+        "pmtDiscToleranceDate DATE, maxPaymentTolerance STRING, lastIssuedReminderLevel STRING, "
+        "acceptedPaymentTolerance STRING, acceptedPmtDiscTolerance STRING, pmtToleranceLCY DECIMAL(18,2), "
+        "amountToApply DECIMAL(18,2), icPartnerCode STRING, applyingEntry STRING, reversed BOOLEAN, "
+        "reversedByEntryNo BIGINT, reversedEntryNo BIGINT, prepayment BOOLEAN, paymentReference STRING, "
+        "paymentMethodCode STRING, appliesToExtDocNo STRING, recipientBankAccount STRING, "
+        "messageToRecipient STRING, exportedToPaymentFile STRING, dimensionSetID BIGINT, "
+        "shortcutDimension3Code STRING, shortcutDimension4Code STRING, shortcutDimension5Code STRING, "
+        "shortcutDimension6Code STRING, shortcutDimension7Code STRING, shortcutDimension8Code STRING, "
+        "directDebitMandateID STRING"
     ),
     "BC_VendorLedgerEntries": (
-        "text:@odata.etag text:id time:systemCreatedAt text:systemCreatedBy time:systemModifiedAt "
-        "text:systemModifiedBy number:entryNo text:vendorNo day:postingDate text:documentType text:documentNo "
-        "text:description text:vendorName text:currencyCode amount:amount amount:remainingAmount "
-        "amount:originalAmtLCY amount:remainingAmtLCY amount:amountLCY amount:purchaseLCY amount:invDiscountLCY "
-        "text:buyFromVendorNo text:vendorPostingGroup text:globalDimension1Code text:globalDimension2Code "
-        "text:purchaserCode text:userID text:sourceCode text:onHold text:appliesToDocType text:appliesToDocNo "
-        "flag:open day:dueDate day:pmtDiscountDate text:originalPmtDiscPossible amount:pmtDiscRcdLCY "
-        "amount:origPmtDiscPossibleLCY flag:positive number:closedByEntryNo day:closedAtDate amount:closedByAmount "
-        "text:appliesToID text:journalTemplName text:journalBatchName text:reasonCode text:balAccountType "
-        "text:balAccountNo number:transactionNo amount:closedByAmountLCY amount:debitAmount amount:creditAmount "
-        "amount:debitAmountLCY amount:creditAmountLCY day:documentDate text:externalDocumentNo text:noSeries "
-        "text:closedByCurrencyCode amount:closedByCurrencyAmount text:adjustedCurrencyFactor "
-        "text:originalCurrencyFactor amount:originalAmount text:remainingPmtDiscPossible day:pmtDiscToleranceDate "
-        "text:maxPaymentTolerance text:acceptedPaymentTolerance text:acceptedPmtDiscTolerance amount:pmtToleranceLCY "
-        "amount:amountToApply text:icPartnerCode text:applyingEntry flag:reversed number:reversedByEntryNo "
-        "number:reversedEntryNo flag:prepayment text:creditorNo text:paymentReference text:paymentMethodCode "
-        "text:appliesToExtDocNo text:recipientBankAccount text:messageToRecipient text:exportedToPaymentFile "
-        "number:dimensionSetID text:shortcutDimension3Code text:shortcutDimension4Code text:shortcutDimension5Code "
-        "text:shortcutDimension6Code text:shortcutDimension7Code text:shortcutDimension8Code"
+        "`@odata.etag` STRING, id STRING, systemCreatedAt TIMESTAMP, systemCreatedBy STRING, "
+        "systemModifiedAt TIMESTAMP, systemModifiedBy STRING, entryNo BIGINT, vendorNo STRING, postingDate DATE, "
+        "documentType STRING, documentNo STRING, description STRING, vendorName STRING, currencyCode STRING, "
+        "amount DECIMAL(18,2), remainingAmount DECIMAL(18,2), originalAmtLCY DECIMAL(18,2), "
+        "remainingAmtLCY DECIMAL(18,2), amountLCY DECIMAL(18,2), purchaseLCY DECIMAL(18,2), "
+        "invDiscountLCY DECIMAL(18,2), buyFromVendorNo STRING, vendorPostingGroup STRING, "
+        "globalDimension1Code STRING, globalDimension2Code STRING, purchaserCode STRING, userID STRING, "
+        "sourceCode STRING, onHold STRING, appliesToDocType STRING, appliesToDocNo STRING, open BOOLEAN, "
+        "dueDate DATE, pmtDiscountDate DATE, originalPmtDiscPossible STRING, pmtDiscRcdLCY DECIMAL(18,2), "
+        "origPmtDiscPossibleLCY DECIMAL(18,2), positive BOOLEAN, closedByEntryNo BIGINT, closedAtDate DATE, "
+        "closedByAmount DECIMAL(18,2), appliesToID STRING, journalTemplName STRING, journalBatchName STRING, "
+        "reasonCode STRING, balAccountType STRING, balAccountNo STRING, transactionNo BIGINT, "
+        "closedByAmountLCY DECIMAL(18,2), debitAmount DECIMAL(18,2), creditAmount DECIMAL(18,2), "
+        "debitAmountLCY DECIMAL(18,2), creditAmountLCY DECIMAL(18,2), documentDate DATE, "
+        "externalDocumentNo STRING, noSeries STRING, closedByCurrencyCode STRING, "
+        "closedByCurrencyAmount DECIMAL(18,2), adjustedCurrencyFactor STRING, originalCurrencyFactor STRING, "
+        "originalAmount DECIMAL(18,2), remainingPmtDiscPossible STRING, pmtDiscToleranceDate DATE, "
+        "maxPaymentTolerance STRING, acceptedPaymentTolerance STRING, acceptedPmtDiscTolerance STRING, "
+        "pmtToleranceLCY DECIMAL(18,2), amountToApply DECIMAL(18,2), icPartnerCode STRING, applyingEntry STRING, "
+        "reversed BOOLEAN, reversedByEntryNo BIGINT, reversedEntryNo BIGINT, prepayment BOOLEAN, "
+        "creditorNo STRING, paymentReference STRING, paymentMethodCode STRING, appliesToExtDocNo STRING, "
+        "recipientBankAccount STRING, messageToRecipient STRING, exportedToPaymentFile STRING, "
+        "dimensionSetID BIGINT, shortcutDimension3Code STRING, shortcutDimension4Code STRING, "
+        "shortcutDimension5Code STRING, shortcutDimension6Code STRING, shortcutDimension7Code STRING, "
+        "shortcutDimension8Code STRING"
     ),
     "BC_DetCustomerLedger": (
-        "text:@odata.etag number:Entry_No day:Posting_Date text:Entry_Type text:Document_Type text:Document_No "
-        "text:Customer_No text:Initial_Entry_Global_Dim_1 text:Initial_Entry_Global_Dim_2 text:Posting_Group "
-        "text:Currency_Code amount:Amount amount:Amount_LCY amount:Debit_Amount amount:Debit_Amount_LCY "
-        "amount:Credit_Amount amount:Credit_Amount_LCY day:Initial_Entry_Due_Date text:User_ID text:Source_Code "
-        "text:Reason_Code flag:Unapplied number:Unapplied_by_Entry_No number:Cust_Ledger_Entry_No"
+        "`@odata.etag` STRING, Entry_No BIGINT, Posting_Date DATE, Entry_Type STRING, Document_Type STRING, "
+        "Document_No STRING, Customer_No STRING, Initial_Entry_Global_Dim_1 STRING, "
+        "Initial_Entry_Global_Dim_2 STRING, Posting_Group STRING, Currency_Code STRING, Amount DECIMAL(18,2), "
+        "Amount_LCY DECIMAL(18,2), Debit_Amount DECIMAL(18,2), Debit_Amount_LCY DECIMAL(18,2), "
+        "Credit_Amount DECIMAL(18,2), Credit_Amount_LCY DECIMAL(18,2), Initial_Entry_Due_Date DATE, "
+        "User_ID STRING, Source_Code STRING, Reason_Code STRING, Unapplied BOOLEAN, Unapplied_by_Entry_No BIGINT, "
+        "Cust_Ledger_Entry_No BIGINT"
     ),
     "BC_DetVendorLedger": (
-        "text:@odata.etag number:Entry_No day:Posting_Date text:Entry_Type text:Document_Type text:Document_No "
-        "text:Vendor_No text:Initial_Entry_Global_Dim_1 text:Initial_Entry_Global_Dim_2 text:Posting_Group "
-        "text:Currency_Code amount:Amount amount:Amount_LCY amount:Debit_Amount amount:Debit_Amount_LCY "
-        "amount:Credit_Amount amount:Credit_Amount_LCY day:Initial_Entry_Due_Date text:User_ID text:Source_Code "
-        "text:Reason_Code flag:Unapplied number:Unapplied_by_Entry_No number:Vendor_Ledger_Entry_No"
+        "`@odata.etag` STRING, Entry_No BIGINT, Posting_Date DATE, Entry_Type STRING, Document_Type STRING, "
+        "Document_No STRING, Vendor_No STRING, Initial_Entry_Global_Dim_1 STRING, "
+        "Initial_Entry_Global_Dim_2 STRING, Posting_Group STRING, Currency_Code STRING, Amount DECIMAL(18,2), "
+        "Amount_LCY DECIMAL(18,2), Debit_Amount DECIMAL(18,2), Debit_Amount_LCY DECIMAL(18,2), "
+        "Credit_Amount DECIMAL(18,2), Credit_Amount_LCY DECIMAL(18,2), Initial_Entry_Due_Date DATE, "
+        "User_ID STRING, Source_Code STRING, Reason_Code STRING, Unapplied BOOLEAN, Unapplied_by_Entry_No BIGINT, "
+        "Vendor_Ledger_Entry_No BIGINT"
     ),
     "BC_bankledger": (
-        "text:@odata.etag number:Entry_No day:Posting_Date text:Document_Type text:Document_No text:Bank_Account_No "
-        "text:Description text:Global_Dimension_1_Code text:Global_Dimension_2_Code text:Our_Contact_Code "
-        "text:Currency_Code amount:Amount amount:Debit_Amount amount:Credit_Amount amount:RunningBalance "
-        "amount:Amount_LCY amount:Debit_Amount_LCY amount:Credit_Amount_LCY amount:RunningBalanceLCY "
-        "amount:Remaining_Amount text:Bal_Account_Type text:Bal_Account_No flag:Open text:User_ID text:Source_Code "
-        "text:Reason_Code flag:Reversed number:Reversed_by_Entry_No number:Reversed_Entry_No number:Dimension_Set_ID "
-        "text:Shortcut_Dimension_3_Code text:Shortcut_Dimension_4_Code text:Shortcut_Dimension_5_Code "
-        "text:Shortcut_Dimension_6_Code text:Shortcut_Dimension_7_Code text:Shortcut_Dimension_8_Code"
+        "`@odata.etag` STRING, Entry_No BIGINT, Posting_Date DATE, Document_Type STRING, Document_No STRING, "
+        "Bank_Account_No STRING, Description STRING, Global_Dimension_1_Code STRING, "
+        "Global_Dimension_2_Code STRING, Our_Contact_Code STRING, Currency_Code STRING, Amount DECIMAL(18,2), "
+        "Debit_Amount DECIMAL(18,2), Credit_Amount DECIMAL(18,2), RunningBalance DECIMAL(18,2), "
+        "Amount_LCY DECIMAL(18,2), Debit_Amount_LCY DECIMAL(18,2), Credit_Amount_LCY DECIMAL(18,2), "
+        "RunningBalanceLCY DECIMAL(18,2), Remaining_Amount DECIMAL(18,2), Bal_Account_Type STRING, "
+        "Bal_Account_No STRING, Open BOOLEAN, User_ID STRING, Source_Code STRING, Reason_Code STRING, "
+        "Reversed BOOLEAN, Reversed_by_Entry_No BIGINT, Reversed_Entry_No BIGINT, Dimension_Set_ID BIGINT, "
+        "Shortcut_Dimension_3_Code STRING, Shortcut_Dimension_4_Code STRING, Shortcut_Dimension_5_Code STRING, "
+        "Shortcut_Dimension_6_Code STRING, Shortcut_Dimension_7_Code STRING, Shortcut_Dimension_8_Code STRING"
     ),
     "BC_wmsServiceLedger": (
-        "text:@odata.etag number:Entry_No day:Posting_Date text:Entry_Type text:Document_No text:Service_No "
-        "text:Description text:User_ID text:Source_Code text:Reason_Code text:WMS_Document_Type text:WMS_Document_No "
-        "text:WMS_Document_Line_No text:Global_Dimension_1_Code text:Global_Dimension_2_Code "
-        "text:Gen_Bus_Posting_Group text:Gen_Prod_Posting_Group amount:Amount amount:Amount_LCY text:Currency_Code "
-        "text:Currency_Factor amount:VAT_Amount amount:Debit_Amount amount:Credit_Amount rate:Carrier_Quantity "
-        "rate:Order_Quantity rate:Gross_Weight rate:Net_Weight rate:Quantity text:Unit_of_Measure_Code "
-        "text:Qty_per_Unit_of_Measure rate:Quantity_Base rate:Unit_Price rate:Unit_Cost text:Original_Line_Qty "
-        "text:Original_Unit_Price_Cost amount:Min_Line_Amount amount:Max_Line_Amount amount:Base_Line_Amount "
-        "number:Dimension_Set_ID text:Applies_to_Entry text:Batch_No text:Building_Code day:Document_Date "
-        "flag:Reversed text:Source_Type text:Source_No"
+        "`@odata.etag` STRING, Entry_No BIGINT, Posting_Date DATE, Entry_Type STRING, Document_No STRING, "
+        "Service_No STRING, Description STRING, User_ID STRING, Source_Code STRING, Reason_Code STRING, "
+        "WMS_Document_Type STRING, WMS_Document_No STRING, WMS_Document_Line_No STRING, "
+        "Global_Dimension_1_Code STRING, Global_Dimension_2_Code STRING, Gen_Bus_Posting_Group STRING, "
+        "Gen_Prod_Posting_Group STRING, Amount DECIMAL(18,2), Amount_LCY DECIMAL(18,2), Currency_Code STRING, "
+        "Currency_Factor STRING, VAT_Amount DECIMAL(18,2), Debit_Amount DECIMAL(18,2), "
+        "Credit_Amount DECIMAL(18,2), Carrier_Quantity DECIMAL(18,6), Order_Quantity DECIMAL(18,6), "
+        "Gross_Weight DECIMAL(18,6), Net_Weight DECIMAL(18,6), Quantity DECIMAL(18,6), "
+        "Unit_of_Measure_Code STRING, Qty_per_Unit_of_Measure STRING, Quantity_Base DECIMAL(18,6), "
+        "Unit_Price DECIMAL(18,6), Unit_Cost DECIMAL(18,6), Original_Line_Qty STRING, "
+        "Original_Unit_Price_Cost STRING, Min_Line_Amount DECIMAL(18,2), Max_Line_Amount DECIMAL(18,2), "
+        "Base_Line_Amount DECIMAL(18,2), Dimension_Set_ID BIGINT, Applies_to_Entry STRING, Batch_No STRING, "
+        "Building_Code STRING, Document_Date DATE, Reversed BOOLEAN, Source_Type STRING, Source_No STRING"
+    ),
+    "BC_PurchaseInvoiceHeader": (
+        "id STRING, no STRING, postingDate DATE, preAssignedNo STRING, userID STRING, systemModifiedAt TIMESTAMP, "
+        "payToVendorNo STRING"
     ),
-    "BC_PurchaseInvoiceHeader": "text:id text:no day:postingDate text:preAssignedNo text:userID time:systemModifiedAt text:payToVendorNo",
     "BC_SalesInvoiceHeader": (
-        "text:@odata.etag text:id text:no text:sellToCustomerNo day:postingDate text:preAssignedNo text:userID "
-        "time:systemModifiedAt"
+        "`@odata.etag` STRING, id STRING, no STRING, sellToCustomerNo STRING, postingDate DATE, "
+        "preAssignedNo STRING, userID STRING, systemModifiedAt TIMESTAMP"
     ),
     "BC_Customers": (
-        "text:@odata.etag text:id text:number text:displayName text:type text:addressLine1 text:addressLine2 "
-        "text:city text:state text:country text:postalCode text:phoneNumber text:email text:website "
-        "text:salespersonCode amount:balanceDue amount:creditLimit flag:taxLiable text:taxAreaId "
-        "text:taxAreaDisplayName text:taxRegistrationNumber text:currencyId text:currencyCode text:paymentTermsId "
-        "text:shipmentMethodId text:paymentMethodId text:blocked time:lastModifiedDateTime"
+        "`@odata.etag` STRING, id STRING, number STRING, displayName STRING, type STRING, addressLine1 STRING, "
+        "addressLine2 STRING, city STRING, state STRING, country STRING, postalCode STRING, phoneNumber STRING, "
+        "email STRING, website STRING, salespersonCode STRING, balanceDue DECIMAL(18,2), "
+        "creditLimit DECIMAL(18,2), taxLiable BOOLEAN, taxAreaId STRING, taxAreaDisplayName STRING, "
+        "taxRegistrationNumber STRING, currencyId STRING, currencyCode STRING, paymentTermsId STRING, "
+        "shipmentMethodId STRING, paymentMethodId STRING, blocked STRING, lastModifiedDateTime TIMESTAMP"
     ),
     "BC_Vendors": (
-        "text:@odata.etag text:id text:number text:displayName text:addressLine1 text:addressLine2 text:city "
-        "text:state text:country text:postalCode text:phoneNumber text:email text:website text:taxRegistrationNumber "
-        "text:currencyId text:currencyCode text:irs1099Code text:paymentTermsId text:paymentMethodId flag:taxLiable "
-        "text:blocked amount:balance time:lastModifiedDateTime"
+        "`@odata.etag` STRING, id STRING, number STRING, displayName STRING, addressLine1 STRING, "
+        "addressLine2 STRING, city STRING, state STRING, country STRING, postalCode STRING, phoneNumber STRING, "
+        "email STRING, website STRING, taxRegistrationNumber STRING, currencyId STRING, currencyCode STRING, "
+        "irs1099Code STRING, paymentTermsId STRING, paymentMethodId STRING, taxLiable BOOLEAN, blocked STRING, "
+        "balance DECIMAL(18,2), lastModifiedDateTime TIMESTAMP"
     ),
     "BC_wmsDH": _HEADER,
     "BC_wmsPDH": _HEADER,
     "BC_wmsDL": _LINE,
     "BC_wmsPDL": _LINE,
-    "BC_wmsRecordLink": "text:id small:tableNo time:created",
-    "BC_GLaccounts_mapping": "text:Ledgernummer",
+    "BC_wmsRecordLink": "id STRING, tableNo INT, created TIMESTAMP",
+    "BC_GLaccounts_mapping": "Ledgernummer STRING",
 }
 
 
 def schema_of(target: str) -> T.StructType | None:
     """Declared columns of a target table, without the company; None if it has none here."""
-    if target not in _FIELDS:
-        return None
-    pairs = (field.split(":", 1) for field in _FIELDS[target].split())
-    return T.StructType([T.StructField(name, _KINDS[kind]) for kind, name in pairs])
+    return T.StructType.fromDDL(_COLUMNS[target]) if target in _COLUMNS else None

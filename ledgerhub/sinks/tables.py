@@ -113,8 +113,15 @@ def keep_marks(marks: DataFrame, table: str) -> None:
 
 
 def _forget_marks(spark: SparkSession, table: str) -> None:
-    """Before any write: a job that ends between write and new marks must not leave old ones."""
-    spark.sql(f"DROP TABLE IF EXISTS {_marks_name(table)}")
+    """Before any write: a job that ends between write and new marks must not leave old ones.
+
+    Their folder goes too, so that runs leave one at most.
+    """
+    name = _marks_name(table)
+    if spark.catalog.tableExists(name):
+        folder = _table_folder(spark, name)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        _delete(spark, folder)
 
 
 def layout_of(spark: SparkSession, table: str, entity: str = ENTITY) -> Layout:
@@ -140,8 +147,12 @@ def swap(df: DataFrame, table: str) -> None:
     spark.sql(f"ALTER TABLE {table} SET LOCATION {_literal(folder)}")
     spark.catalog.refreshTable(table)
     if old != base:
-        path = spark._jvm.org.apache.hadoop.fs.Path(old)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, old)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def companies_of(df: DataFrame, entity: str = ENTITY) -> list[str]:
@@ -212,7 +223,9 @@ def _replace(df: DataFrame, table: str, layout: Layout, gone: Callable[[set[Spec
     """Store ``df`` as the new content of every partition in it.
 
     ``gone(stored, written)`` are further partitions to remove. The rebalance hint splits a
-    partition that holds most rows over many tasks and files.
+    partition that holds most rows over many tasks and files. The catalog has no statement that moves many
+    partitions at once, so they are moved one by one: a reader that plans meanwhile sees each partition
+    whole, but old ones beside new ones.
     """
     spark = df.sparkSession
     base, version = _table_folder(spark, table), uuid.uuid4().hex

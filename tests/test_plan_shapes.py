@@ -38,6 +38,27 @@ def test_first_headers_carry_no_whole_header_to_the_shuffle(spark):
     assert "SortAggregate" not in text
 
 
+def test_candidates_are_cut_before_their_one_exchange(spark):
+    """Pieces of descriptions come from three generators and are cut down to wanted numbers, and one each, before the shuffle."""
+    from ledgerhub.plans import payments
+    from ledgerhub.warehouse_queries import matching
+
+    invoices = matching._open_invoices(spark, FOLDER).where("company is not null")
+    headers = matching._headers(spark, FOLDER).select("company", "kind", "no", "id", "postingDescription")
+    pieces = payments._candidates(headers, ["company", "kind", "no", "id"], invoices)
+    assert exchanges(pieces) == exchanges(headers) * 2  # digits-only and other numbers; none of their own
+    assert plan(pieces).split("\n\n")[0].count("Generate") == 6
+
+
+def test_company_sides_at_both_sides_of_their_bound(spark):
+    from ledgerhub.sizing import company_side
+
+    frame = spark.createDataFrame([(f"c{i}", i) for i in range(6)], "Entity STRING, n INT")
+    rows = spark.range(30).selectExpr("concat('c', id % 9) AS Entity", "id")
+    found = [sorted(map(tuple, rows.join(company_side(frame, most), "Entity").collect())) for most in (5, 6, 7)]
+    assert found[0] == found[1] == found[2] and len(found[0]) == 21
+
+
 def test_last_per_key_cuts_rows_before_the_shuffle(spark):
     lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet")
     text = plan(last_per_key(lines, ["l_orderkey"], ["l_shipdate"]))

@@ -184,6 +184,21 @@ def test_contains_match_equals_brute_force(frame):
     assert matched == brute_force(invoices, headers)
 
 
+@pytest.mark.parametrize("shapes,wanted", [(0, 10**6), (1, 10**6), (10**6, 0), (10**6, 3)])
+def test_contains_match_at_both_sides_of_its_bounds(frame, monkeypatch, shapes, wanted):
+    """Too many number shapes or wanted numbers choose another plan, not other rows."""
+    monkeypatch.setattr(payments, "MAX_SHAPES", shapes)
+    monkeypatch.setattr(payments, "MAX_WANTED", wanted)
+    headers = [("X", "s", f"n{i:03d}", f"No {i % 40} and A{i % 7}-0{i}", f"id{i}") for i in range(200)]
+    invoices = [(str(n), "X", "s") for n in range(0, 60, 3)] + [("A3", "X", "s"), ("-0", "X", "s"), ("A3-", "X", "p")]
+    got = payments.first_headers(
+        frame(headers, "company STRING, kind STRING, no STRING, postingDescription STRING, id STRING"),
+        frame(invoices, "invoice_no STRING, company STRING, kind STRING"),
+    )
+    matched = {(r["company"], r["kind"], r["invoice_no"]): r["header"]["id"] for r in got.collect()}
+    assert matched == brute_force(invoices, headers)
+
+
 def test_contains_match_with_a_hot_number(frame):
     """A third of all headers mention one number; it still yields one header per number."""
     headers = [("X", "s", f"n{i:05d}", f"Invoice {7 if i % 3 == 0 else i + 1000}", f"id{i:05d}") for i in range(6000)]

@@ -364,7 +364,7 @@ def test_declared_columns(spark, tmp_path):
     from ledgerhub.plans import schemas
 
     targets = {d.target for d in catalog.DATASETS}
-    known = [t for t in schemas._FIELDS if schemas.schema_of(t) is not None]
+    known = [d.target for d in catalog.DATASETS if schemas.schema_of(d.target) is not None]
     assert set(known) <= targets and len(known) == 18
     assert extract.declared(catalog.dataset("BC_wmsRecordLink")).fieldNames() == ["id", "tableNo", "created"]
     with pytest.raises(ValueError, match="no columns are declared"):
@@ -414,6 +414,19 @@ def test_watermarks_are_kept_with_the_load(spark, rows, table):
     assert {r["id"] for r in spark.table(name).collect()} == {1, 2, 5, 9, 20, 21}
 
 
+def test_watermarks_leave_one_folder(spark, table):
+    import os
+
+    entry = catalog.dataset("BC_CustomerLedgerEntries")
+    rows_of = lambda n: spark.createDataFrame([landed_row(i, "a", i) for i in range(n)], LANDED)
+    name = table(rows_of(1).drop("page_no", "pos"))
+    for n in (3, 5, 7):
+        extract.run(entry, rows_of(n), name, "2024-05-02")
+        folder = tables._table_folder(spark, f"{name}_watermarks").removeprefix("file:")
+        assert len(os.listdir(os.path.dirname(folder))) == 1
+    assert tables.kept_marks(spark, name).collect()[0]["max_entry_no"] == 6
+
+
 def test_all_columns_of_a_job_land(spark, rows, tmp_path):
     """Names as they land, the record tag among them: none is lost between page and table."""
     values = {"long": "7", "int": "7", "boolean": "true", "date": '"2024-05-02"', "timestamp": '"2024-05-02T10:00:00Z"',
