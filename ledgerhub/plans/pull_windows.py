@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerhub.functions.text import quoted
 from ledgerhub.operators import intervals
+from ledgerhub.sizing import broadcast_within
 
 #: Times are compared as microseconds: rows in ranges of a day, windows in ranges of a year.
 DAY = 86_400_000_000
@@ -32,8 +33,9 @@ def covered_windows(log: DataFrame, job: str, names: DataFrame, days: int = 1) -
     runs = ok.select(
         F.col("company_name").alias("Entity"), _micros(F.date_sub(start.cast("date"), days)).alias("lo"), _micros(start).alias("hi"))
     every = names.select(F.col("name").alias("_name")).distinct()
-    named = (F.col("Entity") == F.col("_name")) | (F.col("Entity") == ALL)
-    return intervals.united(runs.join(F.broadcast(every), named).select(F.col("_name").alias("Entity"), "lo", "hi"), width=YEAR)
+    counts_for = every.select("_name", F.explode(F.array("_name", F.lit(ALL))).alias("Entity"))
+    told = intervals.united(runs, width=YEAR).join(broadcast_within(counts_for), "Entity")
+    return intervals.united(told.select(F.col("_name").alias("Entity"), "lo", "hi"), width=YEAR)
 
 
 def pull_windows(
