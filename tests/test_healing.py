@@ -33,8 +33,7 @@ def collected(df):
     return [(r["Entity"], r["lo"], r["hi"]) for r in df.collect()]
 
 
-@pytest.mark.parametrize("width", [4, 7, intervals.WIDTH])
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("width,seed", [(4, 1), (7, 2), (intervals.WIDTH, 1)])
 def test_sets_against_plain_ones(spark, width, seed):
     rng = random.Random(seed)
     draw = lambda: [(rng.choice(["A", "B", None]), lo, lo + rng.randint(-1, 9)) for lo in (rng.randint(-30, 40) for _ in range(25))]
@@ -103,8 +102,7 @@ def plain_compare(a, b):
     return out
 
 
-@pytest.mark.parametrize("number", ["k", None])
-@pytest.mark.parametrize("widths", [(64, 8), (5,), digests.WIDTHS])
+@pytest.mark.parametrize("number,widths", [("k", (64, 8)), ("k", digests.WIDTHS), (None, (5,)), (None, digests.WIDTHS)])
 def test_compare_against_plain_rows(spark, number, widths):
     rng = random.Random(5)
     a = [(k, rng.choice(["x", "", None]), rng.choice([1.5, None]), rng.choice(["A", "B"])) for k in range(-50, 150)] + [(None, "n", 1.0, "A")]

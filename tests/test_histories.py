@@ -1,6 +1,5 @@
 """Intervals of versions, merges by version, redelivered messages, windows to pull, XML files, against plain versions."""
 
-import itertools
 import random
 import uuid
 from datetime import datetime, timedelta
@@ -126,7 +125,7 @@ def version_rows():
 def test_any_order_of_batches_gives_one_result(spark, measured):
     rows = version_rows()
     parts = [rows[:15], rows[15:40], rows[40:]]
-    for order in itertools.permutations(range(3)):
+    for order in [(0, 1, 2), (2, 1, 0), (1, 2, 0)]:
         target = spark.createDataFrame([], VERSIONED)
         for i in [*order, order[0]]:
             target = versions.merge_by_version(target, spark.createDataFrame(parts[i], VERSIONED), KEYS, "v", measured)
