@@ -21,15 +21,19 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 #: A sketch with fewer documents gives way to that of its language, then to that of all.
 MIN_GROUP = 50
-SPREADS = 4
+#: Errors, of a quantile and of a document's own count, that a limit gives room for.
+ERRORS = 2
 
-#: Ratios in whole parts, with the least distance of a limit from the median: symbols per 1,000
-#: words, repeated lines per 1,000 lines, characters per 100 words.
+#: What is counted, in how many parts, of what; the percent of documents below the quantile that a limit is
+#: taken from, and how many times the quantile's distance from the centre it lies away. Half of a source may
+#: carry symbols before they count as usual there; of the others the outer two percent are measured.
 RATIOS = {
-    "symbols": ("n_symbols * 1000 div n_words", 100),
-    "dup_lines": ("n_dup_lines * 1000 div n_lines", 400),
-    "word_length": ("word_chars * 100 div n_words", 500),
+    "symbols": ("n_symbols", 100, "n_words", 60, 4),
+    "dup_lines": ("n_dup_lines", 1000, "n_lines", 98, 3),
+    "word_length": ("word_chars", 100, "n_words", 98, 3),
 }
+#: Ratios around their median, with limits on both sides. The centre of the others is 0, with an upper limit only.
+CENTRED = ["word_length"]
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 
 
@@ -98,29 +102,49 @@ def sketches(counted: DataFrame, *groups: str) -> DataFrame:
     """Mergeable sketches: documents per group, ratio and bin, of documents that pass the base rule."""
     sound = counted.where(~F.col("base_failed"))
     pairs = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("ratio"), bin_of(F.expr(ratio)).alias("bin")) for name, (ratio, _) in RATIOS.items()
+        F.struct(F.lit(name).alias("ratio"), bin_of(F.expr(f"{count} * {parts} div {size}")).alias("bin"))
+        for name, (count, parts, size, _, _) in RATIOS.items()
     ]))
     rows = sound.select(*groups, pairs.alias("x")).select(*groups, "x.ratio", "x.bin")
     return rows.groupBy(*groups, "ratio", "bin").agg(F.count(F.lit(1)).alias("n"))
 
 
-def quantiles(sketch: DataFrame, groups: list[str], percents: list[int]) -> DataFrame:
-    """n and q<percent> of each group and ratio. Windows run over bins, of which there are few."""
+def quantiles(sketch: DataFrame, groups: list[str]) -> DataFrame:
+    """The median and the outer quantiles, ``inner`` and ``outer``, of each group and ratio.
+
+    The outer ones are those of the ratio's percent and of what is left to 100, each moved outwards by ERRORS
+    standard errors of its rank. They are null in a group with too few documents to have such a rank, and below
+    MIN_GROUP. Windows run over bins, of which there are few.
+    """
     w = W.partitionBy(*groups, "ratio")
     run = sketch.select("*", F.sum("n").over(w).alias("all_"), F.sum("n").over(
         w.orderBy("bin").rowsBetween(W.unboundedPreceding, 0)).alias("below_"))
-    least = lambda p: F.min(F.when(F.col("below_") * 100 >= F.col("all_") * p, F.col("bin")))
-    return run.groupBy(*groups, "ratio").agg(
-        F.max("all_").alias("n"), *[least(p).alias(f"q{p}") for p in percents])
+    percent = by_ratio(lambda count, parts, size, percent, times: percent)
+    room = F.col("all_") * (100 - percent) - ERRORS * F.sqrt(F.col("all_") * percent * (100 - percent))
+    some = run.withColumn("room_", room)
+    enough = (F.col("all_") >= MIN_GROUP) & (F.col("room_") >= 0)
+    least = lambda reached: F.min(F.when(reached, F.col("bin")))
+    return some.groupBy(*groups, "ratio").agg(
+        least(F.col("below_") * 100 >= F.col("all_") * 50).alias("median"),
+        least(enough & (F.col("below_") * 100 >= F.col("room_"))).alias("inner"),
+        least(enough & ((F.col("all_") - F.col("below_")) * 100 <= F.col("room_"))).alias("outer"))
+
+
+def by_ratio(value: Callable[..., int]) -> Column:
+    """``value`` of the entry in RATIOS that the row's ratio has."""
+    found = F.lit(None).cast("int")
+    for name, entry in RATIOS.items():
+        found = F.when(F.col("ratio") == name, value(*entry)).otherwise(found)
+    return found
 
 
 def limits(sketch: DataFrame) -> DataFrame:
     """lang, source and the limits <ratio>_low, <ratio>_high that hold for them.
 
-    A limit is the median plus or minus SPREADS times the distance of the median from the
-    quantile of 5 percent, but at least the ratio's least distance. The upper half is not used:
-    that is where junk lies. A ratio with the median 0 has no lower spread, so its least distance
-    decides; on the given tables that holds for all three (README). Sketches of a language and of all are merged from those of sources.
+    A limit lies as many times the outer quantile's distance from the centre away as RATIOS says, so it follows
+    what is usual in the group. A null one limits nothing: the lower one of ratios that aren't centred, and all
+    where even the sketch of all documents has too few. Sketches of a language and of all are merged from those
+    of sources.
     """
     merged = [
         sketch.select(F.lit(0).alias("level"), "lang", "source", "ratio", "bin", "n"),
@@ -130,29 +154,44 @@ def limits(sketch: DataFrame) -> DataFrame:
         .select(F.lit(2).alias("level"), F.lit(None).cast("string").alias("lang"),
                 F.lit(None).cast("string").alias("source"), "ratio", "bin", "n"),
     ]
-    found = quantiles(merged[0].unionByName(merged[1]).unionByName(merged[2]),
-                      ["level", "lang", "source"], [5, 50])
-    least = F.lit(0)
-    for name, (_, distance) in RATIOS.items():
-        least = F.when(F.col("ratio") == name, distance).otherwise(least)
-    away = F.greatest(least, SPREADS * (F.col("q50") - F.col("q5")))
-    found = found.select("level", "lang", "source", "ratio", "n",
-                         (F.col("q50") - away).alias("low"), (F.col("q50") + away).alias("high"))
-    wide = found.groupBy("level", "lang", "source").agg(F.max("n").alias("n"), *[
+    found = quantiles(merged[0].unionByName(merged[1]).unionByName(merged[2]), ["level", "lang", "source"])
+    centred, times = F.col("ratio").isin(CENTRED), by_ratio(lambda count, parts, size, percent, times: times)
+    centre = F.when(centred, F.col("median")).otherwise(0)
+    found = found.select(
+        "level", "lang", "source", "ratio", (centre + times * (F.col("outer") - centre)).alias("high"),
+        F.when(centred, centre - times * (centre - F.col("inner"))).alias("low"))
+    columns = [f"{name}_{side}" for name in RATIOS for side in ("low", "high")]
+    wide = found.groupBy("level", "lang", "source").agg(*[
         F.max(F.when(F.col("ratio") == name, F.col(side))).alias(f"{name}_{side}")
         for name in RATIOS for side in ("low", "high")])
-    columns = [f"{name}_{side}" for name in RATIOS for side in ("low", "high")]
     level = lambda k, tag: wide.where(F.col("level") == k).select(
-        F.col("lang").alias("lang_" + tag), F.col("source").alias("source_" + tag),
-        F.struct((F.col("n") >= MIN_GROUP).alias("enough"), *columns).alias(tag))
+        F.col("lang").alias("lang_" + tag), F.col("source").alias("source_" + tag), F.struct(*columns).alias(tag))
     own, lang, every = level(0, "own"), level(1, "lng"), wide.where("level = 2").first()
     joined = own.join(lang, F.col("lang_own").eqNullSafe(F.col("lang_lng")))
-    pick = lambda c: F.when(F.col("own.enough"), F.col("own." + c)).when(
-        F.col("lng.enough"), F.col("lng." + c)).otherwise(F.lit(every[c] if every else None).cast("long"))
+    pick = lambda c: F.coalesce(
+        F.col("own." + c), F.col("lng." + c), F.lit(every[c] if every else None).cast("long"))
     return joined.select(F.col("lang_own").alias("lang"), F.col("source_own").alias("source"),
                          *[pick(c).alias(c) for c in columns])
 
 
+def within(name: str) -> Column:
+    """Whether a document's ratio is inside its limits, or outside by less than ERRORS errors of its own count.
+
+    The error of a count is its root, so a few symbols in a short text are no more than chance.
+    """
+    count, parts, size, _, _ = RATIOS[name]
+    value = F.expr(f"{count} * {parts} div {size}")
+    most = float((ERRORS * parts) ** 2) * F.col(count).cast("double")
+
+    def near(limit: str) -> Column:
+        off = (F.col(count) * parts - F.col(limit) * F.col(size)).cast("double")
+        return off * off <= most
+
+    low, high = f"{name}_low", f"{name}_high"
+    return F.coalesce((value >= F.col(low)) | near(low), F.lit(True)) & F.coalesce(
+        (value <= F.col(high)) | near(high), F.lit(True))
+
+
 def judged(counted: DataFrame, held: DataFrame) -> DataFrame:
     """``counted`` with ``kept``, by the limits of each document's language and source."""
     sides = held.select(F.col("lang").alias("lang_"), F.col("source").alias("source_"),
@@ -160,18 +199,12 @@ def judged(counted: DataFrame, held: DataFrame) -> DataFrame:
     joined = counted.join(
         sides, F.col("lang").eqNullSafe(F.col("lang_")) & F.col("source").eqNullSafe(F.col("source_")), "left")
     inside = ~F.col("base_failed")
-    for name, (ratio, _) in RATIOS.items():
-        inside = inside & F.coalesce(F.expr(ratio).between(F.col(f"{name}_low"), F.col(f"{name}_high")), F.lit(False))
+    for name in RATIOS:
+        inside = inside & within(name)
     kept = F.when(F.col("base_failed"), F.lit(False)).otherwise(inside)
     return with_new(joined, kept=kept).drop(*sides.columns)
 
 
-def counted_limits(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Stored counts of the documents without their texts, and the stored limits for them."""
-    counted = written_once(with_counts(df).drop("text"), "quality-counts")
-    return counted, written_once(limits(sketches(counted, "lang", "source")), "quality-limits")
-
-
 def rules(df: DataFrame) -> DataFrame:
     """``df`` without text, with its counts, ``base_failed`` and ``kept``.
 
@@ -179,10 +212,15 @@ def rules(df: DataFrame) -> DataFrame:
     base rule; a very long one is counted whole, in its row. Repeated rows count each. An empty frame
     gives an empty one. The counts are stored once; sketches and verdicts are read from them.
     """
-    return judged(*counted_limits(df))
+    return verdicts(with_counts(df).drop("text"))
+
+
+def verdicts(counts: DataFrame) -> DataFrame:
+    """``counts`` with ``kept``; they and the limits are stored, so each text is counted once."""
+    counted = written_once(counts, "quality-counts")
+    return judged(counted, written_once(limits(sketches(counted, "lang", "source")), "quality-limits"))
 
 
 def passing(df: DataFrame) -> DataFrame:
-    """Rows of ``df`` that the rules keep, texts and all. Counts are made anew, so texts are not shuffled."""
-    _, held = counted_limits(df.select("doc_id", "text", "lang", "source"))
-    return judged(with_counts(df), held).where("kept").select(*df.columns)
+    """Rows of ``df`` that the rules keep, texts and all. Texts are stored beside their counts, not shuffled."""
+    return verdicts(with_counts(df)).where("kept").select(*df.columns)

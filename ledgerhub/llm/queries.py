@@ -139,37 +139,45 @@ QUALITY_SQL = r"""
         SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted
     ), ratios AS (
         SELECT *, unnest(['symbols', 'dup_lines', 'word_length']) AS ratio,
-               unnest([n_symbols * 1000 // n_words, n_dup_lines * 1000 // n_lines,
-                       word_chars * 100 // n_words]) AS value,
-               unnest([100, 400, 500]) AS least_
+               unnest([n_symbols, n_dup_lines, word_chars]) AS number, unnest([100, 1000, 100]) AS parts,
+               unnest([n_words, n_lines, n_words]) AS size_,
+               unnest([60, 98, 98]) AS percent, unnest([4, 3, 3]) AS times
         FROM based WHERE NOT base_failed
     ), binned AS (
         SELECT *, (value >> greatest(length(bin(value)) - 10, 0))
-                  << greatest(length(bin(value)) - 10, 0) AS b FROM ratios
+                  << greatest(length(bin(value)) - 10, 0) AS b
+        FROM (SELECT *, number * parts // size_ AS value FROM ratios)
     ), ranked AS (
-        SELECT 0 AS level, lang, source, ratio, least_, b FROM binned
-        UNION ALL SELECT 1, lang, NULL, ratio, least_, b FROM binned
-        UNION ALL SELECT 2, NULL, NULL, ratio, least_, b FROM binned
+        SELECT 0 AS level, lang, source, ratio, percent, times, b FROM binned
+        UNION ALL SELECT 1, lang, NULL, ratio, percent, times, b FROM binned
+        UNION ALL SELECT 2, NULL, NULL, ratio, percent, times, b FROM binned
     ), places_ AS (
-        SELECT *, row_number() OVER (PARTITION BY level, lang, source, ratio ORDER BY b) AS r,
-               count(*) OVER (PARTITION BY level, lang, source, ratio) AS n FROM ranked
-    ), medians AS (
-        SELECT level, lang, source, ratio, n, least_, min(b) FILTER (WHERE r * 100 >= n * 5) AS q5,
-               min(b) FILTER (WHERE r * 100 >= n * 50) AS q50
-        FROM places_ GROUP BY ALL
+        SELECT *, n * (100 - percent) - 2 * sqrt(n * percent * (100 - percent)) AS room
+        FROM (SELECT *, row_number() OVER (PARTITION BY level, lang, source, ratio ORDER BY b) AS r,
+                     count(*) OVER (PARTITION BY level, lang, source, ratio) AS n FROM ranked)
+    ), quantiles AS (
+        SELECT level, lang, source, ratio, times,
+               CASE WHEN ratio = 'word_length' THEN min(b) FILTER (WHERE r * 100 >= n * 50) ELSE 0 END AS centre,
+               min(b) FILTER (WHERE n >= 50 AND room >= 0 AND r * 100 >= room) AS inner_,
+               min(b) FILTER (WHERE n >= 50 AND room >= 0 AND (n - r) * 100 <= room) AS outer_
+        FROM places_ GROUP BY level, lang, source, ratio, times
     ), fences AS (
-        SELECT level, lang, source, ratio, n, q50 - greatest(least_, 4 * (q50 - q5)) AS low,
-               q50 + greatest(least_, 4 * (q50 - q5)) AS high FROM medians
-    ), verdicts AS (
-        SELECT x.doc_id, bool_and(x.value BETWEEN
-            CASE WHEN a.n >= 50 THEN a.low WHEN b.n >= 50 THEN b.low ELSE c.low END AND
-            CASE WHEN a.n >= 50 THEN a.high WHEN b.n >= 50 THEN b.high ELSE c.high END) AS kept
-        FROM ratios x
+        SELECT level, lang, source, ratio, centre + times * (outer_ - centre) AS high,
+               CASE WHEN ratio = 'word_length' THEN centre - times * (centre - inner_) END AS low FROM quantiles
+    ), limited AS (
+        SELECT x.*, coalesce(a.low, b.low, c.low) AS low, coalesce(a.high, b.high, c.high) AS high
+        FROM binned x
         JOIN fences a ON a.level = 0 AND a.lang IS NOT DISTINCT FROM x.lang
                      AND a.source IS NOT DISTINCT FROM x.source AND a.ratio = x.ratio
         JOIN fences b ON b.level = 1 AND b.lang IS NOT DISTINCT FROM x.lang AND b.ratio = x.ratio
         JOIN fences c ON c.level = 2 AND c.ratio = x.ratio
-        GROUP BY x.doc_id
+    ), verdicts AS (
+        SELECT doc_id, bool_and(
+            coalesce(value >= low OR power(CAST(number * parts - low * size_ AS DOUBLE), 2)
+                                     <= 4.0 * parts * parts * CAST(number AS DOUBLE), true)
+            AND coalesce(value <= high OR power(CAST(number * parts - high * size_ AS DOUBLE), 2)
+                                          <= 4.0 * parts * parts * CAST(number AS DOUBLE), true)) AS kept
+        FROM limited GROUP BY doc_id
     )
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
            coalesce(kept, false) AS kept
@@ -345,7 +353,10 @@ def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_fim", r"""
     WITH t AS (
         SELECT doc_id, coalesce(text, '') AS text,
-               regexp_extract_all(coalesce(text, ''), '[ 	-]*[^ 	-]+|[ 	-]+') AS tokens,
+               regexp_extract_all(coalesce(text, ''), '[ 	-
+]*[^ 	-
+]+|[ 	-
+]+') AS tokens,
                sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
     ), u AS (
         SELECT doc_id, text, tokens, len(tokens) AS n,

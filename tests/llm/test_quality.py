@@ -1,9 +1,11 @@
 """Counts against brute force, sketches, limits and the query against SQL and labels."""
 
+import math
 import random
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from check_queries import compare
@@ -50,6 +52,68 @@ def test_sketches_merge(spark):
     assert whole.exceptAll(parts).count() == 0 and parts.exceptAll(whole).count() == 0
 
 
+def plain_limits(rows):
+    """Limits of every (lang, source) from sorted values; rows are (lang, source, counts) of sound texts."""
+    groups = defaultdict(list)
+    for lang, source, c in rows:
+        for key in ((lang, source), (lang,), ()):
+            groups[key].append(c)
+
+    def binned(v):
+        cut = max(v.bit_length() - 10, 0)
+        return v >> cut << cut
+
+    def own(counts, ratio):
+        number, parts, size, percent, times = quality.RATIOS[ratio]
+        values, n = sorted(binned(c[number] * parts // c[size]) for c in counts), len(counts)
+        room = n * (100 - percent) - 2 * math.sqrt(n * percent * (100 - percent))
+        if n < 50 or room < 0:
+            return None, None
+        outer = next(v for r, v in enumerate(values, 1) if (n - r) * 100 <= room)
+        if ratio not in quality.CENTRED:
+            return None, times * outer
+        middle = next(v for r, v in enumerate(values, 1) if r * 100 >= n * 50)
+        inner = next(v for r, v in enumerate(values, 1) if r * 100 >= room)
+        return middle - times * (middle - inner), middle + times * (outer - middle)
+
+    found = {(key, ratio): own(counts, ratio) for key, counts in groups.items() for ratio in quality.RATIOS}
+    none = (None, None)
+    return {key: {ratio: next((found[k, ratio] for k in (key, key[:1], ()) if found[k, ratio] != none), none)
+                  for ratio in quality.RATIOS} for key in groups if len(key) == 2}
+
+
+def test_limits_differ_and_are_those_of_sorted_values(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    counted = quality.with_counts(docs).where("not base_failed").select("lang", "source", *quality.COUNTS, "base_failed")
+    wanted = plain_limits([(r["lang"], r["source"], r.asDict()) for r in counted.collect()])
+    got = quality.limits(quality.sketches(counted, "lang", "source")).collect()
+    assert len(got) == len(wanted)
+    for r in got:
+        for ratio in quality.RATIOS:
+            assert (r[f"{ratio}_low"], r[f"{ratio}_high"]) == wanted[r["lang"], r["source"]][ratio]
+    for column in ("word_length_low", "word_length_high", "dup_lines_high"):
+        assert len({r[column] for r in got}) > 5
+
+
+def test_limits_follow_the_source(spark):
+    """One symbol in ten words is usual in one source and junk in the other; a single symbol is junk nowhere."""
+    plain = [f"word{i}" for i in range(200)]
+    dotted = ["#" if i % 10 == 0 else w for i, w in enumerate(plain)]
+    rows = [(i, " ".join(dotted), "en", "code") for i in range(60)]
+    rows += [(100 + i, " ".join(plain), "en", "news") for i in range(60)]
+    rows += [(200, " ".join(dotted), "en", "news"), (201, " ".join(plain[:11] + ["&"]), "en", "news"),
+             (202, " ".join(w + " # & |" for w in plain), "en", "code")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert sorted(r["doc_id"] for r in quality.rules(df).where("not kept").collect()) == [200, 202]
+    assert sorted(r["doc_id"] for r in df.join(quality.passing(df), "doc_id", "left_anti").collect()) == [200, 202]
+
+
+def test_too_few_documents_set_no_limits(spark):
+    df = spark.createDataFrame([(i, "# word & " * 2 + " ".join(f"w{i}" for i in range(20)), "en", "s") for i in range(20)],
+                               "doc_id long, text string, lang string, source string")
+    assert quality.rules(df).where("kept").count() == 20
+
+
 def test_odd_rows(spark):
     good = " ".join(f"word{i}" for i in range(40))
     rows = [(i, good, None if i % 2 else "en", None) for i in range(60)]
@@ -61,9 +125,9 @@ def test_odd_rows(spark):
     assert quality.rules(df.limit(0)).count() == 0
 
 
-def test_labels(spark):
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_labels(spark, folder):
     """Junk is caught, clean documents that pass the base rule stay."""
-    folder = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     got = QUERIES["op5_quality"](spark, folder).join(labels, "doc_id").where("not base_failed")
     n = {(r["quality"], r["kept"]): r["count"] for r in got.groupBy("quality", "kept").count().collect()}
