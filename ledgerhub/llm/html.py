@@ -50,6 +50,7 @@ LEFT_OUT_ROLES = frozenset("navigation banner contentinfo complementary search f
 WRAPPERS = frozenset("form fieldset object dialog frameset".split())
 WRAPPER_ROLES = frozenset("search form dialog alert alertdialog".split())
 CONTAINERS = frozenset(["article", "main"])
+NAMELESS = ("div", "section")
 #: Words in class names and ids of what is not the article.
 LEFT_OUT_NAMES = frozenset(
     "ad ads adbox adslot advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie "
@@ -372,6 +373,64 @@ def largest_text(page: Page) -> str:
     return joined([n for n in page.nodes if not n.never and n.path[:n.owner] == most])
 
 
+def repeated(pages: list[Page], chain: tuple[str, ...]) -> dict[str, int]:
+    """Nameless elements right below the chain that every page has several of, and how many."""
+    counts = []
+    for page in pages:
+        found = Counter(path[-1] for _, path, tag in page.tags
+                        if len(path) == len(chain) + 1 and path[:-1] == chain and path[-1] == tag)
+        counts.append(found)
+    return {label: n for label, n in counts[0].items()
+            if n > 1 and label in NAMELESS and all(c[label] == n for c in counts)}
+
+
+def numbered(page: Page, chain: tuple[str, ...], labels: dict[str, int]) -> Page:
+    """The page with those elements' places in their labels."""
+    depth, place = len(chain), Counter()
+
+    def path_of(path: tuple[str, ...]) -> tuple[str, ...]:
+        if len(path) <= depth or path[depth] not in labels or path[:depth] != chain:
+            return path
+        return (*chain, f"{path[depth]} ~{place[path[depth]]}", *path[depth + 1:])
+
+    out, at = Page(), 0
+    for number, node in enumerate([*page.nodes, None]):
+        while at < len(page.tags) and page.tags[at][0] <= number:
+            before, path, tag = page.tags[at]
+            if len(path) == depth + 1 and path[-1] == tag and path[:depth] == chain:
+                place[tag] += 1
+            out.tags.append((before, path_of(path), tag))
+            at += 1
+        if node is not None:
+            out.nodes.append(replace(node, path=path_of(node.path)))
+    return out
+
+
+def titled(pages: list[Page], chain: tuple[str, ...]) -> bool:
+    """Whether the element has a first-level heading on every page."""
+    return all(any(n.heading == 1 and n.path[:len(chain)] == chain for n in p.nodes) for p in pages)
+
+
+def told_apart(
+    pages: list[Page], different: list[Page], template: Template, chain: tuple[str, ...] | None,
+) -> tuple[list[Page], Template, tuple[str, ...] | None]:
+    """Pages, template and the article's element once siblings without names are told apart by their places.
+
+    That is done while the element has no name itself and one of those below it holds the heading of all
+    pages and the article's share of slot text; else all stays as it is.
+    """
+    while chain is not None and chain[-1] in ("html", "body", *NAMELESS):
+        labels = repeated(different, chain)
+        apart = [numbered(p, chain, labels) for p in different] if labels else []
+        finer = deduced(apart) if labels else None
+        inner = container(apart, finer) if finer is not None else None
+        if inner is None or inner[:len(chain)] != chain or len(inner) == len(chain) or not titled(apart, inner):
+            break
+        pages, different = [numbered(p, chain, labels) for p in pages], apart
+        template, chain = finer, inner
+    return pages, template, chain
+
+
 def extracted(sources: list[str], same_host: bool) -> list[str]:
     """Main texts of a cohort's pages."""
     pages = [parsed(s) for s in sources]
@@ -382,6 +441,8 @@ def extracted(sources: list[str], same_host: bool) -> list[str]:
     found = [slots(p, template) for p in different]
     around = wrapper(found)
     chain = container(different, template, around, found)
+    if not around:
+        pages, template, chain = told_apart(pages, different, template, chain)
     return [article(p, template, chain, around) for p in pages]
 
 

@@ -4,6 +4,7 @@ import html
 import random
 import re
 
+import pyarrow.parquet as pq
 import pytest
 
 from ledgerhub.llm import html as extraction
@@ -173,3 +174,60 @@ def test_words_in_names_leave_nothing_out_inside_the_article(kind):
     assert extraction.extracted(sources, True) == texts
     if kind == "article":
         assert [extraction.extracted([s], False)[0] for s in sources] == [t + " Follow us on every network" for t in texts]
+
+
+def nameless(source):
+    """The page with a plain div for every element that says what it is, and no class, id or role."""
+    source = re.sub(r"<(/?)(?:article|nav|aside|footer|header|main|section|form)\b", r"<\1div", source, flags=re.I)
+    return re.sub(r"<(div|ul|li|p)\b[^>]*>", r"<\1>", source, flags=re.I)
+
+
+def hosts_pages():
+    hosts = {}
+    for r in pq.read_table("/root/testdata/sf0.1/pages.parquet", columns=["url", "html"]).to_pylist():
+        hosts.setdefault(r["url"].split("/")[2], []).append(r["html"])
+    return hosts
+
+
+def test_slots_alone_find_the_article():
+    """Without any name the template's slots give the same texts on every page, and nothing else does."""
+    hosts, with_template = hosts_pages(), 0
+    for sources in hosts.values():
+        plain = [nameless(s) for s in sources]
+        different = {extraction.largest_text(p): p for p in map(extraction.parsed, plain)}
+        if extraction.deduced(list(different.values())) is not None:
+            with_template += len(sources)
+            assert extraction.extracted(plain, True) == [wanted(s) for s in sources]
+    assert with_template >= 0.9 * sum(map(len, hosts.values()))
+
+
+def test_without_a_template_nameless_pages_keep_their_menus(monkeypatch):
+    sources = next(iter(hosts_pages().values()))
+    monkeypatch.setattr(extraction, "deduced", lambda pages: None)
+    got = extraction.extracted([nameless(s) for s in sources], True)
+    assert not any(text == wanted(s) for text, s in zip(got, sources))
+
+
+def boxes(rng, counts):
+    out = []
+    for n in counts:
+        text = [sentence(rng, 40) for _ in range(3)]
+        more = "".join(f"<div>{sentence(rng, 4)}</div>" for _ in range(n))
+        out.append((f"<body><div><div>{sentence(rng, 5)}</div><div><h1>{text[0]}</h1><p>{text[1]}</p><p>{text[2]}</p></div>"
+                    f"{more}</div></body>", " ".join(text)))
+    return out
+
+
+def test_places_tell_siblings_apart_only_where_all_pages_have_as_many():
+    pages = boxes(random.Random(9), [2] * 20)
+    assert extraction.extracted([p for p, _ in pages], True) == [m for _, m in pages]
+    uneven = boxes(random.Random(9), [2, 3] * 10)
+    got = extraction.extracted([p for p, _ in uneven], True)
+    assert all(m in text and text != m for text, (_, m) in zip(got, uneven))
+
+
+def test_a_part_of_the_article_beside_its_heading_stays():
+    rng = random.Random(10)
+    parts = [[sentence(rng, 30) for _ in range(3)] for _ in range(20)]
+    sources = [f"<body><div><h1>{a}</h1>{b}</div><div>{c}</div></body>" for a, b, c in parts]
+    assert extraction.extracted(sources, True) == [" ".join(p) for p in parts]
