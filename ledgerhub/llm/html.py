@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerhub.llm.common import with_new, written_once
+from ledgerhub.sizing import broadcast_within
 
 COHORT_PAGES = 64
 #: A template is deduced from this many pages with different texts at least.
@@ -451,17 +452,38 @@ def host(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
+def once_each(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``copies``: equal rows as one, however many, so that no cohort grows with them.
+
+    Digests are counted; only rows whose digest is repeated are grouped.
+    """
+    plain = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    null = lambda c: F.col(c).isNull().cast("string")
+    whole = F.concat_ws("\0", null("page_id"), plain("page_id"), null("url"), plain("url"), plain("html"))
+    marked = rows.withColumn("same", F.md5(whole.cast("binary")))
+    counts = marked.groupBy("same").agg(F.count(F.lit(1)).alias("copies"))
+    repeats = written_once(counts.where("copies > 1"), "html-repeats")
+    if repeats.isEmpty():
+        return rows.withColumn("copies", F.lit(1).cast("long"))
+    side = broadcast_within(repeats)
+    single = marked.join(side, "same", "left_anti").withColumn("copies", F.lit(1).cast("long"))
+    equal = marked.join(side, "same").groupBy("same").agg(
+        *[F.first(c).alias(c) for c in (*rows.columns, "copies")])
+    return single.unionByName(equal).drop("same")
+
+
 def main_text(df: DataFrame) -> DataFrame:
     """(page_id, url, html) of ``df`` as (page_id, url, text), a row for each row.
 
     Whole pages are read. A null or empty html has the text ''. Pages without a host, and hosts with
     fewer than MIN_PAGES different pages in a cohort, have no template: articles or else the body
     are taken, without what tags and names leave out; an element that they leave out is taken all
-    the same if the slot text shows that it holds the article. Repeated rows each give a row. Other columns
-    of ``df`` are not looked at. A host's pages are dealt over cohorts by a hash of the row, so a
+    the same if the slot text shows that it holds the article. Repeated rows each give a row, but are read
+    once. Other columns of ``df`` are not looked at. A host's pages are dealt over cohorts by a hash of the row, so a
     host with most pages is many groups.
     """
-    rows = df.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").withColumn("host", host(F.col("url")))
+    rows = once_each(df.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")).withColumn(
+        "host", host(F.col("url")))
     parts = F.ceil(F.count(F.lit(1)) / COHORT_PAGES).cast("int").alias("parts")
     counts = written_once(rows.groupBy("host").agg(parts), "html-hosts")
     dealt = rows.join(counts, "host").withColumn(
@@ -470,9 +492,10 @@ def main_text(df: DataFrame) -> DataFrame:
     def run(key: tuple, table: pa.Table) -> pa.Table:
         sources = [x or "" for x in table["html"].to_pylist()]
         texts = extracted(sources, key[0].as_py() != "")
-        return table.select(["page_id", "url"]).append_column("text", pa.array(texts, pa.string()))
+        return table.select(["page_id", "url", "copies"]).append_column("text", pa.array(texts, pa.string()))
 
-    return dealt.groupBy("host", "cohort").applyInArrow(run, "page_id long, url string, text string")
+    found = dealt.groupBy("host", "cohort").applyInArrow(run, "page_id long, url string, copies long, text string")
+    return found.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("page_id", "url", "text")
 
 
 def with_length(df: DataFrame) -> DataFrame:

@@ -231,3 +231,15 @@ def test_a_part_of_the_article_beside_its_heading_stays():
     parts = [[sentence(rng, 30) for _ in range(3)] for _ in range(20)]
     sources = [f"<body><div><h1>{a}</h1>{b}</div><div>{c}</div></body>" for a, b, c in parts]
     assert extraction.extracted(sources, True) == [" ".join(p) for p in parts]
+
+
+def test_equal_rows_are_one_row_in_their_cohort(spark):
+    """Half of a host is one repeated row: read once, returned as often as it came, and others are not changed."""
+    pages = site(random.Random(11), "article")
+    rows = [(i, "http://a.b/x", p) for i, (p, _) in enumerate(pages)]
+    df = spark.createDataFrame(rows + [rows[0]] * 500 + [(None, None, None)] * 3, "page_id long, url string, html string")
+    kept = extraction.once_each(df)
+    assert kept.count() == len(rows) + 1 and kept.groupBy().sum("copies").first()[0] == df.count()
+    got = sorted(map(tuple, extraction.main_text(df).collect()), key=str)
+    wanted_rows = [(i, "http://a.b/x", m) for i, (_, m) in enumerate(pages)]
+    assert got == sorted(wanted_rows + [wanted_rows[0]] * 500 + [(None, None, "")] * 3, key=str)
