@@ -10,6 +10,11 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerhub.functions.text import quoted
 from ledgerhub.sizing import distinct_within
 
+BITS_PER_KEY = 16
+# 128 MiB of bits: beyond some 60 million keys the sieve lets more rows through.
+MAX_WORDS = 2**24
+_SEGMENT_WORDS = 1024
+
 
 def _keys_of(other: DataFrame, keys: Sequence[str], measured: bool) -> DataFrame:
     wanted = other.select(*quoted(keys)).dropna()
@@ -45,6 +50,33 @@ def present(
     return df.join(found, list(keys), "left_semi").select(*quoted(df.columns))
 
 
+def sieved(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key may occur in ``other``: all that do, and about 1 in 100 of the rest.
+
+    For keys too many to broadcast, before ``df`` is shuffled. A key sets three bits of one word by its
+    hash; the words are broadcast, two bytes a key. NULLs count as equal.
+    """
+    spark = df.sparkSession
+    hashed = F.xxhash64(*quoted(keys))
+    most = max(1, min(MAX_WORDS, other.count() * BITS_PER_KEY // 64))
+
+    def bits(key: str) -> str:
+        return " | ".join(f"shiftleft(1L, CAST(shiftright({key}, {n}) & 63 AS INT))" for n in (0, 6, 12))
+
+    def word(key: str) -> str:
+        return f"pmod(shiftright({key}, 18), {most}L)"
+
+    marked = other.select(hashed.alias("_key")).selectExpr(f"{word('_key')} AS word", f"{bits('_key')} AS bits")
+    words = marked.unionByName(spark.range(most).selectExpr("id AS word", "0L AS bits"))
+    by_word = words.groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    listed = F.sort_array(F.collect_list(F.struct(F.expr(f"CAST(word % {_SEGMENT_WORDS} AS INT) AS place"), "bits")))
+    segments = by_word.groupBy(F.expr(f"word DIV {_SEGMENT_WORDS}").alias("_segment")).agg(
+        F.transform(listed, lambda w: w["bits"]).alias("_words"))
+    held = F.expr(f"get(_words, CAST({word('_key')} % {_SEGMENT_WORDS} AS INT)) & ({bits('_key')})")
+    near = (F.col("_segment") == F.expr(f"{word('_key')} DIV {_SEGMENT_WORDS}")) & (held == F.expr(bits("_key")))
+    return df.withColumn("_key", hashed).join(F.broadcast(segments), near, "left_semi").drop("_key")
+
+
 def flagged(df: DataFrame, other: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """``df`` with the flag ``name``: whether the row's key occurs in ``other``. One probe."""
     found = _keys_of(other, keys, False).withColumn("_found", F.lit(True))

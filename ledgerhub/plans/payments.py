@@ -12,8 +12,9 @@ from ledgerhub.functions import money, rules
 from ledgerhub.functions.text import last_token
 from ledgerhub.functions.xml import element
 from ledgerhub.operators.latest import first_per_key
+from ledgerhub.operators.presence import present, sieved
 from ledgerhub.scratch import written_once
-from ledgerhub.sizing import broadcast_within, distinct_within
+from ledgerhub.sizing import fits_broadcast
 
 LEAD_LENGTH = 2
 MAX_SHAPES = 5000
@@ -48,8 +49,8 @@ def unroutable(invoices: DataFrame) -> DataFrame:
     return invoices.where(F.col("company").isNull())
 
 
-def _shapes(invoices: DataFrame) -> tuple[list[int], list[int], list[str] | None]:
-    """Lengths of digits-only and of other numbers, and how numbers start.
+def _shapes(invoices: DataFrame) -> tuple[list[int], list[int], list[str] | None, list[str] | None]:
+    """Lengths of digits-only and of other numbers, and how the ones and the others start.
 
     The starts are None if there are too many different ones to test for.
     """
@@ -60,12 +61,13 @@ def _shapes(invoices: DataFrame) -> tuple[list[int], list[int], list[str] | None
         F.concat_ws(" ", "kind", F.substring(number, 1, LEAD_LENGTH)).alias("start"),
     )
     found = shapes.distinct().limit(MAX_SHAPES + 1).collect()
-    starts = sorted({row["start"] for row in found})
+    digits = sorted({row["start"] for row in found if row["numeric"]})
+    others = sorted({row["start"] for row in found if not row["numeric"]})
     if len(found) > MAX_SHAPES:
-        found, starts = shapes.select("numeric", "size").distinct().collect(), None
+        found, digits, others = shapes.select("numeric", "size").distinct().collect(), None, None
     numeric = sorted({row["size"] for row in found if row["numeric"]})
     other = sorted({row["size"] for row in found if not row["numeric"]})
-    return numeric, other, starts
+    return numeric, other, digits, others
 
 
 def _pieces(
@@ -97,14 +99,14 @@ def _candidates(headers: DataFrame, kept: Sequence[str], invoices: DataFrame) ->
     numbers need pieces of digit runs only, and places where no wanted number starts are
     dropped at once. The work grows with the headers, not with headers times invoices.
     """
-    numeric, other, starts = _shapes(invoices)
+    numeric, other, digits, others = _shapes(invoices)
     text = F.col("postingDescription")
     found = []
     if numeric:
         digit_runs = F.regexp_extract_all(text, F.lit(r"(\d+)"), F.lit(1))
-        found.append(_pieces(headers, kept, digit_runs, numeric, starts))
+        found.append(_pieces(headers, kept, digit_runs, numeric, digits))
     if other:
-        found.append(_pieces(headers, kept, F.array(text), other, starts))
+        found.append(_pieces(headers, kept, F.array(text), other, others))
     return reduce(DataFrame.unionByName, found) if found else None
 
 
@@ -116,17 +118,21 @@ def _first_places(
     Only those columns are expanded. They are cut down to the wanted numbers and to one per
     number in the map tasks before anything is shuffled, so a number that occurs everywhere
     stays cheap. The cut compares 64-bit hashes, which keeps the broadcast small; a number let
-    through by a collision finds no invoice to join.
+    through by a collision finds no invoice to join. Wanted numbers too many to broadcast cut
+    by a sieve of their bits first and exactly once one place per number is left.
     """
     candidates = _candidates(headers, ["company", "kind", *arrival], invoices)
     if candidates is None:
         return None
-    hashed = F.xxhash64(*MATCH_KEYS).alias("_key")
-    wanted = distinct_within(
-        invoices.select(*MATCH_KEYS).dropna().select(hashed), max_rows=MAX_WANTED
-    )
-    hits = candidates.withColumn("_key", F.xxhash64(*MATCH_KEYS)).join(wanted, "_key", "left_semi")
-    return written_once(first_per_key(hits.drop("_key"), MATCH_KEYS, arrival), "first-places")
+    wanted = invoices.select(*MATCH_KEYS).dropna()
+    hashes = wanted.select(F.xxhash64(*MATCH_KEYS).alias("_key"))
+    if fits_broadcast(hashes, MAX_WANTED) or fits_broadcast(hashes.distinct(), MAX_WANTED):
+        found = F.broadcast(hashes.distinct())
+        hits = candidates.withColumn("_key", F.xxhash64(*MATCH_KEYS)).join(found, "_key", "left_semi")
+        first = first_per_key(hits.drop("_key"), MATCH_KEYS, arrival)
+    else:
+        first = present(first_per_key(sieved(candidates, wanted, MATCH_KEYS), MATCH_KEYS, arrival), wanted, MATCH_KEYS)
+    return written_once(first, "first-places")
 
 
 def first_headers(
@@ -134,8 +140,9 @@ def first_headers(
 ) -> DataFrame:
     """Per (company, kind, invoice number) the first header mentioning the number.
 
-    Headers are fetched by company, kind and arrival columns once the first ones are known;
-    of headers equal in those the first by all columns is taken.
+    Headers are fetched by company, kind and arrival columns once the first ones are known; if these
+    are too many to broadcast, other headers are sieved out before the join shuffles them. Of headers
+    equal in those columns the first by all columns is taken.
     """
     carried = [c for c in headers.columns if c not in ("company", "kind")]
     places = _first_places(headers, invoices, arrival)
@@ -146,7 +153,11 @@ def first_headers(
             *[F.lit(None).cast(headers.schema[c].dataType).alias(c) for c in carried]
         ))
     own = ["company", "kind", *arrival]
-    side = broadcast_within(places.select("invoice_no", *[F.col(c).alias(f"_{c}") for c in own]))
+    side = places.select("invoice_no", *[F.col(c).alias(f"_{c}") for c in own])
+    if fits_broadcast(side):
+        side = F.broadcast(side)
+    else:
+        headers = sieved(headers, places, own)
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in own])
     fetched = headers.join(side, same).select(*headers.columns, "invoice_no")
     one = first_per_key(fetched, MATCH_KEYS, arrival)

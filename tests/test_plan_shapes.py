@@ -1,5 +1,7 @@
 """Physical plans: what must hold for large tables."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from ledgerhub.operators.alignment import aligned_amounts
@@ -50,6 +52,45 @@ def test_candidates_are_cut_before_their_one_exchange(spark):
     assert plan(pieces).split("\n\n")[0].count("Generate") == 6
 
 
+def test_wanted_numbers_too_many_to_broadcast_cut_pieces_before_the_shuffle(spark, monkeypatch):
+    """Beyond MAX_WANTED, pieces meet the sieve's broadcast bits and are cut to one a number before they are shuffled."""
+    from ledgerhub.plans import payments
+
+    found = []
+    monkeypatch.setattr(payments, "MAX_WANTED", 0)
+    monkeypatch.setattr(payments, "written_once", lambda df, purpose: found.append(plan(df)) or df)
+    headers = spark.range(100).selectExpr(
+        "'X' AS company", "'s' AS kind", "concat('n', id) AS no", "concat('i', id) AS id", "concat('No ', id, ' and A-', id) AS postingDescription")
+    invoices = headers.selectExpr("if(no < 'n5', substr(no, 2), concat('A-', substr(no, 2))) AS invoice_no", "company", "kind")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        payments._first_places(headers, invoices, ["no", "id"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = [(re.search(r"[A-Z]", line).start(), line) for line in found[0].split("\n\n")[0].splitlines()[1:]]
+    at = max(i for i, (_, line) in enumerate(lines) if "Generate" in line)
+    above, depth = [], lines[at][0]  # what the pieces pass on their way up
+    for column, line in reversed(lines[:at]):
+        if column < depth:
+            above.append(line[column:])
+            depth = column
+    shuffled = next(i for i, line in enumerate(above) if line.startswith("Exchange"))
+    assert any(line.startswith("BroadcastHashJoin LeftSemi") for line in above[:shuffled])
+    assert any(line.startswith("WindowGroupLimit") for line in above[:shuffled])
+
+
+def test_a_sieve_keeps_every_key_that_occurs(spark):
+    from ledgerhub.operators.presence import sieved
+
+    rows = spark.range(20000).selectExpr("if(id % 100 = 99, NULL, id) AS a", "concat('k', id % 3) AS b")
+    wanted = rows.where("a % 10 = 0 OR a IS NULL").union(rows.where("a = 10"))
+    kept = sieved(rows, wanted, ["a", "b"])
+    assert kept.columns == ["a", "b"]
+    assert kept.where("a % 10 = 0 OR a IS NULL").count() == 2000 + 200
+    assert kept.count() < 2200 + 17800 * 0.05
+    assert sieved(rows, wanted.limit(0), ["a", "b"]).count() == 0
+
+
 def test_company_sides_at_both_sides_of_their_bound(spark):
     from ledgerhub.sizing import company_side
 
