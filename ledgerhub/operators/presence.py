@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ledgerhub.functions.text import quoted
-from ledgerhub.sizing import distinct_within
+from ledgerhub.sizing import distinct_within, fits_broadcast
 
 BITS_PER_KEY = 16
 # 128 MiB of bits: beyond some 60 million keys the sieve lets more rows through.
@@ -50,11 +50,11 @@ def present(
     return df.join(found, list(keys), "left_semi").select(*quoted(df.columns))
 
 
-def sieved(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+def sieved(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "left_semi") -> DataFrame:
     """Rows of ``df`` whose key may occur in ``other``: all that do, and about 1 in 100 of the rest.
 
     For keys too many to broadcast, before ``df`` is shuffled. A key sets three bits of one word by its
-    hash; the words are broadcast, two bytes a key. NULLs count as equal.
+    hash; the words are broadcast, two bytes a key. NULLs count as equal. ``left_anti`` gives the others.
     """
     spark = df.sparkSession
     hashed = F.xxhash64(*quoted(keys))
@@ -74,7 +74,28 @@ def sieved(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.transform(listed, lambda w: w["bits"]).alias("_words"))
     held = F.expr(f"get(_words, CAST({word('_key')} % {_SEGMENT_WORDS} AS INT)) & ({bits('_key')})")
     near = (F.col("_segment") == F.expr(f"{word('_key')} DIV {_SEGMENT_WORDS}")) & (held == F.expr(bits("_key")))
-    return df.withColumn("_key", hashed).join(F.broadcast(segments), near, "left_semi").drop("_key")
+    return df.withColumn("_key", hashed).join(F.broadcast(segments), near, how).drop("_key")
+
+
+def sievable(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether keys that are equal have equal hashes: the same plain types on both sides, without fractions like -0.0."""
+    plain = (T.StringType(), T.IntegerType(), T.LongType(), T.ShortType(), T.ByteType(), T.DateType(), T.BooleanType())
+    kinds = [df.schema[k].dataType for k in keys]
+    return kinds == [other.schema[k].dataType for k in keys] and all(k in plain for k in kinds)
+
+
+def parted(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> tuple[DataFrame | None, DataFrame | None]:
+    """:func:`absent` for few keys next to a large ``df``, in two parts: rows that stay where they are, and those shuffled.
+
+    The second part are the few rows that only the sieve takes for some of ``other``; None if the keys are broadcast.
+    Keys that can't be sieved leave all to the second part.
+    """
+    wanted = other.select(*quoted(keys)).dropna()
+    if fits_broadcast(wanted):
+        return df.join(F.broadcast(wanted.distinct()), list(keys), "left_anti").select(*quoted(df.columns)), None
+    if not sievable(df, wanted, keys):
+        return None, absent(df, wanted, keys)
+    return sieved(df, wanted, keys, "left_anti"), absent(sieved(df, wanted, keys), wanted, keys)
 
 
 def flagged(df: DataFrame, other: DataFrame, keys: Sequence[str], name: str) -> DataFrame:

@@ -21,7 +21,7 @@ from ledgerhub.operators.binding import ENTITY
 from ledgerhub.operators.presence import present
 from ledgerhub.plans import extract
 from ledgerhub.plans.catalog import Dataset
-from ledgerhub.plans.effects import REFRESHES, replaced_and_added
+from ledgerhub.plans.effects import REFRESHES, held_before, replaced_and_added
 
 
 @dataclass(frozen=True)
@@ -92,14 +92,16 @@ def run(
     spark = landed.sparkSession
     batch = extract.batch_of(entry, landed, table, run_date)
     planned = sums._run("planned", name)
+    held = None
     if not _written(spark, planned):
         if entry.load in REFRESHES:
             change = _refreshed(spark, entry, batch, sums, complete, registered)
         else:
-            removed, added = replaced_and_added(entry, batch, table)
+            held = held_before(entry, batch, table)
+            removed, added = replaced_and_added(entry, batch, table, held)
             change = sums.changed(added, removed)
         change.write.mode("overwrite").parquet(planned)
-    extract.apply(entry, batch, table, complete, registered)
+    extract.apply(entry, batch, table, complete, registered, held)
     spark.read.schema(SCHEMA).parquet(planned).write.mode("overwrite").parquet(sums._run("done", name))
 
 

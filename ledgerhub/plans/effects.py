@@ -14,6 +14,7 @@ from ledgerhub.operators.presence import flagged, keyed
 from ledgerhub.operators.watermark import above_marks
 from ledgerhub.plans import catalog
 from ledgerhub.plans.catalog import Dataset
+from ledgerhub.scratch import written_once
 from ledgerhub.sinks import tables
 
 ARRIVAL = ("page_no", "pos")
@@ -38,14 +39,29 @@ def change_of(entry: Dataset) -> Callable[[DataFrame, DataFrame], DataFrame]:
     return change
 
 
-def replaced_and_added(entry: Dataset, batch: DataFrame, table: str) -> tuple[DataFrame | None, DataFrame]:
-    """The stored rows that a batch replaces, None if it replaces none, and those it puts in their place."""
+def held_before(entry: Dataset, batch: DataFrame, table: str) -> DataFrame | None:
+    """The stored rows with a key of the batch, stored once for all that is asked of them; None for plain appends."""
+    if entry.load == catalog.APPEND:
+        return None
+    return written_once(tables.rows_of_batch(batch, table, entry.keys), "held")
+
+
+def replaced_and_added(
+    entry: Dataset, batch: DataFrame, table: str, old: DataFrame | None = None,
+) -> tuple[DataFrame | None, DataFrame]:
+    """The stored rows that a batch replaces, None if it replaces none, and those it puts in their place.
+
+    ``old`` are the stored rows with a key of the batch, if they are at hand. All of them give way to rows of
+    the batch, so these don't meet them again, unless they take columns from them that the batch lacks.
+    """
     if entry.load == catalog.APPEND:
         return None, batch
-    old = tables.rows_of_batch(batch, table, entry.keys)
+    if old is None:
+        old = tables.rows_of_batch(batch, table, entry.keys)
     if entry.load == catalog.INSERT_ABSENT:
         return None, load.new_rows(old, batch, entry.keys, ARRIVAL)
-    return old, change_of(entry)(old, batch)
+    whole = set(old.columns) <= set(stored_columns(entry, batch).columns)
+    return old, change_of(entry)(old.where(F.lit(False)) if whole else old, batch)
 
 
 def _as_stored(rows: DataFrame, table: str) -> DataFrame:
@@ -70,13 +86,14 @@ def _kind(name: str) -> str:
 EXPECTED = ["pulled", "inserted", "updated", "rows", "digest"]
 
 
-def expected(entry: Dataset, batch: DataFrame, table: str) -> DataFrame:
+def expected(entry: Dataset, batch: DataFrame, table: str, stored: DataFrame | None = None) -> DataFrame:
     """Per company, before the load: rows pulled, keys' rows to be inserted and to be updated, and how many rows
     the table will hold of those that :func:`seen` looks at, with a digest of them.
 
-    Reads the batch, and of the table rows with its keys. To be stored before the table is written.
+    Reads the batch, and of the table rows with its keys, which are ``stored`` if they are at hand. To be stored
+    before the table is written.
     """
-    old, added = replaced_and_added(entry, batch, table)
+    old, added = replaced_and_added(entry, batch, table, stored)
     one, none = F.lit(1), F.lit(0)
     pulled = batch.select(ENTITY).withColumn("pulled", one)
     if old is None:
@@ -88,7 +105,8 @@ def expected(entry: Dataset, batch: DataFrame, table: str) -> DataFrame:
     if entry.load != catalog.APPEND:
         held, _ = keyed(held, entry.keys)
     if entry.load == catalog.INSERT_ABSENT:
-        held = held.unionByName(_as_stored(tables.rows_of_batch(batch, table, entry.keys), table))
+        stored = tables.rows_of_batch(batch, table, entry.keys) if stored is None else stored
+        held = held.unionByName(_as_stored(stored, table))
     nothing = {n: F.lit(0).cast(_kind(n)).alias(n) for n in EXPECTED}
     parts = [
         pulled.select(ENTITY, *[nothing[n] if n != "pulled" else n for n in EXPECTED]),

@@ -111,7 +111,9 @@ def apply(
     table: str,
     complete: DataFrame | None = None,
     registered: DataFrame | None = None,
+    held: DataFrame | None = None,
 ) -> None:
+    """``held`` are the stored rows with a key of the batch (``effects.held_before``), if they are at hand."""
     if entry.load in REFRESHES:
         stored = stored_columns(entry, batch)
         if ENTITY in stored.columns:
@@ -122,13 +124,13 @@ def apply(
         _apply_numbered(entry, batch, table, lambda: tables.append(stored_columns(entry, batch), table))
     elif entry.load == catalog.APPEND_MERGE:
         _apply_numbered(entry, batch, table, lambda: tables.change_companies(
-            batch, table, entry.keys, change_of(entry)))
+            batch, table, entry.keys, change_of(entry), held=held))
     elif entry.load == catalog.INSERT_ABSENT:
         target = batch.sparkSession.table(table)
         new = load.new_rows(target, batch, entry.keys, ARRIVAL)
         tables.append(written_once(stored_columns(entry, new), "absent"), table)
     else:
-        tables.change_companies(batch, table, entry.keys, change_of(entry))
+        tables.change_companies(batch, table, entry.keys, change_of(entry), held=held)
 
 
 def utc_now() -> datetime:
@@ -166,9 +168,10 @@ def logged_run(
     try:
         batch = batch_of(entry, landed, table, run_date)
         checked = ENTITY in batch.columns and entry.load not in REFRESHES
-        before = written_once(effects.expected(entry, batch, table), "expected") if checked else None
+        held = effects.held_before(entry, batch, table) if checked else None
+        before = written_once(effects.expected(entry, batch, table, held), "expected") if checked else None
         marks = written_once(marks_of(entry, spark, table), "marks") if entry.load == catalog.APPEND else None
-        apply(entry, batch, table, complete, registered)
+        apply(entry, batch, table, complete, registered, held)
     except Exception as error:
         details = (str(error).splitlines() or [type(error).__name__])[0]
         if ENTITY in landed.columns:

@@ -18,7 +18,8 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ledgerhub.functions.text import quoted
-from ledgerhub.operators.presence import keyed, present
+from ledgerhub.operators.presence import keyed, parted, present, sievable, sieved
+from ledgerhub.sizing import fits_broadcast
 
 ENTITY = "Entity"
 BUCKET = "_bucket"
@@ -219,8 +220,13 @@ def _written_parts(spark: SparkSession, table: str, schema: T.StructType, folder
         spark.sql(f"DROP TABLE {incoming}")
 
 
-def _replace(df: DataFrame, table: str, layout: Layout, gone: Callable[[set[Spec], set[Spec]], set[Spec]]) -> None:
-    """Store ``df`` as the new content of every partition in it.
+def _replace(
+    df: DataFrame, table: str, layout: Layout, gone: Callable[[set[Spec], set[Spec]], set[Spec]],
+    kept: DataFrame | None = None,
+) -> None:
+    """Store ``df`` as the new content of every partition in it, along with ``kept``.
+
+    ``kept`` are stored rows that don't change: as they lie together already, they are written without a shuffle.
 
     ``gone(stored, written)`` are further partitions to remove. The rebalance hint splits a
     partition that holds most rows over many tasks and files. The catalog has no statement that moves many
@@ -231,8 +237,11 @@ def _replace(df: DataFrame, table: str, layout: Layout, gone: Callable[[set[Spec
     base, version = _table_folder(spark, table), uuid.uuid4().hex
     folder = f"{base}/_versions/{version}"
     ordered = _in_table_order(df, table, layout)
-    ordered.hint("rebalance", *layout.columns).write.partitionBy(*layout.columns).parquet(folder)
-    written = _written_parts(spark, table, ordered.schema, folder, layout)
+    every = ordered.hint("rebalance", *layout.columns)
+    if kept is not None:
+        every = every.unionByName(_in_table_order(kept, table, layout))
+    every.write.partitionBy(*layout.columns).parquet(folder)
+    written = _written_parts(spark, table, every.schema, folder, layout)
     _forget_marks(spark, table)
     if any(spec[0] == NO_COMPANY for spec in written):
         raise ValueError(f"rows without {layout.entity} cannot be stored")
@@ -311,6 +320,7 @@ def change_companies(
     change: Callable[[DataFrame, DataFrame], DataFrame],
     entity: str = ENTITY,
     rejects: str | None = None,
+    held: DataFrame | None = None,
 ) -> tuple[list[str], list[str]]:
     """Apply ``change(target, batch)``; gives the companies with rewritten rows, and the others.
 
@@ -320,7 +330,9 @@ def change_companies(
     and the keys of the table's buckets if it has any. Repeating the call after a failure is
     harmless: rows that were appended are then found and replaced. That needs a key, so rows
     with a NULL in a key are refused unless ``rejects`` names a folder, which is overwritten
-    with them.
+    with them. ``held`` are the stored rows with a key of the batch, if they are at hand
+    (:func:`rows_of_batch`): then only these meet the batch and the others are written as they lie. Else
+    they are looked up, in partitions that the catalog knows.
     """
     spark = batch.sparkSession
     layout = layout_of(spark, table, entity)
@@ -333,9 +345,15 @@ def change_companies(
         raise ValueError(f"rows without {', '.join(keys)} cannot be stored")
     batch, target = layout.placed(batch), spark.table(table)
     touched = _parts_of(batch, layout.columns)
-    stored = target.where(layout.within(touched))
-    columns = list(dict.fromkeys([*keys, *layout.columns]))
-    hit = _parts_of(present(stored.select(*quoted(columns)), batch, keys, measured=True), layout.columns)
+    known = touched & _stored_parts(spark, table).keys()
+    if held is not None:
+        hit = _parts_of(layout.placed(held), layout.columns)
+    elif known:
+        stored = target.where(layout.within(known))
+        columns = list(dict.fromkeys([*keys, *layout.columns]))
+        hit = _parts_of(present(stored.select(*quoted(columns)), batch, keys, measured=True), layout.columns)
+    else:
+        hit = set()
     fresh = touched - hit
 
     def changed(rows: DataFrame, specs: set[Spec]) -> DataFrame:
@@ -344,7 +362,14 @@ def change_companies(
     if fresh:
         append(changed(target.where(F.lit(False)), fresh), table, entity)
     if hit:
-        _replace(changed(target.where(layout.within(hit)), hit), table, layout, lambda _, written: hit - written)
+        stored, kept = target.where(layout.within(hit)), None
+        if held is None:
+            rows = changed(stored, hit)
+        else:
+            kept, near = parted(stored.drop(BUCKET), held, keys)
+            rows = changed(held, hit)
+            rows = rows if near is None else rows.unionByName(near)
+        _replace(rows, table, layout, lambda _, written: hit - written, kept)
     rewritten = {spec[0] for spec in hit}
     return sorted(rewritten), sorted({spec[0] for spec in fresh} - rewritten)
 
@@ -357,8 +382,14 @@ def rows_of_batch(batch: DataFrame, table: str, keys: Sequence[str], entity: str
         layout = Layout(entity, (), 1)
     whole, _ = keyed(batch, keys)
     touched = _parts_of(layout.placed(whole), layout.columns)
-    stored = spark.table(table).where(layout.within(touched)).drop(BUCKET)
-    return present(stored, whole, keys, measured=True)
+    known = {spec[: len(layout.columns)] for spec in _stored_parts(spark, table)}
+    stored = spark.table(table).where(layout.within(touched & known)).drop(BUCKET)
+    if not touched & known:
+        return stored
+    asked = whole.select(*quoted(keys))
+    if sievable(stored, asked, keys) and not fits_broadcast(asked) and stored.count() > 4 * asked.count():
+        stored = sieved(stored, asked, keys)
+    return present(stored, asked, keys, measured=True)
 
 
 def append(df: DataFrame, table: str, entity: str = ENTITY) -> None:

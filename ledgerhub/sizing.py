@@ -60,14 +60,21 @@ def distinct_within(
     """Distinct rows of ``df``, marked for broadcast if measured small.
 
     The rows as they are bound the distinct ones from above and need no shuffle to
-    measure; only if they are too many are the distinct rows measured themselves.
+    measure; only if they are too many are the distinct rows measured themselves, unless
+    a sketch, which needs no shuffle either, tells that these are far too many.
     """
     distinct = df.distinct()
     bounds = (max_rows, max_bytes)
-    small = fits_broadcast(df, *bounds) or fits_broadcast(distinct, *bounds)
+    small = fits_broadcast(df, *bounds) or (
+        _distinct_estimate(df) <= 2 * max_rows and fits_broadcast(distinct, *bounds))
     return F.broadcast(distinct) if small else distinct
 
 
+def _distinct_estimate(df: DataFrame) -> int:
+    """Distinct rows of ``df``, to some 5 in 100."""
+    return df.agg(F.approx_count_distinct(F.xxhash64(*quoted(df.columns)))).first()[0]
+
+
 def local_copy(
     df: DataFrame, max_rows: int = MAX_COMPANY_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> DataFrame | None:
