@@ -124,3 +124,22 @@ def test_measured_sides(spark):
     assert local_copy(small, 1) is None
     assert sorted(map(str, local_copy(small, 2).collect())) == ["Row(k='ab')", "Row(k=None)"]
     assert measured_size(small.select(F.array("k").alias("a")))[1] > 32
+
+
+def test_far_too_many_distinct_keys_are_not_shuffled_to_count_them(spark, monkeypatch):
+    from ledgerhub import sizing
+
+    measured = []
+    size = sizing.fits_broadcast
+    monkeypatch.setattr(sizing, "fits_broadcast", lambda df, *bounds: measured.append(df) or size(df, *bounds))
+    many, few = spark.range(5000), spark.range(5000).selectExpr("id % 7 AS id")
+    assert sizing.distinct_within(many, max_rows=100).count() == 5000 and len(measured) == 1
+    assert "BroadcastHashJoin" in plan(many.join(sizing.distinct_within(few, max_rows=100), "id", "left_semi"))
+
+
+def test_only_keys_with_equal_hashes_are_sieved(spark):
+    from ledgerhub.operators import presence
+
+    df, other = spark.range(3).selectExpr("id", "0.0D AS x"), spark.range(3).selectExpr("CAST(id AS INT) AS id", "-0.0D AS x")
+    assert presence.sievable(df, df, ["id"])
+    assert not presence.sievable(df, other, ["id"]) and not presence.sievable(df, other, ["x"])

@@ -5,6 +5,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerhub.operators import presence
 from ledgerhub.plans import balance_sums, catalog, extract
 from ledgerhub.scratch import run_folder
 from ledgerhub.sinks import tables
@@ -111,3 +112,34 @@ def test_sums_need_companies(spark, stored):
     name, sums = stored()
     with pytest.raises(ValueError, match="per company"):
         balance_sums.run(catalog.Dataset("t", "s", catalog.REFRESH), frame(spark, *FIRST).drop("Entity"), name, "2024-05-02", sums, "x")
+
+
+@pytest.mark.parametrize("kind", [catalog.MERGE, catalog.REPLACE_ALL, catalog.REPLACE_LAST])
+def test_a_load_looks_up_its_rows_once_and_leaves_the_others_as_they_lie(spark, stored, kind, monkeypatch):
+    """With keys too many to broadcast: other rows meet the sieve's bits only, not a shuffle by key."""
+    name, sums = stored()
+    rows = spark.range(3000).selectExpr(
+        "CAST(id AS INT) AS id", "'a' AS no", "CAST(1 AS DECIMAL(18,2)) AS amount", "concat('c', id % 4) AS Entity",
+        "1 AS page_no", "id AS pos")
+    entry = catalog.Dataset("t", "s", kind, keys=("id", "Entity"))
+    balance_sums.run(entry, rows, name, "2024-05-02", sums, "one")
+    kept, looked = [], []
+    replace, present = tables._replace, tables.present
+
+    def replacing(df, table, layout, gone, left=None):
+        kept.append((left.count(), plan(left)))
+        replace(df, table, layout, gone, left)
+
+    monkeypatch.setattr(presence, "fits_broadcast", lambda *_: False)
+    monkeypatch.setattr(tables, "fits_broadcast", lambda *_: False)
+    monkeypatch.setattr(tables, "_replace", replacing)
+    monkeypatch.setattr(tables, "present", lambda *a, **k: looked.append(a) or present(*a, **k))
+    batch = rows.where("id % 100 < 2").withColumn("amount", F.expr("CAST(3 AS DECIMAL(18,2))"))
+    balance_sums.run(entry, batch, name, "2024-05-02", sums, "two")
+    assert len(looked) == 1
+    (count, text), = kept
+    assert 1440 * 0.95 < count <= 1440 and "LeftAnti" in text and "SortMergeJoin" not in text
+    assert agree(spark, name, sums)
+    stored_now = spark.table(name)
+    assert stored_now.count() == stored_now.select("id").distinct().count() == 3000
+    assert stored_now.where("(amount = 3) = (id % 100 < 2)").count() == 3000
