@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerhub.functions.text import quoted
 from ledgerhub.sizing import distinct_within, fits_broadcast
@@ -105,7 +105,11 @@ def flagged(df: DataFrame, other: DataFrame, keys: Sequence[str], name: str) ->
     return joined.select(*quoted(df.columns), F.col("_found").isNotNull().alias(name))
 
 
+def whole_key(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in quoted(keys)])
+
+
 def keyed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Rows whose key is whole, and the others."""
-    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in quoted(keys)])
+    whole = whole_key(keys)
     return df.where(whole), df.where(~whole)

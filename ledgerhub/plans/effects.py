@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerhub.functions.text import quoted
 from ledgerhub.operators import load
 from ledgerhub.operators.binding import ENTITY, without
-from ledgerhub.operators.presence import flagged, keyed
+from ledgerhub.operators.latest import last_per_key
+from ledgerhub.operators.presence import flagged, keyed, whole_key
 from ledgerhub.operators.watermark import above_marks
 from ledgerhub.plans import catalog
 from ledgerhub.plans.catalog import Dataset
@@ -26,10 +27,18 @@ def stored_columns(entry: Dataset, rows: DataFrame) -> DataFrame:
     return without(rows, [*entry.skipped, *ARRIVAL])
 
 
-def change_of(entry: Dataset) -> Callable[[DataFrame, DataFrame], DataFrame]:
-    """What a batch makes of stored rows, for the loads that replace some."""
+def change_of(entry: Dataset, held: bool = False) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """What a batch makes of stored rows, for the loads that replace some.
+
+    ``held`` says that all these rows have a key of the batch: a load that deletes such rows doesn't look for them again.
+    """
     def change(target: DataFrame, batch: DataFrame) -> DataFrame:
         stored = stored_columns(entry, batch)
+        if held and entry.load in (catalog.REPLACE_ALL, catalog.REPLACE_LAST):
+            target = target.where(F.lit(False))
+            if entry.load == catalog.REPLACE_ALL:
+                return target.unionByName(stored)
+            return target.unionByName(last_per_key(batch, entry.keys, ARRIVAL).select(*quoted(target.columns)))
         if entry.load == catalog.REPLACE_ALL:
             return load.replace_all(target, stored, entry.keys, measured=True)
         if entry.load == catalog.REPLACE_LAST:
@@ -61,21 +70,33 @@ def replaced_and_added(
     if entry.load == catalog.INSERT_ABSENT:
         return None, load.new_rows(old, batch, entry.keys, ARRIVAL)
     whole = set(old.columns) <= set(stored_columns(entry, batch).columns)
-    return old, change_of(entry)(old.where(F.lit(False)) if whole else old, batch)
+    return old, change_of(entry, True)(old.where(F.lit(False)) if whole else old, batch)
 
 
-def _as_stored(rows: DataFrame, table: str) -> DataFrame:
-    """Rows in the columns and types of the table; columns that they lack are NULL."""
+def _as_stored(rows: DataFrame, table: str, *more: str) -> DataFrame:
+    """Rows in the columns and types of the table, then ``more`` of their own; columns that they lack are NULL."""
     fields = [f for f in rows.sparkSession.table(table).schema.fields if f.name != tables.BUCKET]
     own = {c.lower(): c for c in rows.columns}
     value = lambda f: F.col(quoted([own[f.name.lower()]])[0]) if f.name.lower() in own else F.lit(None)
-    return rows.select(*[value(f).cast(f.dataType).alias(f.name) for f in fields])
+    return rows.select(*[value(f).cast(f.dataType).alias(f.name) for f in fields], *more)
+
+
+def _digest(schema: T.StructType) -> Column:
+    """Hash of a row's values, whichever order its columns have; a null counts, and so does the sign of a zero."""
+    parts = []
+    for field in sorted(schema.fields, key=lambda f: f.name):
+        value, kind = F.col(quoted([field.name])[0]), field.dataType
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            told = value.cast("string")
+        else:
+            told = value if isinstance(kind, T.AtomicType) and not isinstance(kind, T.VariantType) else F.to_json(F.struct(value), {"ignoreNullFields": "false"})
+        parts += [value.isNull(), told]
+    return F.xxhash64(*parts)
 
 
 def _facts(df: DataFrame, names: Sequence[str], **counted: Column) -> DataFrame:
     """Per row its company and what it adds to each of ``names``; others are 0."""
-    told = F.to_json(F.struct(*quoted(sorted(df.columns))), {"ignoreNullFields": "false"})
-    parts = {n: F.lit(0) for n in names} | {"digest": F.xxhash64(told)} | counted
+    parts = {n: F.lit(0) for n in names} | ({} if "digest" in counted else {"digest": _digest(df.schema)}) | counted
     return df.select(F.col(ENTITY), *[parts[n].cast(_kind(n)).alias(n) for n in names])
 
 
@@ -100,19 +121,20 @@ def expected(entry: Dataset, batch: DataFrame, table: str, stored: DataFrame | N
         known = added.withColumn("_known", F.lit(False))
     else:
         known = flagged(added, old, entry.keys, "_known")
-    moved = known.select(ENTITY, F.when(F.col("_known"), none).otherwise(one).alias("inserted"), F.when(F.col("_known"), one).otherwise(none).alias("updated"))
-    held = _as_stored(added, table)
-    if entry.load != catalog.APPEND:
-        held, _ = keyed(held, entry.keys)
-    if entry.load == catalog.INSERT_ABSENT:
-        stored = tables.rows_of_batch(batch, table, entry.keys) if stored is None else stored
-        held = held.unionByName(_as_stored(stored, table))
+    held = _as_stored(known, table, "_known")
+    # one pass over what is added, which may take a sort of the batch: each row tells all it adds to the sums
+    whole = F.lit(True) if entry.load == catalog.APPEND else whole_key(entry.keys)
+    digest = _digest(held.drop("_known").schema)
     nothing = {n: F.lit(0).cast(_kind(n)).alias(n) for n in EXPECTED}
     parts = [
         pulled.select(ENTITY, *[nothing[n] if n != "pulled" else n for n in EXPECTED]),
-        moved.select(ENTITY, *[nothing[n] if n not in ("inserted", "updated") else n for n in EXPECTED]),
-        _facts(held, EXPECTED, rows=one),
+        _facts(
+            held, EXPECTED, inserted=F.when(F.col("_known"), none).otherwise(one), updated=F.when(F.col("_known"), one).otherwise(none),
+            rows=F.when(whole, one).otherwise(none), digest=F.when(whole, digest).otherwise(none)),
     ]
+    if entry.load == catalog.INSERT_ABSENT:
+        stored = tables.rows_of_batch(batch, table, entry.keys) if stored is None else stored
+        parts.append(_facts(keyed(_as_stored(stored, table), entry.keys)[0], EXPECTED, rows=one))
     every = reduce(DataFrame.unionByName, parts)
     return every.groupBy(ENTITY).agg(*[F.sum(n).alias(n) for n in EXPECTED])
 

@@ -124,13 +124,13 @@ def apply(
         _apply_numbered(entry, batch, table, lambda: tables.append(stored_columns(entry, batch), table))
     elif entry.load == catalog.APPEND_MERGE:
         _apply_numbered(entry, batch, table, lambda: tables.change_companies(
-            batch, table, entry.keys, change_of(entry), held=held))
+            batch, table, entry.keys, change_of(entry, held is not None), held=held))
     elif entry.load == catalog.INSERT_ABSENT:
         target = batch.sparkSession.table(table)
         new = load.new_rows(target, batch, entry.keys, ARRIVAL)
         tables.append(written_once(stored_columns(entry, new), "absent"), table)
     else:
-        tables.change_companies(batch, table, entry.keys, change_of(entry), held=held)
+        tables.change_companies(batch, table, entry.keys, change_of(entry, held is not None), held=held)
 
 
 def utc_now() -> datetime:
@@ -285,7 +285,8 @@ def run_inferred(
             tables.create(spark, table, stored, store, keys=keys, buckets=buckets if keys else 1)
         else:
             status = pages.chain_status(landing)
-            return pages.incomplete_companies(status), landed_drift(pages.field_counts(pages.fields(whole)), found)
+            counts = written_once(pages.field_counts(pages.fields(whole)), "fields")
+            return pages.incomplete_companies(status), landed_drift(counts, found)
     own = [f for f in spark.table(table).schema.fields if f.name not in (ENTITY, tables.BUCKET)]
     return _run_pages(
         spark, entry, landing, table, run_date, log_folder, None, T.StructType(own), registered, now)
@@ -307,8 +308,8 @@ def _run_pages(
         complete=status.where("complete"), registered=registered, now=now,
     )
     landing_fields = pages.fields(whole).where(~F.col("column").isin(list(entry.skipped)))
-    found = landed_drift(pages.field_counts(landing_fields, landed or wanted), wanted, landed)
-    return pages.incomplete_companies(status), written_once(found, "drift")
+    counts = written_once(pages.field_counts(landing_fields, landed or wanted), "fields")  # the report asks four times
+    return pages.incomplete_companies(status), written_once(landed_drift(counts, wanted, landed), "drift")
 
 
 def landed_report(spark: SparkSession, entry: Dataset, path: str) -> DataFrame:

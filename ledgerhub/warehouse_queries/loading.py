@@ -14,6 +14,7 @@ from ledgerhub.operators.watermark import high_watermarks
 from ledgerhub.plans import catalog, count_check, effects, extract, run_log
 from ledgerhub.scratch import run_folder, written_once
 from ledgerhub.sinks import files, tables
+from ledgerhub.sizing import company_side
 from ledgerhub.sources import pages
 from ledgerhub.sources.registry import company_names, for_companies
 from ledgerhub.warehouse_queries.base import (
@@ -470,13 +471,18 @@ def _land(rows, versions):
     A company has PAGES pages or more, of PAGE_ROWS rows on average, so their number grows with the table.
     """
     every = load.fan_out([rows.withColumn("status", F.coalesce(F.lit(v), F.col("status"))) for v in versions])
-    needed = F.greatest(F.lit(PAGES), F.ceil(F.count(F.lit(1)) / PAGE_ROWS)).cast("long").alias("needed")
-    every = every.join(every.groupBy("Entity").agg(needed), "Entity")
+    asked = F.greatest(F.lit(PAGES), F.ceil(F.count(F.lit(1)) * len(versions) / PAGE_ROWS)).cast("long").alias("needed")
+    needed = company_side(rows.where("Entity is not null").groupBy("Entity").agg(asked))
     page = (F.pmod(F.xxhash64("entryNo"), "needed") + 1).alias("page_no")
-    numbered = every.groupBy("Entity", page).agg(F.sort_array(F.collect_list(F.struct("entryNo", "status", "total"))).alias("value"))
-    first = numbered.groupBy("Entity").agg(F.count(F.lit(1)).alias("pages"))  # companies with few rows may lack a page
-    place = F.row_number().over(Window.partitionBy("Entity").orderBy("page_no"))
-    linked = numbered.withColumn("place", place).join(first, "Entity")
+    # pages are numbered and linked on their own, so no company's records go through one task
+    found = rows.join(needed, "Entity").select("Entity", page).distinct()  # companies with few rows may lack a page
+    company = Window.partitionBy("Entity")
+    numbers = written_once(found.select(
+        "Entity", "page_no", F.row_number().over(company.orderBy("page_no")).alias("place"),
+        F.count(F.lit(1)).over(company).alias("pages")), "numbers")
+    numbered = every.join(needed, "Entity").groupBy("Entity", page).agg(
+        F.sort_array(F.collect_list(F.struct("entryNo", "status", "total"))).alias("value"))
+    linked = numbered.join(numbers, ["Entity", "page_no"])
     store = run_folder(rows.sparkSession, "landed")
     linked.select(
         "Entity", F.col("place").alias("page_no"), "value",
@@ -488,7 +494,7 @@ def _land(rows, versions):
 def _landed_load(spark, folder, kind, versions):
     """Old documents land and are loaded, then later ones that overlap them; the table read back."""
     name, log = f"landed_{uuid.uuid4().hex}", run_folder(spark, "log")
-    rows = documents(spark, folder)
+    rows = written_once(documents(spark, folder).select("entryNo", "Entity", "status", "total", "order_date"), "documents")
     entry = catalog.Dataset("documents", "orders", kind, keys=("entryNo", "Entity"), entry_no="entryNo")
     stored = T.StructType([*RECORD.fields, T.StructField("Entity", T.StringType())])
     tables.create(spark, name, stored, run_folder(spark, "table"), keys=["entryNo"], buckets=4)
