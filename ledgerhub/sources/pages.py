@@ -102,12 +102,13 @@ def field_counts(found: DataFrame, schema: T.StructType | None = None) -> DataFr
     """(column, filled, unfit) of each field name in :func:`fields`.
 
     ``filled`` is in how many records the field has a value, ``unfit`` how many of these are no value of the
-    type that ``schema`` has under that exact name.
+    type that ``schema`` has under that exact name. Every value has a text.
     """
     by_type: dict[str, list[str]] = {}
     for f in schema.fields if schema else []:
         by_type.setdefault(f.dataType.simpleString(), []).append(f.name)
     fits = F.lit(True)
+    by_type.pop("string", None)
     for kind, names in by_type.items():
         fits = F.when(F.col("column").isin(names), F.try_variant_get("value", "$", kind).isNotNull()).otherwise(fits)
     has = ~F.is_variant_null("value")

@@ -71,3 +71,15 @@ def test_pages_are_numbered_without_their_records(spark, monkeypatch):
         F.count_distinct("page_no").alias("numbers"), F.max(F.when(~F.col("more"), F.col("page_no"))).alias("end")).collect()}
     assert per["A"] == {"Entity": "A", "n": 5994, "d": 5994, "pages": 6, "numbers": 6, "end": 6}
     assert (per["B"]["n"], per["B"]["d"]) == (6, 6) and per["B"]["pages"] == per["B"]["numbers"] == per["B"]["end"]
+
+
+def test_texts_fit_without_being_cast(spark, rows):
+    """Every landed value has a text, so only values of other types are tried."""
+    from ledgerhub.sources import pages
+
+    found = spark.sql("""SELECT * FROM VALUES ('a', parse_json('"x"')), ('a', parse_json('[1]')), ('a', parse_json('{}')),
+        ('a', parse_json('null')), ('b', parse_json('"x"')), ('b', parse_json('7')) AS t(column, value)""")
+    counts = pages.field_counts(found, T.StructType().add("a", "string").add("b", "long"))
+    assert rows(counts) == [("a", 3, 0), ("b", 2, 1)]
+    only = pages.field_counts(found, T.StructType().add("a", "string"))
+    assert "variant_get" not in plan(only) and rows(only) == [("a", 3, 0), ("b", 2, 0)]
